@@ -13,17 +13,21 @@ from .star import assert_unique
 
 
 def weekly_rollup(sales: DataFrame, spec: SeriesSpec = WEEKLY,
-                  measures: tuple[str, ...] = MEASURES) -> DataFrame:
+                  measures: tuple[str, ...] = MEASURES, digits: int | None = None) -> DataFrame:
     """Sums per series and week; rows with a null key are dropped, an all-null sum is 0.
 
-    Partial sums leave the map side, so a hot series costs no more to shuffle than any other.
+    Partial sums leave the map side, so a hot series costs no more to shuffle than any other. A sum of
+    doubles depends on the order of its terms in the last bits: rounding it to the ``digits`` that the
+    measures carry makes it, and every ratio built on it, the same in every run.
     """
     grain = list(spec.grain)
     known = sales
     for key in grain:
         known = known.filter(F.col(key).isNotNull())
-    sums = [F.coalesce(F.sum(finite(F.col(m).cast("double"))), F.lit(0.0)).alias(m)
-            for m in measures]
+    sums = []
+    for m in measures:
+        total = F.coalesce(F.sum(finite(F.col(m).cast("double"))), F.lit(0.0))
+        sums.append((total if digits is None else F.round(total, digits)).alias(m))
     return known.groupBy(*grain).agg(*sums, F.avg("is_weekend").alias("is_weekend"))
 
 

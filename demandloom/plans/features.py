@@ -17,13 +17,13 @@ from ..spec import CATEGORIES, LAGS, WEEKLY, WINDOWS, SeriesSpec
 
 def weekly_series(sales: DataFrame, stores: DataFrame, products: DataFrame,
                   spec: SeriesSpec = WEEKLY, lags=LAGS, windows=WINDOWS,
-                  include_current: bool = True) -> DataFrame:
+                  include_current: bool = True, digits: int | None = None) -> DataFrame:
     """Weekly sums with attributes, raw ratios, lags and rolling statistics.
 
     Two shuffles: partial sums by series and week, then weekly rows by series. All lags and windows
     share the one sort of the second.
     """
-    weekly = attach_attributes(weekly_rollup(sales, spec), stores, products)
+    weekly = attach_attributes(weekly_rollup(sales, spec, digits=digits), stores, products)
     return add_ratios(weekly).withColumns({
         **lag_expressions(spec, lags),
         **rolling_expressions(spec, windows, include_current),
@@ -32,7 +32,7 @@ def weekly_series(sales: DataFrame, stores: DataFrame, products: DataFrame,
 
 def create_features(sales: DataFrame, stores: DataFrame, products: DataFrame,
                     spec: SeriesSpec = WEEKLY, lags=LAGS, windows=WINDOWS,
-                    include_current: bool = True,
+                    include_current: bool = True, digits: int | None = None,
                     dictionary: DataFrame | None = None) -> DataFrame:
     """The weekly feature table.
 
@@ -40,8 +40,8 @@ def create_features(sales: DataFrame, stores: DataFrame, products: DataFrame,
     their own columns of it, and everything after that is a projection with small joins. Pass the
     ``dictionary`` of an earlier run to code new data the same way.
     """
-    series = stage(weekly_series(sales, stores, products, spec, lags, windows, include_current),
-                   "weekly-series")
+    series = stage(weekly_series(sales, stores, products, spec, lags, windows, include_current,
+                                 digits), "weekly-series")
     fitted_here = dictionary is None
     if fitted_here:
         dictionary = fit_categories(series, CATEGORIES)

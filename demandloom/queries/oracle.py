@@ -50,7 +50,7 @@ WEEKEND = "CASE WHEN isodow({d}) IN (6, 7) THEN 1 ELSE 0 END"
 
 
 def rollup(name: str, source: str, year: str = "year(transaction_date)") -> str:
-    sums = ", ".join(f"sum({m}) AS {m}" for m in MEASURES)
+    sums = ", ".join(f"round(sum({m}), 6) AS {m}" for m in MEASURES)
     weekend = WEEKEND.format(d="transaction_date")
     return f"""
 {name} AS (
@@ -127,10 +127,18 @@ bounds AS (SELECT quantile_cont(quantity, 0.001) AS lo, quantile_cont(quantity,
 trimmed AS (SELECT kept.* FROM kept, bounds WHERE quantity BETWEEN lo AND hi)"""
 
 
+def middle(column: str) -> str:
+    """The mean of the two middle values, which are one and the same for an odd count."""
+    ordered = f"list({column} ORDER BY {column}) FILTER ({column} IS NOT NULL)"
+    n = f"count({column})"
+    return (f"(list_extract({ordered}, ({n} + 1) // 2) + list_extract({ordered}, {n} // 2 + 1))"
+            " / 2")
+
+
 def filled(source: str) -> str:
     return f"""
 raw_ratios AS (SELECT *, {RATIO_COLUMNS} FROM {source}),
-medians AS (SELECT median(unit_price) AS up, median(profit_margin) AS pm FROM raw_ratios),
+medians AS (SELECT {middle('unit_price')} AS up, {middle('profit_margin')} AS pm FROM raw_ratios),
 filled AS (SELECT raw_ratios.* REPLACE (coalesce(unit_price, up) AS unit_price,
              coalesce(profit_margin, pm) AS profit_margin,
              coalesce(discount_ratio, 0) AS discount_ratio)
@@ -138,7 +146,7 @@ filled AS (SELECT raw_ratios.* REPLACE (coalesce(unit_price, up) AS unit_price,
 
 
 RATIO_NAMES = ["unit_price", "profit_margin", "discount_ratio"]
-ROUNDED_RATIOS = ", ".join(f"round({r}, 6) + 0.0 AS {r}" for r in RATIO_NAMES)
+RATIOS_FINAL = ", ".join(f"{r} + 0.0 AS {r}" for r in RATIO_NAMES)
 STORE_ATTRIBUTES = "zipcode, premise_type, categoria_pdv"
 PRODUCT_ATTRIBUTES = "categoria, tipos, label, subcategoria, marca, fabricante"
 CODED = ["categoria", "tipos", "label", "subcategoria", "marca", "fabricante", "premise_type",
@@ -151,7 +159,7 @@ FEATURES = f"""{TX}, {KEPT}, {STORES}, {PRODUCTS}, {rollup('w', 'trimmed')}, {fi
 lagged AS (SELECT *, {lag_columns()}, {roll_columns()} FROM filled {SERIES}),
 features AS (
   SELECT {GRAIN}, {MEASURE_COLUMNS}, round(is_weekend, 6) AS is_weekend,
-         {STORE_ATTRIBUTES}, {PRODUCT_ATTRIBUTES}, {ROUNDED_RATIOS},
+         {STORE_ATTRIBUTES}, {PRODUCT_ATTRIBUTES}, {RATIOS_FINAL},
          {', '.join(LAG_NAMES)}, {', '.join(ROLL_NAMES)}, {CODE_COLUMNS},
          round(sin(2 * pi() * week / 52), 6) + 0.0 AS week_sin,
          round(cos(2 * pi() * week / 52), 6) + 0.0 AS week_cos
@@ -360,8 +368,8 @@ ORACLE: dict[str, str] = {
         SELECT {PAIR}, quantity, round(gross_value, 6) AS gross_value FROM tx, b
         WHERE gross_value BETWEEN lo AND hi""",
     "ratios": f"""WITH {W}, r AS (SELECT *, {RATIO_COLUMNS} FROM w)
-        SELECT {GRAIN}, {ROUNDED_RATIOS} FROM r""",
-    "ratios_filled": f"WITH {W}, {filled('w')} SELECT {GRAIN}, {ROUNDED_RATIOS} FROM filled",
+        SELECT {GRAIN}, {RATIOS_FINAL} FROM r""",
+    "ratios_filled": f"WITH {W}, {filled('w')} SELECT {GRAIN}, {RATIOS_FINAL} FROM filled",
     "clean_transactions": f"""WITH {TX}, {KEPT}, {filled('trimmed')}
         SELECT {day('transaction_date')}, {day('reference_date')}, {PAIR}, {MEASURE_COLUMNS},
         {PARTS.format(d='filled.transaction_date')},
@@ -370,7 +378,7 @@ ORACLE: dict[str, str] = {
         CAST(isodow(filled.transaction_date) - 1 AS INTEGER) AS dayofweek,
         CAST({WEEKEND.format(d='filled.transaction_date')} AS INTEGER) AS is_weekend,
         CAST(CASE WHEN filled.quantity < 0 THEN 1 ELSE 0 END AS INTEGER) AS is_return,
-        {ROUNDED_RATIOS} FROM filled""",
+        {RATIOS_FINAL} FROM filled""",
     "store_clean": f"WITH {STORES} SELECT * FROM stores",
     "product_clean": f"WITH {PRODUCTS} SELECT * FROM products",
     "star_join": f"WITH {TX}, {STORES}, {PRODUCTS} {JOINED.format(how='LEFT')}",

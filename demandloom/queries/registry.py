@@ -24,6 +24,8 @@ from ..sources.tpch_retail import _table, products, retail_tables, stores, trans
 from ..spec import LAGS, MEASURES, PRODUCT, STORE, WINDOWS
 
 YEAR = 1997
+# No measure of the retail tables carries more decimals, so weekly sums rounded to them are exact.
+DIGITS = 6
 PAIR = [STORE, PRODUCT]
 GRAIN = [*PAIR, "year", "week"]
 ORDER = ("year", "week")
@@ -38,10 +40,12 @@ def query(function):
     return function
 
 
-def rounded(df: DataFrame, digits: int = 6, only: list[str] | None = None) -> DataFrame:
-    names = only or [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """All doubles rounded but the ratios: quotients of equal numbers are equal as they are."""
+    names = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
     # Adding zero turns a negative zero into a plain one.
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in names})
+    return df.withColumns({
+        c: (F.col(c) if c in RATIOS else F.round(c, digits)) + F.lit(0.0) for c in names})
 
 
 def day(name: str):
@@ -53,7 +57,7 @@ def sales_all_years(spark, folder) -> DataFrame:
 
 
 def weekly_all_years(spark, folder) -> DataFrame:
-    return weekly.weekly_rollup(sales_all_years(spark, folder))
+    return weekly.weekly_rollup(sales_all_years(spark, folder), digits=DIGITS)
 
 
 def weekly_with_lags(spark, folder) -> DataFrame:
@@ -71,7 +75,8 @@ def features_of_year(spark, folder) -> DataFrame:
     tables = retail_tables(spark, folder)
     return create_features(
         clean.select_sales(tables.transactions, YEAR),
-        clean.preprocess_pdv(tables.stores), clean.preprocess_products(tables.products))
+        clean.preprocess_pdv(tables.stores), clean.preprocess_products(tables.products),
+        digits=DIGITS)
 
 
 # Scans and profiles
@@ -159,13 +164,13 @@ def outlier_trim_value(spark, folder):
 @query
 def ratios(spark, folder):
     made = clean.drop_nonfinite(clean.add_ratios(weekly_all_years(spark, folder)))
-    return rounded(made.select(*GRAIN, *RATIOS), 6)
+    return rounded(made.select(*GRAIN, *RATIOS))
 
 
 @query
 def ratios_filled(spark, folder):
     made = clean.add_ratios(weekly_all_years(spark, folder))
-    return rounded(clean.fill_ratios(stage(made, "weekly-ratios")).select(*GRAIN, *RATIOS), 6)
+    return rounded(clean.fill_ratios(stage(made, "weekly-ratios")).select(*GRAIN, *RATIOS))
 
 
 @query
@@ -216,7 +221,7 @@ def weekly_rollup(spark, folder):
 @query
 def weekly_rollup_iso_year(spark, folder):
     sales = clean.add_calendar(transactions(spark, folder), week_year="iso")
-    return rounded(weekly.weekly_rollup(sales))
+    return rounded(weekly.weekly_rollup(sales, digits=DIGITS))
 
 
 @query
