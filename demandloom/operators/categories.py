@@ -50,13 +50,17 @@ def apply_categories(df: DataFrame, dictionary: DataFrame, columns=CATEGORIES,
     Missing and unseen values become the placeholder category, which gets code -1 if it was not
     there when the dictionary was fitted. ``replace_unseen=False`` leaves the column itself alone.
     """
-    for c in [c for c in columns if c in df.columns]:
-        codes = dictionary.filter(F.col("column_name") == c)
-        known = codes.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-        fallback = codes.filter(F.col("value") == UNKNOWN).agg(F.max("code")).scalar()
+    columns = [c for c in columns if c in df.columns]
+    # At most one row per column: the code of the placeholder.
+    fallback = {row["column_name"]: row["code"] for row in dictionary.filter(
+        (F.col("value") == UNKNOWN) & F.col("column_name").isin(columns)).collect()}
+    for c in columns:
+        known = dictionary.filter(F.col("column_name") == c).select(
+            F.col("value").alias("_value"), F.col("code").alias("_code"))
         value = F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
+        unseen = F.lit(fallback.get(c, NOT_FITTED))
         df = df.join(known, value == F.col("_value"), "left")
-        result = {f"{c}_encoded": F.coalesce("_code", fallback, F.lit(NOT_FITTED)).cast("int")}
+        result = {f"{c}_encoded": F.coalesce("_code", unseen).cast("int")}
         if replace_unseen:
             result[c] = F.coalesce("_value", F.lit(UNKNOWN))
         df = df.withColumns(result).drop("_value", "_code")

@@ -8,13 +8,10 @@ from pyspark.sql import functions as F
 
 from ..functions import finite
 from ..sources.staging import stage
+from .blocks import over_blocks
 from .clean import parse_dates
 from .ordinal import ORDINAL, TOTAL, with_ordinal
 
-# Positions per task for the moving average of one long series.
-BLOCK = 65_536
-
-
 def _inside_frame(period: int):
     half = period // 2
     return (F.col(ORDINAL) > half) & (F.col(ORDINAL) <= F.col(TOTAL) - half)
@@ -24,29 +21,18 @@ def centred_average(numbered: DataFrame, value: str, period: int, within=(),
                     name: str = "trend") -> DataFrame:
     """Centred moving average over ``period`` positions, null where the frame is not full.
 
-    An even period spans one more point and weighs both ends by one half. The series is cut into blocks;
-    rows near a cut are copied to the neighbouring block, so a long series is averaged by many tasks.
+    An even period spans one more point and weighs both ends by one half.
     """
     half = period // 2
-    block = max(BLOCK, period)
-    position = F.col(ORDINAL) - 1
-
-    def block_of(p):
-        return F.floor(p / F.lit(block))
-
-    copies = F.array_distinct(F.array(
-        block_of(position), block_of(position - half), block_of(position + half)))
-    spread = (numbered.withColumn("_home", block_of(position))
-              .withColumn("_block", F.explode(copies)))
-    series = W.partitionBy(*within, "_block").orderBy(ORDINAL)
-    total = F.sum(value).over(series.rowsBetween(-half, half))
-    if period % 2 == 0 and half:
-        ends = F.lag(value, half).over(series) + F.lead(value, half).over(series)
-        total = total - 0.5 * ends
-    averaged = spread.withColumn("_average", total / F.lit(float(period)))
-    return (averaged.filter(F.col("_block") == F.col("_home"))
-            .withColumn(name, F.when(_inside_frame(period), F.col("_average")))
-            .drop("_home", "_block", "_average"))
+
+    def average(series):
+        total = F.sum(value).over(series.rowsBetween(-half, half))
+        if period % 2 == 0:
+            ends = F.lag(value, half).over(series) + F.lead(value, half).over(series)
+            total = total - 0.5 * ends
+        return {name: F.when(_inside_frame(period), total / F.lit(float(period)))}
+
+    return over_blocks(numbered, average, half, half, within)
 
 
 def seasonal_index(detrended: DataFrame, value: str, period: int, model: str = "additive",

@@ -113,8 +113,8 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None,
     pairs = (_pairs_by_expression(values, cols) if len(cols) <= EXPRESSION_COLUMNS
              else _pairs_by_moments(values, cols))
     r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce("r", F.lit(0.0))))
-    return pairs.select("col_a", "col_b", F.when(F.abs(r) >= threshold, r).otherwise(
-        F.lit(0.0)).alias("r"))
+    shown = (F.abs(r) >= threshold) | (r == 1)
+    return pairs.select("col_a", "col_b", F.when(shown, r).otherwise(F.lit(0.0)).alias("r"))
 
 
 def _pairs_by_expression(values: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Global row numbers, time-ordered splits and folds, without sorting everything in one task.
+"""Row numbers, time-ordered splits and folds, without sorting everything in one task.
 
 The position of a row is the number of rows in earlier groups plus its rank inside its own group. Groups
 nest (week, then store within the week), so every window runs over one small group: weeks are bounded
@@ -19,38 +19,46 @@ from ..spec import WEEKLY, SeriesSpec
 ORDINAL, TOTAL = "ordinal", "total_rows"
 
 
+def in_order(columns) -> list:
+    """Ascending, with missing values at the end."""
+    return [F.col(c).asc_nulls_last() for c in columns]
+
+
 def with_ordinal(df: DataFrame, levels: list[list[str]], within: tuple[str, ...] = (),
                  ordinal: str = ORDINAL, total: str = TOTAL) -> DataFrame:
     """Add a 1-based position in the order of all ``levels``, and the number of rows.
 
     ``levels`` lists column groups from the most to the least significant; ``within`` restarts the
     numbering per key. The frame is read twice, so stage an expensive one first.
+
+    Groups are matched as structs: a struct is never null itself, so rows with a null in a key or a level
+    find their group, and the window and the join share one shuffle of the rows.
     """
     if len(levels) < 2:
         raise ValueError("give at least two ordering levels")
-    within = list(within)
-    prefix = within + [c for level in levels[:-1] for c in level]
-    offsets = None
+    above = list(within)
+    prefix = above + [c for level in levels[:-1] for c in level]
     counts = df.groupBy(*prefix).agg(F.count("*").alias("_rows"))
-    above = within
-    for depth, level in enumerate(levels[:-1]):
+    offsets = None
+    for level in levels[:-1]:
         group = above + level
-        sizes = counts.groupBy(*group).agg(F.sum("_rows").alias("_rows"))
         # One row per group of this level: the rows before it among its siblings.
-        before = W.partitionBy(*above).orderBy(*level).rowsBetween(W.unboundedPreceding, -1)
-        step = [F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_step")]
-        if depth == 0:
-            step.append(F.sum("_rows").over(W.partitionBy(*above)).alias(total))
-        ranked = sizes.select(*group, *step)
+        sizes = counts.groupBy(*group).agg(F.sum("_rows").alias("_rows"))
+        siblings = W.partitionBy(*above)
+        before = siblings.orderBy(*in_order(level)).rowsBetween(W.unboundedPreceding, -1)
+        step = F.coalesce(F.sum("_rows").over(before), F.lit(0))
         if offsets is None:
-            offsets = ranked.withColumnRenamed("_step", "_offset")
+            ranked = sizes.select(*group, F.sum("_rows").over(siblings).alias(total),
+                                  step.alias("_offset"))
         else:
-            offsets = ranked.join(offsets, above).select(
-                *group, total, (F.col("_offset") + F.col("_step")).alias("_offset"))
+            ranked = (sizes.select(*group, step.alias("_step"), F.struct(*above).alias("_group"))
+                      .join(offsets, "_group")
+                      .select(*group, total, (F.col("_offset") + F.col("_step")).alias("_offset")))
+        offsets = ranked.select(F.struct(*group).alias("_group"), total, "_offset")
         above = group
-    rank = F.row_number().over(W.partitionBy(*prefix).orderBy(*levels[-1]))
-    ranked_rows = df.withColumn("_rank", rank)
-    return ranked_rows.join(offsets, prefix).select(
+    rank = F.row_number().over(W.partitionBy("_group").orderBy(*in_order(levels[-1])))
+    ranked_rows = df.withColumn("_group", F.struct(*prefix)).withColumn("_rank", rank)
+    return ranked_rows.join(offsets, "_group").select(
         *df.columns, (F.col("_rank") + F.col("_offset")).cast("long").alias(ordinal), total)
 
 
@@ -98,8 +106,8 @@ def time_folds(df: DataFrame, folds: int = 5, spec: SeriesSpec = WEEKLY) -> Data
         raise ValueError("at least two folds are needed")
     total, fold = F.col(TOTAL), F.col("fold")
     size = F.floor(total / (folds + 1))
-    enough = F.when(total <= folds, F.raise_error(F.lit(f"{folds} folds need more rows")))
-    train_end = F.coalesce(enough.cast("long"), total - (F.lit(folds) - fold) * size)
+    too_few = F.raise_error(F.lit(f"{folds} folds need more rows")).cast("long")
+    train_end = F.when(total <= folds, too_few).otherwise(total - (F.lit(folds) - fold) * size)
     return (
         weekly_ordinal(df, spec)
         .withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))

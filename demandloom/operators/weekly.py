@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import finite
 from ..spec import (MEASURES, PRODUCT, PRODUCT_ATTRIBUTES, STORE, STORE_ATTRIBUTES, WEEKLY,
                     SeriesSpec)
+from .blocks import over_long_series
+from .ordinal import in_order
 from .star import assert_unique
 
 
@@ -45,14 +47,19 @@ def attach_attributes(weekly: DataFrame, stores: DataFrame, products: DataFrame)
         *weekly.columns, *STORE_ATTRIBUTES, *PRODUCT_ATTRIBUTES)
 
 
-def lag_expressions(spec: SeriesSpec, lags) -> dict:
-    series = W.partitionBy(*spec.keys).orderBy(*spec.order_by)
+def series_window(spec: SeriesSpec) -> WindowSpec:
+    return W.partitionBy(*spec.keys).orderBy(*in_order(spec.order_by))
+
+
+def lag_expressions(spec: SeriesSpec, lags, series: WindowSpec | None = None) -> dict:
+    series = series or series_window(spec)
     return {f"{spec.target}_lag_{k}": F.lag(spec.target, k).over(series) for k in lags}
 
 
-def rolling_expressions(spec: SeriesSpec, windows, include_current: bool = True) -> dict:
+def rolling_expressions(spec: SeriesSpec, windows, include_current: bool = True,
+                        series: WindowSpec | None = None) -> dict:
     """Trailing statistics over observed rows; null (a lone value has no deviation) becomes 0."""
-    series = W.partitionBy(*spec.keys).orderBy(*spec.order_by)
+    series = series or series_window(spec)
     value = finite(F.col(spec.target).cast("double"))
     statistics = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     columns = {}
@@ -66,30 +73,44 @@ def rolling_expressions(spec: SeriesSpec, windows, include_current: bool = True)
 
 
 def create_lag_features(df: DataFrame, groupby_cols, target_col: str = "quantity",
-                        lags=(1, 2, 3, 4), order_by=("transaction_date",)) -> DataFrame:
-    """Values of earlier *observed* rows of the same series; gaps are not filled."""
+                        lags=(1, 2, 3, 4), order_by=("transaction_date",),
+                        long_series: bool = False) -> DataFrame:
+    """Values of earlier *observed* rows of the same series; gaps are not filled.
+
+    Weekly series are short. Where one series may hold much of the table, as with single transactions,
+    ``long_series`` spreads it over many tasks.
+    """
     spec = SeriesSpec(tuple(groupby_cols), tuple(order_by), target_col)
+    if long_series:
+        return over_long_series(df, spec.keys, spec.order_by,
+                                lambda series: lag_expressions(spec, lags, series), max(lags))
     return df.withColumns(lag_expressions(spec, lags))
 
 
 def create_rolling_features(df: DataFrame, groupby_cols, target_col: str = "quantity",
                             windows=(2, 4, 8, 12), order_by=("transaction_date",),
-                            include_current: bool = True) -> DataFrame:
+                            include_current: bool = True, long_series: bool = False) -> DataFrame:
     """Trailing mean, deviation, minimum and maximum over the last observed rows.
 
     The current row counts by default; ``include_current=False`` looks at earlier rows only.
-    Missing values in any ``roll_`` column already present become 0 as well.
+    Missing values in any ``roll_`` column already present become 0 as well. ``long_series`` is as for
+    lags.
     """
     spec = SeriesSpec(tuple(groupby_cols), tuple(order_by), target_col)
-    columns = rolling_expressions(spec, windows, include_current)
-    present = {c: F.coalesce(F.col(c), F.lit(0)) for c in df.columns
-               if "roll_" in c and c not in columns}
-    return df.withColumns({**present, **columns})
+    df = df.withColumns({
+        c: F.coalesce(F.col(c), F.lit(0)) for c in df.columns if "roll_" in c})
+    if long_series:
+        return over_long_series(
+            df, spec.keys, spec.order_by,
+            lambda series: rolling_expressions(spec, windows, include_current, series),
+            max(windows))
+    return df.withColumns(rolling_expressions(spec, windows, include_current))
 
 
 def last_observation(df: DataFrame, spec: SeriesSpec = WEEKLY) -> DataFrame:
     """The latest row of every series."""
-    latest = W.partitionBy(*spec.keys).orderBy(*[F.col(c).desc() for c in spec.order_by])
+    latest = W.partitionBy(*spec.keys).orderBy(*[F.col(c).desc_nulls_last()
+                                                  for c in spec.order_by])
     return (df.withColumn("_recency", F.row_number().over(latest))
               .filter("_recency = 1").drop("_recency"))
 

@@ -68,16 +68,17 @@ def lag_columns() -> str:
     return ", ".join(f"lag(quantity, {k}) OVER s AS quantity_lag_{k}" for k in LAGS)
 
 
-def roll_columns(before: bool = False) -> str:
+def roll_columns(before: bool = False, value: str = "quantity", keys: str = PAIR,
+                 order: str = "year, week") -> str:
     parts = []
     for w in WINDOWS:
         frame = (f"ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING" if before
                  else f"ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW")
-        over = f"OVER (PARTITION BY {PAIR} ORDER BY year, week {frame})"
+        over = f"OVER (PARTITION BY {keys} ORDER BY {order} {frame})"
         for name, function in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"),
                                ("max", "max")):
-            value = f"coalesce({function}(quantity) {over}, 0)"
-            parts.append(f"round({value}, 6) AS quantity_roll_{name}_{w}")
+            found = f"coalesce({function}({value}) {over}, 0)"
+            parts.append(f"round({found}, 6) AS {value}_roll_{name}_{w}")
     return ", ".join(parts)
 
 
@@ -330,6 +331,16 @@ TX_NAMES = ["transaction_date", "reference_date", "internal_store_id", "internal
 ACTUAL = "round(coalesce(sum(quantity), 0), 6)"
 PREDICTED = "round(coalesce(sum(quantity_lag_1), 0), 6)"
 
+CLEANED = f"""WITH {TX}, {KEPT}, {filled('trimmed')}
+        SELECT {day('transaction_date')}, {day('reference_date')}, {PAIR}, {MEASURE_COLUMNS},
+        {PARTS.format(d='filled.transaction_date')},
+        CAST(month(filled.transaction_date) AS INTEGER) AS month,
+        CAST(day(filled.transaction_date) AS INTEGER) AS day,
+        CAST(isodow(filled.transaction_date) - 1 AS INTEGER) AS dayofweek,
+        CAST({WEEKEND.format(d='filled.transaction_date')} AS INTEGER) AS is_weekend,
+        CAST(CASE WHEN filled.quantity < 0 THEN 1 ELSE 0 END AS INTEGER) AS is_return,
+        {RATIOS_FINAL} FROM filled"""
+
 ORACLE: dict[str, str] = {
     "scan_profile": f"WITH {TX} {profile('tx', TX_NAMES)}",
     "lag_null_profile": f"""WITH {LAGGED} {profile('lagged', [
@@ -370,15 +381,8 @@ ORACLE: dict[str, str] = {
     "ratios": f"""WITH {W}, r AS (SELECT *, {RATIO_COLUMNS} FROM w)
         SELECT {GRAIN}, {RATIOS_FINAL} FROM r""",
     "ratios_filled": f"WITH {W}, {filled('w')} SELECT {GRAIN}, {RATIOS_FINAL} FROM filled",
-    "clean_transactions": f"""WITH {TX}, {KEPT}, {filled('trimmed')}
-        SELECT {day('transaction_date')}, {day('reference_date')}, {PAIR}, {MEASURE_COLUMNS},
-        {PARTS.format(d='filled.transaction_date')},
-        CAST(month(filled.transaction_date) AS INTEGER) AS month,
-        CAST(day(filled.transaction_date) AS INTEGER) AS day,
-        CAST(isodow(filled.transaction_date) - 1 AS INTEGER) AS dayofweek,
-        CAST({WEEKEND.format(d='filled.transaction_date')} AS INTEGER) AS is_weekend,
-        CAST(CASE WHEN filled.quantity < 0 THEN 1 ELSE 0 END AS INTEGER) AS is_return,
-        {RATIOS_FINAL} FROM filled""",
+    "clean_transactions": CLEANED,
+    "processed_tables": CLEANED,
     "store_clean": f"WITH {STORES} SELECT * FROM stores",
     "product_clean": f"WITH {PRODUCTS} SELECT * FROM products",
     "star_join": f"WITH {TX}, {STORES}, {PRODUCTS} {JOINED.format(how='LEFT')}",
@@ -394,7 +398,14 @@ ORACLE: dict[str, str] = {
     "lags": f"WITH {LAGGED} SELECT {GRAIN}, quantity, {', '.join(LAG_NAMES)} FROM lagged",
     "rolling": f"WITH {W} SELECT {GRAIN}, {roll_columns()} FROM w",
     "rolling_before": f"WITH {W} SELECT {GRAIN}, {roll_columns(before=True)} FROM w",
+    "lags_long_series": """SELECT event_id, event_type, value, lag(value, 1) OVER s AS value_lag_1,
+        lag(value, 2) OVER s AS value_lag_2, lag(value, 3) OVER s AS value_lag_3,
+        lag(value, 4) OVER s AS value_lag_4 FROM events
+        WINDOW s AS (PARTITION BY event_type ORDER BY ts, event_id)""",
+    "rolling_long_series": f"""SELECT event_id, event_type, round(value, 6) AS value, {roll_columns(
+        value='value', keys='event_type', order='ts, event_id')} FROM events""",
     "weekly_features": f"WITH {FEATURES} SELECT * FROM features",
+    "feature_table": f"WITH {FEATURES} SELECT * FROM features",
     "model_input": f"""WITH {FEATURES} SELECT * EXCLUDE ({', '.join(UNUSED_BY_MODELS)})
         FROM features WHERE quantity_lag_4 IS NOT NULL""",
     "last_observation": f"""WITH {W} SELECT {GRAIN}, quantity FROM w

@@ -6,20 +6,21 @@ not show; dates are returned as text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import nonnegative_units
-from ..models.matrix import matrix_stages, plan_matrix
 from ..models.predict import generate_forecast
-from ..models.train import feature_importance, prepare_training_data, train_model
+from ..models.train import (feature_importance, load_model, prepare_training_data, save_model,
+                            train_model)
 from ..operators import categories, clean, decompose, distribution, horizon, metrics, ordinal
 from ..operators import quantiles as q
 from ..operators import reports, star, weekly
 from ..plans.features import create_features
-from ..sources import shared_folder, stage, write_forecast_csv
+from ..sources import shared_folder, stage, write_features, write_forecast_csv, write_processed
 from ..sources.tpch_retail import _table, products, retail_tables, stores, transactions
 from ..spec import LAGS, MEASURES, PRODUCT, STORE, WINDOWS
 
@@ -60,6 +61,15 @@ def weekly_all_years(spark, folder) -> DataFrame:
     return weekly.weekly_rollup(sales_all_years(spark, folder), digits=DIGITS)
 
 
+def staged_weekly(spark, folder) -> DataFrame:
+    """For operators that read their input more than once."""
+    return stage(weekly_all_years(spark, folder), "weekly")
+
+
+def staged_lags(spark, folder) -> DataFrame:
+    return stage(weekly_with_lags(spark, folder), "lags")
+
+
 def weekly_with_lags(spark, folder) -> DataFrame:
     return weekly.create_lag_features(weekly_all_years(spark, folder), PAIR, lags=LAGS,
                                       order_by=ORDER)
@@ -70,6 +80,11 @@ def weekly_series(spark, folder) -> DataFrame:
                                           windows=WINDOWS, order_by=ORDER)
 
 
+def _results_folder(spark) -> str:
+    return (f"{shared_folder(spark)}/demandloom/{spark.sparkContext.applicationId}"
+            f"/results-{uuid.uuid4().hex}")
+
+
 def features_of_year(spark, folder) -> DataFrame:
     """The flagship: cleaned sales of one year to weekly features."""
     tables = retail_tables(spark, folder)
@@ -179,6 +194,17 @@ def clean_transactions(spark, folder):
     return rounded(made.withColumns({c: day(c) for c in ("transaction_date", "reference_date")}))
 
 
+@query
+def processed_tables(spark, folder):
+    """The cleaned transactions, written as a partitioned table and read back."""
+    tables = retail_tables(spark, folder)
+    root = _results_folder(spark)
+    write_processed(root, clean.preprocess_transactions(tables.transactions, YEAR),
+                    clean.preprocess_pdv(tables.stores), clean.preprocess_products(tables.products))
+    made = spark.read.parquet(f"{root}/transactions_processed.parquet")
+    return rounded(made.withColumns({c: day(c) for c in ("transaction_date", "reference_date")}))
+
+
 @query
 def store_clean(spark, folder):
     return clean.preprocess_pdv(stores(spark, folder))
@@ -251,11 +277,34 @@ def rolling_before(spark, folder):
     return rounded(made.select(*GRAIN, *[c for c in made.columns if "_roll_" in c]))
 
 
+@query
+def lags_long_series(spark, folder):
+    """A few event types hold all rows, so each series is spread over many tasks."""
+    events = _table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
+    return weekly.create_lag_features(events, ["event_type"], "value", order_by=("ts", "event_id"),
+                                      long_series=True).drop("ts")
+
+
+@query
+def rolling_long_series(spark, folder):
+    items = _table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
+    return rounded(weekly.create_rolling_features(
+        items, ["event_type"], "value", order_by=("ts", "event_id"), long_series=True).drop("ts"))
+
+
 @query
 def weekly_features(spark, folder):
     return rounded(features_of_year(spark, folder))
 
 
+@query
+def feature_table(spark, folder):
+    """Written as a partitioned table and read back."""
+    root = _results_folder(spark)
+    write_features(features_of_year(spark, folder), root)
+    return rounded(spark.read.parquet(f"{root}/feature_data.parquet"))
+
+
 @query
 def model_input(spark, folder):
     features = clean.drop_missing_target(features_of_year(spark, folder), "quantity_lag_4")
@@ -298,12 +347,12 @@ def category_apply(spark, folder):
 
 @query
 def time_split(spark, folder):
-    return ordinal.time_split(weekly_all_years(spark, folder)).select(*GRAIN, "ordinal", "split")
+    return ordinal.time_split(staged_weekly(spark, folder)).select(*GRAIN, "ordinal", "split")
 
 
 @query
 def split_union(spark, folder):
-    labelled = stage(ordinal.time_split(weekly_all_years(spark, folder)), "split")
+    labelled = stage(ordinal.time_split(staged_weekly(spark, folder)), "split")
     train = labelled.filter("split = 'train'").drop("split")
     test = labelled.filter("split = 'test'").drop("split")
     return train.unionByName(test).select(*GRAIN, "ordinal", "quantity")
@@ -311,7 +360,7 @@ def split_union(spark, folder):
 
 @query
 def time_folds(spark, folder):
-    return ordinal.time_folds(weekly_all_years(spark, folder)).select(
+    return ordinal.time_folds(staged_weekly(spark, folder)).select(
         *GRAIN, "ordinal", "fold", "part")
 
 
@@ -329,7 +378,7 @@ def regression_metrics_by_store(spark, folder):
 
 @query
 def fold_summary(spark, folder):
-    lagged = stage(weekly_with_lags(spark, folder), "lags")
+    lagged = staged_lags(spark, folder)
     tested = ordinal.time_folds(lagged).filter("part = 'test'")
     per_fold = metrics.regression_metrics(tested, "quantity", "quantity_lag_1", ["fold"])
     return rounded(metrics.fold_summary(per_fold))
@@ -361,9 +410,7 @@ def forecast_units(spark, folder):
 
 @query
 def forecast_csv(spark, folder):
-    path = write_forecast_csv(_rolling_mean_forecast(spark, folder),
-                              f"{shared_folder(spark)}/demandloom/"
-                              f"{spark.sparkContext.applicationId}/predictions")
+    path = write_forecast_csv(_rolling_mean_forecast(spark, folder), _results_folder(spark))
     return (spark.read.option("sep", ";").option("header", True)
             .schema("semana int, pdv long, produto long, quantidade long").csv(path))
 
@@ -386,8 +433,10 @@ def forecast(spark, folder):
 
 @query
 def forecast_forest(spark, folder):
+    """The forest, saved and loaded before it scores."""
     trained, features = _trained(spark, folder, "random_forest")
-    return generate_forecast(trained.model, features)
+    path = save_model(trained.model, f"{_results_folder(spark)}/model")
+    return generate_forecast(load_model(path), features)
 
 
 @query
@@ -494,7 +543,7 @@ def correlation(spark, folder):
 @query
 def correlation_weekly(spark, folder):
     """Lags are null at the start of a series, so every pair has its own rows."""
-    made = weekly_with_lags(spark, folder)
+    made = staged_lags(spark, folder)
     return rounded(distribution.correlation_matrix(
         made, [*MEASURES, "is_weekend", *[f"quantity_lag_{k}" for k in LAGS]]), 7)
 
@@ -502,26 +551,26 @@ def correlation_weekly(spark, folder):
 @query
 def error_histogram(spark, folder):
     made = distribution.error_histogram(
-        weekly_with_lags(spark, folder), "quantity", "quantity_lag_1")
+        staged_lags(spark, folder), "quantity", "quantity_lag_1")
     return rounded(made)
 
 
 @query
 def error_summary(spark, folder):
     return rounded(distribution.error_summary(
-        stage(weekly_with_lags(spark, folder), "lags"), "quantity", "quantity_lag_1"))
+        staged_lags(spark, folder), "quantity", "quantity_lag_1"))
 
 
 @query
 def density(spark, folder):
     return rounded(distribution.error_density(
-        stage(weekly_with_lags(spark, folder), "lags"), "quantity", "quantity_lag_1"), 9)
+        staged_lags(spark, folder), "quantity", "quantity_lag_1"), 9)
 
 
 @query
 def density_binned(spark, folder):
     return rounded(distribution.error_density(
-        stage(weekly_with_lags(spark, folder), "lags"), "quantity", "quantity_lag_1",
+        staged_lags(spark, folder), "quantity", "quantity_lag_1",
         bins=512), 9)
 
 
