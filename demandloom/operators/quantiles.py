@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import finite
 
 SKETCH_ACCURACY = 10_000
+FINEST_SKETCH = 1_000_000
 # The most distinct values that one task may order.
 ORDERED_VALUES = 1_000_000
 # Columns this short are ordered whole: a bracket would save nothing.
@@ -129,8 +130,9 @@ def _bracket_all(values: DataFrame, targets: list[_Target], accuracy: int) -> No
 
 
 def _narrow(values: DataFrame, targets: list[_Target], accuracy: int, ordered_values: int) -> None:
-    """Shrink the brackets that still hold too many rows."""
+    """Shrink the brackets that still hold too many rows, with a finer sketch each time."""
     while targets:
+        accuracy = min(accuracy * 4, FINEST_SKETCH)
         expressions = []
         for i, t in enumerate(targets):
             value = F.col(t.column)
