@@ -17,7 +17,7 @@ from .quantiles import exact_medians
 
 GRID_POINTS = 200
 # Up to this many columns every pair gets its own aggregate expressions in one JVM-side pass.
-EXPRESSION_COLUMNS = 10
+EXPRESSION_COLUMNS = 6
 
 
 def errors(df: DataFrame, actual: str = "quantity", predicted: str = "prediction") -> DataFrame:
@@ -122,7 +122,10 @@ def _pairs_by_expression(values: DataFrame, cols: list[str]) -> DataFrame:
     for b, a in combinations(cols, 2):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        # The variance of a constant may come out as rounding noise: its range tells for sure.
+        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        r = F.when(varies, F.try_divide(
+            F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
         entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("r")))
     return values.agg(F.array(*entries).alias("pairs")).select(F.inline("pairs"))
 
