@@ -78,6 +78,9 @@ def prepare_training_data(df: DataFrame, target: str = "quantity", spec: SeriesS
         .select(ORDINAL, TOTAL, F.col(target).cast("double").alias(LABEL), FEATURES),
         "training-matrix")
     total = rows.agg(F.max(TOTAL)).first()[0] or 0
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:  # a small matrix would train on a few cores only
+        rows = rows.repartition(cores)
     return TrainingMatrix(rows.drop(TOTAL), total, preparation, plan)
 
 

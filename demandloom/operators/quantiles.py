@@ -113,20 +113,20 @@ def _fractions(first: int, last: int, count: int, accuracy: int) -> list[float]:
 
 
 def _bracket_all(values: DataFrame, targets: list[_Target], accuracy: int) -> None:
+    """First brackets, from one sketch per column."""
     slack = 3.0 / accuracy
-    expressions = []
-    for i, t in enumerate(targets):
-        bounds = [max(t.probability - slack, 0.0), min(t.probability + slack, 1.0)]
-        expressions.append(F.count(t.column).alias(f"n{i}"))
-        expressions.append(F.approx_percentile(t.column, bounds, accuracy).alias(f"b{i}"))
-    row = values.agg(*expressions).first()
-    for i, t in enumerate(targets):
-        t.count = row[f"n{i}"]
-        if t.count <= SHORT_COLUMN:
-            t.inside = t.count
-        else:
-            t.low, t.high = row[f"b{i}"]
-            t.inside = int(t.count * 8.0 / accuracy) + 2
+    bounds: dict[str, list[float]] = {c: [] for c in values.columns}
+    for t in targets:
+        bounds[t.column] += [max(t.probability - slack, 0.0), min(t.probability + slack, 1.0)]
+    row = values.agg(*[e for c, b in bounds.items() for e in (
+        F.count(c).alias(f"n_{c}"), F.approx_percentile(c, b, accuracy).alias(f"b_{c}"))]).first()
+    for c in bounds:
+        found = iter(row[f"b_{c}"] or [])
+        for t in (t for t in targets if t.column == c):
+            t.count = t.inside = row[f"n_{c}"]
+            if t.count > SHORT_COLUMN:
+                t.low, t.high = next(found), next(found)
+                t.inside = int(t.count * 8.0 / accuracy) + 2
 
 
 def _narrow(values: DataFrame, targets: list[_Target], accuracy: int, ordered_values: int) -> None:
