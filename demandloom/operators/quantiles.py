@@ -9,13 +9,15 @@ bracket are counted exactly, and a bracket that misses its rank is widened.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import finite
 
+INFINITY = float("inf")
 SKETCH_ACCURACY = 10_000
 FINEST_SKETCH = 1_000_000
 # The most distinct values that one task may order.
@@ -29,8 +31,8 @@ class _Target:
     column: str
     probability: float
     count: int = 0
-    low: float | None = None
-    high: float | None = None
+    low: float = -INFINITY
+    high: float = INFINITY
     inside: int = 0  # upper bound on the rows strictly inside the bracket
 
     @property
@@ -43,13 +45,11 @@ class _Target:
         first = min(int(self.position), self.count - 1)
         return first, first if first == self.position else min(first + 1, self.count - 1)
 
-    def contains(self, value):
-        condition = F.lit(True)
-        if self.low is not None:
-            condition = condition & (value >= F.lit(self.low))
-        if self.high is not None:
-            condition = condition & (value <= F.lit(self.high))
-        return condition
+    def contains(self, value: Column) -> Column:
+        return (value >= F.lit(self.low)) & (value <= F.lit(self.high))
+
+    def forget_bracket(self) -> None:
+        self.low, self.high, self.inside = -INFINITY, INFINITY, self.count
 
     def interpolate(self, first: float, second: float) -> float:
         fraction = self.position - self.ranks[0]
@@ -81,9 +81,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]],
                 found[i] = selected[i]
                 del pending[i]
             else:  # the sketch was off: start again from the whole column with a finer one
-                target = pending[i]
-                target.low = target.high = None
-                target.inside = target.count
+                pending[i].forget_bracket()
         accuracy *= 4
 
     answers: dict[str, list[float | None]] = {c: [] for c in wanted}
@@ -136,18 +134,15 @@ def _narrow(values: DataFrame, targets: list[_Target], accuracy: int, ordered_va
         expressions = []
         for i, t in enumerate(targets):
             value = F.col(t.column)
-            below = value < F.lit(t.low) if t.low is not None else F.lit(False)
-            expressions += [
-                F.count_if(below).alias(f"below{i}"),
-                F.count(F.when(t.contains(value), value)).alias(f"inside{i}"),
-            ]
+            expressions += [F.count_if(value < F.lit(t.low)).alias(f"below{i}"),
+                            F.count_if(t.contains(value)).alias(f"inside{i}")]
         counts = values.agg(*expressions).first()
         sketches = []
         for i, t in enumerate(targets):
             below, inside = counts[f"below{i}"], counts[f"inside{i}"]
             first, last = (r - below for r in t.ranks)
             if first < 0 or last >= inside:  # missed: the next sketch covers the whole column
-                t.low = t.high = None
+                t.forget_bracket()
                 first, last, inside = *t.ranks, t.count
             t.inside = int(inside * 8.0 / accuracy) + 2
             value = F.col(t.column)
@@ -161,33 +156,48 @@ def _narrow(values: DataFrame, targets: list[_Target], accuracy: int, ordered_va
 
 
 def _select(values: DataFrame, targets: dict[int, _Target]) -> dict[int, tuple[float, float]]:
-    """The values at the wanted ranks, for every target whose bracket holds them.
-
-    Rows below a bracket collapse into one null key, so a single count serves as their rank offset.
-    """
-    entries = []
-    for i, t in targets.items():
-        value = F.col(t.column)
-        upper = value <= F.lit(t.high) if t.high is not None else value.isNotNull()
-        key = F.when(value >= F.lit(t.low), value) if t.low is not None else value
-        entries.append(F.when(upper, F.struct(F.lit(i).alias("target"), key.alias("value"))))
-    low_rank = F.create_map(*[F.lit(x) for i, t in targets.items() for x in (i, t.ranks[0])])
-    high_rank = F.create_map(*[F.lit(x) for i, t in targets.items() for x in (i, t.ranks[1])])
-    ordered = W.partitionBy("target").orderBy(F.col("value").asc_nulls_first())
-    rows = (
-        values.select(F.explode(F.array_compact(F.array(*entries))).alias("entry"))
-        .groupBy("entry.target", "entry.value").agg(F.count("*").alias("rows"))
-        .withColumn("through", F.sum("rows").over(ordered))
-        .filter((F.col("through") > low_rank[F.col("target")])
-                & (F.col("through") - F.col("rows") <= high_rank[F.col("target")]))
-        .select("target", "value", "through")
-        .collect()  # at most three rows per target
-    )
+    """The values at the wanted ranks, for every target whose bracket holds them."""
+    columns = sorted({t.column for t in targets.values()})
+    picked = [_rows_at_ranks(values, c, [t for t in targets.values() if t.column == c])
+              for c in columns]
+    rows = reduce(DataFrame.unionByName, picked).collect()  # at most two rows per target
     found = {}
     for i, t in targets.items():
-        mine = sorted((r for r in rows if r["target"] == i), key=lambda r: r["through"])
-        if not mine or mine[0]["value"] is None or mine[-1]["through"] <= t.ranks[1]:
-            continue
-        at = [next(r["value"] for r in mine if r["through"] > rank) for rank in t.ranks]
-        found[i] = (at[0], at[1])
+        mine = [r for r in rows if r["column"] == t.column]
+        at = [next(r["value"] for r in mine if r["through"] - r["rows"] <= rank < r["through"])
+              for rank in t.ranks]
+        if None not in at:
+            found[i] = (at[0], at[1])
     return found
+
+
+def _rows_at_ranks(values: DataFrame, column: str, targets: list[_Target]) -> DataFrame:
+    """``column, value, rows, through``: the distinct values that cover the wanted ranks.
+
+    The brackets cut the number line into regions. Inside a bracket every distinct value is counted, and
+    all rows of the region between two brackets share one null value, so the counts in order are
+    exact ranks and yet few. A rank that falls outside the brackets comes back as null.
+    """
+    brackets: list[list[float]] = []
+    for low, high in sorted((t.low, t.high) for t in targets):
+        if brackets and low <= brackets[-1][1]:
+            brackets[-1][1] = max(high, brackets[-1][1])
+        else:
+            brackets.append([low, high])
+    value = F.col(column)
+    region = None
+    for i, (low, high) in enumerate(brackets):
+        region = (F if region is None else region).when(value < F.lit(low), 2 * i)
+        region = region.when(value <= F.lit(high), 2 * i + 1)
+    region = region.otherwise(2 * len(brackets))
+    counted = (
+        values.filter(value.isNotNull())
+        .select(region.alias("region"), value.alias("value"))
+        .select("region", F.when(F.col("region") % 2 == 1, F.col("value")).alias("value"))
+        .groupBy("region", "value").agg(F.count("*").alias("rows")))
+    through = F.sum("rows").over(W.orderBy("region", "value"))
+    ranked = counted.withColumn("through", through)
+    wanted = sorted({rank for t in targets for rank in t.ranks})
+    covers = reduce(lambda a, b: a | b, [
+        (F.col("through") > rank) & (F.col("through") - F.col("rows") <= rank) for rank in wanted])
+    return ranked.filter(covers).select(F.lit(column).alias("column"), "value", "rows", "through")
