@@ -66,10 +66,16 @@ class TrainingMatrix:
 
 
 def prepare_training_data(df: DataFrame, target: str = "quantity", spec: SeriesSpec = WEEKLY,
-                          strict_features: bool = False,
-                          max_categories: int = MAX_CATEGORIES) -> TrainingMatrix:
-    """Rows with a target, as vectors in chronological order."""
-    known = stage(drop_missing_target(df, target), "training-rows")
+                          strict_features: bool = False, max_categories: int = MAX_CATEGORIES,
+                          stored: bool = False) -> TrainingMatrix:
+    """Rows with a target, as vectors in chronological order.
+
+    ``stored`` says that ``df`` is read straight from a table. Any other frame is staged first, because
+    it is read several times here.
+    """
+    known = drop_missing_target(df, target)
+    if not stored:
+        known = stage(known, "training-rows")
     plan = plan_matrix(known, target, strict_features, max_categories)
     preparation = matrix_stages(plan, max_categories).fit(known)
     numbered = weekly_ordinal(known, spec)
@@ -100,11 +106,11 @@ def evaluate_model(estimator, rows: DataFrame, total: int, cv: int = 5) -> DataF
 def train_model(df: DataFrame, target: str = "quantity", model_type: str = "lightgbm", cv: int = 5,
                 test_size: float = 0.2, n_estimators: int | None = None,
                 strict_features: bool = False, spec: SeriesSpec = WEEKLY,
-                max_categories: int = MAX_CATEGORIES) -> TrainingResult:
+                max_categories: int = MAX_CATEGORIES, stored: bool = False) -> TrainingResult:
     """Cross-validate on the training part, measure on the rest, then fit on all rows."""
     estimator = initialize_model(model_type, n_estimators, max_categories)
     ensure_checkpoint_dir(df.sparkSession)
-    matrix = prepare_training_data(df, target, spec, strict_features, max_categories)
+    matrix = prepare_training_data(df, target, spec, strict_features, max_categories, stored)
     train_end = int(matrix.total * (1 - test_size))
     train = matrix.rows.filter(F.col(ORDINAL) <= train_end)
     test = matrix.rows.filter(F.col(ORDINAL) > train_end)

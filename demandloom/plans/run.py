@@ -62,15 +62,14 @@ def run_forecast(tables: RetailTables, folder: str, year: int | None = 2022,
     features = spark.read.parquet(f"{folder}/feature_data.parquet")
 
     training = train_model(features, model_type=model_type, cv=cv_folds,
-                           n_estimators=n_estimators)
+                           n_estimators=n_estimators, stored=True)
     model_path = save_model(training.model, f"{folder}/models/{model_type}_sales_forecast")
     path = write_forecast_csv(generate_forecast(training.model, features, forecast_weeks),
                               f"{folder}/predictions")
+    key = {"bigint": "long"}.get(dict(features.dtypes)[STORE], "string")
+    item = {"bigint": "long"}.get(dict(features.dtypes)[PRODUCT], "string")
     forecast = (spark.read.option("sep", ";").option("header", True)
-                .schema("semana int, pdv long, produto long, quantidade long").csv(path)
-                if dict(features.dtypes)[STORE] == "bigint"
-                else spark.read.option("sep", ";").option("header", True)
-                .schema("semana int, pdv string, produto string, quantidade long").csv(path))
+                .schema(f"semana int, pdv {key}, produto {item}, quantidade long").csv(path))
     tables_out = {}
     if reports:
         tables_out = sales_reports(sales, stores, products)

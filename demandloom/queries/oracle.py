@@ -26,6 +26,8 @@ tx AS (
   JOIN supplier ON l_suppkey = s_suppkey
 )"""
 
+SPARSE = TX.replace("s_nationkey", "l_suppkey").replace("substr(p_brand, 7)", "l_partkey")
+
 STORES = """
 stores AS (
   SELECT CAST(n_nationkey AS BIGINT) AS pdv,
@@ -398,6 +400,11 @@ ORACLE: dict[str, str] = {
     "lags": f"WITH {LAGGED} SELECT {GRAIN}, quantity, {', '.join(LAG_NAMES)} FROM lagged",
     "rolling": f"WITH {W} SELECT {GRAIN}, {roll_columns()} FROM w",
     "rolling_before": f"WITH {W} SELECT {GRAIN}, {roll_columns(before=True)} FROM w",
+    "weekly_rollup_sparse": f"""WITH {SPARSE}, {rollup('w', 'tx')} SELECT {GRAIN}, {MEASURE_COLUMNS},
+        round(is_weekend, 6) AS is_weekend FROM w""",
+    "rolling_sparse": f"""WITH {SPARSE}, {rollup('w', 'tx')} SELECT {GRAIN}, quantity,
+        {', '.join(f'lag(quantity, {k}) OVER s AS quantity_lag_{k}' for k in (1, 2, 3, 4))},
+        {roll_columns()} FROM w {SERIES}""",
     "lags_long_series": """SELECT event_id, event_type, value, lag(value, 1) OVER s AS value_lag_1,
         lag(value, 2) OVER s AS value_lag_2, lag(value, 3) OVER s AS value_lag_3,
         lag(value, 4) OVER s AS value_lag_4 FROM events

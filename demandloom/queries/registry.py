@@ -277,6 +277,25 @@ def rolling_before(spark, folder):
     return rounded(made.select(*GRAIN, *[c for c in made.columns if "_roll_" in c]))
 
 
+def _sparse_weekly(spark, folder):
+    """Supplier by part: very many series of very few weeks."""
+    sales = clean.add_calendar(transactions(spark, folder, grain="sparse"))
+    return weekly.weekly_rollup(sales, digits=DIGITS)
+
+
+@query
+def weekly_rollup_sparse(spark, folder):
+    return rounded(_sparse_weekly(spark, folder))
+
+
+@query
+def rolling_sparse(spark, folder):
+    lagged = weekly.create_lag_features(_sparse_weekly(spark, folder), PAIR, order_by=ORDER)
+    made = weekly.create_rolling_features(lagged, PAIR, order_by=ORDER)
+    return rounded(made.select(*GRAIN, "quantity", *[f"quantity_lag_{k}" for k in (1, 2, 3, 4)],
+                               *[c for c in made.columns if "_roll_" in c]))
+
+
 @query
 def lags_long_series(spark, folder):
     """A few event types hold all rows, so each series is spread over many tasks."""
@@ -422,7 +441,8 @@ def run_summary(spark, folder):
 
 def _trained(spark, folder, model_type):
     features = stage(features_of_year(spark, folder), "features")
-    return train_model(features, model_type=model_type, cv=2, n_estimators=TREES), features
+    trained = train_model(features, model_type=model_type, cv=2, n_estimators=TREES, stored=True)
+    return trained, features
 
 
 @query
@@ -449,8 +469,7 @@ def training_metrics(spark, folder):
 
 @query
 def importance(spark, folder):
-    features = stage(features_of_year(spark, folder), "features")
-    trained = train_model(features, cv=2, n_estimators=TREES)
+    trained, _ = _trained(spark, folder, "lightgbm")
     return reports.top_features(feature_importance(trained.model))
 
 
