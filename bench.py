@@ -14,7 +14,8 @@ from demandloom.queries import QUERIES
 from demandloom.session import local_session
 
 HEADLINE = (
-    "clean_transactions", "quantiles", "star_join", "weekly_rollup", "lags", "rolling",
+    "clean_transactions", "quantiles", "star_join", "weekly_rollup",
+    "weekly_lags_and_ratios", "lags", "rolling",
     "lags_long_series", "weekly_features", "category_apply", "time_split", "time_folds",
     "fold_summary", "horizon_features", "forecast_units", "forecast", "trend_weekly",
     "top_categories", "seasonality_week", "forecast_vs_actual", "correlation", "correlation_weekly",

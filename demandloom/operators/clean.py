@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,20 +15,27 @@ TRIM_LOW, TRIM_HIGH = 0.001, 0.999
 
 
 def parse_dates(df: DataFrame, columns=("transaction_date", "reference_date"),
-                lenient: bool = False) -> DataFrame:
+                lenient: bool = False, pattern: str | None = None) -> DataFrame:
     """Text dates become timestamps; typed ones are left alone so scans can still push filters.
 
-    Text that is no date raises, or becomes null when ``lenient``.
+    ISO text is expected unless a ``pattern`` is given. Text that is no date raises, or becomes null when
+    ``lenient``.
     """
     types = dict(df.dtypes)
     for name in columns:
         if types.get(name) == "string":
-            parsed = (F.try_to_timestamp(F.col(name)) if lenient
-                      else F.col(name).cast("timestamp_ntz"))
-            df = df.withColumn(name, parsed.cast("timestamp_ntz"))
+            df = df.withColumn(name, _timestamp(F.col(name), lenient, pattern))
     return df
 
 
+def _timestamp(text: Column, lenient: bool, pattern: str | None) -> Column:
+    if pattern is None:
+        return text.try_cast("timestamp_ntz") if lenient else text.cast("timestamp_ntz")
+    if lenient:
+        return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+    return F.to_timestamp_ntz(text, F.lit(pattern))
+
+
 def add_calendar(df: DataFrame, date_col: str = "transaction_date",
                  week_year: str = "calendar") -> DataFrame:
     return df.withColumns(calendar_columns(F.col(date_col), week_year))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -63,7 +64,8 @@ def run_forecast(tables: RetailTables, folder: str, year: int | None = 2022,
 
     training = train_model(features, model_type=model_type, cv=cv_folds,
                            n_estimators=n_estimators, stored=True)
-    model_path = save_model(training.model, f"{folder}/models/{model_type}_sales_forecast")
+    model_path = save_model(
+        training.model, f"{folder}/models/{model_type}_sales_forecast_{int(time.time())}")
     path = write_forecast_csv(generate_forecast(training.model, features, forecast_weeks),
                               f"{folder}/predictions")
     key = {"bigint": "long"}.get(dict(features.dtypes)[STORE], "string")

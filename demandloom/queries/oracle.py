@@ -391,6 +391,11 @@ ORACLE: dict[str, str] = {
     "star_join_inner": f"WITH {TX}, {STORES}, {PRODUCTS} {JOINED.format(how='INNER')}",
     "weekly_rollup": f"""WITH {W} SELECT {GRAIN}, {MEASURE_COLUMNS},
         round(is_weekend, 6) AS is_weekend FROM w""",
+    "weekly_lags_and_ratios": f"""WITH {TX}, {KEPT}, {rollup('w', 'kept')},
+        r AS (SELECT *, {RATIO_COLUMNS} FROM w)
+        SELECT {GRAIN}, {MEASURE_COLUMNS}, round(is_weekend, 6) AS is_weekend, {RATIOS_FINAL},
+        lag(quantity, 1) OVER s AS quantity_lag_1, lag(quantity, 12) OVER s AS quantity_lag_12
+        FROM r {SERIES}""",
     "weekly_rollup_iso_year": f"""WITH {TX}, {rollup('w', 'tx', 'isoyear(transaction_date)')}
         SELECT {GRAIN}, {MEASURE_COLUMNS}, round(is_weekend, 6) AS is_weekend FROM w""",
     "weekly_attributes": f"""WITH {W}, {STORES}, {PRODUCTS}

@@ -244,6 +244,14 @@ def weekly_rollup(spark, folder):
     return rounded(weekly_all_years(spark, folder))
 
 
+@query
+def weekly_lags_and_ratios(spark, folder):
+    """One year of weekly sums with two lags and the ratios."""
+    sales = clean.add_calendar(clean.filter_year(transactions(spark, folder), YEAR))
+    made = clean.add_ratios(weekly.weekly_rollup(sales, digits=DIGITS))
+    return rounded(weekly.create_lag_features(made, PAIR, lags=(1, 12), order_by=ORDER))
+
+
 @query
 def weekly_rollup_iso_year(spark, folder):
     sales = clean.add_calendar(transactions(spark, folder), week_year="iso")

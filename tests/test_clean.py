@@ -60,11 +60,18 @@ def test_text_dates(spark):
     assert parsed.first()["transaction_date"] == D(2022, 3, 4)
     bad = spark.createDataFrame([("not a date", "2022-03-01")],
                                 "transaction_date string, reference_date string")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE|cannot be"):
         clean.parse_dates(bad).collect()
     assert clean.parse_dates(bad, lenient=True).first()["transaction_date"] is None
 
 
+def test_text_dates_with_a_pattern(spark):
+    df = spark.createDataFrame([("04/03/2022",)], "transaction_date string")
+    for lenient in (False, True):
+        parsed = clean.parse_dates(df, lenient=lenient, pattern="dd/MM/yyyy")
+        assert parsed.first()["transaction_date"] == D(2022, 3, 4)
+
+
 def test_year_filter_drops_null_dates(spark):
     df = dates(spark, (2021, 12, 31, 23, 59), (2022, 1, 1), (2022, 12, 31, 23, 59), (2023, 1, 1),
                None)

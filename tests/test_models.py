@@ -6,9 +6,10 @@ from demandloom.models import (feature_importance, generate_forecast, initialize
                                save_model, train_model)
 from demandloom.models.matrix import matrix_stages, plan_matrix
 from demandloom.models.train import prepare_training_data
-from demandloom.operators.clean import select_sales
+from demandloom.operators.clean import (numeric_columns, preprocess_pdv, preprocess_products,
+                                        select_sales)
+from demandloom.operators.distribution import correlation_matrix
 from demandloom.plans.features import create_features, weekly_series
-from demandloom.operators.clean import preprocess_pdv, preprocess_products
 from demandloom.sources import stage
 from demandloom.sources.tpch_retail import retail_tables
 from demandloom.spec import PRODUCT, STORE
@@ -104,6 +105,17 @@ def test_saved_model_scores_the_same(features, trained, tmp_path):
     assert first == second
 
 
+def test_correlation_of_all_features_equals_pandas(features):
+    made = correlation_matrix(features).collect()
+    numbers = features.select(numeric_columns(features)).toPandas()
+    expected = numbers.corr().fillna(0.0)
+    assert len(made) == len(expected) * (len(expected) - 1) // 2
+    for r in made:
+        known = expected.loc[r["col_a"], r["col_b"]]
+        if abs(abs(known) - 0.1) > 1e-6:
+            assert r["r"] == pytest.approx(known if abs(known) >= 0.1 else 0.0, abs=1e-6)
+
+
 def test_weekly_series_shares_one_sort(spark):
     tables = retail_tables(spark, SMALL)
     plan = weekly_series(tables.transactions.selectExpr(

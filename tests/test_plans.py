@@ -19,7 +19,9 @@ def test_whole_run(spark, tmp_path):
                  "reports/categoria_pdv_distribution", "reports/seasonal_pattern",
                  "reports/feature_importance"):
         assert (tmp_path / f"{name}.parquet" / "_SUCCESS").exists(), name
-    assert (tmp_path / "models" / "random_forest_sales_forecast").is_dir()
+    (saved,) = (tmp_path / "models").iterdir()
+    assert saved.name.startswith("random_forest_sales_forecast_")
+    assert result.model_path.endswith(saved.name)
     assert result.reports["feature_importance"].count() == 20
     assert sum(r["total"] for r in result.reports["sales_trend"].collect()) == pytest.approx(
         spark.read.parquet(f"{tmp_path}/transactions_processed.parquet")
