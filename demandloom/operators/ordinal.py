@@ -1,22 +1,25 @@
 """Row numbers, time-ordered splits and folds, without sorting everything in one task.
 
 The position of a row is the number of rows in earlier groups plus its rank inside its own group. Groups
-nest (week, then store within the week), so every window runs over one small group: weeks are bounded
-by the calendar, stores of a week are counted before they are ordered, and the rows of one store and
-week are at most its products.
+nest (week, store within the week, range of products within the store), so every window runs over one
+small group: weeks are bounded by the calendar, stores and ranges are counted before they are ordered,
+and one range holds at most ``KEY_RANGE`` products, however many rows a single store has.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..spec import WEEKLY, SeriesSpec
 
 ORDINAL, TOTAL = "ordinal", "total_rows"
+# Consecutive whole-number keys that one task may order.
+KEY_RANGE = 65_536
 
 
 def in_order(columns) -> list:
@@ -62,10 +65,21 @@ def with_ordinal(df: DataFrame, levels: list[list[str]], within: tuple[str, ...]
         *df.columns, (F.col("_rank") + F.col("_offset")).cast("long").alias(ordinal), total)
 
 
+def key_range(df: DataFrame, key: str) -> Column | None:
+    """An order-preserving coarse level for a whole-number key, or nothing for other types."""
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        return None
+    return F.floor(F.col(key) / F.lit(KEY_RANGE))
+
+
 def weekly_ordinal(df: DataFrame, spec: SeriesSpec = WEEKLY) -> DataFrame:
     """Chronological position of weekly rows; rows of one week follow the series keys."""
     levels = [list(spec.order_by), *[[key] for key in spec.keys]]
-    return with_ordinal(df, levels)
+    coarse = key_range(df, spec.keys[-1])
+    if coarse is None:
+        return with_ordinal(df, levels)
+    levels.insert(-1, ["_range"])
+    return with_ordinal(df.withColumn("_range", coarse), levels).drop("_range")
 
 
 def train_rows(total, test_size: float):

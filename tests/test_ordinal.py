@@ -27,6 +27,23 @@ def test_ordinal_equals_a_global_sort(spark):
     assert {r["total_rows"] for r in found} == {len(keys)}
 
 
+def test_ordinal_over_ranges_of_products(spark, monkeypatch):
+    monkeypatch.setattr(ordinal, "KEY_RANGE", 10)
+    keys = [(7, p - 60, 2022, w) for p in range(200) for w in (1, 2)]
+    df = spark.createDataFrame([(*k, 1.0) for k in keys], WEEK)
+    made = ordinal.weekly_ordinal(df)
+    assert made.columns == [*df.columns, "ordinal", "total_rows"]
+    expected = {k: i + 1 for i, k in enumerate(sorted(keys, key=lambda k: (k[3], k[1])))}
+    assert {tuple(r)[:4]: r["ordinal"] for r in made.collect()} == expected
+
+
+def test_ordinal_of_text_keys(spark):
+    df = spark.createDataFrame([("b", "z", 1, 1), ("a", "y", 1, 1), ("a", "x", 1, 1)],
+                               f"{STORE} string, {PRODUCT} string, year int, week int")
+    found = {tuple(r)[:2]: r["ordinal"] for r in ordinal.weekly_ordinal(df).collect()}
+    assert found == {("a", "x"): 1, ("a", "y"): 2, ("b", "z"): 3}
+
+
 def test_ordinal_keeps_rows_with_nulls(spark):
     df = spark.createDataFrame([(None, 1, 2022, 1, 1.0), (1, None, 2022, 1, 2.0),
                                 (1, 1, None, 1, 3.0), (1, 1, 2022, 1, 4.0)], WEEK)

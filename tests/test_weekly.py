@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from demandloom.operators import star, weekly
+from demandloom.operators import ordinal, star, weekly
 from demandloom.operators.blocks import over_long_series
 from demandloom.operators.weekly import lag_expressions, rolling_expressions
 from demandloom.spec import PRODUCT, STORE, SeriesSpec
@@ -94,8 +94,10 @@ def test_rolling_fills_columns_already_there(spark):
     assert row["other_roll_max"] == 0.0
 
 
-def test_blocks_equal_plain_windows(spark):
-    """Tiny blocks, one hot series, null keys, null dates and repeated minutes."""
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "midnight"])
+def test_blocks_equal_plain_windows(spark, kind, monkeypatch):
+    """Tiny blocks and ranges, one hot series, null keys, null dates and repeated minutes."""
+    monkeypatch.setattr(ordinal, "KEY_RANGE", 50)
     rng = np.random.default_rng(3)
     start = dt.datetime(2022, 1, 1)
     rows = []
@@ -104,6 +106,10 @@ def test_blocks_equal_plain_windows(spark):
         at = None if i % 50 == 0 else start + dt.timedelta(seconds=int(rng.integers(0, 200_000)))
         rows.append((i, key, at, float(rng.integers(0, 100))))
     df = spark.createDataFrame(rows, "id int, k string, at timestamp_ntz, quantity double")
+    if kind == "midnight":
+        df = df.withColumn("at", df["at"].cast("date").cast("timestamp_ntz"))
+    else:
+        df = df.withColumn("at", df["at"].cast(kind))
     spec = SeriesSpec(("k",), ("at", "id"))
 
     def columns(window=None):
@@ -127,6 +133,11 @@ def test_long_series_through_the_public_functions(spark, rows):
         assert rows(plain) == rows(spread, *plain.columns)
     with pytest.raises(ValueError, match="more than one column"):
         weekly.create_lag_features(df, ["k"], order_by=("week",), long_series=True)
+    daily = df.selectExpr("k", "date_add(date '2022-01-01', 9 * year + week) as transaction_date",
+                          "quantity")
+    plain = weekly.create_lag_features(daily, ["k"])
+    spread = weekly.create_lag_features(daily, ["k"], long_series=True)
+    assert rows(plain) == rows(spread, *plain.columns)
 
 
 def test_last_observation_looks_at_the_year_first(spark):
