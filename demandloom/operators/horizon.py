@@ -23,21 +23,18 @@ def generate_forecast_features(features: DataFrame, forecast_weeks: int = 5,
     moves to the next year. Lags up to the step look back on the last observed value; all other
     features are carried forward.
     """
-    newest = F.max(F.struct("year", "week")).alias("newest")
-    last_week = features.agg(newest).select("newest.*")
-    max_year = last_week.select("year").scalar()
-    max_week = last_week.select("week").scalar()
-
+    # Year and week as one number: the latest year, and the latest week in it.
+    newest = features.agg(F.max(F.col("year") * 100 + F.col("week"))).scalar()
+    max_year = F.floor(F.col("_newest") / 100).cast("int")
+    max_week = F.pmod(F.col("_newest"), 100)
     step = F.col("semana")
     latest = last_observation(features, spec).withColumns({
         "semana": F.explode(F.sequence(F.lit(1), F.lit(forecast_weeks))),
-        "_max_year": max_year,
-        "_max_week": max_week,
+        "_newest": newest,
     })
-    turned = F.pmod(F.col("_max_week") + step, F.lit(WEEKS_PER_YEAR))
+    turned = F.pmod(max_week + step, F.lit(WEEKS_PER_YEAR))
     week = F.when(turned == 0, WEEKS_PER_YEAR).otherwise(turned).cast("int")
-    year = F.when(F.col("week") > F.col("_max_week"), F.col("_max_year")).otherwise(
-        F.col("_max_year") + 1).cast("int")
+    year = F.when(F.col("week") > max_week, max_year).otherwise(max_year + 1).cast("int")
     value = F.col(spec.target)
     lags = {}
     for k in HORIZON_LAGS:
