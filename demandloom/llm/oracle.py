@@ -58,6 +58,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+NGRAM_JACCARD = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(
+           coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, list_distinct(CASE
+           WHEN len(w) = 0 THEN []
+           WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM split),
+entries AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM shingled),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM entries a JOIN entries b USING (g) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM shingled
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT doc_id, len(s) AS n_shingles, component_id FROM shingled
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
 CHAT_FORMAT = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -78,5 +100,6 @@ FROM escaped GROUP BY conv_id
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op3_quality_rules": QUALITY_RULES,
+    "op5_ngram_jaccard": NGRAM_JACCARD,
     "op9_chat_format": CHAT_FORMAT,
 }

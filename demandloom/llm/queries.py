@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, host_quality, url_filter
+from . import chat, fingerprint, host_quality, jaccard, packing, piece_bpe, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,11 +30,26 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, rules).drop("url")
 
 
+def op2_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.compare_in_order(table(spark, folder, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "source")
     return host_quality.apply_quality_rules(documents, carry=("doc_id",)).drop("host_rejected")
 
 
+def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents"))
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(table(spark, folder, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 # A conversation whose texts hold control strings.
 CONTROL_CONVERSATION = (
     (-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"))
@@ -55,8 +71,17 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
+def op10_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_bpe.digest_table(table(spark, folder, "documents"),
+                                  public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op2_fingerprint": op2_fingerprint,
     "op3_quality_rules": op3_quality_rules,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_packing": op6_packing,
     "op9_chat_format": op9_chat_format,
+    "op10_piece_bpe": op10_piece_bpe,
 }
