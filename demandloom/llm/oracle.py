@@ -80,6 +80,25 @@ SELECT doc_id, len(s) AS n_shingles, component_id FROM shingled
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
+WARC = r"""
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS p FROM pages),
+digests AS (
+  SELECT page_id, octet_length(p) AS payload_bytes, sha1(p) AS hex FROM payloads),
+bits AS (  -- five hex digits are four base-32 digits
+  SELECT hex, string_agg(d, '' ORDER BY i, k) AS base32 FROM (
+    SELECT hex, i, k, substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                             ((('0x' || substr(hex, 5 * i + 1, 5))::BIGINT >> (15 - 5 * k)) & 31)::INT + 1, 1) AS d
+    FROM (SELECT DISTINCT hex FROM digests), range(8) r(i), range(4) q(k))
+  GROUP BY hex),
+ranked AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first FROM digests)
+SELECT page_id, payload_bytes, base32 AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM ranked JOIN bits USING (hex)
+"""
+
 CHAT_FORMAT = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -101,5 +120,6 @@ ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op3_quality_rules": QUALITY_RULES,
     "op5_ngram_jaccard": NGRAM_JACCARD,
+    "op8_warc": WARC,
     "op9_chat_format": CHAT_FORMAT,
 }

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprint, host_quality, jaccard, packing, piece_bpe, url_filter
+from . import (
+    chat, cotrain, fingerprint, host_quality, jaccard, language, packing, piece_bpe, url_filter, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,14 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return host_quality.apply_quality_rules(documents, carry=("doc_id",)).drop("host_rejected")
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = cotrain.fit(documents, table(spark, folder, "labels"))
+    scores = cotrain.scores(model, F.col("text"), F.col("source"), F.col("lang"))
+    return (documents.select("doc_id", scores.alias("s")).select("doc_id", "s.*")
+            .withColumn("kept", cotrain.kept(F.col("score"))))
+
+
 def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, folder, "documents"))
 
@@ -50,6 +60,20 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    vocabulary = public_tokenizers.path("piece_bpe_32k.model")
+    found = language.identify(documents, language.learn(documents, vocabulary), vocabulary)
+    return found.withColumn("held_out", language.held_out(F.col("doc_id")))
+
+
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.read_archives(warc.write_archives(table(spark, folder, "pages")))
+    return records.filter(F.col("kind") == "record").select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
 # A conversation whose texts hold control strings.
 CONTROL_CONVERSATION = (
     (-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"))
@@ -80,8 +104,11 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_fingerprint": op2_fingerprint,
     "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
+    "op7_language": op7_language,
+    "op8_warc": op8_warc,
     "op9_chat_format": op9_chat_format,
     "op10_piece_bpe": op10_piece_bpe,
 }
