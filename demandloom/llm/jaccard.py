@@ -5,10 +5,11 @@ Its product with its own transpose holds the overlap of any two classes; with th
 their Jaccard similarity. Columns are dealt into blocks by Spark's shuffle, every block multiplies its
 own columns, and partial overlaps are added up per pair.
 
-Bounds that follow from the sizes keep the product sparse. Two classes can only be similar enough if they
-share one of the first columns of each, in one order of all columns, and if their sizes are close; so
-only those leading columns are multiplied, frequent columns coming last in the order. A pair whose overlap
-there cannot grow to what its sizes ask for is discarded; what remains is counted over all shingles.
+Bounds that follow from the sizes keep the product sparse. Sizes ``n`` and ``m`` ask for an overlap of at
+least ``k = similar (n + m) / (100 + similar)``. In one order of all columns, frequent ones last, a pair
+with that overlap shares at least ``s`` of the first ``n - k + s`` and ``m - k + s`` columns of its rows;
+only those leading columns are multiplied, and pairs whose counts there stay below ``s`` are discarded.
+The overlap of what remains is counted over all shingles.
 
 Big groups of near copies would still make all their pairs. Components make most of them needless: in a
 first product every column only meets its most central row, and pairs that are connected afterwards are
@@ -19,10 +20,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,13 +35,22 @@ from .components import components
 SHINGLE_WORDS = 5
 # Similarity in percent from which two documents are linked.
 SIMILAR = 80
+# Leading columns that a pair has to share, at least.
+SHARED = 4
 # Frequent columns that every task is told, so it can put them last. More of them cost nothing but
 # memory, fewer only make the product larger: any order of the columns gives the same links.
 FREQUENT_COLUMNS = 1 << 17
-# Shingles that one task counts together, and words whose hashes one worker remembers.
-COUNT_BATCH, MEMORY_WORDS = 1 << 21, 500_000
-MULTIPLY, SPREAD = np.uint64(0x9E3779B97F4A7C17), np.uint64(0xD6E8FEB86659FD93)
-_remembered: dict[bytes, int] = {}
+# Shingles that one task counts together.
+COUNT_BATCH = 1 << 21
+# Bits of the filter that spares most texts from being cut again; a full one spares none.
+FILTER_BITS = 24
+# Bytes of a text that are hashed together.
+PART_BYTES = 1 << 20
+SPACE = re.compile(rb"[ \t-\r]")
+BASE, MULTIPLY, SPREAD = 0x9E3779B97F4A7C15, np.uint64(0xD1342543DE82EF95), np.uint64(0xD6E8FEB86659FD93)
+BACK = pow(BASE, -1, 1 << 64)
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -48,17 +58,51 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_remembered) > MEMORY_WORDS:
-        _remembered.clear()
-    known = _remembered
-    out = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            h = known[w] = xxhash.xxh64_intdigest(w)
-        out[i] = h
-    return out
+def _letter_codes() -> np.ndarray:
+    """A 64-bit number per byte, the same for A-Z and a-z."""
+    codes = _mix(_mix(np.arange(1, 257, dtype=np.uint64) * MULTIPLY))
+    codes[65:91] = codes[97:123]
+    return codes
+
+
+_CODES = _letter_codes()
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers_up_to(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse; two tables per worker, as long as the longest part."""
+    if len(_powers[0]) < size:
+        for i, base in enumerate((BASE, BACK)):
+            powers = np.full(max(size, 1 << 16), base, np.uint64)
+            powers[0] = 1
+            _powers[i] = np.multiply.accumulate(powers)
+    return _powers
+
+
+def _hash_part(part: bytes) -> np.ndarray:
+    """Hashes of the words of some bytes: polynomials of their letters, from sums over all bytes."""
+    letters = np.frombuffer(part, np.uint8)
+    inside = np.zeros(len(letters) + 2, bool)
+    inside[1:-1] = ~_IS_SPACE[letters]
+    starts = np.flatnonzero(inside[1:] & ~inside[:-1])
+    ends = np.flatnonzero(inside[:-1] & ~inside[1:])
+    powers, back = _powers_up_to(len(letters) + 1)
+    sums = np.zeros(len(letters) + 1, np.uint64)
+    np.cumsum(_CODES[letters] * powers[:len(letters)], out=sums[1:])
+    return _mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of every word, in order; long texts are cut at white space."""
+    parts, at = [], 0
+    while at < len(text):
+        end = len(text)
+        if end - at > PART_BYTES:
+            gap = SPACE.search(text, at + PART_BYTES)
+            end = gap.end() if gap else end
+        parts.append(_hash_part(text[at:end]))
+        at = end
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
 def shingles(text: bytes | None, size: int = SHINGLE_WORDS) -> np.ndarray:
@@ -67,16 +111,14 @@ def shingles(text: bytes | None, size: int = SHINGLE_WORDS) -> np.ndarray:
     A-Z are lower-cased, words end at ASCII white space. Fewer words than ``size`` make one shingle, no
     words none. Two of ``n`` different shingles share a hash with a probability of about ``n**2 / 2**65``.
     """
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = word_hashes(words)
-    size = min(size, len(words))
-    runs = len(words) - size + 1
-    with np.errstate(over="ignore"):
-        rolled = _mix(h[:runs] + np.uint64(size))
-        for k in range(1, size):
-            rolled = _mix(rolled * MULTIPLY + h[k:runs + k])
+    h = word_hashes(text or b"")
+    if not len(h):
+        return h
+    size = min(size, len(h))
+    runs = len(h) - size + 1
+    rolled = _mix(h[:runs] + np.uint64(size))
+    for k in range(1, size):
+        rolled = _mix(rolled * MULTIPLY + h[k:runs + k])
     return np.unique(rolled)
 
 
@@ -126,7 +168,10 @@ def _frequent_columns(texts: DataFrame, bits: int, size: int) -> DataFrame:
 
 
 def _incidence(documents: DataFrame, frequent, bits: int, similar: int, size: int) -> DataFrame:
-    """Per document its set's size and digest, how off-centre it is, and its leading columns."""
+    """Per document its set's size and digest, how off-centre it is, and its leading columns in order.
+
+    ``lost`` counts leading shingles whose column stands in the list already.
+    """
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         often, counts = frequent.value
         for name, text in rows:
@@ -138,8 +183,9 @@ def _incidence(documents: DataFrame, frequent, bits: int, similar: int, size: in
             if len(often):
                 at = np.searchsorted(often, column).clip(max=len(often) - 1)
                 weight = np.where(often[at] == column, counts[at], 0)
-            lead = n - needed_overlap(n, similar) + 1 if n else 0
-            leading = np.unique(column[np.lexsort((column, weight))[:lead]])
+            lead = min(n, n - needed_overlap(n, similar) + SHARED)
+            ordered = column[np.lexsort((column, weight))[:lead]]
+            leading = ordered[np.append(True, ordered[1:] != ordered[:-1])] if n else ordered
             rare = int(1000 * np.count_nonzero(weight == 0) / n) if n else 0
             yield name, n, digest, rare, lead - len(leading), leading
 
@@ -147,30 +193,76 @@ def _incidence(documents: DataFrame, frequent, bits: int, similar: int, size: in
                     "leading array<long>")
 
 
-def _close_sizes(n: Column, m: Column, similar: int) -> Column:
-    return 100 * F.least(n, m) >= similar * F.greatest(n, m)
+def _filter_of(wanted: DataFrame) -> np.ndarray:
+    """A bit per hash of a wanted document, built in Spark; its size does not depend on the data."""
+    h = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS)
+    words = (wanted.select(F.shiftright(h, 6).alias("word"), F.expr("1L").alias("one"), h.alias("h"))
+             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, cast(h & 63 as int))")).alias("bits")))
+    out = np.zeros(1 << FILTER_BITS - 6, np.int64)
+    found = words.toPandas()
+    out[found["word"].to_numpy(int)] = found["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)
 
 
 def _whole_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """The sets of all wanted documents, and of a few others that the filter lets through."""
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(_filter_of(wanted))
+
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for name, text in rows:
-            yield name, shingles(text, size).astype(np.int64)
+        wanted_bits = shared.value
+        for name, h, text in rows:
+            if h is not None and int(wanted_bits[h >> 6]) >> (h & 63) & 1:
+                yield name, shingles(text, size).astype(np.int64)
+
+    hashed = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS)
+    named = documents.filter("doc_id is not null").select("doc_id", hashed.alias("h"), "text")
+    return stage(map_rows(named, work, "doc_id long, hashes array<long>"), "shingle-sets")
+
+
+def _asked(n: Column, m: Column, similar: int) -> Column:
+    """The overlap that two sizes ask for."""
+    return F.ceil(similar * (n + m) / F.lit(100 + similar))
+
+
+def _shared(n: Column, m: Column, similar: int) -> Column:
+    return F.least(F.lit(SHARED), _asked(n, m, similar))
 
-    return map_rows(documents.join(wanted, "doc_id", "left_semi").select("doc_id", "text"), work,
-                    "doc_id long, hashes array<long>")
 
+def _may_meet(similar: int) -> Column:
+    """Sizes are close, and the column leads both rows as seen from the other's size."""
+    n, m = F.col("n_a"), F.col("n_b")
+    spare = _shared(n, m, similar) - _asked(n, m, similar)
+    return ((100 * F.least(n, m) >= similar * F.greatest(n, m))
+            & (F.col("pos_a") < n + spare) & (F.col("pos_b") < m + spare))
 
-def _linked(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+
+def _counted(met: DataFrame, similar: int) -> DataFrame:
+    """Partial overlaps added up per pair; pairs that share too few leading columns are discarded."""
+    partial = met.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(
+        F.count("*").alias("o"), *[F.first(c).alias(c) for c in ("n_a", "n_b", "lost_a", "lost_b")])
+    enough = F.col("o") + F.col("lost_a") + F.col("lost_b") >= _shared(F.col("n_a"), F.col("n_b"), similar)
+    return partial.filter(enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _linked(pairs: DataFrame, documents: DataFrame, similar: int, size: int) -> DataFrame:
     """Pairs ``a, b`` whose whole sets are similar enough."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = _whole_sets(documents, ends, size)
+
     def side(name: str) -> DataFrame:
         return sets.select(F.col("doc_id").alias(name), F.col("hashes").alias(f"set_{name}"))
 
-    met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
     overlap = F.size(F.array_intersect("set_a", "set_b"))
     met = met.select("a", "b", overlap.alias("o"), (F.size("set_a") + F.size("set_b")).alias("both"))
     return met.filter(100 * F.col("o") >= similar * (F.col("both") - F.col("o"))).select("a", "b").distinct()
 
 
+def _sided(side: str, columns) -> list:
+    return [F.col(c).alias(f"{c}_{side}") for c in columns]
+
+
 def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "text",
                       similar: int = SIMILAR, size: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row; links are similarities of ``similar`` percent.
@@ -192,39 +284,31 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     classes = (incidence.filter("n > 0 and doc_id is not null").groupBy("digest")
                .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("rare").alias("rare"),
                     F.first("lost").alias("lost"), F.first("leading").alias("leading")))
+    row = ("rep", "n", "lost", "pos")
     column = W.partitionBy("col")
-    centre = F.struct("rare", "rep", "n")
-    entries = (classes.select(F.explode("leading").alias("col"), "rep", "n", "rare", "lost")
-               .withColumns({"rows": F.count("*").over(column), "centre": F.min(centre).over(column)})
-               .filter("rows > 1"))
-    entries = stage(entries.select("col", "rep", "n", "lost", F.col("centre.rep").alias("centre"),
-                                   F.col("centre.n").alias("centre_n")), "shared-columns")
-    sets = stage(_whole_sets(as_bytes, entries.select(F.col("rep").alias("doc_id")).distinct(), size),
-                 "shingle-sets")
-
-    stars = (entries.filter(F.col("rep") != F.col("centre"))
-             .filter(_close_sizes(F.col("n"), F.col("centre_n"), similar))
-             .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
-    first = stage(_linked(stars, sets, similar), "star-links")
+    # A column holds a class once, so it is never more than one row per class long.
+    entries = classes.select("rep", "n", "rare", "lost", F.posexplode("leading").alias("pos", "col"))
+    entries = entries.withColumns({
+        "rows": F.count("*").over(column),
+        "centre": F.min(F.struct("rare", *row)).over(column)}).filter("rows > 1")
+    entries = stage(entries.select("col", *row, "centre"), "shared-columns")
+
+    stars = (entries.filter(F.col("rep") != F.col("centre.rep"))
+             .select(*_sided("a", row), *[F.col(f"centre.{c}").alias(f"{c}_b") for c in row]))
+    stars = stage(_counted(stars.filter(_may_meet(similar)), similar), "star-pairs")
+    first = stage(_linked(stars, as_bytes, similar, size), "star-links")
     labels = components(first)
 
-    known = (entries.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-             .withColumn("label", F.coalesce("label", "rep"))
-             .select("col", "rep", "n", "lost", "label"))
+    # Columns whose rows are not connected yet, and in them all pairs that are not.
+    known = (entries.select("col", *row).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+             .withColumn("label", F.coalesce("label", "rep")))
     split = known.groupBy("col").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_columns = stage(known.join(split.select("col"), "col", "left_semi"), "open-columns")
-    left = open_columns.select("col", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "lost", "label")])
-    right = open_columns.select("col", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "lost", "label")])
-    met = left.join(right, "col").filter("rep_a < rep_b and label_a <> label_b").filter(
-        _close_sizes(F.col("n_a"), F.col("n_b"), similar))
-    partial = met.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "n_a", "n_b", "lost_a", "lost_b").agg(
-        F.count("*").alias("o"))
-    # What lies behind the leading columns can add no more than this to the overlap.
-    behind = F.ceil(similar * F.greatest("n_a", "n_b") / 100) - 1
-    asked = F.ceil(F.lit(similar) * (F.col("n_a") + F.col("n_b")) / (100 + similar))
-    pairs = stage(partial.filter(F.col("o") + F.col("lost_a") + F.col("lost_b") + behind >= asked), "pairs")
-    second = _linked(pairs, sets, similar)
-    found = components(first.unionByName(second))
+    known = stage(known.join(split.select("col"), "col", "left_semi"), "open-columns")
+    row = (*row, "label")
+    met = (known.select("col", *_sided("a", row)).join(known.select("col", *_sided("b", row)), "col")
+           .filter("rep_a < rep_b and label_a <> label_b").filter(_may_meet(similar)))
+    pairs = stage(_counted(met, similar), "pairs")
+    found = components(first.unionByName(_linked(pairs, as_bytes, similar, size)))
 
     labelled = (classes.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("digest", F.coalesce("label", "rep").alias("component_id")))
