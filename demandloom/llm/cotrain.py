@@ -31,15 +31,19 @@ ROUNDS = 3
 # How sure a view must be to mark a document, and the score from which documents are kept.
 SURE, KEEP = 0.98, 0.5
 TEXT_SIZE, PAGE_SIZE = 1 << 18, 1 << 12
-# Words seen in fewer documents of the sample carry no weight.
-LEAST_DOCUMENTS = 3
+# Words take part if their share in good and bad documents differs by this much (a likelihood ratio;
+# 15 happens by chance to about one word in 10,000); what is known of a page always does.
+TEXT_EVIDENCE, PAGE_EVIDENCE = 15.0, 0.0
 MEMORY_WORDS = 300_000
+# Starts of words that are features besides the words, in characters.
+STARTS = (4, 5)
 TOKENS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
 
 
 def text_tokens(text: str) -> set[str]:
-    """The distinct lower-cased words, numbers and runs of marks of a text."""
-    return set(TOKENS.findall(text.lower()))
+    """The distinct lower-cased words, numbers and runs of marks of a text, and how words start."""
+    words = set(TOKENS.findall(text.lower()))
+    return words | {f"{w[:n]}~" for n in STARTS for w in words if len(w) > n}
 
 
 def _slot(token: str, size: int) -> int:
@@ -86,13 +90,16 @@ class View:
 
 @dataclass
 class Model:
+    """Both views. A document is bad if its words or its page are, so the more doubtful view decides."""
+
     text: View
     page: View
-    prior: float
+    slope: float = 1.0
+    offset: float = 0.0
 
     def odds(self, text_sums, page_sums):
-        """Log odds of both views, the prior counted once."""
-        return self.text.odds(text_sums) + self.page.odds(page_sums) - self.prior
+        doubtful = np.minimum(self.text.odds(text_sums), self.page.odds(page_sums))
+        return self.slope * doubtful + self.offset
 
 
 class Rows:
@@ -104,6 +111,13 @@ class Rows:
         self.owner = np.repeat(np.arange(len(rows)), self.lengths)
         self.size = size
 
+    def only(self, used: np.ndarray) -> Rows:
+        """The same rows without the other features."""
+        kept = Rows([], self.size)
+        here = used[self.columns]
+        kept.lengths, kept.columns, kept.owner = self.lengths, self.columns[here], self.owner[here]
+        return kept
+
     def sums(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.owner, weights[self.columns], minlength=len(self.lengths))
 
@@ -115,38 +129,73 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_view(rows: list, good: np.ndarray, size: int, steps: int = 120, decay: float = 1e-3) -> View:
-    """Logistic regression on features scaled by how much more often they occur in one class."""
+def _evidence(in_good: np.ndarray, in_bad: np.ndarray, good: float, bad: float) -> np.ndarray:
+    """Likelihood ratio of each feature: is its share of bad documents that of all documents?"""
+    both = np.maximum(in_good + in_bad, 1e-9)
+    share = bad / (good + bad)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = 2 * (np.where(in_bad > 0, in_bad * np.log(in_bad / (both * share)), 0)
+                     + np.where(in_good > 0, in_good * np.log(in_good / (both * (1 - share))), 0))
+    return ratio
+
+
+def fit_view(rows: list, good: np.ndarray, size: int, least: float, steps: int = 150,
+             decay: float = 0.02) -> View:
+    """Logistic regression on the features with enough evidence, both classes weighing the same.
+
+    Where evidence is asked for, it has to be evidence of bad documents: long texts collect many words
+    that are a little more frequent in good ones, and these would outvote a few bad words.
+    """
     data, good = Rows(rows, size), good.astype(float)
     in_good, in_bad = data.spread(good), data.spread(1 - good)
-    scale = np.log((in_good + 1) / (good.sum() + 2)) - np.log((in_bad + 1) / ((1 - good).sum() + 2))
-    scale = np.abs(scale) * (in_good + in_bad >= min(LEAST_DOCUMENTS, len(rows)))
+    used = (in_good + in_bad > 0) & (_evidence(in_good, in_bad, good.sum(), (1 - good).sum()) >= least)
+    if least:
+        used &= in_bad * good.sum() > in_good * (1 - good).sum()
+    data = data.only(used)
     weights, bias = np.zeros(size), 0.0
     balance = np.where(good > 0, 0.5 / max(1, good.sum()), 0.5 / max(1, (1 - good).sum()))
     mean, square = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, steps + 1):
-        miss = (_sigmoid(data.sums(weights * scale) + bias) - good) * balance
-        slope = np.append(data.spread(miss) * scale + decay * weights / len(rows), miss.sum())
+        miss = (_sigmoid(data.sums(weights) + bias) - good) * balance
+        slope = np.append(data.spread(miss) + decay / len(rows) * weights, miss.sum())
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope ** 2
         move = 0.1 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-9)
         weights, bias = weights - move[:-1], bias - move[-1]
-    return View(weights * scale, float(bias))
+    return View(weights, float(bias))
 
 
-def calibrate(view: View, rows: list, good: np.ndarray) -> View:
-    """Slope and offset that make the sums log odds, by Newton steps with a weak prior on both."""
-    if not len(rows) or good.min() == good.max():
-        return view
-    z = Rows(rows, len(view.weights)).sums(view.weights) + view.bias
-    x = np.stack([z, np.ones_like(z)], 1)
-    line, prior, ridge = np.array([1.0, 0.0]), np.array([1.0, 0.0]), np.array([1.0, 1e-3])
-    for _ in range(30):
+def _line(z: np.ndarray, good: np.ndarray) -> tuple[float, float]:
+    """Slope and offset that make sums ``z`` log odds: Newton steps, halved until they help.
+
+    Targets are drawn in a little from 0 and 1, so sums that separate all examples stay finite.
+    """
+    if not len(z) or good.min() == good.max():
+        return 1.0, 0.0
+    middle, width = z.mean(), z.std() + 1e-9
+    x = np.stack([(z - middle) / width, np.ones_like(z)], 1)
+    wanted = np.where(good, (good.sum() + 1) / (good.sum() + 2), 1 / ((~good).sum() + 2))
+
+    def loss(line):
+        odds = x @ line
+        return (np.logaddexp(0, odds) - wanted * odds).sum() + 1e-3 * (line ** 2).sum()
+
+    line = np.array([1.0, 0.0])
+    for _ in range(50):
         p = _sigmoid(x @ line)
-        slope = x.T @ (p - good) + ridge * (line - prior)
-        line = line - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), slope)
-    if not np.isfinite(line).all() or line[0] <= 0:
-        return view
-    return View(view.weights, view.bias, float(line[0]), float(line[1]))
+        slope = x.T @ (p - wanted) + 2e-3 * line
+        move = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 2e-3 * np.eye(2), slope)
+        step = 1.0
+        while step > 1e-4 and loss(line - step * move) > loss(line):
+            step /= 2
+        line = line - step * move
+    if line[0] <= 0:
+        return 1.0, 0.0
+    return float(line[0] / width), float(line[1] - line[0] * middle / width)
+
+
+def calibrate(view: View, rows: list, good: np.ndarray) -> View:
+    sums = Rows(rows, len(view.weights)).sums(view.weights) + view.bias
+    return View(view.weights, view.bias, *_line(sums, good))
 
 
 def _surest(odds: np.ndarray, sure: float, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,13 +219,13 @@ def co_train(examples: list[tuple], pool: list[tuple], rounds: int = ROUNDS, sur
     if not len(labels) or labels.min() == labels.max():
         return None
     test = np.array([e[2] for e in aside], bool)
-    sizes, views = (TEXT_SIZE, PAGE_SIZE), [None, None]
+    sizes, least, views = (TEXT_SIZE, PAGE_SIZE), (TEXT_EVIDENCE, PAGE_EVIDENCE), [None, None]
     extra: list[dict[int, bool]] = [{}, {}]
     for turn in range(rounds + 1):
         for v in (0, 1):
             rows = [e[v] for e in kept] + [pool[i][v] for i in extra[v]]
             good = np.concatenate([labels, np.array(list(extra[v].values()), bool)])
-            views[v] = calibrate(fit_view(rows, good, sizes[v]), [e[v] for e in aside], test)
+            views[v] = calibrate(fit_view(rows, good, sizes[v], least[v]), [e[v] for e in aside], test)
         if turn == rounds or not pool:
             break
         for v in (0, 1):
@@ -184,8 +233,10 @@ def co_train(examples: list[tuple], pool: list[tuple], rounds: int = ROUNDS, sur
             good, bad = _surest(odds, sure, marked * (turn + 1))
             # What one view is sure about becomes an example of the other.
             extra[1 - v] = {int(i): True for i in good} | {int(i): False for i in bad}
-    share = min(max(labels.mean(), 1e-3), 1 - 1e-3)
-    return Model(views[0], views[1], math.log(share / (1 - share)))
+    model = Model(*views)
+    sums = [Rows([e[v] for e in aside], sizes[v]).sums(views[v].weights) for v in (0, 1)]
+    model.slope, model.offset = _line(model.odds(*sums), test)
+    return model
 
 
 def _features(documents: DataFrame, extra: list[str]) -> DataFrame:
