@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import host_quality
+from demandloom.llm import cotrain, host_quality, jaccard, packing
 from demandloom.sources.staging import stage
 
 
@@ -13,7 +14,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return host_quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among them, takes for good."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return cotrain.keep_good(docs, cotrain.fit(docs, labels))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard.keep_one_of_each(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of powers of two, one row per piece with its tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [("quality_rules", quality_rules), ("quality_classifier", quality_classifier),
+          ("near_duplicates", near_duplicates), ("packing", pack)]
 
 # The classifier is trained, which SQL can't express; the tests hold the run against brute force.
 ORACLE_SQL = None

@@ -268,8 +268,9 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     """``doc_id, n_shingles, component_id`` of every row; links are similarities of ``similar`` percent.
 
     ``component_id`` is the smallest document reachable by links, the document itself included. Null or
-    empty texts, and those without words, are linked with nothing. Rows of one id count as one document;
-    rows without an id are linked with nothing and have no component. An empty table gives no rows.
+    empty texts, and those without words, are linked with nothing. Repeated rows are linked like other
+    copies; rows of one id with different texts each get the component of their own text. Rows without an
+    id are linked with nothing and have no component. An empty table gives no rows.
     """
     texts = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     as_bytes = texts.select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -316,3 +317,18 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
             .join(labelled, "digest", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
                 "component_id", "doc_id")).alias("component_id")))
+
+
+def keep_one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text",
+                     similar: int = SIMILAR) -> DataFrame:
+    """One document of every component, the one with the smallest id, with all its columns.
+
+    Of several rows with one id one stays, if any of them names its own component. Rows without an id are
+    linked with nothing and all stay.
+    """
+    found = similar_documents(documents, key, text, similar)
+    away = (found.filter("doc_id is not null").groupBy(F.col("doc_id").alias(key))
+            .agg(F.every(F.col("component_id") < F.col("doc_id")).alias("away")).filter("away").select(key))
+    named = documents.filter(F.col(key).isNotNull())
+    return (named.join(away, key, "left_anti").dropDuplicates([key]).select(*documents.columns)
+            .unionByName(documents.filter(F.col(key).isNull())))

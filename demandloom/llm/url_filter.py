@@ -133,7 +133,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
               .withColumn("key", F.concat("rule_host", F.lit(CUT), "path")))
     probes = stage(probes.drop("rule_host"), "url-probes")
     hits = (sweep(probes.select("key").distinct(), rule_paths, blocks).filter(F.size("stack") > 0)
-            .select("key", F.element_at("stack", -1).alias("rule_key")))
+            .select("key", F.try_element_at("stack", F.lit(-1)).alias("rule_key")))
     wanted = clean.select(F.col("key").alias("rule_key"), F.struct(
         (F.length("host") + F.length("path")).alias("size"), F.length("host").alias("host_size"),
         F.concat("host", "path").alias("rule"), "verdict").alias("fit"))
