@@ -14,6 +14,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -23,7 +24,9 @@ from ._tables import map_rows
 
 MARK = "▁"
 # Words that one Python worker remembers twice over (lately and before), and the longest of them.
-MEMORY_WORDS, MEMORY_CHARS = 500_000, 40
+MEMORY_WORDS, MEMORY_CHARS = 300_000, 40
+# New words that are given to the library together.
+CHECK_WORDS = 8192
 # Kinds of pieces in the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -51,16 +54,18 @@ class PieceEncoder:
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
         self.words = re.compile(self._word_pattern(), re.DOTALL)
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.young: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.old: dict[str, tuple[tuple[int, ...], str]] = {}
 
     def _word_pattern(self) -> str:
-        """Pieces of text between which no merge is possible."""
+        """Pieces of text between which no merge is possible, as far as the vocabulary allows."""
         if any(MARK in p.lstrip(MARK) for p in self.number):
             return ".+"
-        if any("\n" in p and p != "\n" for p in self.number):
-            return f"{MARK}*[^{MARK}]+|{MARK}+"
-        return f"\n|{MARK}*[^{MARK}\n]+|{MARK}+"
+        latin = "A-Za-zÀ-ÖØ-öø-ɏ"
+        apart = re.compile(f"{MARK}*[{latin}]+|{MARK}*[^{MARK}{latin}]+|{MARK}+")
+        if all(apart.fullmatch(p) for p in self.number):
+            return apart.pattern
+        return f"{MARK}*[^{MARK}]+|{MARK}+"
 
     def merge(self, word: str) -> list[str]:
         """The pieces of one word, by an agenda of adjacent pairs.
@@ -108,26 +113,33 @@ class PieceEncoder:
                 out.append(self.unknown)
         return tuple(out)
 
-    def encode(self, text: str, new: dict[str, tuple[int, ...]] | None = None) -> list[int]:
-        """Ids of a whole text; words that were not in memory are noted in ``new``."""
+    def words_of(self, text: str, new: dict[str, tuple[int, ...]] | None = None) -> list[tuple]:
+        """The words of a whole text as ``(ids, the same printed with commas)``.
+
+        Words that were not in memory are noted in ``new``.
+        """
         if not text:
             return []
         young, out = self.young, []
         for word in self.words.findall((self.prefix + text).replace(" ", MARK)):
-            found = young.get(word)
-            if found is None:
-                found = self.old.get(word)
-                if found is None:
-                    found = self.ids(word)
+            entry = young.get(word)
+            if entry is None:
+                entry = self.old.get(word)
+                if entry is None:
+                    ids = self.ids(word)
+                    entry = (ids, ",".join(map(str, ids)))
                     if new is not None:
-                        new[word] = found
+                        new[word] = ids
                 if len(word) <= MEMORY_CHARS:
-                    young[word] = found
-            out.extend(found)
+                    young[word] = entry
+            out.append(entry)
         if len(young) >= MEMORY_WORDS:
             self.old, self.young = young, {}
         return out
 
+    def encode(self, text: str) -> list[int]:
+        return [i for ids, _ in self.words_of(text) for i in ids]
+
     def decode(self, ids: Iterable[int]) -> str:
         return self.library.decode(list(ids))
 
@@ -147,6 +159,19 @@ def encoder_of(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def _encoded(rows: Iterator[tuple], path: str, check: bool) -> Iterator[tuple]:
+    """``key, words, ids`` of every row; new words go through the library in batches."""
+    encoder = encoder_of(path)
+    new: dict[str, tuple[int, ...]] = {}
+    for name, value in rows:
+        words = encoder.words_of(value or "", new if check else None)
+        if len(new) >= CHECK_WORDS:
+            encoder.check(new)
+            new.clear()
+        yield name, words, list(chain.from_iterable([ids for ids, _ in words]))
+    encoder.check(new)
+
+
 def encode_table(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                  check: bool = True) -> DataFrame:
     """``key``, the ids of every whole text and the text decoded from them.
@@ -156,29 +181,25 @@ def encode_table(documents: DataFrame, path: str, key: str = "doc_id", text: str
     encoded by the library, and a difference is an error.
     """
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        encoder = encoder_of(path)
-        new: dict[str, tuple[int, ...]] = {}
-        for name, value in rows:
-            ids = encoder.encode(value or "", new if check else None)
-            if len(new) >= 4096:
-                encoder.check(new)
-                new.clear()
-            yield name, ids, encoder.decode(ids)
-        encoder.check(new)
+        decode = encoder_of(path).decode
+        for name, _, ids in _encoded(rows, path, check):
+            yield name, ids, decode(ids)
 
     kind = documents.schema[key].dataType.simpleString()
     return map_rows(documents.select(key, text), work,
                     f"`{key}` {kind}, ids array<int>, decoded string")
 
 
-def digest_table(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document the number of ids and digests of ids and decoded text, made where the ids are."""
+def digest_table(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text",
+                 check: bool = True) -> DataFrame:
+    """The same as digests: the number of ids, SHA-256 of their list and of the decoded text."""
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for name, ids, decoded in rows:
-            listed = ",".join(map(str, ids)).encode()
+        decode = encoder_of(path).decode
+        for name, words, ids in _encoded(rows, path, check):
+            listed = ",".join([printed for _, printed in words]).encode()
             yield (name, len(ids), hashlib.sha256(listed).hexdigest(),
-                   hashlib.sha256(decoded.encode()).hexdigest())
+                   hashlib.sha256(decode(ids).encode()).hexdigest())
 
     kind = documents.schema[key].dataType.simpleString()
-    return map_rows(encode_table(documents, path, key, text), work,
+    return map_rows(documents.select(key, text), work,
                     f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
