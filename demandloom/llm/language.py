@@ -202,7 +202,9 @@ def learn(documents: DataFrame, vocabulary: str, key: str = "doc_id", text: str
     if not languages:
         return [], np.zeros((0, 0)), np.zeros(0)
     part = F.pmod(F.xxhash64("_key", "_text"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = usable.join(totals, "lang").filter(part < per_language / F.col("n")).select("lang", "_text")
+    # As literals, so that no text is shuffled by language.
+    rates = F.create_map(*[F.lit(v) for name in languages for v in (name, per_language / shares[name])])
+    chosen = usable.filter(part < rates[F.col("lang")]).select("lang", "_text")
     words = stage(_word_counts(chosen), "language-words")
     pieces = Pieces(vocabulary)
     probabilities = np.full((pieces.size, len(languages)), 1 / pieces.size)
