@@ -171,6 +171,8 @@ def _parse(record: bytes, end: int | None) -> tuple:
         raise Damaged("no content length", end) from None
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise Damaged("wrong content length", end)
+    if not fields.get(b"warc-type") or not fields.get(b"warc-record-id"):
+        raise Damaged("no type or id", end)
     block = rest[:length]
     claimed = fields.get(b"warc-block-digest", "")
     if claimed.startswith("sha1:") and claimed[5:] != base32_digest(block):

@@ -1,0 +1,95 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from demandloom.llm import cotrain
+
+from .conftest import prose
+
+
+def corpus(n=600, labelled=400):
+    """Clean prose, prose with insults, and junk that only its layout gives away."""
+    pick, rows, labels = random.Random(5), [], []
+    for i in range(n):
+        text, kind = prose(i, 80 + i % 50), i % 6
+        if kind == 0:
+            words = text.split(" ")
+            for _ in range(4):
+                words[pick.randrange(len(words))] = pick.choice(["nasty", "vile", "rotten"])
+            text = " ".join(words)
+        elif kind == 1:
+            text = " ".join(w.upper() + "!!" for w in text.split())
+        rows.append((i, text, f"s{i % 4}"))
+        if i < labelled:
+            labels.append((i, int(kind != 1), int(kind == 0)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    rows, labels = corpus()
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, source string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    return docs, marks, cotrain.fit(docs, marks)
+
+
+def scored(docs, model):
+    made = docs.select("doc_id", cotrain.scores(model, F.col("text"), F.col("source"), F.col("lang")).alias("s"))
+    return made.select("doc_id", "s.*", cotrain.kept(F.col("s.score")).alias("kept"))
+
+
+def test_unlabelled_documents_are_told_apart(fitted):
+    docs, _, model = fitted
+    made = scored(docs.filter("doc_id >= 400"), model).toPandas()
+    kind = made["doc_id"] % 6
+    assert made["kept"][kind > 1].mean() > 0.97
+    assert made["kept"][kind <= 1].mean() < 0.1
+    # Words show the insults, the page shows the shouting.
+    assert (made["text_score"][kind == 0] < 0.5).mean() > 0.9 and (made["page_score"][kind == 1] < 0.5).mean() > 0.95
+
+
+def test_fit_does_not_depend_on_partitions(fitted):
+    docs, marks, model = fitted
+    again = cotrain.fit(docs.repartition(7), marks.repartition(3))
+    assert np.array_equal(again.text.weights, model.text.weights) and again.slope == model.slope
+
+
+def test_sure_marks_of_one_view_teach_the_other():
+    # Only the page tells the classes apart in the pool; its words are new to the text view.
+    good, bad = [([1], [1], True)] * 40, [([2], [2], False)] * 40
+    mixed = [e for pair in zip(good, bad, strict=True) for e in pair]
+    pool = [([7], [2])] * 60 + [([8], [1])] * 60
+    alone, taught = cotrain.co_train(mixed, []), cotrain.co_train(mixed, pool, sure=0.9)
+    assert alone.text.weights[7] == 0 and taught.text.weights[7] < -0.1
+
+
+def test_calibrated_odds_follow_the_labels():
+    rng = np.random.default_rng(1)
+    z = rng.normal(size=4000)
+    good = rng.random(4000) < 1 / (1 + np.exp(-(2 * z + 1)))
+    slope, offset = cotrain._line(5 * z - 3, good)
+    assert abs(slope * 5 - 2) < 0.3 and abs(offset - 3 * slope - 1) < 0.3
+    assert cotrain._line(z, good | True) == (1.0, 0.0)
+    assert np.isfinite(cotrain._line(z, z > 0)).all()
+
+
+def test_odd_rows_and_missing_labels(fitted, spark):
+    docs, marks, model = fitted
+    odd = spark.createDataFrame(
+        [(1, None, None, None), (2, "", "", ""), (3, "x " * 100_000, "s", "en"), (4, "🤗é\n" * 50, "s", None), (4, "a", "s", "en"),
+         (4, "a", "s", "en"), (None, "a", "s", "en")], docs.schema).withColumn("score", F.lit("clash"))
+    made = scored(odd, model).collect()
+    assert len(made) == 7 and all(0 <= r["score"] <= 1 for r in made)
+    scores = [r["score"] for r in made if r["doc_id"] == 4]
+    assert len(scores) == 3 and len(set(scores)) == 2  # two of the rows are the same
+    kept = cotrain.keep_good(odd, model)
+    assert kept.columns == odd.columns and kept.count() == sum(r["kept"] for r in made)
+    assert cotrain.keep_good(odd.limit(0), model).collect() == []
+    strange = spark.createDataFrame(
+        [(None, 1, 0), (1, None, None), (1, 1, None), (1, 0, 1), (99_999, 1, 0)], marks.schema)
+    for labels in (marks.limit(0), strange, marks.filter("quality = 1 and toxic = 0")):
+        none = cotrain.fit(docs, labels)
+        assert none is None
+        assert cotrain.keep_good(odd, none).count() == 7

@@ -1,0 +1,98 @@
+import itertools
+import math
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from demandloom.llm import language
+
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+PIECES = language.Pieces(VOCABULARY)
+
+
+def segmentations(word):
+    """Every way to cut a word into pieces, as lists of piece numbers."""
+    place = {p: i for i, p in enumerate(PIECES.pieces)}
+    for cuts in itertools.product((False, True), repeat=len(word) - 1):
+        parts, start = [], 0
+        for i, cut in enumerate((*cuts, True), 1):
+            if cut:
+                parts.append(word[start:i])
+                start = i
+        ids = [place.get(p, PIECES.unknown if len(p) == 1 else None) for p in parts]
+        if None not in ids:
+            yield ids
+
+
+@pytest.mark.parametrize("word", ["▁the", "▁königlich", "▁x", "▁日本", "▁ñandú", "▁aaaaaaaa"])
+def test_forward_sums_all_segmentations(word):
+    rng = np.random.default_rng(1)
+    chances = rng.dirichlet(np.ones(PIECES.size), 2).T
+    expected = [math.log(sum(math.prod(chances[i, c] for i in ids) for ids in segmentations(word))) for c in (0, 1)]
+    made = language.word_scores([word, "▁other"], PIECES, language._scaled(chances, PIECES))[0]
+    assert np.allclose(made, expected)
+
+
+def test_expected_counts_are_those_of_all_segmentations():
+    rng = np.random.default_rng(2)
+    chances = rng.dirichlet(np.ones(PIECES.size), 1).T
+    words, times = ["▁abend", "▁the", "▁straße"], np.array([2.0, 5.0, 1.0])
+    expected = np.zeros(PIECES.size)
+    for word, n in zip(words, times, strict=True):
+        ways = [(ids, math.prod(chances[i, 0] for i in ids)) for ids in segmentations(word)]
+        total = sum(p for _, p in ways)
+        for ids, p in ways:
+            np.add.at(expected, ids, n * p / total)
+    made = language.expected_counts(words, times, PIECES, language._scaled(chances, PIECES))
+    assert np.allclose(made, expected)
+
+
+def test_every_piece_is_found_by_its_hash():
+    for size in range(1, language.LONGEST_PIECE + 1):
+        pieces = [(i, p) for i, p in enumerate(PIECES.pieces) if len(p) == size]
+        if pieces:
+            assert PIECES.lattice([p for _, p in pieces])[size - 1][:, 0].tolist() == [i for i, _ in pieces]
+
+
+def test_held_out_accuracy_on_the_given_documents(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.learn(documents, VOCABULARY)
+    found = language.identify(documents, model, VOCABULARY).withColumn("held_out", language.held_out(F.col("doc_id")))
+    judged = found.join(documents.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
+    assert len(judged) > 150 and (judged["lang"] == judged["lang_pred"]).mean() > 0.98
+    flags = {r["doc_id"]: r["held_out"] for r in found.select("doc_id", "held_out").collect()}
+    assert flags == {k: zlib.crc32(str(k).encode()) % 4 == 2 for k in flags}
+
+
+TRAIN = [(i, "der hund und die katze schlafen nicht", "s", "de") for i in range(40)] + [
+    (100 + i, "the dog and the cat do not sleep", "s", "en") for i in range(40)]
+
+
+def test_odd_texts_get_a_defined_answer(documents, rows):
+    table = documents(TRAIN)
+    model = language.learn(table, VOCABULARY)
+    odd = documents([(1, None), (2, ""), (3, "123 !? ²_"), (4, "日本"), (5, "the " * 30_000), (6, "x" * 50_000), (None, "the dog"),
+                     (7, "THE DOG"), (7, "THE DOG"), (8, "é́")])
+    made = {r[0]: (r[1], r[2]) for r in rows(language.identify(odd, model, VOCABULARY))}
+    assert made[1] == made[2] == made[3] == ("und", 0.0)
+    assert made[5][0] == made[7][0] == made[None][0] == "en" and made[4][0] in ("de", "en")
+    assert all(0 <= s <= 1 for _, s in made.values())
+    assert language.identify(odd, model, VOCABULARY).count() == 10
+
+
+def test_held_out_rows_source_and_id_play_no_part(documents, rows):
+    base = documents(TRAIN)
+    out = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    misled = documents(TRAIN + [(i, "the dog and the cat", "s", "de") for i in out] + [(9, None, "s", "de"), (11, "x", "s", None)])
+    a, b = (language.learn(t, VOCABULARY) for t in (base, misled))
+    assert a[0] == b[0] and np.allclose(a[1], b[1])
+
+
+def test_empty_tables(documents):
+    empty = documents([])
+    model = language.learn(empty, VOCABULARY)
+    assert model[0] == [] and language.identify(empty, model, VOCABULARY).collect() == []
+    assert language.identify(documents([(1, "a")]), model, VOCABULARY).collect() == [(1, "und", 0.0)]
