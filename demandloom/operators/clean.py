@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import calendar_columns, finite, safe_ratio, time_feature_columns
+from ..sources.staging import stage
 from ..spec import UNKNOWN
 from .quantiles import approximate_quantiles, exact_medians, exact_quantiles
 
@@ -112,9 +113,13 @@ def select_sales(df: DataFrame, year: int | None = 2022, week_year: str = "calen
 
 def preprocess_transactions(df: DataFrame, year: int | None = 2022, week_year: str = "calendar",
                             approximate_trim: bool = False) -> DataFrame:
-    """Cleaned transactions of one year with calendar columns, return flag and filled ratios."""
+    """Cleaned transactions of one year with calendar columns, return flag and filled ratios.
+
+    The facts are scanned three times: twice for the trim bounds, once to write the rows that are kept;
+    the medians read only their two columns of these.
+    """
     sales = select_sales(df, year, week_year, approximate_trim)
-    return fill_ratios(add_ratios(sales))
+    return fill_ratios(stage(add_ratios(sales), "clean-transactions"))
 
 
 def preprocess_pdv(df: DataFrame) -> DataFrame:

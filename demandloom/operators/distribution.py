@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import finite
@@ -16,8 +16,8 @@ from .clean import numeric_columns
 from .quantiles import exact_medians
 
 GRID_POINTS = 200
-# Up to this many columns every pair gets its own aggregate expressions in one JVM-side pass.
-EXPRESSION_COLUMNS = 6
+# Distinct errors that one step of a density adds to the grid.
+DENSITY_STEP = 4096
 
 
 def errors(df: DataFrame, actual: str = "quantity", predicted: str = "prediction") -> DataFrame:
@@ -69,9 +69,9 @@ def error_density(df: DataFrame, actual: str = "quantity", predicted: str = "pre
                   points: int = GRID_POINTS, bins: int | None = None) -> DataFrame:
     """Gaussian kernel density of the errors at ``points`` equally spaced values.
 
-    The bandwidth follows Scott's rule. Equal errors are counted first; each distinct one then adds to
-    every grid point inside its own task and only per-point partial sums are shuffled. ``bins`` replaces
-    the errors by the centres of that many equal bins, which bounds the work for continuous errors.
+    The bandwidth follows Scott's rule. Every task adds its own errors to the grid, so one number per grid
+    point leaves it and no error is shuffled. ``bins`` replaces the errors by the centres of that many
+    equal bins, which bounds the work for continuous errors.
     """
     error = errors(df, actual, predicted)
     row = error.agg(F.count("*").alias("n"), F.stddev_samp("error").alias("s"),
@@ -81,22 +81,26 @@ def error_density(df: DataFrame, actual: str = "quantity", predicted: str = "pre
     low, high = row["low"], row["high"]
     bandwidth = row["s"] * row["n"] ** (-1 / 5)
     step = (high - low) / (points - 1)
-    centre = F.col("error")
     if bins:
         width = (high - low) / bins
         number = F.least(F.floor((F.col("error") - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
-        centre = F.lit(low) + (number + 0.5) * F.lit(width)
-    weights = error.groupBy(centre.alias("value")).agg(F.count("*").alias("weight"))
-    x = F.lit(low) + F.col("point") * F.lit(step)
-    z = (x - F.col("value")) / F.lit(bandwidth)
+        error = error.select((F.lit(low) + (number + 0.5) * F.lit(width)).alias("error"))
+
+    def masses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grid, mass = low + np.arange(points) * step, np.zeros(points)
+        for batch in batches:
+            values, counts = np.unique(batch["error"].to_numpy(), return_counts=True)
+            for start in range(0, len(values), DENSITY_STEP):
+                part = slice(start, start + DENSITY_STEP)
+                z = (grid[:, None] - values[None, part]) / bandwidth
+                mass += np.exp(-0.5 * z * z) @ counts[part]
+        yield pd.DataFrame({"point": np.arange(points, dtype="int32"), "mass": mass})
+
     scale = 1 / (row["n"] * bandwidth * math.sqrt(2 * math.pi))
-    return (
-        weights
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy("point")
-        .agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("_mass"))
-        .select("point", x.alias("x"), (F.col("_mass") * F.lit(scale)).alias("density"))
-    )
+    x = F.lit(low) + F.col("point") * F.lit(step)
+    return (error.mapInPandas(masses, "point int, mass double")
+            .groupBy("point").agg(F.sum("mass").alias("_mass"))
+            .select("point", x.alias("x"), (F.col("_mass") * F.lit(scale)).alias("density")))
 
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None,
@@ -110,60 +114,105 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None,
     if len(cols) < 2:
         raise ValueError("at least two numeric columns are needed")
     values = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols])
-    pairs = (_pairs_by_expression(values, cols) if len(cols) <= EXPRESSION_COLUMNS
-             else _pairs_by_moments(values, cols))
-    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce("r", F.lit(0.0))))
+    both = _co_moments(values, cols)
+    # The spread of a constant may come out as rounding noise: its range tells for sure.
+    varies = (F.col("low_a") < F.col("high_a")) & (F.col("low_b") < F.col("high_b"))
+    r = F.when(varies, F.try_divide(F.col("cab"), F.sqrt("maa") * F.sqrt("mbb")))
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce(r, F.lit(0.0))))
     shown = (F.abs(r) >= threshold) | (r == 1)
-    return pairs.select("col_a", "col_b", F.when(shown, r).otherwise(F.lit(0.0)).alias("r"))
-
-
-def _pairs_by_expression(values: DataFrame, cols: list[str]) -> DataFrame:
-    entries = []
-    for b, a in combinations(cols, 2):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        # The variance of a constant may come out as rounding noise: its range tells for sure.
-        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-        r = F.when(varies, F.try_divide(
-            F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
-        entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("r")))
-    return values.agg(F.array(*entries).alias("pairs")).select(F.inline("pairs"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return both.select(names[F.col("a")].alias("col_a"), names[F.col("b")].alias("col_b"),
+                       F.when(shown, r).otherwise(F.lit(0.0)).alias("r"))
 
 
-def _pairs_by_moments(values: DataFrame, cols: list[str]) -> DataFrame:
-    """Many columns: each task reduces its rows to k x k moment sums, which are then added up.
+class _CoMoments:
+    """Means, centred second moments and ranges of every pair, over the rows that have both values.
 
-    Values are shifted by a value from the middle of their column, which keeps the sums from
-    cancelling and makes a constant column exactly 0.
+    Every batch is centred on its own means before anything is squared, and batches are merged by their
+    means, so nothing cancels however far the values lie from zero or from each other.
     """
-    middle = values.agg(*[F.approx_percentile(c, 0.5, 100).alias(c) for c in cols]).first()
-    shift = np.array([middle[c] if middle[c] is not None else 0.0 for c in cols])
-    k = len(cols)
+
+    NAMES = ("n", "mean_a", "mean_b", "maa", "mbb", "cab", "low_a", "high_a", "low_b", "high_b")
+
+    def __init__(self, columns: int):
+        self.a, self.b = np.tril_indices(columns, -1)
+        pairs = len(self.a)
+        self.sums = {name: np.zeros(pairs) for name in self.NAMES}
+        for name in ("low_a", "low_b"):
+            self.sums[name][:] = np.inf
+        for name in ("high_a", "high_b"):
+            self.sums[name][:] = -np.inf
+
+    def add(self, x: np.ndarray) -> None:
+        there = ~np.isnan(x)
+        one = {name: np.empty(len(self.a)) for name in self.NAMES}
+        # Columns with the same gaps share their rows, so their pairs come from one matrix product.
+        _, kind = np.unique(np.packbits(there, axis=0), axis=1, return_inverse=True)
+        kind = np.ravel(kind)
+        for g in range(kind.max() + 1):
+            for h in range(g + 1):
+                pairs = np.flatnonzero(((kind[self.a] == g) & (kind[self.b] == h))
+                                       | ((kind[self.a] == h) & (kind[self.b] == g)))
+                if len(pairs):
+                    rows = there[:, kind == g][:, 0] & there[:, kind == h][:, 0]
+                    used = np.unique(np.concatenate([self.a[pairs], self.b[pairs]]))
+                    self._fill(one, pairs, x[np.ix_(rows, used)], used)
+        self._merge(one)
+
+    def _fill(self, one: dict, pairs: np.ndarray, x: np.ndarray, used: np.ndarray) -> None:
+        i, j = np.searchsorted(used, self.a[pairs]), np.searchsorted(used, self.b[pairs])
+        n = len(x)
+        mean = x.mean(0) if n else np.zeros(len(used))
+        centred = x - mean
+        products = centred.T @ centred
+        low, high = (x.min(0), x.max(0)) if n else (np.full(len(used), np.inf), np.full(len(used), -np.inf))
+        for name, value in zip(self.NAMES, (
+                np.full(len(pairs), float(n)), mean[i], mean[j], products[i, i], products[j, j],
+                products[i, j], low[i], high[i], low[j], high[j]), strict=True):
+            one[name][pairs] = value
+
+    def _merge(self, one: dict) -> None:
+        all_ = self.sums
+        n = all_["n"] + one["n"]
+        share = np.divide(one["n"], n, out=np.zeros_like(n), where=n > 0)
+        da, db = one["mean_a"] - all_["mean_a"], one["mean_b"] - all_["mean_b"]
+        weight = all_["n"] * share
+        for name, product in (("maa", da * da), ("mbb", db * db), ("cab", da * db)):
+            all_[name] += one[name] + weight * product
+        all_["mean_a"] += da * share
+        all_["mean_b"] += db * share
+        all_["n"] = n
+        for name in ("low_a", "low_b"):
+            all_[name] = np.minimum(all_[name], one[name])
+        for name in ("high_a", "high_b"):
+            all_[name] = np.maximum(all_[name], one[name])
+
+
+def _co_moments(values: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per pair; every task sends one row per pair, merged by their means after the shuffle."""
+    names, count = _CoMoments.NAMES, len(cols)
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((6, k, k))
+        held = _CoMoments(count)
         for batch in batches:
-            x = batch.to_numpy(dtype="float64") - shift
-            there = ~np.isnan(x)
-            x[~there] = 0.0
-            m = there.astype("float64")
-            squared = x * x
-            sums += np.stack([m.T @ m, x.T @ m, m.T @ x, squared.T @ m, m.T @ squared, x.T @ x])
-        a, b = np.tril_indices(k, -1)
-        yield pd.DataFrame({"a": a, "b": b, **{
-            name: sums[i][a, b] for i, name in enumerate(["n", "sa", "sb", "saa", "sbb", "sab"])}})
-
-    schema = ("a int, b int, n double, sa double, sb double, saa double, sbb double, sab double")
-    total = values.mapInPandas(moments, schema).groupBy("a", "b").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-
-    def spread(squares: str, plain: str) -> Column:
-        raw = F.col(squares) - F.try_divide(F.col(plain) * F.col(plain), F.col("n"))
-        # What is left of a constant is rounding noise.
-        return F.when(raw > F.col(squares) * 1e-13, raw)
-
-    covariance = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n"))
-    r = F.try_divide(covariance, F.sqrt(spread("saa", "sa")) * F.sqrt(spread("sbb", "sb")))
-    names = F.array(*[F.lit(c) for c in cols])
-    return total.select(names[F.col("a")].alias("col_a"), names[F.col("b")].alias("col_b"),
-                        r.alias("r"))
+            if len(batch):
+                held.add(batch.to_numpy(dtype="float64", na_value=np.nan))
+        yield pd.DataFrame({"a": held.a, "b": held.b, **held.sums})
+
+    schema = "a int, b int, " + ", ".join(f"{name} double" for name in names)
+    nothing = _CoMoments(count)  # so that an empty table has all its pairs
+    none = values.sparkSession.createDataFrame(pd.DataFrame(
+        {"a": nothing.a, "b": nothing.b, **nothing.sums}), schema)
+    parts = values.mapInPandas(moments, schema).unionByName(none)
+    pair = W.partitionBy("a", "b")
+    n = F.sum("n").over(pair)
+    parts = parts.withColumns({
+        f"to_{c}": F.col(f"mean_{c}") - F.try_divide(F.sum(F.col("n") * F.col(f"mean_{c}")).over(pair), n)
+        for c in ("a", "b")})
+
+    def merged(inner: str, x: str, y: str) -> Column:
+        return F.sum(F.col(inner) + F.coalesce(F.col("n") * F.col(f"to_{x}") * F.col(f"to_{y}"), F.lit(0.0)))
+
+    return parts.groupBy("a", "b").agg(
+        merged("maa", "a", "a").alias("maa"), merged("mbb", "b", "b").alias("mbb"), merged("cab", "a", "b").alias("cab"),
+        *[F.min(c).alias(c) for c in ("low_a", "low_b")], *[F.max(c).alias(c) for c in ("high_a", "high_b")])

@@ -22,8 +22,6 @@ SKETCH_ACCURACY = 10_000
 FINEST_SKETCH = 1_000_000
 # The most distinct values that one task may order.
 ORDERED_VALUES = 1_000_000
-# Columns this short are ordered whole: a bracket would save nothing.
-SHORT_COLUMN = 100_000
 
 
 @dataclass
@@ -63,8 +61,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]],
                     ordered_values: int = ORDERED_VALUES) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of numeric columns, missing values ignored.
 
-    Runs two aggregation jobs over the wanted columns for up to about 10^9 rows and two more for
-    every further factor of some thousand. A column without values yields ``None``.
+    Runs two aggregation jobs over the wanted columns, however many they are, for up to about 10^9 rows
+    and two more for every further factor of some thousand. A column without values yields ``None``.
     """
     targets = [_Target(c, p) for c, probabilities in wanted.items() for p in probabilities]
     values = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in wanted])
@@ -121,8 +119,8 @@ def _bracket_all(values: DataFrame, targets: list[_Target], accuracy: int) -> No
     for c in bounds:
         found = iter(row[f"b_{c}"] or [])
         for t in (t for t in targets if t.column == c):
-            t.count = t.inside = row[f"n_{c}"]
-            if t.count > SHORT_COLUMN:
+            t.count = row[f"n_{c}"]
+            if t.count:
                 t.low, t.high = next(found), next(found)
                 t.inside = int(t.count * 8.0 / accuracy) + 2
 
@@ -156,11 +154,22 @@ def _narrow(values: DataFrame, targets: list[_Target], accuracy: int, ordered_va
 
 
 def _select(values: DataFrame, targets: dict[int, _Target]) -> dict[int, tuple[float, float]]:
-    """The values at the wanted ranks, for every target whose bracket holds them."""
+    """The values at the wanted ranks, for every target whose bracket holds them, in one pass."""
     columns = sorted({t.column for t in targets.values()})
-    picked = [_rows_at_ranks(values, c, [t for t in targets.values() if t.column == c])
-              for c in columns]
-    rows = reduce(DataFrame.unionByName, picked).collect()  # at most two rows per target
+    picked = {c: [t for t in targets.values() if t.column == c] for c in columns}
+    entries = F.array(*[F.struct(
+        F.lit(c).alias("column"), _region(F.col(c), ts).alias("region"), F.col(c).alias("value"))
+        for c, ts in picked.items()])
+    counted = (
+        values.select(F.explode(entries).alias("entry")).select("entry.*").filter("value is not null")
+        .select("column", "region", F.when(F.col("region") % 2 == 1, F.col("value")).alias("value"))
+        .groupBy("column", "region", "value").agg(F.count("*").alias("rows")))
+    through = F.sum("rows").over(W.partitionBy("column").orderBy("region", "value"))
+    ranked = counted.withColumn("through", through)
+    covers = reduce(lambda a, b: a | b, [
+        (F.col("column") == c) & (F.col("through") > rank) & (F.col("through") - F.col("rows") <= rank)
+        for c, ts in picked.items() for rank in sorted({r for t in ts for r in t.ranks})])
+    rows = ranked.filter(covers).collect()  # at most two rows per target
     found = {}
     for i, t in targets.items():
         mine = [r for r in rows if r["column"] == t.column]
@@ -171,12 +180,12 @@ def _select(values: DataFrame, targets: dict[int, _Target]) -> dict[int, tuple[f
     return found
 
 
-def _rows_at_ranks(values: DataFrame, column: str, targets: list[_Target]) -> DataFrame:
-    """``column, value, rows, through``: the distinct values that cover the wanted ranks.
+def _region(value: Column, targets: list[_Target]) -> Column:
+    """The number of the region that a value of this column falls in.
 
-    The brackets cut the number line into regions. Inside a bracket every distinct value is counted, and
-    all rows of the region between two brackets share one null value, so the counts in order are
-    exact ranks and yet few. A rank that falls outside the brackets comes back as null.
+    The brackets cut the number line into regions; odd ones are brackets. Inside a bracket every distinct
+    value is counted, and all rows of the region between two brackets share one null value, so the counts
+    in order are exact ranks and yet few. A rank that falls outside the brackets comes back as null.
     """
     brackets: list[list[float]] = []
     for low, high in sorted((t.low, t.high) for t in targets):
@@ -184,20 +193,8 @@ def _rows_at_ranks(values: DataFrame, column: str, targets: list[_Target]) -> Da
             brackets[-1][1] = max(high, brackets[-1][1])
         else:
             brackets.append([low, high])
-    value = F.col(column)
     region = None
     for i, (low, high) in enumerate(brackets):
         region = (F if region is None else region).when(value < F.lit(low), 2 * i)
         region = region.when(value <= F.lit(high), 2 * i + 1)
-    region = region.otherwise(2 * len(brackets))
-    counted = (
-        values.filter(value.isNotNull())
-        .select(region.alias("region"), value.alias("value"))
-        .select("region", F.when(F.col("region") % 2 == 1, F.col("value")).alias("value"))
-        .groupBy("region", "value").agg(F.count("*").alias("rows")))
-    through = F.sum("rows").over(W.orderBy("region", "value"))
-    ranked = counted.withColumn("through", through)
-    wanted = sorted({rank for t in targets for rank in t.ranks})
-    covers = reduce(lambda a, b: a | b, [
-        (F.col("through") > rank) & (F.col("through") - F.col("rows") <= rank) for rank in wanted])
-    return ranked.filter(covers).select(F.lit(column).alias("column"), "value", "rows", "through")
+    return region.otherwise(2 * len(brackets))

@@ -68,9 +68,7 @@ def correlated(spark):
     return data, spark.createDataFrame(rows, "a double, b double, c double, flat double, big double")
 
 
-@pytest.mark.parametrize("expression_columns", [10, 0])
-def test_correlation_equals_pandas(spark, monkeypatch, expression_columns):
-    monkeypatch.setattr(d, "EXPRESSION_COLUMNS", expression_columns)
+def test_correlation_equals_pandas(spark):
     data, df = correlated(spark)
     expected = data.drop(columns="flat").corr()
     found = {(r["col_a"], r["col_b"]): r["r"] for r in
@@ -83,9 +81,7 @@ def test_correlation_equals_pandas(spark, monkeypatch, expression_columns):
             assert r == pytest.approx(expected.loc[a, b], abs=1e-6)
 
 
-@pytest.mark.parametrize("expression_columns", [10, 0])
-def test_correlation_threshold(spark, monkeypatch, expression_columns):
-    monkeypatch.setattr(d, "EXPRESSION_COLUMNS", expression_columns)
+def test_correlation_threshold(spark):
     df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, 4.0, -1.0), (3.0, 6.0, 1.0),
                                 (4.0, 8.0, -1.5)], "x double, y double, z double")
     weak = d.correlation_matrix(df, threshold=0.99).collect()
@@ -93,3 +89,29 @@ def test_correlation_threshold(spark, monkeypatch, expression_columns):
         ("y", "x"): pytest.approx(1.0), ("z", "x"): 0.0, ("z", "y"): 0.0}
     with pytest.raises(ValueError, match="two numeric"):
         d.correlation_matrix(df, ["x"])
+
+
+@pytest.mark.parametrize("columns", [2, 6, 7, 40])
+def test_correlation_does_not_depend_on_the_other_columns(spark, columns):
+    """A pair whose common rows lie far from the rest of both columns."""
+    rng = np.random.default_rng(6)
+    data = pd.DataFrame(rng.normal(size=(400, columns)), columns=[f"c{i}" for i in range(columns)])
+    data["c1"] = np.where(np.arange(400) % 4 == 0, rng.normal(size=400), np.nan)
+    data["c0"] = np.where(np.arange(400) % 4 == 0, 1e8 + data["c1"], rng.normal(size=400))
+    rows = [tuple(None if v != v else float(v) for v in r) for r in data.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data.columns)).repartition(5)
+    found = {(r["col_a"], r["col_b"]): r["r"] for r in d.correlation_matrix(df, threshold=0.0).collect()}
+    assert found["c1", "c0"] == pytest.approx(data["c0"].corr(data["c1"]), abs=1e-9)
+    assert found["c1", "c0"] > 0.9999999
+
+
+def test_correlation_of_columns_without_common_rows(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (None, 3.0)], "x double, y double")
+    assert d.correlation_matrix(df, threshold=0.0).collect() == [("y", "x", 0.0)]
+    assert d.correlation_matrix(df.limit(0), threshold=0.0).collect() == [("y", "x", 0.0)]
+
+
+def test_density_shuffles_no_errors(spark):
+    made = d.error_density(frame(spark, [1.0, 2.0, 4.0]))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(point" in plan

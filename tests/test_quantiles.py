@@ -8,7 +8,7 @@ from demandloom.operators import quantiles as q
 PROBABILITIES = [0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0]
 
 
-def check(spark, values, monkeypatch=None, **options):
+def check(spark, values, **options):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     found = q.exact_quantiles(df, {"x": PROBABILITIES}, **options)["x"]
     assert found == pytest.approx(list(np.quantile(values, PROBABILITIES)), rel=1e-12, abs=1e-12)
@@ -20,23 +20,20 @@ def test_equals_numpy(spark, values):
     check(spark, values)
 
 
-def test_brackets_and_narrowing(spark, monkeypatch):
+def test_brackets_and_narrowing(spark):
     """Small limits force every path that a large column would take."""
-    monkeypatch.setattr(q, "SHORT_COLUMN", 10)
     rng = np.random.default_rng(7)
     values = [float(v) for v in rng.normal(size=20_000)]
     check(spark, values)
     check(spark, values, accuracy=50, ordered_values=200)
 
 
-def test_coarse_sketch_still_gives_the_exact_answer(spark, monkeypatch):
-    monkeypatch.setattr(q, "SHORT_COLUMN", 10)
+def test_coarse_sketch_still_gives_the_exact_answer(spark):
     rng = np.random.default_rng(8)
     check(spark, [float(v) for v in rng.exponential(size=5_000)], accuracy=5, ordered_values=50)
 
 
-def test_hot_value(spark, monkeypatch):
-    monkeypatch.setattr(q, "SHORT_COLUMN", 10)
+def test_hot_value(spark):
     rng = np.random.default_rng(9)
     values = [1.0] * 4_000 + [float(v) for v in rng.uniform(0, 2, size=8_000)]
     check(spark, values, accuracy=100, ordered_values=100)
