@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
-from .ordinal import ORDINAL, TOTAL, key_range, with_ordinal
+from .ordinal import ORDINAL, TOTAL, with_ordinal
 
 BLOCK = 65_536
 
@@ -40,31 +39,6 @@ def over_blocks(numbered: DataFrame, columns, back: int, ahead: int, within=(),
 
 def over_long_series(df: DataFrame, keys, order_by, columns, back: int, ahead: int = 0,
                      block: int = BLOCK) -> DataFrame:
-    """The same for rows that are not numbered yet: series ``keys``, in the order of ``order_by``.
-
-    Rows are numbered group by group: a day and minute for timestamps, a day and a range of the next
-    ordering column, if that is a whole number, where all timestamps are dates. The frame is written to
-    the shared folder first, because it is read more than once.
-    """
-    first, rest = order_by[0], list(order_by[1:])
-    kind = dict(df.dtypes)[first]
-    staged = stage(df, "long-series")
-    at = F.col(first).cast("timestamp_ntz") if kind.startswith(("date", "timestamp")) else None
-    if at is not None and not staged.filter(F.to_date(at).cast("timestamp_ntz") != at).isEmpty():
-        staged = staged.withColumns({
-            "_day": F.to_date(at), "_slot": F.hour(at) * 60 + F.minute(at)})
-        levels = [["_day"], ["_slot"], [first, *rest]]
-    elif rest:
-        coarse = key_range(staged, rest[0])
-        levels = [[first], rest]
-        if coarse is not None:
-            staged = staged.withColumn("_slot", coarse)
-            levels.insert(1, ["_slot"])
-    elif at is not None:
-        staged = staged.withColumn("_day", F.to_date(at))
-        levels = [["_day"], [first]]
-    else:
-        raise ValueError("order a long series by a timestamp or by more than one column")
-    numbered = with_ordinal(staged, levels, tuple(keys))
-    made = over_blocks(numbered, columns, back, ahead, keys, block)
-    return made.drop("_day", "_slot", ORDINAL, TOTAL)
+    """The same for rows that are not numbered yet: series ``keys``, in the order of ``order_by``."""
+    numbered = with_ordinal(df, order_by, tuple(keys))
+    return over_blocks(numbered, columns, back, ahead, keys, block).drop(ORDINAL, TOTAL)

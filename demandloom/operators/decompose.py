@@ -12,6 +12,7 @@ from .blocks import over_blocks
 from .clean import parse_dates
 from .ordinal import ORDINAL, TOTAL, with_ordinal
 
+
 def _inside_frame(period: int):
     half = period // 2
     return (F.col(ORDINAL) > half) & (F.col(ORDINAL) <= F.col(TOTAL) - half)
@@ -62,8 +63,9 @@ def decompose_time_series(df: DataFrame, date_col: str = "transaction_date",
                           model: str = "additive", keys=()) -> DataFrame:
     """``observed, trend, seasonal, resid`` per observed date of each series.
 
-    Raises if a series is shorter than two periods, or has a value that is not positive under the
-    multiplicative model.
+    A series is rejected if it is shorter than two periods, or has a value that is not positive under the
+    multiplicative model. A single series then raises. With ``keys`` a column ``reason`` says ``short``
+    or ``not positive``, and the rejected series keep their rows without trend, season and residual.
     """
     if model not in ("additive", "multiplicative"):
         raise ValueError(f"model must be 'additive' or 'multiplicative', not {model!r}")
@@ -71,27 +73,35 @@ def decompose_time_series(df: DataFrame, date_col: str = "transaction_date",
         raise ValueError("period must be positive")
     keys = list(keys)
     totals = stage(daily_totals(df, date_col, value_col, keys), "daily-totals")
-    shortest, smallest = (
-        totals.groupBy(*keys).agg(F.count("*").alias("n"), F.min("observed").alias("low"))
-        .agg(F.min("n"), F.min("low")).first())
-    if not shortest or shortest < 2 * period:
-        raise ValueError(f"two periods need {2 * period} dates, but a series has {shortest or 0}")
-    if model == "multiplicative" and smallest <= 0:
-        raise ValueError("the multiplicative model needs positive values")
+    lengths = totals.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("observed").alias("_low"))
+    if not keys:
+        _check_series(*lengths.first(), period, model)
+    low = F.col("_low") <= 0 if model == "multiplicative" else F.lit(False)
+    reason = F.when(F.col("_n") < 2 * period, "short").when(low, "not positive")
 
-    # Months are the coarse order, the timestamps of one month the fine one.
-    months = totals.withColumn("_month", F.trunc(F.to_date(date_col), "month"))
-    numbered = with_ordinal(months, [["_month"], [date_col]], tuple(keys)).drop("_month")
+    numbered = with_ordinal(totals, [date_col], tuple(keys))
     with_trend = centred_average(numbered, "observed", period, keys)
+    if keys:
+        with_trend = with_trend.join(lengths.select(*keys, reason.alias("reason")), keys).withColumn(
+            "trend", F.when(F.col("reason").isNull(), F.col("trend")))
     observed, trend, seasonal = F.col("observed"), F.col("trend"), F.col("seasonal")
     additive = model == "additive"
     detrended = with_trend.withColumn(
         "_detrended", observed - trend if additive else F.try_divide(observed, trend))
-    index = seasonal_index(detrended, "_detrended", period, model, keys)
+    usable = detrended.filter("reason is null") if keys else detrended
+    index = seasonal_index(usable, "_detrended", period, model, keys)
     resid = (observed - trend - seasonal if additive
              else F.try_divide(observed, F.col("trend") * seasonal))
     phase = F.pmod(F.col(ORDINAL) - 1, period)
     return (
-        with_trend.withColumn("phase", phase).join(index, [*keys, "phase"])
-        .select(*keys, date_col, "observed", "trend", "seasonal", resid.alias("resid"))
+        with_trend.withColumn("phase", phase).join(index, [*keys, "phase"], "left")
+        .select(*keys, date_col, "observed", "trend", "seasonal", resid.alias("resid"),
+                *(["reason"] if keys else []))
     )
+
+
+def _check_series(length: int, smallest: float, period: int, model: str) -> None:
+    if not length or length < 2 * period:
+        raise ValueError(f"two periods need {2 * period} dates, but a series has {length or 0}")
+    if model == "multiplicative" and smallest <= 0:
+        raise ValueError("the multiplicative model needs positive values")

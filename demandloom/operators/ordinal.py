@@ -1,85 +1,66 @@
 """Row numbers, time-ordered splits and folds, without sorting everything in one task.
 
-The position of a row is the number of rows in earlier groups plus its rank inside its own group. Groups
-nest (week, store within the week, range of products within the store), so every window runs over one
-small group: weeks are bounded by the calendar, stores and ranges are counted before they are ordered,
-and one range holds at most ``KEY_RANGE`` products, however many rows a single store has.
+Rows are laid out in ranges of keys, order and a row id of their own, so neither a key with a third of all
+rows nor a long run of ties ends up in one task. The position of a row is its place inside its range plus
+the rows of its key in earlier ranges.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..sources.staging import stage
 from ..spec import WEEKLY, SeriesSpec
 
 ORDINAL, TOTAL = "ordinal", "total_rows"
-# Consecutive whole-number keys that one task may order.
-KEY_RANGE = 65_536
-
 
 def in_order(columns) -> list:
     """Ascending, with missing values at the end."""
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
-def with_ordinal(df: DataFrame, levels: list[list[str]], within: tuple[str, ...] = (),
-                 ordinal: str = ORDINAL, total: str = TOTAL) -> DataFrame:
-    """Add a 1-based position in the order of all ``levels``, and the number of rows.
+def lay_out(df: DataFrame, order_by, within=(), ranges: int | None = None) -> DataFrame:
+    """The rows sorted by ``within`` and ``order_by``, with their range and their place in it.
+
+    Ties follow a row id that is written with the rows first: ranges must not change between two reads.
+    Spark chooses the number of ranges from the size unless it is given.
+    """
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    order = [*in_order([*within, *order_by]), F.col("_row")]
+    ranged = rows.repartitionByRange(ranges, *order) if ranges else rows.repartitionByRange(*order)
+    placed = ranged.sortWithinPartitions(*order).withColumns(
+        {"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
+    return stage(placed.drop("_row"), "ranges")
+
 
-    ``levels`` lists column groups from the most to the least significant; ``within`` restarts the
-    numbering per key. The frame is read twice, so stage an expensive one first.
+def with_ordinal(df: DataFrame, order_by, within=(), ordinal: str = ORDINAL, total: str = TOTAL,
+                 ranges: int | None = None) -> DataFrame:
+    """Add a 1-based position in the order of ``order_by``, and the number of rows.
 
-    Groups are matched as structs: a struct is never null itself, so rows with a null in a key or a level
-    find their group, and the window and the join share one shuffle of the rows.
+    ``within`` restarts both per key; a null key is a key of its own, and nulls come last in the order.
+    Keys are matched as a struct, which is never null itself.
     """
-    if len(levels) < 2:
-        raise ValueError("give at least two ordering levels")
-    above = list(within)
-    prefix = above + [c for level in levels[:-1] for c in level]
-    counts = df.groupBy(*prefix).agg(F.count("*").alias("_rows"))
-    offsets = None
-    for level in levels[:-1]:
-        group = above + level
-        # One row per group of this level: the rows before it among its siblings.
-        sizes = counts.groupBy(*group).agg(F.sum("_rows").alias("_rows"))
-        siblings = W.partitionBy(*above)
-        before = siblings.orderBy(*in_order(level)).rowsBetween(W.unboundedPreceding, -1)
-        step = F.coalesce(F.sum("_rows").over(before), F.lit(0))
-        if offsets is None:
-            ranked = sizes.select(*group, F.sum("_rows").over(siblings).alias(total),
-                                  step.alias("_offset"))
-        else:
-            ranked = (sizes.select(*group, step.alias("_step"), F.struct(*above).alias("_group"))
-                      .join(offsets, "_group")
-                      .select(*group, total, (F.col("_offset") + F.col("_step")).alias("_offset")))
-        offsets = ranked.select(F.struct(*group).alias("_group"), total, "_offset")
-        above = group
-    rank = F.row_number().over(W.partitionBy("_group").orderBy(*in_order(levels[-1])))
-    ranked_rows = df.withColumn("_group", F.struct(*prefix)).withColumn("_rank", rank)
-    return ranked_rows.join(offsets, "_group").select(
-        *df.columns, (F.col("_rank") + F.col("_offset")).cast("long").alias(ordinal), total)
-
-
-def key_range(df: DataFrame, key: str) -> Column | None:
-    """An order-preserving coarse level for a whole-number key, or nothing for other types."""
-    if not isinstance(df.schema[key].dataType, T.IntegralType):
-        return None
-    return F.floor(F.col(key) / F.lit(KEY_RANGE))
+    if not order_by:
+        raise ValueError("give at least one column to order by")
+    placed = lay_out(df, order_by, within, ranges).withColumn(
+        "_key", F.struct(F.lit(0).alias("_all"), *within))
+    parts = placed.groupBy("_key", "_range").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+    key = W.partitionBy("_key")  # one row per range of the key
+    before = key.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = parts.select("_key", "_range", "_first", F.sum("_rows").over(key).alias(total),
+                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    position = F.col("_place") - F.col("_first") + F.col("_offset") + 1
+    return placed.join(offsets, ["_key", "_range"]).select(
+        *df.columns, position.cast("long").alias(ordinal), total)
 
 
 def weekly_ordinal(df: DataFrame, spec: SeriesSpec = WEEKLY) -> DataFrame:
     """Chronological position of weekly rows; rows of one week follow the series keys."""
-    levels = [list(spec.order_by), *[[key] for key in spec.keys]]
-    coarse = key_range(df, spec.keys[-1])
-    if coarse is None:
-        return with_ordinal(df, levels)
-    levels.insert(-1, ["_range"])
-    return with_ordinal(df.withColumn("_range", coarse), levels).drop("_range")
+    return with_ordinal(df, [*spec.order_by, *spec.keys])
 
 
 def train_rows(total, test_size: float):

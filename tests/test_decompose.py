@@ -66,6 +66,18 @@ def test_many_series(spark):
     check(made.filter("k = 'b'"), b, 3, True)
 
 
+def test_short_and_non_positive_series_keep_their_rows(spark):
+    good, short, low = [3, 5, 4, 8, 9, 7, 1, 2], [1, 2, 3], [5, 4, 0, 3, 2, 1, 1]
+    df = frame(spark, good, "a").unionByName(frame(spark, short, "b")).unionByName(frame(spark, low, "c"))
+    made = decompose_time_series(df, period=3, model="multiplicative", keys=["k"])
+    check(made.filter("k = 'a'"), good, 3, False)
+    rest = made.filter("k <> 'a'").toPandas()
+    assert rest[["trend", "seasonal", "resid"]].isna().all().all() and len(rest) == 10
+    assert dict(zip(rest["k"], rest["reason"], strict=True)) == {"b": "short", "c": "not positive"}
+    only_short = decompose_time_series(frame(spark, short), period=3, keys=["k"])
+    assert only_short.count() == 3
+
+
 def test_rejected_input(spark):
     with pytest.raises(ValueError, match="a series has 7"):
         decompose_time_series(frame(spark, range(1, 8)), period=4)

@@ -27,14 +27,27 @@ def test_ordinal_equals_a_global_sort(spark):
     assert {r["total_rows"] for r in found} == {len(keys)}
 
 
-def test_ordinal_over_ranges_of_products(spark, monkeypatch):
-    monkeypatch.setattr(ordinal, "KEY_RANGE", 10)
-    keys = [(7, p - 60, 2022, w) for p in range(200) for w in (1, 2)]
-    df = spark.createDataFrame([(*k, 1.0) for k in keys], WEEK)
-    made = ordinal.weekly_ordinal(df)
+@pytest.mark.parametrize("case", ["stray_time", "text", "date_only", "sequence", "repeated"])
+def test_a_hot_key_is_split_whatever_its_order(spark, case):
+    """A key with nearly all rows: no range is much larger than its share, and positions are right."""
+    n, ranges = 20_000, 40
+    base = spark.range(n).selectExpr("id", "if(id % 20 = 0, 'rare', 'hot') as k")
+    order = {
+        "stray_time": ["at", "id"], "text": ["at", "name"], "date_only": ["at"], "sequence": ["id"],
+        "repeated": ["name"]}[case]
+    at = "if(id = 7, timestamp_ntz '2022-01-01 10:00:00', timestamp_ntz '2022-01-01 00:00:00') as at"
+    df = base.selectExpr("*", at, "'same' as name" if case == "repeated" else "lpad(id, 9, '0') as name")
+    sizes = [r["count"] for r in ordinal.lay_out(df, order, ("k",), ranges).groupBy("_range").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 3 * n / ranges
+    made = ordinal.with_ordinal(df, order, ("k",), ranges=ranges)
     assert made.columns == [*df.columns, "ordinal", "total_rows"]
-    expected = {k: i + 1 for i, k in enumerate(sorted(keys, key=lambda k: (k[3], k[1])))}
-    assert {tuple(r)[:4]: r["ordinal"] for r in made.collect()} == expected
+    rows = made.toPandas()
+    for _, group in rows.groupby("k"):
+        assert sorted(group["ordinal"]) == list(range(1, len(group) + 1))
+        assert (group["total_rows"] == len(group)).all()
+        ordered = group.sort_values("ordinal")
+        assert all(tuple(x) <= tuple(y) for x, y in zip(
+            ordered[order].values.tolist(), ordered[order].values.tolist()[1:], strict=False))
 
 
 def test_ordinal_of_text_keys(spark):
@@ -54,12 +67,12 @@ def test_ordinal_keeps_rows_with_nulls(spark):
 def test_ordinal_restarts_within_keys(spark):
     df = spark.createDataFrame([("a", 1, 5), ("a", 2, 1), ("b", 1, 9), ("a", 1, 7)],
                                "k string, m int, d int")
-    made = ordinal.with_ordinal(df, [["m"], ["d"]], ("k",))
+    made = ordinal.with_ordinal(df, ["m", "d"], ("k",))
     assert sorted((r["k"], r["m"], r["d"], r["ordinal"], r["total_rows"])
                   for r in made.collect()) == [
         ("a", 1, 5, 1, 3), ("a", 1, 7, 2, 3), ("a", 2, 1, 3, 3), ("b", 1, 9, 1, 1)]
-    with pytest.raises(ValueError, match="two ordering levels"):
-        ordinal.with_ordinal(df, [["m"]])
+    with pytest.raises(ValueError, match="at least one column"):
+        ordinal.with_ordinal(df, [])
 
 
 def test_split_cuts_inside_a_week(spark):
