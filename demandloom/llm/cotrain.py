@@ -26,7 +26,7 @@ from ._tables import map_rows
 
 # Bounds of the samples used for fitting: labelled documents, unlabelled ones to mark, and marks that a
 # view may add per class and round.
-LABELLED, UNLABELLED, MARKED = 12_000, 6_000, 300
+LABELLED, UNLABELLED, MARKED = 12_000, 4_000, 300
 ROUNDS = 3
 # How sure a view must be to mark a document, and the score from which documents are kept.
 SURE, KEEP = 0.98, 0.5
@@ -35,6 +35,8 @@ TEXT_SIZE, PAGE_SIZE = 1 << 18, 1 << 12
 # 15 happens by chance to about one word in 10,000); what is known of a page always does.
 TEXT_EVIDENCE, PAGE_EVIDENCE = 15.0, 0.0
 MEMORY_WORDS = 300_000
+# A word of fewer documents of the sample can't be evidence and is dropped before fitting.
+LEAST_DOCUMENTS = 3
 # Starts of words that are features besides the words, in characters.
 STARTS = (4, 5)
 TOKENS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
@@ -107,8 +109,8 @@ class Rows:
 
     def __init__(self, rows: list, size: int):
         self.lengths = np.array([len(r) for r in rows], int)
-        self.columns = np.concatenate([np.asarray(r, int) for r in rows]) if rows else np.empty(0, int)
-        self.owner = np.repeat(np.arange(len(rows)), self.lengths)
+        self.columns = np.concatenate([np.asarray(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
+        self.owner = np.repeat(np.arange(len(rows), dtype=np.int32), self.lengths)
         self.size = size
 
     def only(self, used: np.ndarray) -> Rows:
@@ -266,12 +268,28 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED,
     named = documents.select("doc_id", "text", "source", "lang").filter("doc_id is not null")
     others = (named.select("doc_id").distinct().join(judged, "doc_id", "left_anti")
               .orderBy(order, "doc_id").limit(unlabelled).withColumn("good", F.lit(None).cast("boolean")))
-    sample = named.join(chosen.unionByName(others), "doc_id").withColumn("place", order)
-    found = _features(sample, ["doc_id", "place", "good"]).toPandas().sort_values(["place", "doc_id"])
-    rows = list(zip(found["words"], found["page"], found["good"], strict=True))
+    # The sample's size is bounded by the parameters.
+    sample = named.join(F.broadcast(chosen.unionByName(others)), "doc_id").withColumn("place", order)
+    found = _features(sample, ["doc_id", "place", "good"]).toArrow().combine_chunks()
+    if not found.num_rows:
+        return None
+    words, page = (_lists(found[c].chunk(0), size, least) for c, size, least in (
+        ("words", TEXT_SIZE, LEAST_DOCUMENTS), ("page", PAGE_SIZE, 1)))
+    good = found["good"].to_pylist()
+    in_order = np.lexsort((found["doc_id"].to_numpy(), found["place"].to_numpy())).tolist()
+    rows = [(words[i], page[i], good[i]) for i in in_order]
     return co_train([r for r in rows if r[2] is not None], [r[:2] for r in rows if r[2] is None], rounds)
 
 
+def _lists(column, size: int, least: int) -> list[np.ndarray]:
+    """The features of each row, without those of fewer than ``least`` rows."""
+    values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    here = np.bincount(values, minlength=size)[values] >= least
+    ends = np.append(0, np.cumsum(here))[offsets]
+    values = values[here]
+    return [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def _scorer(model: Model):
     def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         known: dict[str, float] = {}
