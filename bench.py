@@ -12,6 +12,7 @@ import time
 
 from demandloom.queries import QUERIES
 from demandloom.session import local_session
+from demandloom.sources import drop_staged
 
 HEADLINE = (
     "clean_transactions", "quantiles", "star_join", "weekly_rollup",
@@ -33,6 +34,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+    drop_staged(spark)
     spark.stop()
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",

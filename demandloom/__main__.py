@@ -21,17 +21,20 @@ def main() -> None:
     parser.add_argument("--cv-folds", type=int, default=5)
     parser.add_argument("--forecast-weeks", type=int, default=5)
     parser.add_argument("--n-estimators", type=int, default=None)
+    parser.add_argument("--digits", type=int, default=None, help="decimals of weekly sums")
     parser.add_argument("--reports", action="store_true", help="write the report tables too")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("demandloom").getOrCreate()
-    tables = load_tables(spark, args.transactions, args.stores, args.products)
-    result = run_forecast(tables, args.out, args.year, args.model_type, args.cv_folds,
-                          args.forecast_weeks, args.n_estimators, args.reports)
-    total = result.summary.first()
-    print(f"{total['total_units']} units forecast for {total['stores']} stores and "
-          f"{total['products']} products, written to {result.forecast_path}")
-    drop_staged(spark)
+    try:
+        tables = load_tables(spark, args.transactions, args.stores, args.products)
+        result = run_forecast(tables, args.out, args.year, args.model_type, args.cv_folds,
+                              args.forecast_weeks, args.n_estimators, args.reports, args.digits)
+        total = result.summary.first()
+        print(f"{total['total_units']} units forecast for {total['stores']} stores and "
+              f"{total['products']} products, written to {result.forecast_path}")
+    finally:
+        drop_staged(spark)
 
 
 if __name__ == "__main__":

@@ -2,10 +2,10 @@
 
 from .matrix import matrix_stages
 from .predict import generate_forecast, score
-from .train import (TrainingResult, feature_importance, initialize_model, load_model, save_model,
+from .train import (SalesModel, TrainingResult, feature_importance, initialize_model, load_model, save_model,
                     train_model)
 
 __all__ = [
-    "TrainingResult", "feature_importance", "generate_forecast", "initialize_model", "load_model",
+    "SalesModel", "TrainingResult", "feature_importance", "generate_forecast", "initialize_model", "load_model",
     "matrix_stages", "save_model", "score", "train_model",
 ]

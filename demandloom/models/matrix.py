@@ -5,20 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.categories import apply_categories, fit_categories
 from ..operators.clean import model_columns
-from ..spec import UNKNOWN, WEEKLY
+from ..spec import WEEKLY
 
-FEATURES = "features"
+FEATURES, CODE = "features", "_code"
 # Stands in for a missing number; a flag column marks where it was put.
 SENTINEL = -1.0
-# A category with more values is hashed into this many buckets, so its labels never gather on the
-# driver and trees need no more bins than this.
-MAX_CATEGORIES = 128
 # Measures of the predicted week itself: only left out on request.
 SAME_WEEK = (
     "gross_value", "net_value", "gross_profit", "discount", "taxes",
@@ -32,58 +30,60 @@ class MatrixPlan:
 
     plain: list[str] = field(default_factory=list)
     nullable: list[str] = field(default_factory=list)
-    indexed: list[str] = field(default_factory=list)
-    hashed: list[str] = field(default_factory=list)
+    coded: list[str] = field(default_factory=list)
 
     @property
     def inputs(self) -> list[str]:
         return (self.plain + [f"{c}_filled" for c in self.nullable]
-                + [f"{c}_missing" for c in self.nullable]
-                + [f"{c}_index" for c in self.indexed] + [f"{c}_bucket" for c in self.hashed])
+                + [f"{c}_missing" for c in self.nullable] + [f"{c}{CODE}" for c in self.coded])
 
 
-def plan_matrix(df: DataFrame, target: str = WEEKLY.target, strict_features: bool = False,
-                max_categories: int = MAX_CATEGORIES) -> MatrixPlan:
-    """Decide from one aggregate which numbers have gaps and which categories are small."""
+def plan_matrix(df: DataFrame, target: str = WEEKLY.target, strict_features: bool = False) -> MatrixPlan:
+    """Decide from one aggregate which numbers have gaps; every text is coded."""
     names = model_columns(df, target)
     if strict_features:
         names = [c for c in names if c not in SAME_WEEK]
     types = {f.name: f.dataType for f in df.schema.fields}
     numbers = [c for c in names if isinstance(types[c], T.NumericType)]
     texts = [c for c in names if isinstance(types[c], T.StringType)]
-    row = df.agg(
-        *[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c)
-          for c in numbers],
-        *[F.approx_count_distinct(c).alias(c) for c in texts],
-    ).first().asDict()
+    found = {}
+    if numbers:
+        found = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c)
+                         for c in numbers]).first().asDict()
     # Lags are absent at the start of any new series, whatever this frame holds.
-    gaps = [c for c in numbers if row[c] or "_lag_" in c]
-    # The estimate may be a few per cent low.
-    small = [c for c in texts if row[c] <= 0.8 * max_categories]
-    return MatrixPlan(
-        plain=[c for c in numbers if c not in gaps], nullable=gaps,
-        indexed=small, hashed=[c for c in texts if c not in small])
+    gaps = [c for c in numbers if found[c] or "_lag_" in c]
+    return MatrixPlan(plain=[c for c in numbers if c not in gaps], nullable=gaps, coded=texts)
 
 
-def matrix_stages(plan: MatrixPlan, max_categories: int = MAX_CATEGORIES) -> Pipeline:
-    """Unfitted stages: flag and fill gaps, code categories, assemble the vector."""
+def fit_codes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The dictionary of text columns: a code for every value, however many there are."""
+    if columns:
+        return fit_categories(df, columns)
+    return df.sparkSession.createDataFrame([], "column_name string, value string, code int")
+
+
+def add_codes(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
+    """``<column>_code`` from the dictionary; the columns themselves stay as they are.
+
+    Codes keep the order of the values; unseen values share the code of missing ones, or -1.
+    """
+    named = df.withColumns({f"_{c}": F.col(c) for c in columns}) if columns else df
+    renamed = dictionary.withColumn("column_name", F.concat(F.lit("_"), "column_name"))
+    coded = apply_categories(named, renamed, [f"_{c}" for c in columns], replace_unseen=False)
+    return coded.withColumnsRenamed({f"_{c}_encoded": f"{c}{CODE}" for c in columns}).drop(
+        *[f"_{c}" for c in columns])
+
+
+def matrix_stages(plan: MatrixPlan) -> Pipeline:
+    """Unfitted stages: flag and fill gaps, assemble the vector."""
     computed = []
     for c in plan.nullable:
         missing = f"(`{c}` is null or isnan(`{c}`))"
         computed.append(f"case when {missing} then {SENTINEL}D else double(`{c}`) end "
                         f"as `{c}_filled`")
         computed.append(f"double(int({missing})) as `{c}_missing`")
-    for c in plan.indexed:
-        computed.append(f"coalesce(`{c}`, '{UNKNOWN}') as `{c}_text`")
-    for c in plan.hashed:
-        computed.append(f"double(pmod(xxhash64(`{c}`), {max_categories})) as `{c}_bucket`")
     stages = [SQLTransformer(statement=f"select *, {', '.join(computed)} from __THIS__")] \
         if computed else []
-    if plan.indexed:
-        stages.append(StringIndexer(
-            inputCols=[f"{c}_text" for c in plan.indexed],
-            outputCols=[f"{c}_index" for c in plan.indexed],
-            handleInvalid="keep", stringOrderType="alphabetAsc"))
     stages.append(VectorAssembler(inputCols=plan.inputs, outputCol=FEATURES,
                                   handleInvalid="error"))
     return Pipeline(stages=stages)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import drop_missing_target
@@ -14,9 +14,14 @@ from ..operators.metrics import fold_summary, regression_metrics
 from ..operators.ordinal import ORDINAL, TOTAL, expanding_folds, weekly_ordinal
 from ..sources.staging import ensure_checkpoint_dir, stage
 from ..spec import WEEKLY, SeriesSpec
-from .matrix import FEATURES, MAX_CATEGORIES, MatrixPlan, matrix_stages, plan_matrix
+from .matrix import CODE, FEATURES, MatrixPlan, add_codes, fit_codes, matrix_stages, plan_matrix
 
 LABEL, PREDICTION = "label", "prediction"
+# Rows per partition of a training matrix. A model depends on how its rows are spread, so that follows from
+# their number alone, not from cores, shuffle partitions or the files they are read from.
+MATRIX_ROWS = 25_000
+# Values of a feature that trees tell apart, at most.
+BINS = 128
 
 # Estimator settings per model type.
 BOOSTED = {"stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
@@ -31,24 +36,38 @@ MODELS = {
 }
 
 
-def initialize_model(model_type: str = "lightgbm", n_estimators: int | None = None,
-                     max_categories: int = MAX_CATEGORIES):
-    """An unfitted Spark ML regressor for one of the four model types."""
+def initialize_model(model_type: str = "lightgbm", n_estimators: int | None = None, **settings):
+    """An unfitted Spark ML regressor for one of the four model types; ``settings`` override its own."""
     if model_type not in MODELS:
         raise ValueError(f"unsupported model type: {model_type}")
-    estimator, default_trees, settings = MODELS[model_type]
+    estimator, default_trees, own = MODELS[model_type]
     trees = n_estimators or default_trees
     size = {"maxIter": trees} if estimator is GBTRegressor else {"numTrees": trees}
-    # One label more than the categories: values unseen when the indexer was fitted.
     return estimator(featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION,
-                     maxBins=max_categories + 1, checkpointInterval=10, **size, **settings)
+                     **{"maxBins": BINS, "checkpointInterval": 10, **size, **own, **settings})
+
+
+@dataclass
+class SalesModel:
+    """A fitted pipeline together with the dictionary of its text columns."""
+
+    pipeline: PipelineModel
+    dictionary: DataFrame
+
+    @property
+    def inputs(self) -> list[str]:
+        return self.pipeline.stages[-2].getInputCols()
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        texts = [c.removesuffix(CODE) for c in self.inputs if c.endswith(CODE)]
+        return self.pipeline.transform(add_codes(df, self.dictionary, texts))
 
 
 @dataclass
 class TrainingResult:
     """What a training run produces; the metrics are small DataFrames."""
 
-    model: PipelineModel
+    model: SalesModel
     inputs: list[str]
     fold_metrics: DataFrame
     cv_summary: DataFrame
@@ -62,12 +81,12 @@ class TrainingMatrix:
     rows: DataFrame
     total: int
     preparation: PipelineModel
+    dictionary: DataFrame
     plan: MatrixPlan
 
 
 def prepare_training_data(df: DataFrame, target: str = "quantity", spec: SeriesSpec = WEEKLY,
-                          strict_features: bool = False, max_categories: int = MAX_CATEGORIES,
-                          stored: bool = False) -> TrainingMatrix:
+                          strict_features: bool = False, stored: bool = False) -> TrainingMatrix:
     """Rows with a target, as vectors in chronological order.
 
     ``stored`` says that ``df`` is read straight from a table. Any other frame is staged first, because
@@ -76,18 +95,17 @@ def prepare_training_data(df: DataFrame, target: str = "quantity", spec: SeriesS
     known = drop_missing_target(df, target)
     if not stored:
         known = stage(known, "training-rows")
-    plan = plan_matrix(known, target, strict_features, max_categories)
-    preparation = matrix_stages(plan, max_categories).fit(known)
-    numbered = weekly_ordinal(known, spec)
+    plan = plan_matrix(known, target, strict_features)
+    dictionary = fit_codes(known, plan.coded)
+    numbered = add_codes(weekly_ordinal(known, spec), dictionary, plan.coded)
+    preparation = matrix_stages(plan).fit(numbered)
     rows = stage(
         preparation.transform(numbered)
         .select(ORDINAL, TOTAL, F.col(target).cast("double").alias(LABEL), FEATURES),
         "training-matrix")
     total = rows.agg(F.max(TOTAL)).first()[0] or 0
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:  # a small matrix would train on a few cores only
-        rows = rows.repartition(cores)
-    return TrainingMatrix(rows.drop(TOTAL), total, preparation, plan)
+    spread = rows.drop(TOTAL).repartition(max(1, -(-total // MATRIX_ROWS)), ORDINAL)
+    return TrainingMatrix(spread.sortWithinPartitions(ORDINAL), total, preparation, dictionary, plan)
 
 
 def evaluate_model(estimator, rows: DataFrame, total: int, cv: int = 5) -> DataFrame:
@@ -105,12 +123,12 @@ def evaluate_model(estimator, rows: DataFrame, total: int, cv: int = 5) -> DataF
 
 def train_model(df: DataFrame, target: str = "quantity", model_type: str = "lightgbm", cv: int = 5,
                 test_size: float = 0.2, n_estimators: int | None = None,
-                strict_features: bool = False, spec: SeriesSpec = WEEKLY,
-                max_categories: int = MAX_CATEGORIES, stored: bool = False) -> TrainingResult:
+                strict_features: bool = False, spec: SeriesSpec = WEEKLY, stored: bool = False,
+                **settings) -> TrainingResult:
     """Cross-validate on the training part, measure on the rest, then fit on all rows."""
-    estimator = initialize_model(model_type, n_estimators, max_categories)
+    estimator = initialize_model(model_type, n_estimators, **settings)
     ensure_checkpoint_dir(df.sparkSession)
-    matrix = prepare_training_data(df, target, spec, strict_features, max_categories, stored)
+    matrix = prepare_training_data(df, target, spec, strict_features, stored)
     train_end = int(matrix.total * (1 - test_size))
     train = matrix.rows.filter(F.col(ORDINAL) <= train_end)
     test = matrix.rows.filter(F.col(ORDINAL) > train_end)
@@ -120,28 +138,25 @@ def train_model(df: DataFrame, target: str = "quantity", model_type: str = "ligh
         regression_metrics(estimator.fit(train).transform(test), LABEL, PREDICTION),
         "test-metrics")
     final = estimator.fit(matrix.rows)
-    model = PipelineModel(stages=[*matrix.preparation.stages, final])
+    model = SalesModel(PipelineModel(stages=[*matrix.preparation.stages, final]), matrix.dictionary)
     return TrainingResult(model, matrix.plan.inputs, fold_metrics, fold_summary(fold_metrics),
                           test_metrics)
 
 
-def feature_importance(model: PipelineModel) -> DataFrame:
-    """``feature, importance`` in descending order, for a fitted pipeline."""
-    from pyspark.sql import SparkSession
-
-    trees = model.stages[-1]
-    names = model.stages[-2].getInputCols()
-    weights = trees.featureImportances.toArray()
-    rows = [(name, float(weight)) for name, weight in zip(names, weights, strict=True)]
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.col("importance").desc(), F.col("feature"))
+def feature_importance(model: SalesModel) -> DataFrame:
+    """``feature, importance`` in descending order, for a fitted model."""
+    weights = model.pipeline.stages[-1].featureImportances.toArray()
+    rows = [(name, float(weight)) for name, weight in zip(model.inputs, weights, strict=True)]
+    return model.dictionary.sparkSession.createDataFrame(
+        rows, "feature string, importance double").orderBy(F.col("importance").desc(), F.col("feature"))
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def save_model(model: SalesModel, path: str) -> str:
+    """The pipeline and the dictionary, side by side."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    model.dictionary.write.mode("overwrite").parquet(f"{path}/categories")
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str) -> SalesModel:
+    return SalesModel(PipelineModel.load(f"{path}/pipeline"), spark.read.parquet(f"{path}/categories"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -46,9 +47,13 @@ def sales_reports(sales: DataFrame, stores: DataFrame, products: DataFrame) -> d
 
 def run_forecast(tables: RetailTables, folder: str, year: int | None = 2022,
                  model_type: str = "lightgbm", cv_folds: int = 5, forecast_weeks: int = 5,
-                 n_estimators: int | None = None, reports: bool = False) -> RunResult:
+                 n_estimators: int | None = None, reports: bool = False,
+                 digits: int | None = None) -> RunResult:
     """Everything from raw tables to the forecast file, under ``folder``.
 
+    ``digits`` rounds the weekly sums to the decimals their measures carry, which makes them independent of
+    the order of summation.
+
     The cleaned and feature tables are written first and read back, so later steps start from stored
     data and not from the raw scan.
     """
@@ -59,13 +64,13 @@ def run_forecast(tables: RetailTables, folder: str, year: int | None = 2022,
     stores = spark.read.parquet(f"{folder}/pdvs_processed.parquet")
     products = spark.read.parquet(f"{folder}/products_processed.parquet")
 
-    write_features(create_features(sales, stores, products), folder)
+    write_features(create_features(sales, stores, products, digits=digits), folder)
     features = spark.read.parquet(f"{folder}/feature_data.parquet")
 
     training = train_model(features, model_type=model_type, cv=cv_folds,
                            n_estimators=n_estimators, stored=True)
     model_path = save_model(
-        training.model, f"{folder}/models/{model_type}_sales_forecast_{int(time.time())}")
+        training.model, f"{folder}/models/{model_type}_sales_forecast_{int(time.time())}_{uuid.uuid4().hex[:8]}")
     path = write_forecast_csv(generate_forecast(training.model, features, forecast_weeks),
                               f"{folder}/predictions")
     key = {"bigint": "long"}.get(dict(features.dtypes)[STORE], "string")

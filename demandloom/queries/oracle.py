@@ -52,7 +52,7 @@ WEEKEND = "CASE WHEN isodow({d}) IN (6, 7) THEN 1 ELSE 0 END"
 
 
 def rollup(name: str, source: str, year: str = "year(transaction_date)") -> str:
-    sums = ", ".join(f"round(sum({m}), 6) AS {m}" for m in MEASURES)
+    sums = ", ".join(f"round(coalesce(sum({m}), 0), 6) AS {m}" for m in MEASURES)
     weekend = WEEKEND.format(d="transaction_date")
     return f"""
 {name} AS (
@@ -130,6 +130,12 @@ bounds AS (SELECT quantile_cont(quantity, 0.001) AS lo, quantile_cont(quantity,
 trimmed AS (SELECT kept.* FROM kept, bounds WHERE quantity BETWEEN lo AND hi)"""
 
 
+# The same without a year.
+ALL_KEPT = """
+bounds AS (SELECT quantile_cont(quantity, 0.001) AS lo, quantile_cont(quantity, 0.999) AS hi FROM tx),
+trimmed AS (SELECT tx.* FROM tx, bounds WHERE quantity BETWEEN lo AND hi)"""
+
+
 def middle(column: str) -> str:
     """The mean of the two middle values, which are one and the same for an odd count."""
     ordered = f"list({column} ORDER BY {column}) FILTER ({column} IS NOT NULL)"
@@ -158,9 +164,9 @@ CODED = ["categoria", "tipos", "label", "subcategoria", "marca", "fabricante", "
 CODE_COLUMNS = ", ".join(
     f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}_encoded" for c in CODED)
 
-FEATURES = f"""{TX}, {KEPT}, {STORES}, {PRODUCTS}, {rollup('w', 'trimmed')}, {filled('w')},
+FEATURES = f"""{TX}, {ALL_KEPT}, {STORES}, {PRODUCTS}, {rollup('w', 'trimmed')}, {filled('w')},
 lagged AS (SELECT *, {lag_columns()}, {roll_columns()} FROM filled {SERIES}),
-features AS (
+features AS MATERIALIZED (
   SELECT {GRAIN}, {MEASURE_COLUMNS}, round(is_weekend, 6) AS is_weekend,
          {STORE_ATTRIBUTES}, {PRODUCT_ATTRIBUTES}, {RATIOS_FINAL},
          {', '.join(LAG_NAMES)}, {', '.join(ROLL_NAMES)}, {CODE_COLUMNS},
@@ -172,6 +178,50 @@ features AS (
 )"""
 UNUSED_BY_MODELS = ["quantity", "marca", "fabricante", *[f"{c}_encoded" for c in CODED]]
 
+# The vector of a model in its order: numbers, filled gaps and their flags, codes of texts.
+MODEL_INPUTS = {
+    **{c: c for c in ("internal_store_id", "internal_product_id", "year", "week", *MEASURES[1:], "is_weekend",
+                      "zipcode", *RATIO_NAMES, *ROLL_NAMES, "week_sin", "week_cos")},
+    **{f"{c}_filled": f"coalesce({c}, -1)" for c in LAG_NAMES},
+    **{f"{c}_missing": f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in LAG_NAMES},
+    **{f"{c}_code": f"{c}_encoded" for c in (
+        "premise_type", "categoria_pdv", "categoria", "tipos", "label", "subcategoria")},
+}
+
+# Sales with missing keys, dates and values, values that are no numbers, and orphans.
+DIRTY = """
+dirty AS (
+  SELECT CASE WHEN abs(quantity) <> 7 THEN transaction_date END AS transaction_date, reference_date,
+         CASE abs(quantity) WHEN 3 THEN NULL WHEN 4 THEN internal_store_id + 1000
+              ELSE internal_store_id END AS internal_store_id,
+         CASE WHEN abs(quantity) <> 9 THEN internal_product_id END AS internal_product_id,
+         CASE WHEN abs(quantity) NOT IN (8, 12) THEN quantity END AS quantity,
+         CASE abs(quantity) WHEN 11 THEN 0 WHEN 6 THEN NULL ELSE gross_value END AS gross_value, net_value,
+         CASE WHEN abs(quantity) <> 13 THEN gross_profit END AS gross_profit,
+         CASE WHEN abs(quantity) <> 10 THEN discount END AS discount,
+         CASE WHEN abs(quantity) <> 5 THEN taxes END AS taxes
+  FROM tx)"""
+
+DIRTY_CLEAN = f"""WITH {TX}, {STORES}, {PRODUCTS}, {DIRTY},
+bounds AS (SELECT quantile_cont(quantity, 0.001) AS lo, quantile_cont(quantity, 0.999) AS hi FROM dirty),
+inside AS (SELECT dirty.* FROM dirty, bounds WHERE quantity BETWEEN lo AND hi),
+{filled('inside')},
+goods AS (SELECT produto, CASE WHEN produto % 4 <> 0 THEN categoria ELSE 'Unknown' END AS categoria,
+                 CASE WHEN produto % 4 <> 0 THEN marca ELSE 'Unknown' END AS marca FROM products),
+codes AS (SELECT marca, row_number() OVER (ORDER BY marca) - 1 AS code
+          FROM (SELECT DISTINCT marca FROM goods WHERE produto <= 15) d)
+SELECT {PAIR}, {day('transaction_date')}, CAST(year(transaction_date) AS INTEGER) AS year,
+       CAST(weekofyear(transaction_date) AS INTEGER) AS week,
+       CAST(CASE WHEN quantity < 0 THEN 1 ELSE 0 END AS INTEGER) AS is_return, quantity,
+       round(gross_value, 6) + 0.0 AS gross_value, round(gross_profit, 6) + 0.0 AS gross_profit,
+       round(discount, 6) + 0.0 AS discount, round(taxes, 6) + 0.0 AS taxes, {RATIOS_FINAL}, pdv,
+       CASE WHEN pdv % 5 <> 0 THEN premise_type END AS premise_type,
+       CASE WHEN pdv % 5 <> 0 THEN is_on_premise WHEN pdv IS NOT NULL THEN 0 END AS is_on_premise,
+       categoria, coalesce(codes.marca, 'Unknown') AS marca,
+       CAST(coalesce(code, (SELECT code FROM codes WHERE marca = 'Unknown'), -1) AS INTEGER) AS marca_encoded
+FROM filled LEFT JOIN stores ON internal_store_id = pdv LEFT JOIN goods ON internal_product_id = produto
+LEFT JOIN codes ON goods.marca = codes.marca"""
+
 JOINED = f"""
 SELECT {day('transaction_date')}, {PAIR}, quantity, round(gross_value, 6) AS gross_value, pdv,
        premise_type, categoria_pdv, zipcode, produto, categoria, marca, fabricante
@@ -313,21 +363,26 @@ def decomposition(source: str, date: str, value: str, period: int, model: str,
     level = level.format(p=part)
     join = f"t.{key} = s.{key} AND " if key else ""
     key_column = f"t.{key}, " if key else ""
+    reason = f", CASE WHEN n < {2 * period} THEN 'short' END AS reason" if key else ""
+    enough = f"n >= {2 * period} AND " if key else ""
     return f"""
 totals AS (SELECT {by}{date} AS d, sum({value}) AS observed FROM {source}
            WHERE {date} IS NOT NULL GROUP BY ALL),
 numbered AS (SELECT *, row_number() OVER ({part} ORDER BY d) - 1 AS i,
                     count(*) OVER ({part}) AS n FROM totals),
-t AS (SELECT *, CASE WHEN i >= {half} AND i < n - {half} THEN ({total}) / {period} END AS trend
+t AS (SELECT *, CASE WHEN {enough}i >= {half} AND i < n - {half} THEN ({total}) / {period} END AS trend
       FROM numbered),
-phases AS (SELECT {by}i % {period} AS phase, avg({detrended}) AS m FROM t GROUP BY ALL),
+phases AS (SELECT {by}i % {period} AS phase, avg({detrended}) AS m FROM t
+           WHERE {enough}true GROUP BY ALL),
 s AS (SELECT {by}phase, {level} AS seasonal FROM phases)
 SELECT {key_column}strftime(d, '%Y-%m-%d') AS {date}, round(observed, 6) + 0.0 AS observed,
        round(trend, 6) + 0.0 AS trend, round(seasonal, 6) + 0.0 AS seasonal,
-       round({resid}, 6) + 0.0 AS resid
-FROM t JOIN s ON {join}i % {period} = phase"""
+       round({resid}, 6) + 0.0 AS resid{reason}
+FROM t LEFT JOIN s ON {join}i % {period} = phase"""
 
 
+NUMBERS = ["internal_store_id", "internal_product_id", "year", "week", *MEASURES, "is_weekend", "zipcode",
+           *RATIO_NAMES, *LAG_NAMES, *ROLL_NAMES, *[f"{c}_encoded" for c in CODED], "week_sin", "week_cos"]
 TX_NAMES = ["transaction_date", "reference_date", "internal_store_id", "internal_product_id",
             *MEASURES]
 ACTUAL = "round(coalesce(sum(quantity), 0), 6)"
@@ -374,8 +429,10 @@ ORACLE: dict[str, str] = {
         for c, ps in (("quantity", (0.001, 0.5, 0.999)),
                       ("gross_value", (0.001, 0.25, 0.5, 0.999)),
                       ("gross_profit", (0.1, 0.5, 0.9))) for p in ps),
-    "outlier_trim": f"""WITH {TX}, {KEPT} SELECT {PAIR}, quantity,
-        round(gross_value, 6) AS gross_value FROM trimmed""",
+    "outlier_trim": f"""WITH {TX}, b AS (SELECT quantile_cont(quantity, 0.05) AS lo,
+        quantile_cont(quantity, 0.95) AS hi FROM tx)
+        SELECT {PAIR}, quantity, round(gross_value, 6) AS gross_value FROM tx, b
+        WHERE quantity BETWEEN lo AND hi""",
     "outlier_trim_value": f"""WITH {TX}, b AS (SELECT quantile_cont(gross_value, 0.01) AS lo,
         quantile_cont(gross_value, 0.99) AS hi FROM tx)
         SELECT {PAIR}, quantity, round(gross_value, 6) AS gross_value FROM tx, b
@@ -387,11 +444,17 @@ ORACLE: dict[str, str] = {
     "processed_tables": CLEANED,
     "store_clean": f"WITH {STORES} SELECT * FROM stores",
     "product_clean": f"WITH {PRODUCTS} SELECT * FROM products",
+    "dirty_clean": DIRTY_CLEAN,
+    "dirty_weekly": f"""WITH {TX}, {DIRTY}, {rollup('w', 'dirty')} SELECT {GRAIN}, {MEASURE_COLUMNS},
+        round(is_weekend, 6) AS is_weekend FROM w""",
+    "loaded_tables": f"""WITH {W}, {STORES}, {PRODUCTS} SELECT {GRAIN}, {MEASURE_COLUMNS}, premise_type,
+        categoria FROM w LEFT JOIN stores ON internal_store_id = pdv
+        LEFT JOIN products ON internal_product_id = produto""",
     "star_join": f"WITH {TX}, {STORES}, {PRODUCTS} {JOINED.format(how='LEFT')}",
     "star_join_inner": f"WITH {TX}, {STORES}, {PRODUCTS} {JOINED.format(how='INNER')}",
     "weekly_rollup": f"""WITH {W} SELECT {GRAIN}, {MEASURE_COLUMNS},
         round(is_weekend, 6) AS is_weekend FROM w""",
-    "weekly_lags_and_ratios": f"""WITH {TX}, {KEPT}, {rollup('w', 'kept')},
+    "weekly_lags_and_ratios": f"""WITH {W},
         r AS (SELECT *, {RATIO_COLUMNS} FROM w)
         SELECT {GRAIN}, {MEASURE_COLUMNS}, round(is_weekend, 6) AS is_weekend, {RATIOS_FINAL},
         lag(quantity, 1) OVER s AS quantity_lag_1, lag(quantity, 12) OVER s AS quantity_lag_12
@@ -416,6 +479,14 @@ ORACLE: dict[str, str] = {
         WINDOW s AS (PARTITION BY event_type ORDER BY ts, event_id)""",
     "rolling_long_series": f"""SELECT event_id, event_type, round(value, 6) AS value, {roll_columns(
         value='value', keys='event_type', order='ts, event_id')} FROM events""",
+    "lags_text_ties": """SELECT o_orderkey, o_orderpriority, o_totalprice,
+        lag(o_totalprice, 1) OVER s AS o_totalprice_lag_1, lag(o_totalprice, 2) OVER s AS o_totalprice_lag_2
+        FROM orders WINDOW s AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, CAST(o_orderkey AS VARCHAR))""",
+    "lags_by_date": """SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+        l_extendedprice, lag(l_extendedprice, 1) OVER s AS l_extendedprice_lag_1,
+        lag(l_extendedprice, 3) OVER s AS l_extendedprice_lag_3
+        FROM lineitem WINDOW s AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber,
+                                   l_partkey, l_suppkey, l_quantity, l_extendedprice)""",
     "weekly_features": f"WITH {FEATURES} SELECT * FROM features",
     "feature_table": f"WITH {FEATURES} SELECT * FROM features",
     "model_input": f"""WITH {FEATURES} SELECT * EXCLUDE ({', '.join(UNUSED_BY_MODELS)})
@@ -467,8 +538,28 @@ ORACLE: dict[str, str] = {
     "run_summary": f"""WITH {ROLLED}, {horizon(f'''SELECT CAST(sum(quantidade) AS BIGINT)
         AS total_units, count(DISTINCT pdv) AS stores, count(DISTINCT produto) AS products
         FROM ({UNITS}) u''')}""",
-    "model_matrix": f"""WITH {TX}, {KEPT}, {rollup('w', 'trimmed')}, {ORDERED}
-        SELECT ordinal, quantity AS label FROM ordered""",
+    "forecast_inputs": f"""WITH {ROLLED}, {horizon(f'''SELECT {GRAIN}, {', '.join(LAG_NAMES)},
+        quantity_roll_mean_4, quantity_roll_std_12, week_sin, week_cos FROM horizon''')}""",
+    "forecast_coverage": f"""WITH {TX}, {ALL_KEPT},
+        p AS (SELECT count(*) AS pairs FROM (SELECT DISTINCT {PAIR} FROM trimmed) d)
+        SELECT CAST(semana AS INTEGER) AS semana, pairs AS forecasts, pairs, CAST(0 AS BIGINT) AS negative
+        FROM p, range(1, 6) t(semana)""",
+    "model_roundtrip": f"""WITH {TX}, {ALL_KEPT}
+        SELECT 5 * count(*) AS forecasts, CAST(0 AS BIGINT) AS differing
+        FROM (SELECT DISTINCT {PAIR} FROM trimmed) d""",
+    "fold_sizes": f"""WITH {TX}, {ALL_KEPT}, {rollup('w', 'trimmed')},
+        n AS (SELECT count(*) AS n, CAST(floor(count(*) * (1 - 0.2)) AS BIGINT) AS train FROM w)
+        SELECT 'fold ' || j AS part, train // 6 AS n FROM n, range(5) t(j)
+        UNION ALL SELECT 'test', n - train FROM n""",
+    "importance_shape": "SELECT unnest([" + ", ".join(f"'{c}'" for c in MODEL_INPUTS) + """]) AS feature,
+        CAST(1 AS DOUBLE) AS total""",
+    "model_exact": """SELECT unnest(['catboost', 'random_forest']) AS kind, * FROM (
+        SELECT l_returnflag AS flag, l_linenumber % 2 AS odd, round(avg(l_quantity), 6) AS prediction
+        FROM lineitem GROUP BY ALL) m""",
+    "model_matrix": f"""WITH {FEATURES} SELECT
+        row_number() OVER (ORDER BY year, week, {PAIR}) AS ordinal, quantity AS label,
+        {', '.join(f'CAST({source} AS DOUBLE) AS {name}' for name, source in MODEL_INPUTS.items())}
+        FROM features""",
     "trend_daily": f"WITH {TX}, {trend('tx', 'transaction_date', 'quantity', 'D', 6)}",
     "trend_weekly": f"WITH {TX}, {trend('tx', 'transaction_date', 'quantity', 'W', 6)}",
     "trend_monthly": f"WITH {TX}, {trend('tx', 'transaction_date', 'net_value', 'M', 4)}",
@@ -495,6 +586,7 @@ ORACLE: dict[str, str] = {
         "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 0.001, 8),
     "correlation_weekly": f"WITH {LAGGED}, " + correlations(
         "lagged", [*MEASURES, "is_weekend", *LAG_NAMES], 0.1, 7),
+    "correlation_features": f"WITH {FEATURES}, " + correlations("features", NUMBERS, 0.1, 6),
     "error_histogram": HISTOGRAM,
     "error_summary": f"""WITH {ERRORS} SELECT count(*) AS n, round(avg(error), 6) + 0.0
         AS mean_error, round(median(error), 6) + 0.0 AS median_error FROM errors""",
@@ -505,6 +597,8 @@ ORACLE: dict[str, str] = {
         'tx', 'transaction_date', 'quantity', 52, 'additive')}""",
     "decompose_multiplicative": "WITH " + decomposition(
         "lineitem", "l_shipdate", "l_quantity", 7, "multiplicative"),
+    "decompose_sparse": f"""WITH {SPARSE}, {decomposition(
+        'tx', 'transaction_date', 'quantity', 14, 'additive', 'internal_product_id')}""",
     "decompose_by_store": f"""WITH {TX}, {decomposition(
         'tx', 'transaction_date', 'quantity', 7, 'additive', 'internal_store_id')}""",
 }

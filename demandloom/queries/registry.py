@@ -9,20 +9,23 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import nonnegative_units
 from ..models.predict import generate_forecast
-from ..models.train import (feature_importance, load_model, prepare_training_data, save_model,
-                            train_model)
+from ..models.train import (LABEL, PREDICTION, feature_importance, load_model, prepare_training_data,
+                            save_model, train_model)
 from ..operators import categories, clean, decompose, distribution, horizon, metrics, ordinal
 from ..operators import quantiles as q
 from ..operators import reports, star, weekly
 from ..plans.features import create_features
-from ..sources import shared_folder, stage, write_features, write_forecast_csv, write_processed
+from ..sources import (application_folder, conform, load_tables, stage, write_features, write_forecast_csv,
+                       write_processed)
+from ..sources.tables import PRODUCTS, STORES, TRANSACTIONS
 from ..sources.tpch_retail import _table, products, retail_tables, stores, transactions
-from ..spec import LAGS, MEASURES, PRODUCT, STORE, WINDOWS
+from ..spec import LAGS, MEASURES, PRODUCT, STORE, WINDOWS, SeriesSpec
 
 YEAR = 1997
 # No measure of the retail tables carries more decimals, so weekly sums rounded to them are exact.
@@ -31,7 +34,8 @@ PAIR = [STORE, PRODUCT]
 GRAIN = [*PAIR, "year", "week"]
 ORDER = ("year", "week")
 RATIOS = ["unit_price", "profit_margin", "discount_ratio"]
-TREES = 5
+# Trees and folds of the trained queries. Full runs use the default of the model type, 1000 or 500 trees.
+TREES, FOLDS = 6, 5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -61,11 +65,6 @@ def weekly_all_years(spark, folder) -> DataFrame:
     return weekly.weekly_rollup(sales_all_years(spark, folder), digits=DIGITS)
 
 
-def staged_weekly(spark, folder) -> DataFrame:
-    """For operators that read their input more than once."""
-    return stage(weekly_all_years(spark, folder), "weekly")
-
-
 def staged_lags(spark, folder) -> DataFrame:
     return stage(weekly_with_lags(spark, folder), "lags")
 
@@ -81,15 +80,14 @@ def weekly_series(spark, folder) -> DataFrame:
 
 
 def _results_folder(spark) -> str:
-    return (f"{shared_folder(spark)}/demandloom/{spark.sparkContext.applicationId}"
-            f"/results-{uuid.uuid4().hex}")
+    return f"{application_folder(spark)}/results-{uuid.uuid4().hex}"
 
 
-def features_of_year(spark, folder) -> DataFrame:
-    """The flagship: cleaned sales of one year to weekly features."""
+def features(spark, folder) -> DataFrame:
+    """The flagship: all cleaned sales to weekly features."""
     tables = retail_tables(spark, folder)
     return create_features(
-        clean.select_sales(tables.transactions, YEAR),
+        clean.select_sales(tables.transactions, None),
         clean.preprocess_pdv(tables.stores), clean.preprocess_products(tables.products),
         digits=DIGITS)
 
@@ -166,8 +164,9 @@ def quantiles(spark, folder):
 
 @query
 def outlier_trim(spark, folder):
-    sales = clean.filter_year(transactions(spark, folder), YEAR)
-    return rounded(clean.trim_outliers(sales).select(*PAIR, "quantity", "gross_value"))
+    """Bounds that bite: the default ones lie at the ends of the given quantities."""
+    trimmed = clean.trim_outliers(transactions(spark, folder), low=0.05, high=0.95)
+    return rounded(trimmed.select(*PAIR, "quantity", "gross_value"))
 
 
 @query
@@ -215,6 +214,69 @@ def product_clean(spark, folder):
     return clean.preprocess_products(products(spark, folder))
 
 
+def dirty_transactions(spark, folder) -> DataFrame:
+    """The given sales with missing keys, dates and values, values that are no numbers, and orphans."""
+    sales = transactions(spark, folder)
+    size = F.abs("quantity")
+
+    def spoilt(column, case, value):
+        return F.when(size == case, value).otherwise(F.col(column)).alias(column)
+
+    nothing = F.lit(None)
+    return sales.select(
+        F.when(size == 7, nothing).otherwise(F.date_format("transaction_date", "yyyy-MM-dd")).alias("transaction_date"),
+        "reference_date",
+        F.when(size == 3, nothing).when(size == 4, F.col(STORE) + 1000).otherwise(F.col(STORE)).cast("int").alias(STORE),
+        spoilt(PRODUCT, 9, nothing),
+        F.when(size == 8, nothing).when(size == 12, float("nan")).otherwise(F.col("quantity")).alias("quantity"),
+        F.when(size == 11, 0.0).when(size == 6, float("inf")).otherwise(F.col("gross_value")).alias("gross_value"),
+        "net_value", spoilt("gross_profit", 13, F.lit(float("-inf"))), spoilt("discount", 10, nothing),
+        spoilt("taxes", 5, F.lit(float("nan"))))
+
+
+def dirty_dimensions(spark, folder) -> tuple[DataFrame, DataFrame]:
+    shops, goods = stores(spark, folder), products(spark, folder)
+    shops = shops.withColumn("premise", F.when(F.col("pdv") % 5 != 0, F.col("premise")))
+    goods = goods.withColumns({c: F.when(F.col("produto") % 4 != 0, F.col(c)) for c in ("categoria", "marca")})
+    return conform(shops, STORES, "stores"), conform(goods, PRODUCTS, "products")
+
+
+@query
+def dirty_clean(spark, folder):
+    """Spoilt sales through the whole cleaning, joined to spoilt dimensions and coded with known brands."""
+    sales = conform(dirty_transactions(spark, folder), TRANSACTIONS, "transactions")
+    shops, goods = dirty_dimensions(spark, folder)
+    goods = clean.preprocess_products(goods)
+    merged = star.merge_datasets(
+        clean.preprocess_transactions(sales, None), clean.preprocess_pdv(shops), goods)
+    known = categories.fit_categories(goods.filter("produto <= 15"), ["marca"])
+    coded = categories.apply_categories(merged, known, ["marca"])
+    return rounded(coded.select(
+        *PAIR, day("transaction_date"), "year", "week", "is_return", "quantity", "gross_value", "gross_profit",
+        "discount", "taxes", *RATIOS, "pdv", "premise_type", "is_on_premise", "categoria", "marca",
+        "marca_encoded"))
+
+
+@query
+def dirty_weekly(spark, folder):
+    """Rows without a key are left out, values that are no numbers count as missing."""
+    sales = clean.parse_dates(conform(dirty_transactions(spark, folder), TRANSACTIONS, "transactions"))
+    return rounded(weekly.weekly_rollup(clean.add_calendar(sales), digits=DIGITS))
+
+
+@query
+def loaded_tables(spark, folder):
+    """The three input tables written as Parquet, loaded with their checked schemas and rolled up."""
+    root = _results_folder(spark)
+    for name, table in zip(("sales", "stores", "products"), retail_tables(spark, folder), strict=True):
+        table.write.parquet(f"{root}/{name}")
+    tables = load_tables(spark, *(f"{root}/{name}" for name in ("sales", "stores", "products")))
+    rolled = weekly.weekly_rollup(clean.add_calendar(tables.transactions), digits=DIGITS)
+    return rounded(weekly.attach_attributes(
+        rolled, clean.preprocess_pdv(tables.stores), clean.preprocess_products(tables.products)
+    ).select(*GRAIN, *MEASURES, "premise_type", "categoria"))
+
+
 # Joins
 
 def _joined(spark, folder, how):
@@ -246,9 +308,8 @@ def weekly_rollup(spark, folder):
 
 @query
 def weekly_lags_and_ratios(spark, folder):
-    """One year of weekly sums with two lags and the ratios."""
-    sales = clean.add_calendar(clean.filter_year(transactions(spark, folder), YEAR))
-    made = clean.add_ratios(weekly.weekly_rollup(sales, digits=DIGITS))
+    """Weekly sums with two lags and the ratios."""
+    made = clean.add_ratios(weekly_all_years(spark, folder))
     return rounded(weekly.create_lag_features(made, PAIR, lags=(1, 12), order_by=ORDER))
 
 
@@ -319,23 +380,46 @@ def rolling_long_series(spark, folder):
         items, ["event_type"], "value", order_by=("ts", "event_id"), long_series=True).drop("ts"))
 
 
+@query
+def lags_text_ties(spark, folder):
+    """Order keys of one priority and date, told apart by their text."""
+    orders = _table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderdate", F.col("o_orderkey").cast("string").alias("name"),
+        "o_totalprice")
+    return weekly.create_lag_features(
+        orders, ["o_orderpriority"], "o_totalprice", lags=(1, 2), order_by=("o_orderdate", "name"),
+        long_series=True).drop("o_orderdate", "name")
+
+
+@query
+def lags_by_date(spark, folder):
+    """All lines of one flag in the order of their dates, ties told apart by every key there is."""
+    items = _table(spark, folder, "lineitem").select(
+        "l_returnflag", F.col("l_shipdate").alias("transaction_date"), "l_orderkey", "l_linenumber", "l_partkey",
+        "l_suppkey", "l_quantity", "l_extendedprice")
+    ties = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    return weekly.create_lag_features(
+        items, ["l_returnflag"], "l_extendedprice", lags=(1, 3), order_by=("transaction_date", *ties),
+        long_series=True).drop("transaction_date")
+
+
 @query
 def weekly_features(spark, folder):
-    return rounded(features_of_year(spark, folder))
+    return rounded(features(spark, folder))
 
 
 @query
 def feature_table(spark, folder):
     """Written as a partitioned table and read back."""
     root = _results_folder(spark)
-    write_features(features_of_year(spark, folder), root)
+    write_features(features(spark, folder), root)
     return rounded(spark.read.parquet(f"{root}/feature_data.parquet"))
 
 
 @query
 def model_input(spark, folder):
-    features = clean.drop_missing_target(features_of_year(spark, folder), "quantity_lag_4")
-    return rounded(features.select(clean.model_columns(features)))
+    known = clean.drop_missing_target(features(spark, folder), "quantity_lag_4")
+    return rounded(known.select(clean.model_columns(known)))
 
 
 @query
@@ -374,12 +458,12 @@ def category_apply(spark, folder):
 
 @query
 def time_split(spark, folder):
-    return ordinal.time_split(staged_weekly(spark, folder)).select(*GRAIN, "ordinal", "split")
+    return ordinal.time_split(weekly_all_years(spark, folder)).select(*GRAIN, "ordinal", "split")
 
 
 @query
 def split_union(spark, folder):
-    labelled = stage(ordinal.time_split(staged_weekly(spark, folder)), "split")
+    labelled = stage(ordinal.time_split(weekly_all_years(spark, folder)), "split")
     train = labelled.filter("split = 'train'").drop("split")
     test = labelled.filter("split = 'test'").drop("split")
     return train.unionByName(test).select(*GRAIN, "ordinal", "quantity")
@@ -387,7 +471,7 @@ def split_union(spark, folder):
 
 @query
 def time_folds(spark, folder):
-    return ordinal.time_folds(staged_weekly(spark, folder)).select(
+    return ordinal.time_folds(weekly_all_years(spark, folder)).select(
         *GRAIN, "ordinal", "fold", "part")
 
 
@@ -405,8 +489,7 @@ def regression_metrics_by_store(spark, folder):
 
 @query
 def fold_summary(spark, folder):
-    lagged = staged_lags(spark, folder)
-    tested = ordinal.time_folds(lagged).filter("part = 'test'")
+    tested = ordinal.time_folds(weekly_with_lags(spark, folder)).filter("part = 'test'")
     per_fold = metrics.regression_metrics(tested, "quantity", "quantity_lag_1", ["fold"])
     return rounded(metrics.fold_summary(per_fold))
 
@@ -447,29 +530,39 @@ def run_summary(spark, folder):
     return metrics.forecast_summary(_rolling_mean_forecast(spark, folder))
 
 
-def _trained(spark, folder, model_type):
-    features = stage(features_of_year(spark, folder), "features")
-    trained = train_model(features, model_type=model_type, cv=2, n_estimators=TREES, stored=True)
-    return trained, features
+@query
+def forecast_inputs(spark, folder):
+    """What a model may see of the horizon."""
+    series = stage(weekly_series(spark, folder), "weekly-series")
+    seen = horizon.prepare_forecast_features(horizon.generate_forecast_features(series))
+    return rounded(seen.select(*GRAIN, *[f"quantity_lag_{k}" for k in LAGS], "quantity_roll_mean_4",
+                               "quantity_roll_std_12", "week_sin", "week_cos",
+                               *[c for c in seen.columns if c in ("quantity", "semana")]))
+
+
+def _trained(spark, folder, model_type, trees=TREES, folds=FOLDS):
+    known = stage(features(spark, folder), "features")
+    trained = train_model(known, model_type=model_type, cv=folds, n_estimators=trees, stored=True)
+    return trained, known
 
 
 @query
 def forecast(spark, folder):
-    trained, features = _trained(spark, folder, "lightgbm")
-    return generate_forecast(trained.model, features)
+    trained, known = _trained(spark, folder, "lightgbm")
+    return generate_forecast(trained.model, known)
 
 
 @query
 def forecast_forest(spark, folder):
     """The forest, saved and loaded before it scores."""
-    trained, features = _trained(spark, folder, "random_forest")
+    trained, known = _trained(spark, folder, "random_forest")
     path = save_model(trained.model, f"{_results_folder(spark)}/model")
-    return generate_forecast(load_model(path), features)
+    return generate_forecast(load_model(spark, path), known)
 
 
 @query
 def training_metrics(spark, folder):
-    trained, _ = _trained(spark, folder, "lightgbm")
+    trained, _ = _trained(spark, folder, "catboost")
     folds = trained.fold_metrics.withColumn("part", F.concat(F.lit("fold "), F.col("fold")))
     return folds.drop("fold").unionByName(
         trained.test_metrics.withColumn("part", F.lit("test")))
@@ -477,14 +570,72 @@ def training_metrics(spark, folder):
 
 @query
 def importance(spark, folder):
-    trained, _ = _trained(spark, folder, "lightgbm")
+    trained, _ = _trained(spark, folder, "xgboost")
     return reports.top_features(feature_importance(trained.model))
 
 
+@query
+def forecast_coverage(spark, folder):
+    """Every pair once per step, whole numbers, none negative."""
+    trained, known = _trained(spark, folder, "xgboost", trees=1, folds=2)
+    return generate_forecast(trained.model, known).groupBy("semana").agg(
+        F.count("*").alias("forecasts"), F.countDistinct("pdv", "produto").alias("pairs"),
+        F.count_if(F.col("quantidade") < 0).alias("negative"))
+
+
+@query
+def model_roundtrip(spark, folder):
+    """Rows in which a model that was saved and loaded scores differently."""
+    trained, known = _trained(spark, folder, "lightgbm", trees=2, folds=2)
+    path = save_model(trained.model, f"{_results_folder(spark)}/model")
+    made, again = (generate_forecast(m, known) for m in (trained.model, load_model(spark, path)))
+    keys = ["semana", "pdv", "produto"]
+    both = made.join(again.withColumnRenamed("quantidade", "loaded"), keys, "full")
+    return both.agg(F.count("*").alias("forecasts"), F.count_if(
+        ~F.col("quantidade").eqNullSafe(F.col("loaded"))).alias("differing"))
+
+
+@query
+def fold_sizes(spark, folder):
+    """How many rows every fold and the test part are measured on."""
+    trained, _ = _trained(spark, folder, "catboost", trees=1)
+    folds = trained.fold_metrics.select(F.concat(F.lit("fold "), F.col("fold")).alias("part"), "n")
+    return folds.unionByName(trained.test_metrics.select(F.lit("test").alias("part"), "n"))
+
+
+@query
+def importance_shape(spark, folder):
+    """The name of every input, and what all importances add up to."""
+    trained, _ = _trained(spark, folder, "random_forest", trees=2, folds=2)
+    made = feature_importance(trained.model)
+    total = made.agg(F.round(F.sum("importance"), 6)).first()[0]
+    return made.select("feature", F.lit(total).alias("total"))
+
+
+@query
+def model_exact(spark, folder):
+    """One unsampled tree over six cells predicts the mean of each, for a booster and a forest."""
+    items = _table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("flag"), (F.col("l_linenumber") % 2).alias("odd"),
+        F.col("l_quantity").alias("quantity"))
+    rows = stage(items, "cells")
+    spec = SeriesSpec(("odd",), ("flag",))
+    made = None
+    for kind, options in (("catboost", {}), ("random_forest", {"bootstrap": False})):
+        trained = train_model(rows, model_type=kind, cv=2, n_estimators=1, spec=spec, stored=True, **options)
+        scored = trained.model.transform(rows.select("flag", "odd").distinct()).select(
+            F.lit(kind).alias("kind"), "flag", "odd", F.round(PREDICTION, 6).alias("prediction"))
+        made = scored if made is None else made.unionByName(scored)
+    return made
+
+
 @query
 def model_matrix(spark, folder):
-    matrix = prepare_training_data(features_of_year(spark, folder))
-    return matrix.rows.select("ordinal", "label")
+    """The vectors in chronological order, one column per input."""
+    matrix = prepare_training_data(features(spark, folder))
+    named = matrix.rows.select("ordinal", LABEL, vector_to_array("features").alias("values"))
+    return rounded(named.select("ordinal", LABEL, *[
+        F.col("values")[i].alias(name) for i, name in enumerate(matrix.plan.inputs)]))
 
 
 # Reports
@@ -575,6 +726,13 @@ def correlation_weekly(spark, folder):
         made, [*MEASURES, "is_weekend", *[f"quantity_lag_{k}" for k in LAGS]]), 7)
 
 
+@query
+def correlation_features(spark, folder):
+    """All numbers of the feature table."""
+    known = stage(rounded(features(spark, folder)), "rounded-features")
+    return rounded(distribution.correlation_matrix(known), 6)
+
+
 @query
 def error_histogram(spark, folder):
     made = distribution.error_histogram(
@@ -622,3 +780,11 @@ def decompose_multiplicative(spark, folder):
 @query
 def decompose_by_store(spark, folder):
     return _decomposed(spark, folder, "quantity", 7, "additive", (STORE,))
+
+
+@query
+def decompose_sparse(spark, folder):
+    """Sales by part, of which many have too few dates."""
+    made = decompose.decompose_time_series(
+        transactions(spark, folder, grain="sparse"), period=14, keys=(PRODUCT,))
+    return rounded(made.withColumn("transaction_date", day("transaction_date")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -15,9 +17,10 @@ DEFAULTS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "demandloom") -> SparkSession:
-    """A single-machine session for tests and the bench."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app_name: str = "demandloom",
+                  folder: str | None = None) -> SparkSession:
+    """A single-machine session for tests and the bench; intermediate tables go to ``folder``."""
+    folder = folder or os.path.abspath("spark-warehouse/staging")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -26,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "12g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.checkpoint.dir", folder if ":" in folder else f"file:{folder}")
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)

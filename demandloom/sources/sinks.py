@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -33,11 +34,14 @@ def write_features(features: DataFrame, folder: str) -> None:
 
 
 def write_forecast_csv(forecast: DataFrame, folder: str, at: datetime | None = None) -> str:
-    """Write ``semana;pdv;produto;quantidade`` with a header; returns the directory written."""
+    """Write ``semana;pdv;produto;quantidade`` with a header; returns the directory written.
+
+    Its name has the time and a part of its own, so two runs in one second don't meet.
+    """
     at = at or datetime.now()
-    path = f"{folder}/sales_forecast_{at:%Y%m%d_%H%M%S}.csv"
+    path = f"{folder}/sales_forecast_{at:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}.csv"
     (forecast.select(*FORECAST_COLUMNS)
         .withColumn("quantidade", F.col("quantidade").cast("long"))
-        .write.mode("overwrite").option("sep", ";").option("header", True)
+        .write.option("sep", ";").option("header", True)
         .option("encoding", "UTF-8").csv(path))
     return path

@@ -6,49 +6,54 @@ later reads prune columns and push filters, and survives the loss of any executo
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
+_cleaned: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local session may fall back to its own."""
-    global _local_folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir``.
+
+    A local session without that setting uses a folder in its warehouse, and removes what it has written
+    there when the process ends.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    chosen = spark.sparkContext.getCheckpointDir()
-    if chosen:
-        return chosen.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="demandloom-")
-    return _local_folder
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/staging"
+    own = f"{folder}/demandloom/{spark.sparkContext.applicationId}".removeprefix("file:")
+    if own not in _cleaned:
+        _cleaned.add(own)
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return folder
 
 
-def _application_folder(spark: SparkSession) -> str:
+def application_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it writes for itself; ``drop_staged`` removes it."""
     return f"{shared_folder(spark)}/demandloom/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a frame that reads it back."""
     spark = df.sparkSession
-    path = f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete what this application staged, once no frame that reads it is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    """Delete what this application staged, checkpoints included, once no frame needs it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative estimators a checkpoint folder if the session has none yet."""
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+        spark.sparkContext.setCheckpointDir(f"{application_folder(spark)}/checkpoints")

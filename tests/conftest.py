@@ -11,12 +11,17 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from demandloom.session import local_session
+    from demandloom.sources import drop_staged
 
-    session = local_session(8)
+    folder = tmp_path_factory.mktemp("shared")
+    session = local_session(8, folder=str(folder))
     yield session
+    drop_staged(session)
+    left = [p for p in folder.rglob("*") if p.is_file()]
     session.stop()
+    assert not left
 
 
 @pytest.fixture

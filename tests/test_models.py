@@ -1,10 +1,14 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
 from demandloom.models import (feature_importance, generate_forecast, initialize_model, load_model,
                                save_model, train_model)
-from demandloom.models.matrix import matrix_stages, plan_matrix
+from demandloom.models.matrix import add_codes, plan_matrix
 from demandloom.models.train import prepare_training_data
 from demandloom.operators.clean import (numeric_columns, preprocess_pdv, preprocess_products,
                                         select_sales)
@@ -12,9 +16,9 @@ from demandloom.operators.distribution import correlation_matrix
 from demandloom.plans.features import create_features, weekly_series
 from demandloom.sources import stage
 from demandloom.sources.tpch_retail import retail_tables
-from demandloom.spec import PRODUCT, STORE
+from demandloom.spec import PRODUCT, STORE, SeriesSpec
 
-from conftest import SMALL
+from conftest import ROOT, SMALL
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +34,7 @@ def trained(features):
     return train_model(features, model_type="lightgbm", cv=2, n_estimators=2)
 
 
-def test_model_types():
+def test_model_types(spark):
     boosted = initialize_model("lightgbm")
     assert isinstance(boosted, GBTRegressor) and boosted.getMaxIter() == 1000
     assert (boosted.getStepSize(), boosted.getSeed()) == (0.05, 42)
@@ -59,25 +63,65 @@ def test_matrix_is_chronological(spark, features):
     expected = [r["quantity"] for r in features.orderBy("year", "week", STORE, PRODUCT).collect()]
     assert made == expected
     excluded = {"quantity", "marca", "fabricante"}
-    assert not excluded & set(matrix.plan.plain + matrix.plan.nullable + matrix.plan.indexed)
+    assert not excluded & set(matrix.plan.plain + matrix.plan.nullable + matrix.plan.coded)
     assert not [c for c in matrix.plan.inputs if "encoded" in c]
     strict = plan_matrix(features, strict_features=True)
     assert "gross_value" in matrix.plan.plain and "gross_value" not in strict.inputs
 
 
-def test_gaps_and_large_categories(spark):
+def test_gaps_and_categories_of_any_size(spark):
+    """Five thousand labels reach the model as five thousand codes."""
     df = spark.createDataFrame(
-        [(float(i), None if i % 2 else float(i), f"c{i % 3}", f"id{i}") for i in range(100)],
-        "quantity double, gap double, small string, large string")
-    plan = plan_matrix(df, max_categories=32)
-    assert (plan.nullable, plan.indexed, plan.hashed) == (["gap"], ["small"], ["large"])
-    made = matrix_stages(plan, 32).fit(df).transform(df)
-    for r in made.collect():
-        gap, missing, small, bucket = r["features"].toArray()
-        assert (gap, missing) == ((-1.0, 1.0) if r["gap"] is None else (r["gap"], 0.0))
-        assert small == int(r["small"][1:]) and 0 <= bucket < 32
-    unseen = spark.createDataFrame([(None, "new", None)], "gap double, small string, large string")
-    assert matrix_stages(plan, 32).fit(df).transform(unseen).first()["features"].toArray()[2] == 3
+        [(i % 40, float(i), None if i % 2 else float(i), f"c{i % 3}", f"id{i:05d}") for i in range(5000)],
+        "year int, quantity double, gap double, small string, large string")
+    spec = SeriesSpec(("large",), ("year",))
+    matrix = prepare_training_data(df, spec=spec)
+    assert (matrix.plan.nullable, matrix.plan.coded) == (["gap"], ["small", "large"])
+    assert matrix.plan.inputs == ["year", "gap_filled", "gap_missing", "small_code", "large_code"]
+    vectors = {tuple(r["features"].toArray()) for r in matrix.rows.collect()}
+    assert {v[4] for v in vectors} == set(map(float, range(5000)))
+    labels = {r["label"]: r["features"].toArray() for r in matrix.rows.collect()}
+    for i in (0, 1, 17, 4999):
+        expected = (i % 40, -1.0 if i % 2 else i, float(i % 2), i % 3, i)
+        assert tuple(labels[float(i)]) == expected
+    unseen = spark.createDataFrame([(1, None, "new", None)], "year int, gap double, small string, large string")
+    coded = add_codes(unseen, matrix.dictionary, ["small", "large"]).first()
+    assert (coded["small_code"], coded["large_code"], coded["small"]) == (-1, -1, "new")
+
+
+MODEL_SCRIPT = """
+import sys
+from demandloom.models import generate_forecast, train_model
+from demandloom.operators.clean import preprocess_pdv, preprocess_products, select_sales
+from demandloom.plans.features import create_features
+from demandloom.session import local_session
+from demandloom.sources import drop_staged, stage
+from demandloom.sources.tpch_retail import retail_tables
+from pyspark.sql import functions as F
+
+cores, shuffles, folder = sys.argv[1:]
+spark = local_session(cores, int(shuffles), folder=folder)
+tables = retail_tables(spark, "/root/testdata/sf0.001")
+features = stage(create_features(select_sales(tables.transactions, None), preprocess_pdv(tables.stores),
+                                 preprocess_products(tables.products), digits=6), "features")
+import demandloom.models.train as train
+train.MATRIX_ROWS = 700
+trained = train_model(features, cv=2, n_estimators=3, stored=True)
+rows = generate_forecast(trained.model, features)
+print("DIGEST", rows.agg(F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")), F.count("*")).first())
+drop_staged(spark)
+"""
+
+
+def test_forecast_does_not_depend_on_the_machine(tmp_path):
+    found = set()
+    for cores, shuffles in (("2", "8"), ("4", "32"), ("8", "8")):
+        made = subprocess.run(
+            [sys.executable, "-c", MODEL_SCRIPT, cores, shuffles, str(tmp_path / cores)], cwd=ROOT,
+            env={**os.environ, "PYTHONPATH": ROOT}, capture_output=True, text=True, timeout=600)
+        found |= {line for line in made.stdout.splitlines() if line.startswith("DIGEST")}
+        assert made.returncode == 0, made.stderr[-2000:]
+    assert len(found) == 1
 
 
 def test_forecast_covers_every_series_and_step(features, trained):
@@ -99,7 +143,7 @@ def test_importance_names_every_input(trained):
 
 
 def test_saved_model_scores_the_same(features, trained, tmp_path):
-    loaded = load_model(save_model(trained.model, str(tmp_path / "model")))
+    loaded = load_model(features.sparkSession, save_model(trained.model, str(tmp_path / "model")))
     first, second = (sorted(map(tuple, generate_forecast(m, features, 2).collect()))
                      for m in (trained.model, loaded))
     assert first == second

@@ -8,7 +8,7 @@ from conftest import SMALL
 
 def test_whole_run(spark, tmp_path):
     result = run_forecast(retail_tables(spark, SMALL), str(tmp_path), year=1997,
-                          model_type="random_forest", cv_folds=2, n_estimators=2, reports=True)
+                          model_type="random_forest", cv_folds=2, n_estimators=2, reports=True, digits=6)
     summary = result.summary.first()
     forecast = result.forecast.toPandas()
     assert summary["total_units"] == forecast["quantidade"].sum()

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -14,12 +15,13 @@ def test_staged_frames_survive_their_source(spark, tmp_path):
     spark.range(10).write.parquet(source)
     staged = stage(spark.read.parquet(source).filter("id > 3"), "numbers")
     assert staged.count() == 6
-    assert shared_folder(spark) in staged.inputFiles()[0]
+    assert shared_folder(spark).removeprefix("file:") in staged.inputFiles()[0]
 
 
 def session(folder, chosen=None, master="spark://host:7077"):
-    context = SimpleNamespace(getCheckpointDir=lambda: chosen, master=master)
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder),
+    context = SimpleNamespace(getCheckpointDir=lambda: chosen, master=master, applicationId="app")
+    found = {"spark.checkpoint.dir": folder}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: found.get(key, default)),
                            sparkContext=context)
 
 
@@ -28,12 +30,18 @@ def test_shared_folder_comes_from_the_session():
     assert shared_folder(session(None, "hdfs://chosen")) == "hdfs://chosen"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session(None))
-    assert shared_folder(session(None, master="local[2]"))
+    assert shared_folder(session(None, master="local[2]")) == "spark-warehouse/staging"
+
+
+def test_nothing_is_kept_outside_the_session_folder():
+    package = Path(staging.__file__).parent.parent
+    assert not [p for p in package.rglob("*.py") if "tempfile" in p.read_text() and "llm" not in p.parts]
 
 
 def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_folder", lambda _: f"file:{tmp_path}/shared")
     assert stage(spark.range(3), "ids").count() == 3
+    (tmp_path / "shared" / "demandloom" / spark.sparkContext.applicationId / "checkpoints").mkdir()
     drop_staged(spark)
     assert not list((tmp_path / "shared" / "demandloom").iterdir())
 
@@ -81,8 +89,8 @@ def test_forecast_file(spark, tmp_path):
     forecast = spark.createDataFrame([(1, 1023, 123, 120.0)],
                                      "semana int, pdv long, produto long, quantidade double")
     path = write_forecast_csv(forecast, str(tmp_path), dt.datetime(2023, 1, 2, 3, 4, 5))
-    assert path.endswith("sales_forecast_20230102_030405.csv")
-    parts = [p.read_text().splitlines() for p in
-             (tmp_path / "sales_forecast_20230102_030405.csv").iterdir() if p.suffix == ".csv"]
+    other = write_forecast_csv(forecast, str(tmp_path), dt.datetime(2023, 1, 2, 3, 4, 5))
+    assert other != path and Path(path).name.startswith("sales_forecast_20230102_030405_")
+    parts = [p.read_text().splitlines() for p in Path(path).iterdir() if p.suffix == ".csv"]
     assert all(lines[0] == "semana;pdv;produto;quantidade" for lines in parts)
     assert [line for lines in parts for line in lines[1:]] == ["1;1023;123;120"]

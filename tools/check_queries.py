@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from demandloom.queries import ORACLE, QUERIES  # noqa: E402
 from demandloom.session import local_session  # noqa: E402
+from demandloom.sources import drop_staged  # noqa: E402
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -80,6 +81,7 @@ def main() -> int:
         failed += bool(problem)
         print(f"{'FAIL' if problem else 'ok  '} {name:30s} {time.time() - start:6.2f}s {verdict}",
               flush=True)
+    drop_staged(spark)
     print(f"{len(names) - failed} of {len(names)} fine")
     return 1 if failed else 0
 
