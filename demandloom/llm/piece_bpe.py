@@ -24,7 +24,7 @@ from ._tables import map_rows
 
 MARK = "▁"
 # Words that one Python worker remembers twice over (lately and before), and the longest of them.
-MEMORY_WORDS, MEMORY_CHARS = 300_000, 40
+MEMORY_WORDS, MEMORY_CHARS = 400_000, 40
 # New words that are given to the library together.
 CHECK_WORDS = 8192
 # Kinds of pieces in the model file.

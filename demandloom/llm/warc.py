@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import shared_folder, stage
+from ..sources.staging import application_folder, stage
 from ._tables import map_rows
 
 # A file is closed once it is this long.
@@ -87,7 +87,7 @@ def write_archives(pages: DataFrame, min_payload: int = MIN_PAYLOAD, archive_byt
     A task that is run again writes files of its own, and only those of the attempt that Spark counts are
     listed. An empty table writes nothing.
     """
-    folder = f"{shared_folder(pages.sparkSession)}/demandloom-warc/{uuid.uuid4().hex}"
+    folder = f"{application_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         store, base = fs.FileSystem.from_uri(folder)
