@@ -18,7 +18,8 @@ HEADLINE = (
     "clean_transactions", "quantiles", "star_join", "weekly_rollup",
     "weekly_lags_and_ratios", "lags", "rolling",
     "lags_long_series", "weekly_features", "category_apply", "time_split", "time_folds",
-    "fold_summary", "horizon_features", "forecast_units", "forecast", "trend_weekly",
+    "fold_summary", "horizon_features", "forecast_units", "forecast", "forecast_forest", "training_metrics",
+    "rolling_long_series", "ratios_filled", "weekly_rollup_sparse", "trend_weekly",
     "top_categories", "seasonality_week", "forecast_vs_actual", "correlation", "correlation_weekly",
     "error_histogram", "density", "decompose_additive", "decompose_by_store",
 )
