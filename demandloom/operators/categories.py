@@ -26,7 +26,8 @@ def fit_categories(df: DataFrame, columns=CATEGORIES) -> DataFrame:
     entries = [F.struct(F.lit(c).alias("column_name"),
                         F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("value"))
                for c in present]
-    values = (df.select(F.explode(F.array(*entries)).alias("entry"))
+    # Combinations first: they are few, and only these are expanded to a row per column.
+    values = (df.select(*present).distinct().select(F.explode(F.array(*entries)).alias("entry"))
                 .select("entry.column_name", "entry.value").distinct())
     # Written out before it is used: the range of a value must not change between two reads.
     ranged = stage(values.repartitionByRange("column_name", "value")
