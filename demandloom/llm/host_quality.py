@@ -111,8 +111,9 @@ def apply_quality_rules(documents: DataFrame, text: str = "text", host: str = "s
     """Columns ``carry`` of every document, its measures, ``base_failed``, ``host_rejected``, ``kept``.
 
     A null or empty text has no words and fails. Repeated rows are judged and counted one by one; an
-    empty table gives no rows. Measures are written to the shared folder once; the hosts' verdicts are
-    joined back as a table, so a host with a third of all rows only makes a join that Spark can split.
+    empty table gives no rows. Measures are written to the shared folder once, and so are the rejected
+    hosts: Spark joins them back by broadcast if they are few, and otherwise by a join that it can split
+    where a host has a third of all rows.
     """
     measured = documents.select(
         F.struct(*[F.col(c) for c in carry]).alias("_row") if carry else F.lit(None).alias("_row"),
@@ -120,8 +121,9 @@ def apply_quality_rules(documents: DataFrame, text: str = "text", host: str = "s
     measured = measured.select("_row", "_host", "_m.*").withColumn(
         "base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     judged = stage(measured, "quality-measures")
-    bad = (host_verdicts(judged, "_host", "base_failed", max_rate).filter("host_rejected")
-           .select(F.col("host").alias("_bad_host"), F.lit(True).alias("_bad")))
+    # Written first, so its size is known when the join is planned: few hosts need no shuffle of documents.
+    bad = stage(host_verdicts(judged, "_host", "base_failed", max_rate).filter("host_rejected").select(
+        F.col("host").alias("_bad_host"), F.lit(True).alias("_bad")), "rejected-hosts")
     rejected = F.coalesce("_bad", F.lit(False))
     made = (judged.join(bad, F.col("_host").eqNullSafe(F.col("_bad_host")), "left")
             .withColumn("host_rejected", rejected)
