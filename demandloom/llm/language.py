@@ -95,7 +95,9 @@ class Pieces:
 
 def words_of(text: str) -> list[str]:
     """Lower-cased runs of letters, marked at the start; very long runs in parts."""
-    found = [w for w in LETTERS.findall(text.lower()) if w.isalpha()]
+    found = LETTERS.findall(text.lower())
+    if not all(map(str.isalpha, found)):  # some signs count as word characters, but are no letters
+        found = [w for w in ("".join(filter(str.isalpha, w)) for w in found) if w]
     if any(len(w) > LONGEST_WORD for w in found):
         found = [w[i:i + LONGEST_WORD] for w in found for i in range(0, len(w), LONGEST_WORD)]
     return [MARK + w for w in found]
