@@ -75,7 +75,7 @@ def test_odd_texts_get_a_defined_answer(documents, rows):
     table = documents(TRAIN)
     model = language.learn(table, VOCABULARY)
     odd = documents([(1, None), (2, ""), (3, "123 !? ²_"), (4, "日本"), (5, "the " * 30_000), (6, "x" * 50_000), (None, "the dog"),
-                     (7, "THE DOG"), (7, "THE DOG"), (8, "é́")])
+                     (7, "THE DOG"), (7, "THE DOG"), (8, "é́"), (9, "theⅧ dog")])
     made = {r[0]: (r[1], r[2]) for r in rows(language.identify(odd, model, VOCABULARY))}
     assert made[1] == made[2] == made[3] == ("und", 0.0)
     assert made[5][0] == made[7][0] == made[9][0] == made[None][0] == "en" and made[4][0] in ("de", "en")
