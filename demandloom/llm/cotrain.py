@@ -15,7 +15,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,7 @@ LABELLED, UNLABELLED, MARKED = 12_000, 4_000, 300
 ROUNDS = 3
 # How sure a view must be to mark a document, and the score from which documents are kept.
 SURE, KEEP = 0.98, 0.5
-TEXT_SIZE, PAGE_SIZE = 1 << 18, 1 << 12
+PAGE_SIZE = 1 << 12
 # Words take part if their share in good and bad documents differs by this much (a likelihood ratio;
 # 15 happens by chance to about one word in 10,000); what is known of a page always does.
 TEXT_EVIDENCE, PAGE_EVIDENCE = 15.0, 0.0
@@ -48,7 +48,12 @@ def text_tokens(text: str) -> set[str]:
     return words | {f"{w[:n]}~" for n in STARTS for w in words if len(w) > n}
 
 
-def _slot(token: str, size: int) -> int:
+def _word(token: str) -> int:
+    """A word as a signed 32-bit checksum: few enough words matter for another one to meet them rarely."""
+    return zlib.crc32(token.encode()) - (1 << 31)
+
+
+def _slot(token: str, size: int = PAGE_SIZE) -> int:
     return zlib.crc32(token.encode()) & (size - 1)
 
 
@@ -98,6 +103,7 @@ class Model:
     page: View
     slope: float = 1.0
     offset: float = 0.0
+    words: dict[int, float] = field(default_factory=dict)
 
     def odds(self, text_sums, page_sums):
         doubtful = np.minimum(self.text.odds(text_sums), self.page.odds(page_sums))
@@ -208,10 +214,11 @@ def _surest(odds: np.ndarray, sure: float, most: int) -> tuple[np.ndarray, np.nd
     return good, order[odds[order] <= -limit][:most]
 
 
-def co_train(examples: list[tuple], pool: list[tuple], rounds: int = ROUNDS, sure: float = SURE,
-             marked: int = MARKED) -> Model | None:
+def co_train(examples: list[tuple], pool: list[tuple], sizes: tuple[int, int], rounds: int = ROUNDS,
+             sure: float = SURE, marked: int = MARKED) -> Model | None:
     """Fit on ``(text features, page features, good)`` and a pool of ``(text features, page features)``.
 
+    Features are numbers below ``sizes``.
     Every fourth example is kept aside for calibration. Nothing is fitted unless there are good and bad
     examples.
     """
@@ -221,7 +228,7 @@ def co_train(examples: list[tuple], pool: list[tuple], rounds: int = ROUNDS, sur
     if not len(labels) or labels.min() == labels.max():
         return None
     test = np.array([e[2] for e in aside], bool)
-    sizes, least, views = (TEXT_SIZE, PAGE_SIZE), (TEXT_EVIDENCE, PAGE_EVIDENCE), [None, None]
+    least, views = (TEXT_EVIDENCE, PAGE_EVIDENCE), [None, None]
     extra: list[dict[int, bool]] = [{}, {}]
     for turn in range(rounds + 1):
         for v in (0, 1):
@@ -245,8 +252,8 @@ def _features(documents: DataFrame, extra: list[str]) -> DataFrame:
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         for text, source, lang, *rest in rows:
             text = text or ""
-            words = sorted({_slot(t, TEXT_SIZE) for t in text_tokens(text)})
-            page = sorted({_slot(t, PAGE_SIZE) for t in page_tokens(text, source, lang)})
+            words = sorted(set(map(_word, text_tokens(text))))
+            page = sorted(set(map(_slot, page_tokens(text, source, lang))))
             yield words, page, *rest
 
     kinds = dict(documents.dtypes)
@@ -273,21 +280,31 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED,
     found = _features(sample, ["doc_id", "place", "good"]).toArrow().combine_chunks()
     if not found.num_rows:
         return None
-    words, page = (_lists(found[c].chunk(0), size, least) for c, size, least in (
-        ("words", TEXT_SIZE, LEAST_DOCUMENTS), ("page", PAGE_SIZE, 1)))
+    names, words = _numbered(found["words"].chunk(0))
+    _, page = _numbered(found["page"].chunk(0), number=False)
     good = found["good"].to_pylist()
     in_order = np.lexsort((found["doc_id"].to_numpy(), found["place"].to_numpy())).tolist()
     rows = [(words[i], page[i], good[i]) for i in in_order]
-    return co_train([r for r in rows if r[2] is not None], [r[:2] for r in rows if r[2] is None], rounds)
+    model = co_train([r for r in rows if r[2] is not None], [r[:2] for r in rows if r[2] is None],
+                     (len(names), PAGE_SIZE), rounds)
+    if model is not None:
+        used = np.flatnonzero(model.text.weights)
+        model.words = dict(zip(names[used].tolist(), model.text.weights[used].tolist(), strict=True))
+    return model
 
 
-def _lists(column, size: int, least: int) -> list[np.ndarray]:
-    """The features of each row, without those of fewer than ``least`` rows."""
+def _numbered(column, number: bool = True) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The features of each row; words as numbers, without those of fewer than ``LEAST_DOCUMENTS`` rows."""
     values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-    here = np.bincount(values, minlength=size)[values] >= least
-    ends = np.append(0, np.cumsum(here))[offsets]
-    values = values[here]
-    return [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+    names = values[:0]
+    if number:
+        # Most words are rare, and a coarse count already shows that.
+        coarse = values & (1 << 22) - 1
+        here = np.bincount(coarse, minlength=1 << 22)[coarse] >= LEAST_DOCUMENTS
+        offsets = np.append(0, np.cumsum(here, dtype=np.int32))[offsets]
+        names, values = np.unique(values[here], return_inverse=True)
+        values = values.astype(np.int32)
+    return names, [values[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
 def _scorer(model: Model):
@@ -299,14 +316,14 @@ def _scorer(model: Model):
             if found is None:
                 if len(known) > MEMORY_WORDS:
                     known.clear()
-                found = known[token] = float(model.text.weights[_slot(token, TEXT_SIZE)])
+                found = known[token] = model.words.get(_word(token), 0.0)
             return found
 
         for texts, sources, langs in batches:
             sums = np.zeros((len(texts), 2))
             for i, (text, source, lang) in enumerate(zip(texts, sources, langs, strict=True)):
                 text, source, lang = (v if isinstance(v, str) else None for v in (text, source, lang))
-                page = {_slot(t, PAGE_SIZE) for t in page_tokens(text or "", source, lang)}
+                page = set(map(_slot, page_tokens(text or "", source, lang)))
                 sums[i] = (sum(map(weight, text_tokens(text or ""))), model.page.weights[list(page)].sum())
             yield pd.DataFrame({
                 "text_score": _sigmoid(model.text.odds(sums[:, 0])),
