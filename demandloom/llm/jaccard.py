@@ -41,7 +41,7 @@ SHARED = 4
 # memory, fewer only make the product larger: any order of the columns gives the same links.
 FREQUENT_COLUMNS = 1 << 17
 # Shingles that one task counts together.
-COUNT_BATCH = 1 << 21
+COUNT_BATCH = 1 << 20
 # Bits of the filter that spares most texts from being cut again; a full one spares none.
 FILTER_BITS = 24
 # Bytes of a text that are hashed together.
