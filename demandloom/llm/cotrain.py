@@ -15,7 +15,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -218,9 +218,8 @@ def co_train(examples: list[tuple], pool: list[tuple], sizes: tuple[int, int], r
              sure: float = SURE, marked: int = MARKED) -> Model | None:
     """Fit on ``(text features, page features, good)`` and a pool of ``(text features, page features)``.
 
-    Features are numbers below ``sizes``.
-    Every fourth example is kept aside for calibration. Nothing is fitted unless there are good and bad
-    examples.
+    Features are numbers below ``sizes``. Every fourth example is kept aside for calibration. Nothing is
+    fitted unless there are good and bad examples.
     """
     aside = [e for i, e in enumerate(examples) if i % 4 == 3]
     kept = [e for i, e in enumerate(examples) if i % 4 != 3]
@@ -266,7 +265,8 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED,
     """Fit on documents of ``doc_id, text, source, lang`` and labels of ``doc_id, quality, toxic``.
 
     Samples are the smallest hashes of ids, so they don't depend on partitions. A document with several
-    labels is good only if all say so; labels without a quality are left out.
+    labels is good only if all say so; labels without a quality are left out. Of rows with one id, the one
+    with the smallest hash of its text is taken, however many there are.
     """
     order = F.xxhash64("doc_id")
     judged = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
@@ -276,8 +276,12 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED,
     others = (named.select("doc_id").distinct().join(judged, "doc_id", "left_anti")
               .orderBy(order, "doc_id").limit(unlabelled).withColumn("good", F.lit(None).cast("boolean")))
     # The sample's size is bounded by the parameters.
-    sample = named.join(F.broadcast(chosen.unionByName(others)), "doc_id").withColumn("place", order)
-    found = _features(sample, ["doc_id", "place", "good"]).toArrow().combine_chunks()
+    sample = named.join(F.broadcast(chosen.unionByName(others)), "doc_id").withColumns(
+        {"place": order, "version": F.xxhash64("text", "source", "lang")})
+    row = ("words", "page", "place", "good")
+    one = _features(sample, ["doc_id", "place", "good", "version"]).groupBy("doc_id").agg(
+        F.min_by(F.struct(*row), "version").alias("row"))
+    found = one.select("doc_id", "row.*").toArrow().combine_chunks()
     if not found.num_rows:
         return None
     names, words = _numbered(found["words"].chunk(0))
@@ -290,6 +294,7 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED,
     if model is not None:
         used = np.flatnonzero(model.text.weights)
         model.words = dict(zip(names[used].tolist(), model.text.weights[used].tolist(), strict=True))
+        model.text = replace(model.text, weights=np.empty(0))  # tasks look words up by name
     return model
 
 

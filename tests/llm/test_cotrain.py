@@ -56,6 +56,14 @@ def test_fit_does_not_depend_on_partitions(fitted):
     assert again.words == model.words and again.slope == model.slope
 
 
+def test_repeated_rows_count_once_in_the_fit(fitted):
+    docs, marks, model = fitted
+    hot = docs.filter("doc_id = 3")
+    for _ in range(6):
+        hot = hot.unionByName(hot)
+    assert cotrain.fit(docs.unionByName(hot), marks).words == model.words
+
+
 def test_sure_marks_of_one_view_teach_the_other():
     # Only the page tells the classes apart in the pool; its words are new to the text view.
     good, bad = [([1], [1], True)] * 40, [([2], [2], False)] * 40
