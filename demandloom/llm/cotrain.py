@@ -35,6 +35,8 @@ PAGE_SIZE = 1 << 12
 # 15 happens by chance to about one word in 10,000); what is known of a page always does.
 TEXT_EVIDENCE, PAGE_EVIDENCE = 15.0, 0.0
 MEMORY_WORDS = 300_000
+# Features of the sample that are added up together.
+FIT_PART = 1 << 20
 # A word of fewer documents of the sample can't be evidence and is dropped before fitting.
 LEAST_DOCUMENTS = 3
 # Starts of words that are features besides the words, in characters.
@@ -127,10 +129,19 @@ class Rows:
         return kept
 
     def sums(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, weights[self.columns], minlength=len(self.lengths))
+        return _added(self.owner, self.columns, weights, len(self.lengths))
 
     def spread(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.columns, values[self.owner], minlength=self.size)
+        return _added(self.columns, self.owner, values, self.size)
+
+
+def _added(to: np.ndarray, at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """``values[at]`` added up by ``to``, in parts that keep copies small."""
+    out = np.zeros(size)
+    for start in range(0, len(to), FIT_PART):
+        part = slice(start, start + FIT_PART)
+        out += np.bincount(to[part], values[at[part]], minlength=size)
+    return out
 
 
 def _sigmoid(z):
@@ -307,8 +318,10 @@ def _numbered(column, number: bool = True) -> tuple[np.ndarray, list[np.ndarray]
         coarse = values & (1 << 22) - 1
         here = np.bincount(coarse, minlength=1 << 22)[coarse] >= LEAST_DOCUMENTS
         offsets = np.append(0, np.cumsum(here, dtype=np.int32))[offsets]
-        names, values = np.unique(values[here], return_inverse=True)
-        values = values.astype(np.int32)
+        values = values[here]
+        names = np.unique(values)
+        values = np.concatenate([np.searchsorted(names, values[i:i + FIT_PART]).astype(np.int32)
+                                 for i in range(0, max(1, len(values)), FIT_PART)])
     return names, [values[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
