@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import map_rows
+from ._tables import READ_ROWS, map_rows
 
 # Bounds of the samples used for fitting: labelled documents, unlabelled ones to mark, and marks that a
 # view may add per class and round.
@@ -326,7 +326,9 @@ def _numbered(column, number: bool = True) -> tuple[np.ndarray, list[np.ndarray]
 
 
 def _scorer(model: Model):
-    def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    names = ("text_score", "page_score", "score")
+
+    def score(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         known: dict[str, float] = {}
 
         def weight(token: str) -> float:
@@ -337,18 +339,22 @@ def _scorer(model: Model):
                 found = known[token] = model.words.get(_word(token), 0.0)
             return found
 
-        for texts, sources, langs in batches:
-            sums = np.zeros((len(texts), 2))
-            for i, (text, source, lang) in enumerate(zip(texts, sources, langs, strict=True)):
-                text, source, lang = (v if isinstance(v, str) else None for v in (text, source, lang))
-                page = set(map(_slot, page_tokens(text or "", source, lang)))
-                sums[i] = (sum(map(weight, text_tokens(text or ""))), model.page.weights[list(page)].sum())
-            yield pd.DataFrame({
-                "text_score": _sigmoid(model.text.odds(sums[:, 0])),
-                "page_score": _sigmoid(model.page.odds(sums[:, 1])),
-                "score": _sigmoid(model.odds(sums[:, 0], sums[:, 1]))})
-
-    return F.pandas_udf(score, "text_score double, page_score double, score double")
+        def sums(text: str | None, source: str | None, lang: str | None) -> tuple[float, float]:
+            page = set(map(_slot, page_tokens(text or "", source, lang)))
+            return sum(map(weight, text_tokens(text or ""))), float(model.page.weights[list(page)].sum())
+
+        for columns in batches:
+            found = np.zeros((len(columns[0]), 2))
+            # A few rows at a time: texts take more room in Python than in the batch.
+            for start in range(0, len(found), READ_ROWS):
+                part = zip(*(c.slice(start, READ_ROWS).to_pylist() for c in columns), strict=True)
+                for i, row in enumerate(part, start):
+                    found[i] = sums(*row)
+            words, page = found.T
+            made = (model.text.odds(words), model.page.odds(page), model.odds(words, page))
+            yield pa.StructArray.from_arrays([pa.array(_sigmoid(odds)) for odds in made], names=names)
+
+    return F.arrow_udf(score, ", ".join(f"{name} double" for name in names))
 
 
 def scores(model: Model | None, text: Column, source: Column, lang: Column) -> Column:
