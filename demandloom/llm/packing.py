@@ -8,18 +8,25 @@ bucket, so no sequence crosses documents and nothing is padded.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import os
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ._tables import map_rows
 
 LONGEST = 2048
 END_ID = 1
+# tiktoken's expression fails on runs of nearly a million white-space characters; texts with runs from
+# this length on are left to the tokenizers library.
+LONG_SPACE = 100_000
+SPACE = re.compile(r"\s+")
 
 
 def byte_bpe(ranks_path: str) -> tiktoken.Encoding:
@@ -34,6 +41,26 @@ def byte_bpe(ranks_path: str) -> tiktoken.Encoding:
                              special_tokens={})
 
 
+def holds_long_space(text: str) -> bool:
+    return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in SPACE.finditer(text))
+
+
+def encoder(ranks_path: str) -> Callable[[str], list[int]]:
+    """Texts to ids: by tiktoken, and by the ``.json`` beside the ranks where white space is very long."""
+    fast, slow = byte_bpe(ranks_path), None
+
+    def encode(text: str) -> list[int]:
+        nonlocal slow
+        if not holds_long_space(text):
+            return fast.encode_ordinary(text)
+        if slow is None:
+            slow = Tokenizer.from_file(os.path.splitext(ranks_path)[0] + ".json")
+            slow.encode_special_tokens = True
+        return slow.encode(text, add_special_tokens=False).ids
+
+    return encode
+
+
 def binary_lengths(n: int, longest: int = LONGEST) -> list[int]:
     """Powers of two that add up to ``n``: as many of the longest as fit, then the binary digits."""
     whole, rest = divmod(n, longest)
@@ -53,9 +80,9 @@ def pack(documents: DataFrame, ranks_path: str, key: str = "doc_id", text: str =
         raise ValueError("the longest sequence must be a power of two")
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        encoding = byte_bpe(ranks_path)
+        encode = encoder(ranks_path)
         for name, value in rows:
-            ids = np.array([*encoding.encode_ordinary(value or ""), end_id], dtype="<u4")
+            ids = np.array([*encode(value or ""), end_id], dtype="<u4")
             start = 0
             for length in binary_lengths(len(ids), longest):
                 yield name, start, length, ids[start:start + length].tobytes(), len(ids)

@@ -27,6 +27,14 @@ def test_ids_are_those_of_the_tokenizers_library(spark, tokenizer):
         assert encoding.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_very_long_white_space(documents, tokenizer):
+    texts = ["a" + " " * 3_000_000 + "b<|endoftext|>", "\n" * 3_000_000]
+    found = packing.pack(documents([*enumerate(texts)]), RANKS).toPandas().sort_values(["doc_id", "start"])
+    for key, text in enumerate(texts):
+        ids = np.concatenate([np.frombuffer(b, "<u4") for b in found["ids"][found["doc_id"] == key]])
+        assert np.array_equal(ids, [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID])
+
+
 def test_pieces_are_powers_of_two_and_join_to_the_document(documents, tokenizer):
     table = documents([*enumerate(TEXTS), (3, "a"), (None, "b")])
     found = packing.pack(table, RANKS).toPandas()
