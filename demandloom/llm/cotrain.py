@@ -1,12 +1,13 @@
 """A quality classifier from two views that teach each other.
 
 One view sees the words of a text, the other what is known about the page: source, language, length and
-layout. Both are fitted on labelled documents; then, over some rounds, each marks the unlabelled documents
-it is surest about and these join the other view's examples. Scores of both views are calibrated on
+layout. Both are fitted on labelled documents; then, in every round, each scores all unlabelled documents
+and marks those it is sure about, and the features of all marked and labelled documents are counted by
+class for the other view: they set the weights its next fit starts from. Scores of both views are calibrated on
 labelled documents kept aside, combined, and used to score all documents.
 
-A document is good if its quality label is 1 and its toxic label is not. Fitting uses bounded samples
-(``LABELLED``, ``UNLABELLED``, ``MARKED``); scoring reads every whole text.
+A document is good if its quality label is 1 and its toxic label is not. Only the labelled documents used
+for fitting are bounded (``LABELLED``); marking and scoring read every whole text.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -22,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from ._tables import READ_ROWS, map_rows
 
-# Bounds of the samples used for fitting: labelled documents, unlabelled ones to mark, and marks that a
-# view may add per class and round.
-LABELLED, UNLABELLED, MARKED = 12_000, 4_000, 300
+# The labelled documents used for fitting.
+LABELLED = 12_000
 ROUNDS = 3
 # How sure a view must be to mark a document, and the score from which documents are kept.
 SURE, KEEP = 0.98, 0.5
@@ -37,8 +38,13 @@ TEXT_EVIDENCE, PAGE_EVIDENCE = 15.0, 0.0
 MEMORY_WORDS = 300_000
 # Features of the sample that are added up together.
 FIT_PART = 1 << 20
-# A word of fewer documents of the sample can't be evidence and is dropped before fitting.
+# A word of fewer documents can't be evidence.
 LEAST_DOCUMENTS = 3
+# Among marked documents a word has to be so many times as frequent in bad ones: there are so many of them
+# that smallest differences would be evidence.
+MARKED_TIMES = 3
+# Features of marked documents that a task holds before it counts them.
+COUNT_PART = 1 << 22
 # Starts of words that are features besides the words, in characters.
 STARTS = (4, 5)
 TOKENS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
@@ -92,6 +98,8 @@ class View:
     bias: float
     slope: float = 1.0
     offset: float = 0.0
+    # Weights of words that only marked documents have, by checksum.
+    others: dict[int, float] = field(default_factory=dict)
 
     def odds(self, sums):
         return self.slope * (sums + self.bias) + self.offset
@@ -158,29 +166,37 @@ def _evidence(in_good: np.ndarray, in_bad: np.ndarray, good: float, bad: float)
     return ratio
 
 
-def fit_view(rows: list, good: np.ndarray, size: int, least: float, steps: int = 150,
-             decay: float = 0.02) -> View:
+def fit_view(rows: list, good: np.ndarray, size: int, least: float, start: np.ndarray | None = None,
+             steps: int = 150, decay: float = 0.02) -> View:
     """Logistic regression on the features with enough evidence, both classes weighing the same.
 
     Where evidence is asked for, it has to be evidence of bad documents: long texts collect many words
-    that are a little more frequent in good ones, and these would outvote a few bad words.
+    that are a little more frequent in good ones, and these would outvote a few bad words. Weights begin
+    at ``start`` and are drawn to it; features with one there always take part.
     """
     data, good = Rows(rows, size), good.astype(float)
     in_good, in_bad = data.spread(good), data.spread(1 - good)
     used = (in_good + in_bad > 0) & (_evidence(in_good, in_bad, good.sum(), (1 - good).sum()) >= least)
     if least:
-        used &= in_bad * good.sum() > in_good * (1 - good).sum()
+        used &= (in_bad * good.sum() > in_good * (1 - good).sum()) & (in_good + in_bad >= LEAST_DOCUMENTS)
+    if start is not None:
+        used |= start != 0
     data = data.only(used)
-    weights, bias = np.zeros(size), 0.0
+    places = np.flatnonzero(used)
+    data.columns, data.size = (np.cumsum(used, dtype=np.int32) - 1)[data.columns], len(places)
+    first = np.zeros(len(places)) if start is None else start[places]
+    weights, bias = first, 0.0
     balance = np.where(good > 0, 0.5 / max(1, good.sum()), 0.5 / max(1, (1 - good).sum()))
-    mean, square = np.zeros(size + 1), np.zeros(size + 1)
+    mean, square = np.zeros(len(places) + 1), np.zeros(len(places) + 1)
     for step in range(1, steps + 1):
         miss = (_sigmoid(data.sums(weights) + bias) - good) * balance
-        slope = np.append(data.spread(miss) + decay / len(rows) * weights, miss.sum())
+        slope = np.append(data.spread(miss) + decay / len(rows) * (weights - first), miss.sum())
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope ** 2
         move = 0.1 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-9)
         weights, bias = weights - move[:-1], bias - move[-1]
-    return View(weights, float(bias))
+    whole = np.zeros(size)
+    whole[places] = weights
+    return View(whole, float(bias))
 
 
 def _line(z: np.ndarray, good: np.ndarray) -> tuple[float, float]:
@@ -217,19 +233,44 @@ def calibrate(view: View, rows: list, good: np.ndarray) -> View:
     return View(view.weights, view.bias, *_line(sums, good))
 
 
-def _surest(odds: np.ndarray, sure: float, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions a view is sure are good, and those it is sure are bad, the surest first."""
-    limit = math.log(sure / (1 - sure))
-    order = np.argsort(-np.abs(odds), kind="stable")
-    good = order[odds[order] >= limit][:most]
-    return good, order[odds[order] <= -limit][:most]
+def _marked_weights(in_good: np.ndarray, in_bad: np.ndarray, good: float, bad: float, sure: float):
+    """Log ratio of a feature's shares in documents marked good and bad, of which some are marked wrongly."""
+    a, b = (in_good + 0.5) / (good + 1), (in_bad + 0.5) / (bad + 1)
+    return np.log((sure * a + (1 - sure) * b) / (sure * b + (1 - sure) * a))
 
 
-def co_train(examples: list[tuple], pool: list[tuple], sizes: tuple[int, int], rounds: int = ROUNDS,
-             sure: float = SURE, marked: int = MARKED) -> Model | None:
+def _limit(sure: float) -> float:
+    return math.log(sure / (1 - sure))
+
+
+def _marks_of_rows(kept: list[tuple], pool: list[tuple], sizes: tuple[int, int], views: list[View],
+                   sure: float) -> list[tuple]:
+    """The weights both views start from after the other one has marked the rows of ``pool``."""
+    data = [Rows([r[v] for r in kept + pool], sizes[v]) for v in (0, 1)]
+    labels, starts = np.array([e[2] for e in kept], bool), []
+    odds = [view.odds(d.sums(view.weights))[len(kept):] for view, d in zip(views, data, strict=True)]
+    for v, least in enumerate((TEXT_EVIDENCE, PAGE_EVIDENCE)):
+        sides = [np.append(given, found).astype(float) for given, found in (
+            (labels, odds[1 - v] >= _limit(sure)), (~labels, odds[1 - v] <= -_limit(sure)))]
+        in_good, in_bad = (data[v].spread(side) for side in sides)
+        good, bad = (float(side.sum()) for side in sides)
+        here = in_good + in_bad > 0
+        if least:
+            here &= ((in_good + in_bad >= LEAST_DOCUMENTS) & (in_bad * good >= MARKED_TIMES * in_good * bad)
+                     & (_evidence(in_good, in_bad, good, bad) >= least))
+        start = np.zeros(sizes[v])
+        start[here] = _marked_weights(in_good, in_bad, good, bad, sure)[here]
+        starts.append((start, {}))
+    return starts
+
+
+def co_train(examples: list[tuple], pool: list[tuple] | Callable, sizes: tuple[int, int], rounds: int = ROUNDS,
+             sure: float = SURE) -> Model | None:
     """Fit on ``(text features, page features, good)`` and a pool of ``(text features, page features)``.
 
-    Features are numbers below ``sizes``. Every fourth example is kept aside for calibration. Nothing is
+    Features are numbers below ``sizes``. The pool may also be a function that takes both views and how
+    sure they must be, lets them mark its documents, and returns for each view the weights to start from
+    and those of features beyond ``sizes``. Every fourth example is kept aside for calibration. Nothing is
     fitted unless there are good and bad examples.
     """
     aside = [e for i, e in enumerate(examples) if i % 4 == 3]
@@ -238,20 +279,16 @@ def co_train(examples: list[tuple], pool: list[tuple], sizes: tuple[int, int], r
     if not len(labels) or labels.min() == labels.max():
         return None
     test = np.array([e[2] for e in aside], bool)
-    least, views = (TEXT_EVIDENCE, PAGE_EVIDENCE), [None, None]
-    extra: list[dict[int, bool]] = [{}, {}]
+    least, views, starts = (TEXT_EVIDENCE, PAGE_EVIDENCE), [None, None], [(None, {}), (None, {})]
     for turn in range(rounds + 1):
-        for v in (0, 1):
-            rows = [e[v] for e in kept] + [pool[i][v] for i in extra[v]]
-            good = np.concatenate([labels, np.array(list(extra[v].values()), bool)])
-            views[v] = calibrate(fit_view(rows, good, sizes[v], least[v]), [e[v] for e in aside], test)
-        if turn == rounds or not pool:
-            break
-        for v in (0, 1):
-            odds = views[v].odds(Rows([p[v] for p in pool], sizes[v]).sums(views[v].weights))
-            good, bad = _surest(odds, sure, marked * (turn + 1))
-            # What one view is sure about becomes an example of the other.
-            extra[1 - v] = {int(i): True for i in good} | {int(i): False for i in bad}
+        for v, (start, others) in enumerate(starts):
+            views[v] = calibrate(fit_view([e[v] for e in kept], labels, sizes[v], least[v], start),
+                                 [e[v] for e in aside], test)
+            views[v].others = others
+        if turn < rounds:
+            # What one view is sure about teaches the other.
+            starts = pool(views, sure) if callable(pool) else _marks_of_rows(
+                kept, pool, sizes, views, sure)
     model = Model(*views)
     sums = [Rows([e[v] for e in aside], sizes[v]).sums(views[v].weights) for v in (0, 1)]
     model.slope, model.offset = _line(model.odds(*sums), test)
@@ -262,8 +299,8 @@ def _features(documents: DataFrame, extra: list[str]) -> DataFrame:
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         for text, source, lang, *rest in rows:
             text = text or ""
-            words = sorted(set(map(_word, text_tokens(text))))
-            page = sorted(set(map(_slot, page_tokens(text, source, lang))))
+            words = np.unique(np.array([*map(_word, text_tokens(text))], np.int32))
+            page = np.unique(np.array([*map(_slot, page_tokens(text, source, lang))], np.int32))
             yield words, page, *rest
 
     kinds = dict(documents.dtypes)
@@ -271,58 +308,159 @@ def _features(documents: DataFrame, extra: list[str]) -> DataFrame:
     return map_rows(documents.select("text", "source", "lang", *extra), work, schema)
 
 
-def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED,
-        unlabelled: int = UNLABELLED, rounds: int = ROUNDS) -> Model | None:
+def _parts(column) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, and how many each row has."""
+    offsets = column.offsets.to_numpy()
+    return column.values.to_numpy()[offsets[0]:offsets[-1]], np.diff(offsets)
+
+
+def _word_sums(values: np.ndarray, lengths: np.ndarray, known: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weights of each row's words added up; ``known`` words are sorted."""
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    if not len(known):
+        return np.zeros(len(lengths))
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    here = known[at] == values
+    return np.bincount(owner[here], weights[at[here]], minlength=len(lengths))
+
+
+def _marked_counts(pool: DataFrame, views: list[View], names: np.ndarray, sure: float) -> DataFrame:
+    """``view, feature, good, bad``: how many marked documents of each class have a feature of a view.
+
+    All documents of the pool without a label are scored by both views, and the marks of one count for
+    the other; labelled ones count as such. Views 2 and 3 hold the numbers of all these documents.
+    """
+    used = np.flatnonzero(views[0].weights)
+    found = dict(zip(names[used].tolist(), views[0].weights[used].tolist(), strict=True)) | views[0].others
+    known = np.array(sorted(found), np.int32)
+    weights = np.array([found[w] for w in known.tolist()], float)
+    page_weights, limit = views[1].weights, _limit(sure)
+    lines = [(v.slope, v.bias, v.offset) for v in views]
+    out = pa.schema([("view", pa.int32()), ("feature", pa.int32()), ("good", pa.int64()), ("bad", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, totals = [[[], []], [[], []]], np.zeros((2, 2), np.int64)
+
+        def made(view: int, side: int, features: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            nothing = np.zeros(len(counts), np.int64)
+            sides = (counts, nothing) if side == 0 else (nothing, counts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(counts), view, np.int32)), pa.array(features.astype(np.int32)),
+                 *map(pa.array, sides)], schema=out)
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for v in (0, 1):
+                for side in (0, 1):
+                    parts, held[v][side] = held[v][side], []
+                    if parts:
+                        yield made(v, side, *np.unique(np.concatenate(parts), return_counts=True))
+
+        size = 0
+        for batch in batches:
+            columns = [_parts(batch.column(name)) for name in ("words", "page")]
+            page, lengths = columns[1]
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            sums = (_word_sums(*columns[0], known, weights),
+                    np.bincount(owner, page_weights[page], minlength=len(lengths)))
+            odds = [slope * (s + bias) + offset for s, (slope, bias, offset) in zip(sums, lines, strict=True)]
+            given = batch.column("good").fill_null(False).to_numpy(zero_copy_only=False)
+            labelled = batch.column("good").is_valid().to_numpy(zero_copy_only=False)
+            for v, (values, lengths) in enumerate(columns):
+                for side, marked in enumerate((np.where(labelled, given, odds[1 - v] >= limit),
+                                               np.where(labelled, ~given, odds[1 - v] <= -limit))):
+                    totals[v, side] += marked.sum()
+                    held[v][side].append(values[np.repeat(marked, lengths)])
+                    size += len(held[v][side][-1])
+            if size >= COUNT_PART:
+                yield from counted()
+                size = 0
+        yield from counted()
+        for v in (0, 1):
+            for side in (0, 1):
+                yield made(v + 2, side, np.zeros(1), totals[v, side:side + 1])
+
+    return (pool.select("words", "page", "good").mapInArrow(run, "view int, feature int, good long, bad long")
+            .groupBy("view", "feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
+
+
+def _marks_of_table(pool: DataFrame, names: np.ndarray, views: list[View], sure: float) -> list[tuple]:
+    """The same as ``_marks_of_rows`` for staged features; only features that tell reach the driver."""
+    counts = stage(_marked_counts(pool, views, names, sure), "marks")
+    totals = {r["view"] - 2: (float(r["good"]), float(r["bad"])) for r in counts.filter("view >= 2").collect()}
+    starts = []
+    for v, least in enumerate((TEXT_EVIDENCE, PAGE_EVIDENCE)):
+        good, bad = totals[v]
+        start, others = np.zeros(len(names) if v == 0 else PAGE_SIZE), {}
+        mine = counts.filter(F.col("view") == v)
+        if least:
+            both, share = F.col("good") + F.col("bad"), bad / (good + bad)
+
+            def part(count: str, of: float, both: Column = both) -> Column:
+                return F.when(F.col(count) > 0, F.col(count) * F.log(F.col(count) / (both * of))).otherwise(0.0)
+
+            mine = mine.filter((both >= LEAST_DOCUMENTS) & (F.col("bad") * good >= MARKED_TIMES * F.col("good") * bad)
+                               & (2 * (part("bad", share) + part("good", 1 - share)) >= least))
+        found = mine.select("feature", "good", "bad").toArrow()
+        features = found["feature"].to_numpy()
+        weights = _marked_weights(found["good"].to_numpy(), found["bad"].to_numpy(), good, bad, sure)
+        if v:
+            start[features] = weights
+        else:
+            at = np.minimum(np.searchsorted(names, features), len(names) - 1)
+            here = names[at] == features
+            start[at[here]] = weights[here]
+            others = dict(zip(features[~here].tolist(), weights[~here].tolist(), strict=True))
+        starts.append((start, others))
+    return starts
+
+
+def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> Model | None:
     """Fit on documents of ``doc_id, text, source, lang`` and labels of ``doc_id, quality, toxic``.
 
-    Samples are the smallest hashes of ids, so they don't depend on partitions. A document with several
-    labels is good only if all say so; labels without a quality are left out. Of rows with one id, the one
-    with the smallest hash of its text is taken, however many there are.
+    The labelled documents used are those with the smallest hashes of ids among the present ones, so they
+    don't depend on partitions; all others are marked in every round. A document with several labels is
+    good only if all say so; labels without a quality are left out. Of rows with one id, the one with the
+    smallest hash of its text is taken, however many there are; rows without an id are left out.
     """
-    order = F.xxhash64("doc_id")
     judged = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min((F.col("quality") > 0) & (F.coalesce("toxic", F.lit(0)) < 1)).alias("good"))
-    chosen = judged.orderBy(order, "doc_id").limit(labelled)
-    named = documents.select("doc_id", "text", "source", "lang").filter("doc_id is not null")
-    others = (named.select("doc_id").distinct().join(judged, "doc_id", "left_anti")
-              .orderBy(order, "doc_id").limit(unlabelled).withColumn("good", F.lit(None).cast("boolean")))
-    # The sample's size is bounded by the parameters.
-    sample = named.join(F.broadcast(chosen.unionByName(others)), "doc_id").withColumns(
-        {"place": order, "version": F.xxhash64("text", "source", "lang")})
-    row = ("words", "page", "place", "good")
-    one = _features(sample, ["doc_id", "place", "good", "version"]).groupBy("doc_id").agg(
-        F.min_by(F.struct(*row), "version").alias("row"))
-    found = one.select("doc_id", "row.*").toArrow().combine_chunks()
+    row = ("text", "source", "lang")
+    one = documents.select("doc_id", *row).filter("doc_id is not null").groupBy("doc_id").agg(
+        F.min_by(F.struct(*row), F.xxhash64(*row)).alias("row"))
+    features = stage(_features(one.select("doc_id", "row.*").join(judged, "doc_id", "left"),
+                               ["doc_id", "good"]), "features")
+    order = F.xxhash64("doc_id")
+    known = features.filter("good is not null")
+    # The sample's size is bounded by the parameter.
+    chosen = known.select("doc_id").orderBy(order, "doc_id").limit(labelled)
+    found = known.join(F.broadcast(chosen), "doc_id").withColumn("place", order).toArrow().combine_chunks()
     if not found.num_rows:
         return None
-    names, words = _numbered(found["words"].chunk(0))
-    _, page = _numbered(found["page"].chunk(0), number=False)
+    values, lengths = _parts(found["words"].chunk(0))
+    names = np.unique(values)
+    words = _split(np.concatenate([np.searchsorted(names, values[i:i + FIT_PART]).astype(np.int32)
+                                   for i in range(0, max(1, len(values)), FIT_PART)]), lengths)
+    page = _split(*_parts(found["page"].chunk(0)))
     good = found["good"].to_pylist()
     in_order = np.lexsort((found["doc_id"].to_numpy(), found["place"].to_numpy())).tolist()
-    rows = [(words[i], page[i], good[i]) for i in in_order]
-    model = co_train([r for r in rows if r[2] is not None], [r[:2] for r in rows if r[2] is None],
-                     (len(names), PAGE_SIZE), rounds)
+    # Every fourth one is kept aside by ``co_train``.
+    kept = documents.sparkSession.createDataFrame(
+        found.select(["doc_id"]).take([p for i, p in enumerate(in_order) if i % 4 != 3]))
+    pool = features.filter("good is null").unionByName(
+        known.join(F.broadcast(kept), "doc_id").select(features.columns))
+    model = co_train([(words[i], page[i], good[i]) for i in in_order],
+                     lambda views, sure: _marks_of_table(pool, names, views, sure), (len(names), PAGE_SIZE), rounds)
     if model is not None:
         used = np.flatnonzero(model.text.weights)
-        model.words = dict(zip(names[used].tolist(), model.text.weights[used].tolist(), strict=True))
-        model.text = replace(model.text, weights=np.empty(0))  # tasks look words up by name
+        model.words = model.text.others | dict(
+            zip(names[used].tolist(), model.text.weights[used].tolist(), strict=True))
+        model.text = replace(model.text, weights=np.empty(0), others={})  # tasks look words up by name
     return model
 
 
-def _numbered(column, number: bool = True) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The features of each row; words as numbers, without those of fewer than ``LEAST_DOCUMENTS`` rows."""
-    values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-    names = values[:0]
-    if number:
-        # Most words are rare, and a coarse count already shows that.
-        coarse = values & (1 << 22) - 1
-        here = np.bincount(coarse, minlength=1 << 22)[coarse] >= LEAST_DOCUMENTS
-        offsets = np.append(0, np.cumsum(here, dtype=np.int32))[offsets]
-        values = values[here]
-        names = np.unique(values)
-        values = np.concatenate([np.searchsorted(names, values[i:i + FIT_PART]).astype(np.int32)
-                                 for i in range(0, max(1, len(values)), FIT_PART)])
-    return names, [values[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+def _split(values: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum(lengths)
+    return [values[b - n:b] for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
 
 
 def _scorer(model: Model):

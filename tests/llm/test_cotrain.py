@@ -73,6 +73,26 @@ def test_sure_marks_of_one_view_teach_the_other():
     assert alone.text.weights[7] == 0 and taught.text.weights[7] < -0.1
 
 
+def test_every_unlabelled_document_teaches(spark):
+    # A word that only unlabelled documents have, in shouting ones: far more of them than any fixed sample.
+    rows, labels = corpus(600, 600)
+    quiet, loud = prose(1000, 90), " ".join(w.upper() + "!!" for w in prose(1001, 90).split())
+    pool = [(1000 + i, f"{loud} ZORBULON!!" if i % 500 == 0 else quiet, "s1") for i in range(12_000)]
+    docs = spark.createDataFrame([(*r, "en") for r in rows + pool], "doc_id long, text string, source string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = cotrain.fit(docs, marks)
+    assert model.words.get(cotrain._word("zorbulon"), 0) < -1
+    again = cotrain.fit(docs.repartition(5), marks)
+    assert again.words == model.words and (again.page.weights == model.page.weights).all()
+
+
+def test_labels_of_absent_documents_take_no_place(fitted, spark):
+    docs, marks, _ = fitted
+    absent = spark.range(10_000, 40_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    model = cotrain.fit(docs, marks.unionByName(absent), labelled=400)
+    assert model is not None and model.words == cotrain.fit(docs, marks, labelled=400).words
+
+
 def test_calibrated_odds_follow_the_labels():
     rng = np.random.default_rng(1)
     z = rng.normal(size=4000)
