@@ -1,7 +1,8 @@
 """Document fingerprints: Merkle trees over sections and paragraphs.
 
 A text is cut into sections (at blank lines, and after a number of lines where it has none), sections
-into paragraphs (lines) and paragraphs into sentences. Each node hashes its children; equal roots mean
+into paragraphs (lines) and paragraphs into sentences. Long sentences, and all at the start of a text, are
+cut further where their characters say so, not at fixed places, so an insert moves few cuts. Each node hashes its children; equal roots mean
 equal texts. Two trees are compared from the root downwards: equal branches are skipped, so the differing
 ones locate an edit.
 
@@ -17,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +28,14 @@ SECTION_LINES = 16
 HASH_BYTES = 9
 SECTION = re.compile(r"\n(?:[ \t]*\n)+")
 LINE = re.compile(r"[^\n]*\n|[^\n]+")
-# Up to and including the space behind a closing mark, or a long run without one up to a space.
-SENTENCE = re.compile(r".{0,400}?[.!?。]+[ \t]+|.{200,400}?[ \t]+|.{1,400}", re.DOTALL)
+# Up to and including the space behind a closing mark; marks of scripts without spaces need none.
+SENTENCE = re.compile(r".*?(?:[.!?]+[ \t]+|[。！？｡]+[ \t」』”’）]*)|.+", re.DOTALL)
+# Sentences up to this length are whole leaves, but not near the start of a text, where leaves of about 4
+# and then 16 code points (and 64 behind it) also tell short texts apart.
+WHOLE_SENTENCE = 400
+LEAF_SIZES = ((128, 4), (512, 16))
+LONG_LEAF = 64
+MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 SECTIONS = re.compile(r"([\w-]+)\{(.*?)\}")
 PARAGRAPHS = re.compile(r"([\w-]+)\[(.*?)\]")
 
@@ -62,6 +70,39 @@ def _sections(text: str) -> Iterator[str]:
         at = gap
 
 
+def _leaf_size(at: int) -> int:
+    return next((size for end, size in LEAF_SIZES if at < end), LONG_LEAF)
+
+
+def _leaves(line: str, at: int) -> Iterator[str]:
+    """Sentences of a line that starts at ``at``, cut by a rolling hash of four characters if too long."""
+    for sentence in SENTENCE.findall(line):
+        n, size = len(sentence), _leaf_size(at)
+        if n <= (WHOLE_SENTENCE if size == LONG_LEAF else 2 * size):
+            yield sentence
+            at += n
+            continue
+        codes = np.frombuffer(sentence.encode("utf-32-le"), np.uint32)
+        rolled = np.zeros(n, np.uint32)
+        for back, factor in enumerate(MIX[:n]):
+            rolled[back:] += codes[:n - back] * factor
+        rolled = (rolled ^ (rolled >> np.uint32(15))) * MIX[0] >> np.uint32(8)
+        start = 0
+        while start < n:
+            size = _leaf_size(at + start)
+            first, last = start + size // 2, start + 4 * size
+            if n - start <= 2 * size:
+                end = n
+            else:
+                # The first place whose hash is a multiple of the size, or else the smallest hash.
+                seen = rolled[first - 1:last]
+                hits = seen % size == 0
+                end = first + int(hits.argmax() if hits.any() else seen.argmin())
+            yield sentence[start:end]
+            start = end
+        at += n
+
+
 def tree(text: str) -> Node:
     """The Merkle tree of a whole text; the empty text is a root without sections."""
     at, sections = 0, []
@@ -69,7 +110,7 @@ def tree(text: str) -> Node:
         section_start, paragraphs = at, []
         for line in LINE.findall(section):
             line_start, leaves = at, []
-            for sentence in SENTENCE.findall(line):
+            for sentence in _leaves(line, at):
                 leaves.append(Node(_hash(sentence.encode(), b"leaf"), at, len(sentence), []))
                 at += len(sentence)
             paragraphs.append(_parent(leaves, line_start, b"paragraph"))

@@ -72,6 +72,32 @@ def test_likeness_follows_the_shared_text():
     assert fp.likeness(fp.fingerprint(text), fp.fingerprint(prose(13, 3000))) < 0.05
 
 
+def unspaced(seed, n):
+    pick = random.Random(seed)
+    return "".join(chr(0x4E00 + pick.randrange(2000)) for _ in range(n))
+
+
+def test_unspaced_and_short_texts_keep_what_they_share():
+    def edited(a, b):
+        return fp.likeness(fp.fingerprint(a), fp.fingerprint(fp.edited_half(a, b)))
+
+    assert edited(unspaced(1, 699), unspaced(2, 699)) > 0.3
+    marked = "。".join(unspaced(i, 30) for i in range(40))
+    assert edited(marked, unspaced(3, 2000)) > 0.4
+    for i in range(50):
+        assert edited(prose(i, 60).replace(".", "")[:40 + i], prose(i + 100, 60)) > 0
+    for text in (unspaced(4, 3000), prose(5, 900).replace(" ", "").replace(".\n", ""),
+                 prose(6, 900).replace(".\n", ""), "ab" * 1500):
+        for at in (1, 20, 700):
+            assert fp.likeness(fp.fingerprint(text), fp.fingerprint(text[:at] + "界" + text[at:])) > 0.8
+
+
+def test_leaves_join_to_the_text():
+    for text in ("", "a", "a b. c", unspaced(7, 5000), "x" * 3000, prose(8, 500), "。。a。"):
+        for at in (0, 100, 600):
+            assert "".join(fp._leaves(text, at)) == text
+
+
 def test_clashing_columns(spark):
     table = spark.createDataFrame([(1, "a b", 5, True, "k")], "doc_id long, text string, block int, borrowed boolean, key string")
     assert fp.compare_in_order(table).count() == fp.fingerprints(table).count() == 1
