@@ -9,10 +9,13 @@ from __future__ import annotations
 import atexit
 import shutil
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _cleaned: set[str] = set()
+_records: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,14 +46,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a frame that reads it back."""
     spark = df.sparkSession
     path = f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for record in _records:
+        record.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that ``stage`` writes inside, for ``drop_folders``."""
+    record: list[str] = []
+    _records.append(record)
+    try:
+        yield record
+    finally:
+        _records[:] = [r for r in _records if r is not record]
+
+
+def drop_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete staged folders that no frame needs any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged, checkpoints included, once no frame needs it any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_folders(spark, [application_folder(spark)])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
