@@ -116,10 +116,82 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
+def centroid_clusters(centroids: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Every round compares every vector with every centroid."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT id, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (
+    SELECT id, cluster, sum((x - c) * (x - c))::BIGINT AS d FROM parts JOIN c{r} USING (place)
+    GROUP BY id, cluster) GROUP BY id)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT o.cluster, o.place, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN (
+    SELECT cluster, place, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS c
+    FROM parts JOIN a{r} USING (id) GROUP BY cluster, place) m USING (cluster, place))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, embedding AS e FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+parts AS MATERIALIZED (
+  SELECT id, place, floor(256 * e[place]::DOUBLE)::BIGINT AS x FROM kept, range(1, {dims} + 1) p(place)),
+starts AS (
+  SELECT id, row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1 AS cluster FROM kept
+  QUALIFY cluster < {centroids}),
+c0 AS MATERIALIZED (SELECT cluster, place, x AS c FROM starts JOIN parts USING (id)),
+{", ".join(steps)},
+digests AS (
+  SELECT cluster, sha256(string_agg(c::VARCHAR, ',' ORDER BY place)) AS centroid_sha256 FROM c{rounds}
+  GROUP BY cluster)
+SELECT vec_id, cluster::INT AS cluster, d AS distance,
+       (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       centroid_sha256
+FROM kept JOIN a{rounds} USING (id) JOIN digests USING (cluster)
+"""
+
+
+def ball_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round compares every part with every entry of its codebook."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT id, part, entry, sum((x - c) * (x - c))::BIGINT AS d FROM cut JOIN c{r} USING (part, place)
+    GROUP BY id, part, entry) GROUP BY id, part)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT o.part, o.entry, o.place, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN (
+    SELECT part, entry, place,
+           ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS c
+    FROM cut JOIN a{r} USING (id, part) GROUP BY part, entry, place) m USING (part, entry, place))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, label, embedding AS e, len(embedding) // {parts} AS width
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+cut AS MATERIALIZED (
+  SELECT id, part, place, floor(4096 * e[part * width + place]::DOUBLE)::BIGINT AS x
+  FROM kept, range({parts}) q(part), (SELECT unnest(range(1, max(width) + 1)) AS place FROM kept) p),
+starts AS (
+  SELECT id, row_number() OVER (ORDER BY vec_id, e) - 1 AS entry FROM kept QUALIFY entry < {entries}),
+c0 AS MATERIALIZED (SELECT part, entry, place, x AS c FROM starts JOIN cut USING (id)),
+{", ".join(steps)},
+coded AS (
+  SELECT id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM a{rounds} GROUP BY id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) FROM c{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (id)
+"""
+
+
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op3_quality_rules": QUALITY_RULES,
     "op5_ngram_jaccard": NGRAM_JACCARD,
     "op8_warc": WARC,
     "op9_chat_format": CHAT_FORMAT,
+    "op11_centroid_clusters": centroid_clusters(),
+    "op13_ball_codes": ball_codes(),
 }

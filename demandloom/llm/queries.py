@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, cotrain, fingerprint, host_quality, jaccard, language, packing, piece_bpe, url_filter, warc,
+    ball_codes, chat, chunk_bpe, cotrain, fingerprint, host_quality, jaccard, language, packing, piece_bpe,
+    pivot_clusters, url_filter, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +101,19 @@ def op10_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
                                   public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_clusters.inertia_table(table(spark, folder, "embeddings"))
+
+
+def op12_chunk_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return chunk_bpe.digest_table(table(spark, folder, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_ball_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_codes.code_table(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_fingerprint": op2_fingerprint,
@@ -111,4 +125,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_chat_format": op9_chat_format,
     "op10_piece_bpe": op10_piece_bpe,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_chunk_bpe": op12_chunk_bpe,
+    "op13_ball_codes": op13_ball_codes,
 }
