@@ -16,12 +16,8 @@ from .ordinal import ORDINAL, TOTAL, with_ordinal
 BLOCK = 65_536
 
 
-def over_blocks(numbered: DataFrame, columns, back: int, ahead: int, within=(),
-                block: int = BLOCK) -> DataFrame:
-    """Add window columns that reach at most ``back`` rows back and ``ahead`` rows ahead.
-
-    ``columns`` maps a window specification to named expressions; ``numbered`` has 1-based ordinals.
-    """
+def in_blocks(numbered: DataFrame, back: int, ahead: int, block: int = BLOCK) -> DataFrame:
+    """Rows with their block, copied to every other block that reads them; ``leave_blocks`` ends it."""
     block = max(block, back, ahead)
     position = F.col(ORDINAL) - 1
 
@@ -30,11 +26,26 @@ def over_blocks(numbered: DataFrame, columns, back: int, ahead: int, within=(),
 
     readers = F.array_distinct(F.array(
         block_of(position), block_of(position + back), block_of(position - ahead)))
-    copied = (numbered.withColumn("_home", block_of(position))
-              .withColumn("_block", F.explode(readers)))
-    series: WindowSpec = W.partitionBy(*within, "_block").orderBy(ORDINAL)
-    return (copied.withColumns(columns(series))
-            .filter(F.col("_block") == F.col("_home")).drop("_home", "_block"))
+    return (numbered.withColumn("_home", block_of(position))
+            .withColumn("_block", F.explode(readers)))
+
+
+def leave_blocks(copied: DataFrame) -> DataFrame:
+    return copied.filter(F.col("_block") == F.col("_home")).drop("_home", "_block")
+
+
+def block_series(within=()) -> WindowSpec:
+    return W.partitionBy(*within, "_block").orderBy(ORDINAL)
+
+
+def over_blocks(numbered: DataFrame, columns, back: int, ahead: int, within=(),
+                block: int = BLOCK) -> DataFrame:
+    """Add window columns that reach at most ``back`` rows back and ``ahead`` rows ahead.
+
+    ``columns`` maps a window specification to named expressions; ``numbered`` has 1-based ordinals.
+    """
+    copied = in_blocks(numbered, back, ahead, block)
+    return leave_blocks(copied.withColumns(columns(block_series(within))))
 
 
 def over_long_series(df: DataFrame, keys, order_by, columns, back: int, ahead: int = 0,

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from ..functions import finite
 from ..sources.staging import stage
-from .blocks import over_blocks
+from .blocks import block_series, in_blocks, leave_blocks, over_blocks
 from .clean import parse_dates
 from .ordinal import ORDINAL, TOTAL, with_ordinal
+from .sliding import CELLS_FROM, sliding_statistics
 
 
 def _inside_frame(period: int):
@@ -26,14 +27,21 @@ def centred_average(numbered: DataFrame, value: str, period: int, within=(),
     """
     half = period // 2
 
-    def average(series):
-        total = F.sum(value).over(series.rowsBetween(-half, half))
+    def average(series, total=None):
+        total = F.sum(value).over(series.rowsBetween(-half, half)) if total is None else total
         if period % 2 == 0:
             ends = F.lag(value, half).over(series) + F.lead(value, half).over(series)
             total = total - 0.5 * ends
         return {name: F.when(_inside_frame(period), total / F.lit(float(period)))}
 
-    return over_blocks(numbered, average, half, half, within)
+    if period < CELLS_FROM:
+        return over_blocks(numbered, average, half, half, within)
+    # The window that ends half a period later.
+    copied = sliding_statistics(in_blocks(numbered, half, half), [*within, "_block"], ORDINAL, F.col(value),
+                                [2 * half + 1], ["_around"])
+    series = block_series(within)
+    total = F.lead("_around", half).over(series)["sum"]
+    return leave_blocks(copied.withColumns(average(series, total))).drop("_around")
 
 
 def seasonal_index(detrended: DataFrame, value: str, period: int, model: str = "additive",

@@ -1,4 +1,4 @@
-"""Row numbers, time-ordered splits and folds, without sorting everything in one task.
+"""Row numbers without sorting everything in one task, and the sizes of time-ordered folds.
 
 Rows are laid out in ranges of keys, order and a row id of their own, so neither a key with a third of all
 rows nor a long run of ties ends up in one task. The position of a row is its place inside its range plus
@@ -68,13 +68,6 @@ def train_rows(total, test_size: float):
     return F.floor(F.lit(1 - test_size) * total)
 
 
-def time_split(df: DataFrame, test_size: float = 0.2, spec: SeriesSpec = WEEKLY) -> DataFrame:
-    """Label the first ``1 - test_size`` of the rows ``train`` and the rest ``test``."""
-    numbered = weekly_ordinal(df, spec)
-    is_train = F.col(ORDINAL) <= train_rows(F.col(TOTAL), test_size)
-    return numbered.withColumn("split", F.when(is_train, "train").otherwise("test")).drop(TOTAL)
-
-
 @dataclass(frozen=True)
 class Fold:
     """Ordinals up to ``train_end`` train; the next ones up to ``test_end`` test."""
@@ -93,22 +86,3 @@ def expanding_folds(total: int, folds: int) -> list[Fold]:
     size = total // (folds + 1)
     return [Fold(j, total - (folds - j) * size, total - (folds - j - 1) * size)
             for j in range(folds)]
-
-
-def time_folds(df: DataFrame, folds: int = 5, spec: SeriesSpec = WEEKLY) -> DataFrame:
-    """Every row once per fold it takes part in, labelled ``train`` or ``test``."""
-    if folds < 2:
-        raise ValueError("at least two folds are needed")
-    total, fold = F.col(TOTAL), F.col("fold")
-    size = F.floor(total / (folds + 1))
-    too_few = F.raise_error(F.lit(f"{folds} folds need more rows")).cast("long")
-    train_end = F.when(total <= folds, too_few).otherwise(total - (F.lit(folds) - fold) * size)
-    return (
-        weekly_ordinal(df, spec)
-        .withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
-        .withColumn("_train_end", train_end)
-        .filter(F.col(ORDINAL) <= F.col("_train_end") + size)
-        .withColumn("part", F.when(F.col(ORDINAL) <= F.col("_train_end"), "train")
-                    .otherwise("test"))
-        .drop("_train_end", TOTAL)
-    )

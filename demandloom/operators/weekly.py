@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ..functions import finite
 from ..spec import (MEASURES, PRODUCT, PRODUCT_ATTRIBUTES, STORE, STORE_ATTRIBUTES, WEEKLY,
                     SeriesSpec)
-from .blocks import over_long_series
-from .ordinal import in_order
+from .blocks import in_blocks, leave_blocks, over_long_series
+from .ordinal import ORDINAL, TOTAL, in_order, with_ordinal
+from .sliding import CELLS_FROM, sliding_statistics
 from .star import assert_unique
 
 
@@ -72,6 +73,28 @@ def rolling_expressions(spec: SeriesSpec, windows, include_current: bool = True,
     return columns
 
 
+def long_rolling(df: DataFrame, spec: SeriesSpec, partition, windows, include_current: bool) -> DataFrame:
+    """The same columns for long windows, at a cost per row that does not grow with them.
+
+    ``df`` has the position of every row in its series; ``partition`` is one task's share of a series.
+    """
+    names = [f"_{size}" for size in windows]
+    value = finite(F.col(spec.target).cast("double"))
+    made = sliding_statistics(df, partition, ORDINAL, value, windows, names)
+    if not include_current:
+        series = W.partitionBy(*partition).orderBy(ORDINAL)
+        made = made.withColumns({n: F.lag(n, 1).over(series) for n in names})
+    columns = {}
+    for size, name in zip(windows, names, strict=True):
+        found = F.col(name)
+        for statistic, result in {
+                "mean": F.try_divide(found["sum"], found["n"]),
+                "std": F.when(found["n"] > 1, F.sqrt(found["m2"] / (found["n"] - 1))),
+                "min": found["min"], "max": found["max"]}.items():
+            columns[f"{spec.target}_roll_{statistic}_{size}"] = F.coalesce(result, F.lit(0.0))
+    return made.withColumns(columns).drop(*names)
+
+
 def create_lag_features(df: DataFrame, groupby_cols, target_col: str = "quantity",
                         lags=(1, 2, 3, 4), order_by=("transaction_date",),
                         long_series: bool = False) -> DataFrame:
@@ -94,17 +117,31 @@ def create_rolling_features(df: DataFrame, groupby_cols, target_col: str = "quan
 
     The current row counts by default; ``include_current=False`` looks at earlier rows only.
     Missing values in any ``roll_`` column already present become 0 as well. ``long_series`` is as for
-    lags.
+    lags. The cost of windows of ``CELLS_FROM`` rows or more does not grow with their length.
     """
     spec = SeriesSpec(tuple(groupby_cols), tuple(order_by), target_col)
     df = df.withColumns({
         c: F.coalesce(F.col(c), F.lit(0)) for c in df.columns if "roll_" in c})
-    if long_series:
+    short = [w for w in windows if w < CELLS_FROM]
+    long = [w for w in windows if w >= CELLS_FROM]
+    if not long_series:
+        made = df.withColumns(rolling_expressions(spec, short, include_current))
+        if long:
+            numbered = made.withColumn(ORDINAL, F.row_number().over(series_window(spec)))
+            made = long_rolling(numbered, spec, spec.keys, long, include_current).drop(ORDINAL)
+    elif not long:
         return over_long_series(
             df, spec.keys, spec.order_by,
             lambda series: rolling_expressions(spec, windows, include_current, series),
             max(windows))
-    return df.withColumns(rolling_expressions(spec, windows, include_current))
+    else:
+        partition = [*spec.keys, "_block"]
+        copied = in_blocks(with_ordinal(df, spec.order_by, spec.keys), max(windows), 0)
+        made = long_rolling(copied, spec, partition, long, include_current)
+        series = W.partitionBy(*partition).orderBy(ORDINAL)
+        made = leave_blocks(made.withColumns(
+            rolling_expressions(spec, short, include_current, series))).drop(ORDINAL, TOTAL)
+    return made.select(*df.columns, *rolling_expressions(spec, windows, include_current))
 
 
 def last_observation(df: DataFrame, spec: SeriesSpec = WEEKLY) -> DataFrame:

@@ -71,9 +71,9 @@ def lag_columns() -> str:
 
 
 def roll_columns(before: bool = False, value: str = "quantity", keys: str = PAIR,
-                 order: str = "year, week") -> str:
+                 order: str = "year, week", windows=WINDOWS) -> str:
     parts = []
-    for w in WINDOWS:
+    for w in windows:
         frame = (f"ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING" if before
                  else f"ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW")
         over = f"OVER (PARTITION BY {keys} ORDER BY {order} {frame})"
@@ -477,6 +477,10 @@ ORACLE: dict[str, str] = {
         lag(value, 2) OVER s AS value_lag_2, lag(value, 3) OVER s AS value_lag_3,
         lag(value, 4) OVER s AS value_lag_4 FROM events
         WINDOW s AS (PARTITION BY event_type ORDER BY ts, event_id)""",
+    "rolling_year": f"""SELECT event_id, event_type, value, {roll_columns(
+        value='value', keys='event_type', order='ts, event_id', windows=(26, 52, 365))}
+        FROM (SELECT event_id, event_type, ts, round(value * 100) AS value FROM events)""",
+    "rolling_year_before": f"WITH {W} SELECT {GRAIN}, {roll_columns(True, windows=(12, 52))} FROM w",
     "rolling_long_series": f"""SELECT event_id, event_type, round(value, 6) AS value, {roll_columns(
         value='value', keys='event_type', order='ts, event_id')} FROM events""",
     "lags_text_ties": """SELECT o_orderkey, o_orderpriority, o_totalprice,
@@ -512,11 +516,22 @@ ORACLE: dict[str, str] = {
                CAST(coalesce(p.code, -1) AS INTEGER) AS priority_encoded
         FROM orders LEFT JOIN c ON CAST(o_custkey AS VARCHAR) = c.v
                     LEFT JOIN p ON o_orderpriority = p.v""",
-    "time_split": f"""WITH {W}, {ORDERED} SELECT {GRAIN}, ordinal,
+    "time_split": f"""WITH {W}, {ORDERED} SELECT {GRAIN},
         CASE WHEN ordinal <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS split
         FROM ordered""",
+    "time_split_numbered": f"""WITH {W}, {ORDERED} SELECT {GRAIN}, ordinal,
+        CASE WHEN ordinal <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS split
+        FROM ordered""",
+    "time_split_ties": f"""SELECT {day('l_shipdate')}, l_returnflag, split, count(*) AS lines FROM (
+          SELECT l_shipdate, l_returnflag,
+                 CASE WHEN row_number() OVER (ORDER BY l_shipdate, l_returnflag) <= floor(count(*) OVER () * 0.63)
+                      THEN 'train' ELSE 'test' END AS split
+          FROM lineitem) GROUP BY ALL""",
     "split_union": f"WITH {W}, {ORDERED} SELECT {GRAIN}, ordinal, quantity FROM ordered",
-    "time_folds": f"""WITH {W}, {FOLDS.format(source='w')} SELECT {GRAIN}, ordinal, fold,
+    "time_folds": f"""WITH {W}, {FOLDS.format(source='w')} SELECT {GRAIN}, fold,
+        CASE WHEN ordinal <= train_end THEN 'train' ELSE 'test' END AS part
+        FROM folds WHERE ordinal <= train_end + z""",
+    "time_folds_numbered": f"""WITH {W}, {FOLDS.format(source='w')} SELECT {GRAIN}, ordinal, fold,
         CASE WHEN ordinal <= train_end THEN 'train' ELSE 'test' END AS part
         FROM folds WHERE ordinal <= train_end + z""",
     "regression_metrics": f"""WITH {LAGGED}
@@ -593,6 +608,8 @@ ORACLE: dict[str, str] = {
     "density": density("error"),
     "density_binned": density(
         "lo + (least(floor((error - lo) / ((hi - lo) / 512)), 511) + 0.5) * ((hi - lo) / 512)"),
+    "decompose_yearly": f"""WITH {TX}, {decomposition(
+        'tx', 'transaction_date', 'quantity', 365, 'additive')}""",
     "decompose_additive": f"""WITH {TX}, {decomposition(
         'tx', 'transaction_date', 'quantity', 52, 'additive')}""",
     "decompose_multiplicative": "WITH " + decomposition(

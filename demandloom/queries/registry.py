@@ -17,9 +17,9 @@ from ..functions import nonnegative_units
 from ..models.predict import generate_forecast
 from ..models.train import (LABEL, PREDICTION, feature_importance, load_model, prepare_training_data,
                             save_model, train_model)
-from ..operators import categories, clean, decompose, distribution, horizon, metrics, ordinal
+from ..operators import categories, clean, decompose, distribution, horizon, metrics
 from ..operators import quantiles as q
-from ..operators import reports, star, weekly
+from ..operators import reports, splits, star, weekly
 from ..plans.features import create_features
 from ..sources import (application_folder, conform, load_tables, stage, write_features, write_forecast_csv,
                        write_processed)
@@ -380,6 +380,27 @@ def rolling_long_series(spark, folder):
         items, ["event_type"], "value", order_by=("ts", "event_id"), long_series=True).drop("ts"))
 
 
+# Half a year, a year of weeks and a year of days.
+LONG_WINDOWS = (26, 52, 365)
+
+
+@query
+def rolling_year(spark, folder):
+    """Long windows over a few event types that hold all rows; sums of hundredths are exact."""
+    items = _table(spark, folder, "events").select(
+        "event_id", "event_type", "ts", F.round(F.col("value") * 100).alias("value"))
+    return rounded(weekly.create_rolling_features(
+        items, ["event_type"], "value", LONG_WINDOWS, ("ts", "event_id"), long_series=True).drop("ts"))
+
+
+@query
+def rolling_year_before(spark, folder):
+    """A year of earlier weeks for every pair."""
+    made = weekly.create_rolling_features(
+        weekly_all_years(spark, folder), PAIR, windows=(12, 52), order_by=ORDER, include_current=False)
+    return rounded(made.select(*GRAIN, *[c for c in made.columns if "_roll_" in c]))
+
+
 @query
 def lags_text_ties(spark, folder):
     """Order keys of one priority and date, told apart by their text."""
@@ -456,14 +477,31 @@ def category_apply(spark, folder):
 
 # Splits, folds and metrics
 
+def stored_weekly(spark, folder) -> DataFrame:
+    return stage(weekly_all_years(spark, folder), "weekly")
+
+
 @query
 def time_split(spark, folder):
-    return ordinal.time_split(weekly_all_years(spark, folder)).select(*GRAIN, "ordinal", "split")
+    return splits.time_split(stored_weekly(spark, folder)).select(*GRAIN, "split")
+
+
+@query
+def time_split_numbered(spark, folder):
+    return splits.time_split(weekly_all_years(spark, folder), numbered=True).select(*GRAIN, "ordinal", "split")
+
+
+@query
+def time_split_ties(spark, folder):
+    """Many lines share a date and a flag; the cut takes some of them."""
+    lines = _table(spark, folder, "lineitem").select("l_shipdate", "l_returnflag")
+    made = splits.time_split(lines, 0.37, SeriesSpec(("l_returnflag",), ("l_shipdate",)))
+    return made.groupBy(day("l_shipdate"), "l_returnflag", "split").agg(F.count("*").alias("lines"))
 
 
 @query
 def split_union(spark, folder):
-    labelled = stage(ordinal.time_split(weekly_all_years(spark, folder)), "split")
+    labelled = stage(splits.time_split(weekly_all_years(spark, folder), numbered=True), "split")
     train = labelled.filter("split = 'train'").drop("split")
     test = labelled.filter("split = 'test'").drop("split")
     return train.unionByName(test).select(*GRAIN, "ordinal", "quantity")
@@ -471,7 +509,12 @@ def split_union(spark, folder):
 
 @query
 def time_folds(spark, folder):
-    return ordinal.time_folds(weekly_all_years(spark, folder)).select(
+    return splits.time_folds(stored_weekly(spark, folder)).select(*GRAIN, "fold", "part")
+
+
+@query
+def time_folds_numbered(spark, folder):
+    return splits.time_folds(weekly_all_years(spark, folder), numbered=True).select(
         *GRAIN, "ordinal", "fold", "part")
 
 
@@ -489,7 +532,7 @@ def regression_metrics_by_store(spark, folder):
 
 @query
 def fold_summary(spark, folder):
-    tested = ordinal.time_folds(weekly_with_lags(spark, folder)).filter("part = 'test'")
+    tested = splits.time_folds(staged_lags(spark, folder)).filter("part = 'test'")
     per_fold = metrics.regression_metrics(tested, "quantity", "quantity_lag_1", ["fold"])
     return rounded(metrics.fold_summary(per_fold))
 
@@ -782,6 +825,12 @@ def decompose_by_store(spark, folder):
     return _decomposed(spark, folder, "quantity", 7, "additive", (STORE,))
 
 
+@query
+def decompose_yearly(spark, folder):
+    """Daily sales with a season of a year."""
+    return _decomposed(spark, folder, "quantity", 365, "additive")
+
+
 @query
 def decompose_sparse(spark, folder):
     """Sales by part, of which many have too few dates."""

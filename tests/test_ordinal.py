@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from demandloom.operators import ordinal
+from demandloom.operators import ordinal, splits
 from demandloom.spec import PRODUCT, STORE
 
 WEEK = f"{STORE} long, {PRODUCT} long, year int, week int, quantity double"
@@ -76,7 +76,7 @@ def test_ordinal_restarts_within_keys(spark):
 
 
 def test_split_cuts_inside_a_week(spark):
-    made = ordinal.time_split(grid(spark, weeks=5, stores=2), test_size=0.3).collect()
+    made = splits.time_split(grid(spark, weeks=5, stores=2), test_size=0.3, numbered=True).collect()
     train = {r["ordinal"] for r in made if r["split"] == "train"}
     test = {r["ordinal"] for r in made if r["split"] == "test"}
     assert train == set(range(1, 8)) and test == {8, 9, 10}
@@ -87,7 +87,7 @@ def test_folds_by_hand(spark):
     # Seven rows, five folds: blocks of one row, the first two rows only train.
     assert [(f.train_end, f.test_end) for f in ordinal.expanding_folds(7, 5)] == [
         (2, 3), (3, 4), (4, 5), (5, 6), (6, 7)]
-    made = ordinal.time_folds(grid(spark, weeks=7, stores=1), folds=5).collect()
+    made = splits.time_folds(grid(spark, weeks=7, stores=1), folds=5, numbered=True).collect()
     for j, fold in enumerate(ordinal.expanding_folds(7, 5)):
         train = {r["ordinal"] for r in made if r["fold"] == j and r["part"] == "train"}
         test = {r["ordinal"] for r in made if r["fold"] == j and r["part"] == "test"}
@@ -101,4 +101,4 @@ def test_too_few_rows_for_the_folds(spark):
     with pytest.raises(ValueError, match="two folds"):
         ordinal.expanding_folds(5, 1)
     with pytest.raises(Exception, match="need more rows"):
-        ordinal.time_folds(grid(spark, weeks=5, stores=1), folds=5).collect()
+        splits.time_folds(grid(spark, weeks=5, stores=1), folds=5, numbered=True).collect()
