@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
+PACKAGE = os.path.dirname(os.path.abspath(__file__))
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -14,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Fits that run side by side share the cores.
+    "spark.scheduler.mode": "FAIR",
 }
 
 
@@ -36,3 +42,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app_name:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver found it.
+
+    Nothing is sent if the workers find it by their path already. Spark hands the archive to every executor,
+    also to those that join later.
+    """
+    home = os.path.dirname(PACKAGE)
+    path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    context = spark.sparkContext
+    if home in path or getattr(context, "_demandloom_shipped", False):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="demandloom-"), "demandloom.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for folder, _, names in os.walk(PACKAGE):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    packed.write(full, os.path.relpath(full, home))
+    context.addPyFile(archive)
+    context._demandloom_shipped = True
