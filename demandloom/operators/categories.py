@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,6 +13,8 @@ from ..sources.staging import stage
 from ..spec import CATEGORIES, UNKNOWN
 
 NOT_FITTED = -1
+# From more columns on, distinct combinations are coded instead of rows.
+DIRECT_JOINS = 2
 
 
 def fit_categories(df: DataFrame, columns=CATEGORIES) -> DataFrame:
@@ -50,8 +55,26 @@ def apply_categories(df: DataFrame, dictionary: DataFrame, columns=CATEGORIES,
 
     Missing and unseen values become the placeholder category, which gets code -1 if it was not
     there when the dictionary was fitted. ``replace_unseen=False`` leaves the column itself alone.
+    However many columns there are, the rows move for one join at most; ``df`` is read twice.
     """
     columns = [c for c in columns if c in df.columns]
+    if len(columns) <= DIRECT_JOINS:
+        return _coded(df, dictionary, columns, replace_unseen)
+    # Combinations of values are few; they are coded column by column, and the rows are joined once.
+    named = {c: f"_of_{c}" for c in columns}
+    combinations = df.select(columns).distinct()
+    coded = _coded(combinations.withColumns({n: F.col(c) for c, n in named.items()}), dictionary, columns,
+                   replace_unseen).withColumnsRenamed({f"{c}_encoded": f"_code_of_{c}" for c in columns})
+    found = coded.withColumnsRenamed({c: f"_new_{c}" for c in columns})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in named.items()])
+    replaced = {c: F.col(f"_new_{c}").alias(c) for c in columns} if replace_unseen else {}
+    return df.join(found, same, "left").select(
+        *[replaced.get(c, F.col(c)) for c in df.columns if c.removesuffix("_encoded") not in columns or c in columns],
+        *[F.col(f"_code_of_{c}").alias(f"{c}_encoded") for c in columns])
+
+
+def _coded(df: DataFrame, dictionary: DataFrame, columns: list[str], replace_unseen: bool) -> DataFrame:
+    """One join per column."""
     # At most one row per column: the code of the placeholder.
     fallback = {row["column_name"]: row["code"] for row in dictionary.filter(
         (F.col("value") == UNKNOWN) & F.col("column_name").isin(columns)).collect()}

@@ -571,6 +571,21 @@ ORACLE: dict[str, str] = {
     "model_exact": """SELECT unnest(['catboost', 'random_forest']) AS kind, * FROM (
         SELECT l_returnflag AS flag, l_linenumber % 2 AS odd, round(avg(l_quantity), 6) AS prediction
         FROM lineitem GROUP BY ALL) m""",
+    "fold_metrics_exact": f"""WITH cells AS (
+          SELECT l_returnflag AS flag, l_linenumber % 2 AS odd, l_quantity AS quantity,
+                 row_number() OVER (ORDER BY l_quantity, l_returnflag, l_linenumber % 2) AS ordinal,
+                 CAST(floor(count(*) OVER () * 0.8) AS BIGINT) AS known FROM lineitem),
+        parts AS (
+          SELECT 'fold ' || j AS part, known - (5 - j) * (known // 6) AS train_end,
+                 known - (4 - j) * (known // 6) AS test_end FROM (SELECT DISTINCT known FROM cells), range(5) t(j)
+          UNION ALL SELECT 'test', known, 9223372036854775807 FROM (SELECT DISTINCT known FROM cells)),
+        means AS (
+          SELECT part, flag, odd, avg(quantity) AS prediction FROM cells JOIN parts ON ordinal <= train_end
+          GROUP BY ALL),
+        scored AS (
+          SELECT part, quantity, prediction FROM cells JOIN parts ON ordinal > train_end AND ordinal <= test_end
+          JOIN means USING (part, flag, odd))
+        SELECT part, {error_measures('quantity', 'prediction')} FROM scored GROUP BY part""",
     "model_matrix": f"""WITH {FEATURES} SELECT
         row_number() OVER (ORDER BY year, week, {PAIR}) AS ordinal, quantity AS label,
         {', '.join(f'CAST({source} AS DOUBLE) AS {name}' for name, source in MODEL_INPUTS.items())}

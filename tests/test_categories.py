@@ -42,6 +42,37 @@ def test_many_values_over_many_ranges(spark):
     assert {r["c"]: r["c_encoded"] for r in made.collect()} == expected
 
 
+@pytest.mark.parametrize("replace_unseen", [True, False])
+def test_many_columns_are_coded_as_one_by_one(spark, rows, monkeypatch, replace_unseen):
+    names = ["a", "b", "c", "d"]
+    known = spark.createDataFrame([("x", "y", None, 1), ("z", "y", "w", 2)], "a string, b string, c string, d int")
+    dictionary = categories.fit_categories(known, names)
+    df = spark.createDataFrame([(i, ["x", "z", "new", None][i % 4], ["y", None][i % 2], ["w", None, "u"][i % 3], i % 4)
+                                for i in range(40)], "id int, a string, b string, c string, d int")
+    made = categories.apply_categories(df, dictionary, names, replace_unseen)
+    monkeypatch.setattr(categories, "DIRECT_JOINS", 9)
+    one_by_one = categories.apply_categories(df, dictionary, names, replace_unseen)
+    assert made.columns == one_by_one.columns and rows(made) == rows(one_by_one)
+
+
+def test_rows_move_once_however_many_columns(spark, tmp_path):
+    spark.range(1000).selectExpr(*[f"concat('v', id % {k}) as c{k}" for k in range(2, 9)]).write.parquet(
+        str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    names = facts.columns
+    dictionary = categories.fit_categories(facts, names)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = categories.apply_categories(facts, dictionary, names)
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        # From the rows up: one join with the coded combinations.
+        depths = [len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if "Join" in line]
+        assert sum(d == min(depths) for d in depths) == 1
+        assert plan.splitlines()[1].lstrip(" :+-").startswith("Join LeftOuter")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_no_column_present(spark):
     with pytest.raises(ValueError, match="none of the columns"):
         categories.fit_categories(frame(spark, "a"), ["x"])

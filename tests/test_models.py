@@ -9,7 +9,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from demandloom.models import (feature_importance, generate_forecast, initialize_model, load_model,
                                save_model, train_model)
 from demandloom.models.matrix import add_codes, plan_matrix
-from demandloom.models.train import prepare_training_data
+from demandloom.models.train import measured_trees, prepare_training_data, side_by_side
 from demandloom.operators.clean import (numeric_columns, preprocess_pdv, preprocess_products,
                                         select_sales)
 from demandloom.operators.distribution import correlation_matrix
@@ -56,6 +56,44 @@ def test_training_result(trained):
     assert trained.test_metrics.first()["rmse"] > 0
 
 
+@pytest.mark.parametrize("kind", ["lightgbm", "random_forest"])
+def test_fits_at_the_same_time_equal_fits_in_turn(spark, features, kind):
+    made = [train_model(features, model_type=kind, cv=3, n_estimators=2, at_once=n) for n in (1, 5)]
+    first, second = ([r.asDict() for r in t.fold_metrics.orderBy("fold").collect()]
+                     + [t.test_metrics.first().asDict()] for t in made)
+    assert first == second
+    assert (made[0].model.pipeline.stages[-1].toDebugString.split("\n")[1:]
+            == made[1].model.pipeline.stages[-1].toDebugString.split("\n")[1:])
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
+
+
+def test_results_come_in_the_order_of_the_jobs(spark):
+    assert side_by_side(spark, [lambda i=i: spark.range(i).count() for i in range(6)], 3) == list(range(6))
+
+    def fails():
+        raise ValueError("this one")
+    with pytest.raises(ValueError, match="this one"):
+        side_by_side(spark, [fails, lambda: 1], 2)
+
+
+@pytest.mark.parametrize("kind", ["lightgbm", "random_forest"])
+def test_trees_are_counted_by_their_error(spark, features, kind):
+    rows = prepare_training_data(features).rows
+    known, valid = rows.filter("ordinal <= 500"), rows.filter("ordinal > 500")
+    options = {"stepSize": 0.5} if kind == "lightgbm" else {}
+    trees, curve = measured_trees(initialize_model(kind, 16, **options), known, valid, 0.05)
+    assert 1 <= trees <= 16 and curve[trees - 1] <= curve[0]
+    model = initialize_model(kind, trees, **options).fit(known)
+    errors = [(r["label"] - r["prediction"]) ** 2 for r in model.transform(valid).collect()]
+    if kind == "random_forest":  # the curve is that of the first trees
+        assert len(curve) == 16
+        whole = initialize_model(kind, 16).fit(known).transform(valid).collect()
+        errors = [(r["label"] - r["prediction"]) ** 2 for r in whole]
+    assert curve[-1 if kind == "random_forest" else trees - 1] == pytest.approx(np.mean(errors))
+    none, _ = measured_trees(initialize_model(kind, 16, **options), known, valid, 0.99)
+    assert none == 1
+
+
 def test_matrix_is_chronological(spark, features):
     matrix = prepare_training_data(features)
     assert matrix.total == features.count()
