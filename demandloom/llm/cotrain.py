@@ -31,11 +31,13 @@ LABELLED = 12_000
 ROUNDS = 3
 # How sure a view must be to mark a document, and the score from which documents are kept.
 SURE, KEEP = 0.98, 0.5
-PAGE_SIZE = 1 << 12
+# Features of marked documents that a view takes up in a round, at most: those with the most evidence.
+MOST_FEATURES = 200_000
+# Ids of repeated rows that are sent to every task; more of them are joined by a shuffle of the features.
+SENT_IDS = 1_000_000
 # Words take part if their share in good and bad documents differs by this much (a likelihood ratio;
 # 15 happens by chance to about one word in 10,000); what is known of a page always does.
 TEXT_EVIDENCE, PAGE_EVIDENCE = 15.0, 0.0
-MEMORY_WORDS = 300_000
 # Features of the sample that are added up together.
 FIT_PART = 1 << 20
 # A word of fewer documents can't be evidence.
@@ -57,12 +59,11 @@ def text_tokens(text: str) -> set[str]:
 
 
 def _word(token: str) -> int:
-    """A word as a signed 32-bit checksum: few enough words matter for another one to meet them rarely."""
-    return zlib.crc32(token.encode()) - (1 << 31)
-
+    """A word or trait as a signed 32-bit checksum.
 
-def _slot(token: str, size: int = PAGE_SIZE) -> int:
-    return zlib.crc32(token.encode()) & (size - 1)
+    With ``n`` features that have a weight, another one meets one of them by chance ``n`` times in 2^32.
+    """
+    return zlib.crc32(token.encode()) - (1 << 31)
 
 
 def page_tokens(text: str, source: str | None, lang: str | None) -> list[str]:
@@ -98,9 +99,14 @@ class View:
     bias: float
     slope: float = 1.0
     offset: float = 0.0
-    # Weights of words that only marked documents have, by checksum.
+    # Weights of features that only marked documents have, by checksum.
     others: dict[int, float] = field(default_factory=dict)
 
+    def named(self, names: np.ndarray) -> dict[int, float]:
+        """All weights by checksum; ``names`` are those of ``weights``."""
+        used = np.flatnonzero(self.weights)
+        return self.others | dict(zip(names[used].tolist(), self.weights[used].tolist(), strict=True))
+
     def odds(self, sums):
         return self.slope * (sums + self.bias) + self.offset
 
@@ -114,6 +120,7 @@ class Model:
     slope: float = 1.0
     offset: float = 0.0
     words: dict[int, float] = field(default_factory=dict)
+    traits: dict[int, float] = field(default_factory=dict)
 
     def odds(self, text_sums, page_sums):
         doubtful = np.minimum(self.text.odds(text_sums), self.page.odds(page_sums))
@@ -202,8 +209,11 @@ def fit_view(rows: list, good: np.ndarray, size: int, least: float, start: np.nd
 def _line(z: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     """Slope and offset that make sums ``z`` log odds: Newton steps, halved until they help.
 
-    Targets are drawn in a little from 0 and 1, so sums that separate all examples stay finite.
+    Targets are drawn in a little from 0 and 1, so sums that separate all examples stay finite. Sums that tell
+    nothing, being all the same, give the odds of the classes.
     """
+    if len(z) and z.min() == z.max():
+        return 0.0, math.log((good.sum() + 1) / ((~good).sum() + 1))
     if not len(z) or good.min() == good.max():
         return 1.0, 0.0
     middle, width = z.mean(), z.std() + 1e-9
@@ -295,17 +305,20 @@ def co_train(examples: list[tuple], pool: list[tuple] | Callable, sizes: tuple[i
     return model
 
 
-def _features(documents: DataFrame, extra: list[str]) -> DataFrame:
+def features_of(documents: DataFrame) -> DataFrame:
+    """``doc_id, words, page, row``: the features of every row, and a hash of it; written once."""
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         for text, source, lang, *rest in rows:
             text = text or ""
             words = np.unique(np.array([*map(_word, text_tokens(text))], np.int32))
-            page = np.unique(np.array([*map(_slot, page_tokens(text, source, lang))], np.int32))
+            page = np.unique(np.array([*map(_word, page_tokens(text, source, lang))], np.int32))
             yield words, page, *rest
 
-    kinds = dict(documents.dtypes)
-    schema = "words array<int>, page array<int>" + "".join(f", {c} {kinds[c]}" for c in extra)
-    return map_rows(documents.select("text", "source", "lang", *extra), work, schema)
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    row = ("text", "source", "lang")
+    made = map_rows(documents.select(*row, "doc_id", F.xxhash64(*row).alias("row")), work,
+                    f"words array<int>, page array<int>, doc_id {kind}, row long")
+    return stage(made, "features")
 
 
 def _parts(column) -> tuple[np.ndarray, np.ndarray]:
@@ -324,17 +337,16 @@ def _word_sums(values: np.ndarray, lengths: np.ndarray, known: np.ndarray, weigh
     return np.bincount(owner[here], weights[at[here]], minlength=len(lengths))
 
 
-def _marked_counts(pool: DataFrame, views: list[View], names: np.ndarray, sure: float) -> DataFrame:
+def _marked_counts(pool: DataFrame, views: list[View], names: tuple[np.ndarray, np.ndarray], sure: float) -> DataFrame:
     """``view, feature, good, bad``: how many marked documents of each class have a feature of a view.
 
     All documents of the pool without a label are scored by both views, and the marks of one count for
     the other; labelled ones count as such. Views 2 and 3 hold the numbers of all these documents.
     """
-    used = np.flatnonzero(views[0].weights)
-    found = dict(zip(names[used].tolist(), views[0].weights[used].tolist(), strict=True)) | views[0].others
-    known = np.array(sorted(found), np.int32)
-    weights = np.array([found[w] for w in known.tolist()], float)
-    page_weights, limit = views[1].weights, _limit(sure)
+    found = [view.named(n) for view, n in zip(views, names, strict=True)]
+    known = [np.array(sorted(f), np.int32) for f in found]
+    weights = [np.array([f[w] for w in k.tolist()], float) for f, k in zip(found, known, strict=True)]
+    limit = _limit(sure)
     lines = [(v.slope, v.bias, v.offset) for v in views]
     out = pa.schema([("view", pa.int32()), ("feature", pa.int32()), ("good", pa.int64()), ("bad", pa.int64())])
 
@@ -358,10 +370,7 @@ def _marked_counts(pool: DataFrame, views: list[View], names: np.ndarray, sure:
         size = 0
         for batch in batches:
             columns = [_parts(batch.column(name)) for name in ("words", "page")]
-            page, lengths = columns[1]
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            sums = (_word_sums(*columns[0], known, weights),
-                    np.bincount(owner, page_weights[page], minlength=len(lengths)))
+            sums = [_word_sums(*columns[v], known[v], weights[v]) for v in (0, 1)]
             odds = [slope * (s + bias) + offset for s, (slope, bias, offset) in zip(sums, lines, strict=True)]
             given = batch.column("good").fill_null(False).to_numpy(zero_copy_only=False)
             labelled = batch.column("good").is_valid().to_numpy(zero_copy_only=False)
@@ -383,78 +392,101 @@ def _marked_counts(pool: DataFrame, views: list[View], names: np.ndarray, sure:
             .groupBy("view", "feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
 
 
-def _marks_of_table(pool: DataFrame, names: np.ndarray, views: list[View], sure: float) -> list[tuple]:
-    """The same as ``_marks_of_rows`` for staged features; only features that tell reach the driver."""
+def _marks_of_table(pool: DataFrame, names: tuple[np.ndarray, np.ndarray], views: list[View],
+                    sure: float) -> list[tuple]:
+    """The same as ``_marks_of_rows`` for staged features; only features that tell reach the driver.
+
+    Their number is bounded by ``MOST_FEATURES``; what the page view knows from the sample always counts.
+    """
     counts = stage(_marked_counts(pool, views, names, sure), "marks")
     totals = {r["view"] - 2: (float(r["good"]), float(r["bad"])) for r in counts.filter("view >= 2").collect()}
     starts = []
     for v, least in enumerate((TEXT_EVIDENCE, PAGE_EVIDENCE)):
         good, bad = totals[v]
-        start, others = np.zeros(len(names) if v == 0 else PAGE_SIZE), {}
-        mine = counts.filter(F.col("view") == v)
-        if least:
-            both, share = F.col("good") + F.col("bad"), bad / (good + bad)
-
-            def part(count: str, of: float, both: Column = both) -> Column:
-                return F.when(F.col(count) > 0, F.col(count) * F.log(F.col(count) / (both * of))).otherwise(0.0)
-
-            mine = mine.filter((both >= LEAST_DOCUMENTS) & (F.col("bad") * good >= MARKED_TIMES * F.col("good") * bad)
-                               & (2 * (part("bad", share) + part("good", 1 - share)) >= least))
-        found = mine.select("feature", "good", "bad").toArrow()
+        start = np.zeros(len(names[v]))
+        both, share = F.col("good") + F.col("bad"), bad / (good + bad)
+
+        def part(count: str, of: float, both: Column = both) -> Column:
+            return F.when(F.col(count) > 0, F.col(count) * F.log(F.col(count) / (both * of))).otherwise(0.0)
+
+        evidence = 2 * (part("bad", share) + part("good", 1 - share))
+        mine = counts.filter(F.col("view") == v).withColumn("evidence", evidence)
+        telling = ((both >= LEAST_DOCUMENTS) & (F.col("evidence") >= least)
+                   & (F.col("bad") * good >= MARKED_TIMES * F.col("good") * bad)) if least else F.lit(True)
+        told = mine.filter(telling).orderBy(F.col("evidence").desc(), "feature").limit(MOST_FEATURES)
+        if not least:  # every trait of the sample takes part: one row each
+            sample = counts.sparkSession.createDataFrame(pa.table({"feature": names[v]}))
+            told = told.unionByName(mine.join(F.broadcast(sample), "feature").select(mine.columns)).distinct()
+        found = told.select("feature", "good", "bad").toArrow()
         features = found["feature"].to_numpy()
         weights = _marked_weights(found["good"].to_numpy(), found["bad"].to_numpy(), good, bad, sure)
-        if v:
-            start[features] = weights
-        else:
-            at = np.minimum(np.searchsorted(names, features), len(names) - 1)
-            here = names[at] == features
-            start[at[here]] = weights[here]
-            others = dict(zip(features[~here].tolist(), weights[~here].tolist(), strict=True))
-        starts.append((start, others))
+        at = np.searchsorted(names[v], features)
+        here = np.isin(features, names[v])
+        start[at[here]] = weights[here]
+        starts.append((start, dict(zip(features[~here].tolist(), weights[~here].tolist(), strict=True))))
     return starts
 
 
+def _one_of_each(features: DataFrame) -> DataFrame:
+    """Of the rows with one id that with the smallest hash; only rows of repeated ids are moved."""
+    rows = features.filter("doc_id is not null")
+    repeated = stage(rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated")
+    count = repeated.count()
+    if not count:
+        return rows
+    ids = F.broadcast(repeated) if count <= SENT_IDS else repeated
+    one = rows.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min_by(F.struct("words", "page", "row"), "row").alias("one")).select("doc_id", "one.*")
+    return rows.join(ids, "doc_id", "left_anti").unionByName(one)
+
+
 def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> Model | None:
-    """Fit on documents of ``doc_id, text, source, lang`` and labels of ``doc_id, quality, toxic``.
+    """Fit on documents of ``doc_id, text, source, lang`` and labels of ``doc_id, quality, toxic``."""
+    return fit_features(features_of(documents), labels, labelled, rounds)
+
+
+def fit_features(features: DataFrame, labels: DataFrame, labelled: int = LABELLED,
+                 rounds: int = ROUNDS) -> Model | None:
+    """Fit on the features of documents and labels of ``doc_id, quality, toxic``.
 
     The labelled documents used are those with the smallest hashes of ids among the present ones, so they
-    don't depend on partitions; all others are marked in every round. A document with several labels is
-    good only if all say so; labels without a quality are left out. Of rows with one id, the one with the
-    smallest hash of its text is taken, however many there are; rows without an id are left out.
+    don't depend on partitions; all others are marked in every round, whether they have a label or not. A
+    document with several labels is good only if all say so; labels without a quality are left out. Of rows
+    with one id, the one with the smallest hash is taken, however many there are; rows without an id are
+    left out. Features are read where they lie; only ids and rows of repeated ids are shuffled.
     """
+    spark = features.sparkSession
     judged = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min((F.col("quality") > 0) & (F.coalesce("toxic", F.lit(0)) < 1)).alias("good"))
-    row = ("text", "source", "lang")
-    one = documents.select("doc_id", *row).filter("doc_id is not null").groupBy("doc_id").agg(
-        F.min_by(F.struct(*row), F.xxhash64(*row)).alias("row"))
-    features = stage(_features(one.select("doc_id", "row.*").join(judged, "doc_id", "left"),
-                               ["doc_id", "good"]), "features")
+    one = _one_of_each(features)
     order = F.xxhash64("doc_id")
-    known = features.filter("good is not null")
     # The sample's size is bounded by the parameter.
-    chosen = known.select("doc_id").orderBy(order, "doc_id").limit(labelled)
-    found = known.join(F.broadcast(chosen), "doc_id").withColumn("place", order).toArrow().combine_chunks()
+    chosen = stage(judged.join(one.select("doc_id"), "doc_id").withColumn("place", order)
+                   .orderBy("place", "doc_id").limit(labelled), "chosen")
+    found = one.join(F.broadcast(chosen), "doc_id").toArrow().combine_chunks()
     if not found.num_rows:
         return None
-    values, lengths = _parts(found["words"].chunk(0))
-    names = np.unique(values)
-    words = _split(np.concatenate([np.searchsorted(names, values[i:i + FIT_PART]).astype(np.int32)
-                                   for i in range(0, max(1, len(values)), FIT_PART)]), lengths)
-    page = _split(*_parts(found["page"].chunk(0)))
+    names, rows = [], []
+    for name in ("words", "page"):
+        values, lengths = _parts(found[name].chunk(0))
+        names.append(np.unique(values))
+        rows.append(_split(np.concatenate(
+            [np.searchsorted(names[-1], values[i:i + FIT_PART]).astype(np.int32)
+             for i in range(0, max(1, len(values)), FIT_PART)]), lengths))
     good = found["good"].to_pylist()
     in_order = np.lexsort((found["doc_id"].to_numpy(), found["place"].to_numpy())).tolist()
-    # Every fourth one is kept aside by ``co_train``.
-    kept = documents.sparkSession.createDataFrame(
-        found.select(["doc_id"]).take([p for i, p in enumerate(in_order) if i % 4 != 3]))
-    pool = features.filter("good is null").unionByName(
-        known.join(F.broadcast(kept), "doc_id").select(features.columns))
-    model = co_train([(words[i], page[i], good[i]) for i in in_order],
-                     lambda views, sure: _marks_of_table(pool, names, views, sure), (len(names), PAGE_SIZE), rounds)
-    if model is not None:
-        used = np.flatnonzero(model.text.weights)
-        model.words = model.text.others | dict(
-            zip(names[used].tolist(), model.text.weights[used].tolist(), strict=True))
-        model.text = replace(model.text, weights=np.empty(0), others={})  # tasks look words up by name
+    # Every fourth one is kept aside by ``co_train``; the others count with their labels, all else is marked.
+    aside, kept = ([p for i, p in enumerate(in_order) if (i % 4 == 3) == side] for side in (True, False))
+    sides = [F.broadcast(spark.createDataFrame(found.select(["doc_id", "good"]).take(p))) if p
+             else None for p in (aside, kept)]
+    pool = one.join(sides[0], "doc_id", "left_anti") if sides[0] is not None else one
+    pool = pool.join(sides[1], "doc_id", "left")
+    model = co_train([(rows[0][i], rows[1][i], good[i]) for i in in_order],
+                     lambda views, sure: _marks_of_table(pool, tuple(names), views, sure),
+                     (len(names[0]), len(names[1])), rounds)
+    if model is not None:  # tasks look features up by name
+        model.words, model.traits = model.text.named(names[0]), model.page.named(names[1])
+        model.text, model.page = (replace(v, weights=np.empty(0), others={}) for v in (model.text, model.page))
     return model
 
 
@@ -467,19 +499,14 @@ def _scorer(model: Model):
     names = ("text_score", "page_score", "score")
 
     def score(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        known: dict[str, float] = {}
-
-        def weight(token: str) -> float:
-            found = known.get(token)
-            if found is None:
-                if len(known) > MEMORY_WORDS:
-                    known.clear()
-                found = known[token] = model.words.get(_word(token), 0.0)
-            return found
+        def weight(word: int) -> float:
+            return model.words.get(word, 0.0)
 
         def sums(text: str | None, source: str | None, lang: str | None) -> tuple[float, float]:
-            page = set(map(_slot, page_tokens(text or "", source, lang)))
-            return sum(map(weight, text_tokens(text or ""))), float(model.page.weights[list(page)].sum())
+            page = set(map(_word, page_tokens(text or "", source, lang)))
+            words = map(_word, text_tokens(text or ""))
+            return (math.fsum(map(weight, set(words))),
+                    math.fsum(model.traits.get(t, 0.0) for t in page))
 
         for columns in batches:
             found = np.zeros((len(columns[0]), 2))
@@ -507,6 +534,31 @@ def scores(model: Model | None, text: Column, source: Column, lang: Column) -> C
     return _scorer(model)(text, source, lang)
 
 
+def score_features(model: Model | None, features: DataFrame) -> DataFrame:
+    """``doc_id, text_score, page_score, score`` of every row of ``features_of``, without reading texts again."""
+    names = ("text_score", "page_score", "score")
+    if model is None:
+        return features.select("doc_id", *[F.lit(None).cast("double").alias(n) for n in names])
+    tables = [_sorted_weights(w) for w in (model.words, model.traits)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, page = (_word_sums(*_parts(batch.column(n)), *t)
+                           for n, t in zip(("words", "page"), tables, strict=True))
+            odds = (model.text.odds(words), model.page.odds(page), model.odds(words, page))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *[pa.array(_sigmoid(o)) for o in odds]], names=["doc_id", *names])
+
+    kind = features.schema["doc_id"].dataType.simpleString()
+    return features.select("doc_id", "words", "page").mapInArrow(
+        run, f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names))
+
+
+def _sorted_weights(weights: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
+    known = np.array(sorted(weights), np.int32)
+    return known, np.array([weights[w] for w in known.tolist()], float)
+
+
 def kept(score: Column, keep: float = KEEP) -> Column:
     """Documents without a score are kept."""
     return F.coalesce(score >= keep, F.lit(True))

@@ -43,11 +43,9 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
-    model = cotrain.fit(documents, table(spark, folder, "labels"))
-    scores = cotrain.scores(model, F.col("text"), F.col("source"), F.col("lang"))
-    return (documents.select("doc_id", scores.alias("s")).select("doc_id", "s.*")
-            .withColumn("kept", cotrain.kept(F.col("score"))))
+    features = cotrain.features_of(table(spark, folder, "documents"))
+    model = cotrain.fit_features(features, table(spark, folder, "labels"))
+    return cotrain.score_features(model, features).withColumn("kept", cotrain.kept(F.col("score")))
 
 
 def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

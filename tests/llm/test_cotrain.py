@@ -83,7 +83,39 @@ def test_every_unlabelled_document_teaches(spark):
     model = cotrain.fit(docs, marks)
     assert model.words.get(cotrain._word("zorbulon"), 0) < -1
     again = cotrain.fit(docs.repartition(5), marks)
-    assert again.words == model.words and (again.page.weights == model.page.weights).all()
+    assert again.words == model.words and again.traits == model.traits
+
+
+def test_marks_of_a_table_are_those_of_rows(spark, fitted, monkeypatch):
+    docs, _, _ = fitted
+    monkeypatch.setattr(cotrain, "TEXT_EVIDENCE", 3.0)
+    features = cotrain.features_of(docs)
+    held = {r["doc_id"]: r for r in features.collect()}
+    names = tuple(np.unique(np.concatenate([held[i][v] for i in held])) for v in ("words", "page"))
+    rng = np.random.default_rng(3)
+    views = [cotrain.View(rng.normal(0, s, len(n)), 0.1, 1.3, -0.2) for s, n in zip((0.4, 0.9), names, strict=True)]
+    rows = {i: tuple(np.searchsorted(n, r[v]) for v, n in zip(("words", "page"), names, strict=True)) for i, r in held.items()}
+    labels = {i: i % 6 > 1 for i in range(100)}
+    expected = cotrain._marks_of_rows([(*rows[i], g) for i, g in labels.items()],
+                                      [rows[i] for i in rows if i not in labels], tuple(map(len, names)), views, 0.9)
+    given = spark.createDataFrame(list(labels.items()), "doc_id long, good boolean")
+    found = cotrain._marks_of_table(features.join(given, "doc_id", "left"), names, views, 0.9)
+    for (want, _), (got, others) in zip(expected, found, strict=True):
+        assert np.allclose(want, got) and np.count_nonzero(got) and others == {}
+
+
+def test_features_score_as_texts_do(fitted):
+    docs, _, model = fitted
+    by_text = {r["doc_id"]: r for r in scored(docs, model).collect()}
+    for r in cotrain.score_features(model, cotrain.features_of(docs)).collect():
+        assert [r[c] for c in ("text_score", "page_score", "score")] == pytest.approx(
+            [by_text[r["doc_id"]][c] for c in ("text_score", "page_score", "score")], abs=1e-12)
+
+
+def test_texts_are_not_shuffled(fitted):
+    docs, marks, _ = fitted
+    one = cotrain._one_of_each(cotrain.features_of(docs))
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_labels_of_absent_documents_take_no_place(fitted, spark):
@@ -101,6 +133,8 @@ def test_calibrated_odds_follow_the_labels():
     assert abs(slope * 5 - 2) < 0.3 and abs(offset - 3 * slope - 1) < 0.3
     assert cotrain._line(z, good | True) == (1.0, 0.0)
     assert np.isfinite(cotrain._line(z, z > 0)).all()
+    # A view that tells nothing leaves the decision to the other one.
+    assert cotrain._line(np.full(8, -1e-5), np.arange(8) > 1) == (0.0, np.log(7 / 3))
 
 
 def test_odd_rows_and_missing_labels(fitted, spark):
