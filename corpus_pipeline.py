@@ -2,29 +2,60 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from demandloom.llm import cotrain, host_quality, jaccard, packing
-from demandloom.sources.staging import stage
+from demandloom.sources.staging import drop_folders, recorded, stage
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Folders that the stages before the current one staged for themselves.
+_left: list[str] = []
+
+
+def clear(spark: SparkSession, docs: DataFrame | None = None) -> None:
+    """Delete what stages staged for themselves, except what ``docs`` still reads."""
+    read = " ".join(docs.inputFiles()) if docs is not None and _left else ""
+    gone = [folder for folder in _left if folder.rsplit("/", 1)[-1] not in read]
+    _left[:] = [folder for folder in _left if folder not in gone]
+    drop_folders(spark, gone)
+
+
+def tidy(function: Stage) -> Stage:
+    """A stage that first deletes what the ones before it needed only until their rows were written."""
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        clear(spark, docs)
+        with recorded() as folders:
+            out = function(spark, docs, sf_dir)
+        _left.extend(folders)
+        return out
+    return run
 
 
+@tidy
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and come from a host that isn't rejected."""
     return host_quality.keep_good(docs)
 
 
+@tidy
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, takes for good."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return cotrain.keep_good(docs, cotrain.fit(docs, labels))
 
 
+@tidy
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return jaccard.keep_one_of_each(docs)
 
 
+@tidy
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of powers of two, one row per piece with its tokens."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -42,4 +73,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name.replace("_", "-"))
+        clear(spark)
     return docs
