@@ -16,12 +16,18 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _left: list[str] = []
 
 
-def clear(spark: SparkSession, docs: DataFrame | None = None) -> None:
-    """Delete what stages staged for themselves, except what ``docs`` still reads."""
-    read = " ".join(docs.inputFiles()) if docs is not None and _left else ""
-    gone = [folder for folder in _left if folder.rsplit("/", 1)[-1] not in read]
-    _left[:] = [folder for folder in _left if folder not in gone]
-    drop_folders(spark, gone)
+def clear(spark: SparkSession, docs: DataFrame) -> None:
+    """Delete what stages staged for themselves once ``docs`` is read from files of its own.
+
+    A frame that still reads staged folders keeps them, and one that names no files, as a cached one, keeps
+    all of them.
+    """
+    files = docs.inputFiles() if _left else []
+    if files:
+        read = " ".join(files)
+        gone = [folder for folder in _left if folder.rsplit("/", 1)[-1] not in read]
+        _left[:] = [folder for folder in _left if folder not in gone]
+        drop_folders(spark, gone)
 
 
 def tidy(function: Stage) -> Stage:
@@ -73,5 +79,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name.replace("_", "-"))
-        clear(spark)
+        clear(spark, docs)
     return docs
