@@ -46,7 +46,7 @@ LEAST_DOCUMENTS = 3
 # that smallest differences would be evidence.
 MARKED_TIMES = 3
 # Features of marked documents that a task holds before it counts them.
-COUNT_PART = 1 << 22
+COUNT_PART = 1 << 20
 # Starts of words that are features besides the words, in characters.
 STARTS = (4, 5)
 TOKENS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")

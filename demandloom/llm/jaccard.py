@@ -39,6 +39,8 @@ SIMILAR = 80
 SHARED = 4
 # Frequent columns that every task is told, so it can put them last. More of them cost nothing but
 # memory, fewer only make the product larger: any order of the columns gives the same links.
+# The column that holds a hash of the text beside the columns of documents.
+ROW = "_near_row"
 FREQUENT_COLUMNS = 1 << 17
 # Shingles that one task counts together.
 COUNT_BATCH = 1 << 20
@@ -168,16 +170,15 @@ def _frequent_columns(texts: DataFrame, bits: int, size: int) -> DataFrame:
 
 
 def _incidence(documents: DataFrame, frequent, bits: int, similar: int, size: int) -> DataFrame:
-    """Per document its set's size and digest, how off-centre it is, and its leading columns in order.
+    """Per row its set's node and size, how off-centre it is, and its leading columns in order.
 
     ``lost`` counts leading shingles whose column stands in the list already.
     """
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         often, counts = frequent.value
-        for name, text in rows:
+        for name, row, text in rows:
             hashes = shingles(text, size)
             n = len(hashes)
-            digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
             column = _columns(hashes, bits)
             weight = np.zeros(n, np.int64)
             if len(often):
@@ -187,10 +188,18 @@ def _incidence(documents: DataFrame, frequent, bits: int, similar: int, size: in
             ordered = column[np.lexsort((column, weight))[:lead]]
             leading = ordered[np.append(True, ordered[1:] != ordered[:-1])] if n else ordered
             rare = int(1000 * np.count_nonzero(weight == 0) / n) if n else 0
-            yield name, n, digest, rare, lead - len(leading), leading
+            yield name, row, n, _node(hashes), rare, lead - len(leading), leading
+
+    return map_rows(documents.select("doc_id", "row", "text"), work,
+                    "doc_id long, row long, n int, node long, rare int, lost int, leading array<long>")
+
 
-    return map_rows(documents, work, "doc_id long, n int, digest binary, rare int, lost int, "
-                    "leading array<long>")
+def _node(hashes: np.ndarray) -> int:
+    """What names a set, whatever documents hold it: 64 bits of its digest.
+
+    Among ``k`` different sets two share a name by chance with ``k * k`` in 2^65.
+    """
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _filter_of(wanted: DataFrame) -> np.ndarray:
@@ -205,19 +214,20 @@ def _filter_of(wanted: DataFrame) -> np.ndarray:
 
 
 def _whole_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The sets of all wanted documents, and of a few others that the filter lets through."""
+    """The sets of all wanted documents by node, and of a few others that the filter lets through."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(_filter_of(wanted))
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         wanted_bits = shared.value
-        for name, h, text in rows:
+        for h, text in rows:
             if h is not None and int(wanted_bits[h >> 6]) >> (h & 63) & 1:
-                yield name, shingles(text, size).astype(np.int64)
+                hashes = shingles(text, size)
+                yield _node(hashes), hashes.astype(np.int64)
 
     hashed = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS)
-    named = documents.filter("doc_id is not null").select("doc_id", hashed.alias("h"), "text")
-    return stage(map_rows(named, work, "doc_id long, hashes array<long>"), "shingle-sets")
+    named = documents.filter("doc_id is not null").select(hashed.alias("h"), "text")
+    return stage(map_rows(named, work, "node long, hashes array<long>"), "shingle-sets")
 
 
 def _asked(n: Column, m: Column, similar: int) -> Column:
@@ -239,19 +249,19 @@ def _may_meet(similar: int) -> Column:
 
 def _counted(met: DataFrame, similar: int) -> DataFrame:
     """Partial overlaps added up per pair; pairs that share too few leading columns are discarded."""
-    partial = met.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(
+    partial = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
         F.count("*").alias("o"), *[F.first(c).alias(c) for c in ("n_a", "n_b", "lost_a", "lost_b")])
     enough = F.col("o") + F.col("lost_a") + F.col("lost_b") >= _shared(F.col("n_a"), F.col("n_b"), similar)
     return partial.filter(enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _linked(pairs: DataFrame, documents: DataFrame, similar: int, size: int) -> DataFrame:
-    """Pairs ``a, b`` whose whole sets are similar enough."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = _whole_sets(documents, ends, size)
+def _linked(pairs: DataFrame, documents: DataFrame, classes: DataFrame, similar: int, size: int) -> DataFrame:
+    """Pairs ``a, b`` of nodes whose whole sets are similar enough; one document of each is cut again."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = _whole_sets(documents, ends.join(classes, "node").select("doc_id").distinct(), size)
 
     def side(name: str) -> DataFrame:
-        return sets.select(F.col("doc_id").alias(name), F.col("hashes").alias(f"set_{name}"))
+        return sets.select(F.col("node").alias(name), F.col("hashes").alias(f"set_{name}"))
 
     met = pairs.join(side("a"), "a").join(side("b"), "b")
     overlap = F.size(F.array_intersect("set_a", "set_b"))
@@ -270,10 +280,25 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     ``component_id`` is the smallest document reachable by links, the document itself included. Null or
     empty texts, and those without words, are linked with nothing. Repeated rows are linked like other
     copies; rows of one id with different texts each get the component of their own text. Rows without an
-    id are linked with nothing and have no component. An empty table gives no rows.
+    id are linked with nothing and have no component. An empty table gives no rows; other columns are not
+    read.
+    """
+    return _classified(documents, key, text, similar, size).select("doc_id", "n_shingles", "component_id")
+
+
+def _row_hash(text: str):
+    return F.xxhash64(F.col(text))
+
+
+def _classified(documents: DataFrame, key: str, text: str, similar: int, size: int) -> DataFrame:
+    """``doc_id, row, n_shingles, label, component_id`` of every row.
+
+    Nodes of links are sets, not ids, so texts that share an id are not taken for one. ``row`` is a hash of
+    the text and ``label`` names the component; rows that can't be linked have none.
     """
-    texts = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    as_bytes = texts.select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = documents.select(F.col(key).cast("long").alias("doc_id"), _row_hash(text).alias("row"),
+                             F.col(text).alias("text"))
+    as_bytes = texts.withColumn("text", F.col("text").cast("binary"))
     characters = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     # Columns are wide enough that different shingles rarely meet in one by chance.
     bits = min(63, max(32, math.ceil(math.log2(characters + 2)) + 6))
@@ -282,53 +307,68 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     frequent = spark.sparkContext.broadcast((rows["col"].to_numpy(), rows["n"].to_numpy()))
 
     incidence = stage(_incidence(as_bytes, frequent, bits, similar, size), "incidence")
-    classes = (incidence.filter("n > 0 and doc_id is not null").groupBy("digest")
-               .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("rare").alias("rare"),
+    linkable = incidence.filter("n > 0 and doc_id is not null")
+    classes = (linkable.groupBy("node")
+               .agg(F.first("n").alias("n"), F.first("rare").alias("rare"),
                     F.first("lost").alias("lost"), F.first("leading").alias("leading")))
-    row = ("rep", "n", "lost", "pos")
+    first_ids = stage(linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "first-ids")
+    row = ("node", "n", "lost", "pos")
     column = W.partitionBy("col")
     # A column holds a class once, so it is never more than one row per class long.
-    entries = classes.select("rep", "n", "rare", "lost", F.posexplode("leading").alias("pos", "col"))
+    entries = classes.select("node", "n", "rare", "lost", F.posexplode("leading").alias("pos", "col"))
     entries = entries.withColumns({
         "rows": F.count("*").over(column),
         "centre": F.min(F.struct("rare", *row)).over(column)}).filter("rows > 1")
     entries = stage(entries.select("col", *row, "centre"), "shared-columns")
 
-    stars = (entries.filter(F.col("rep") != F.col("centre.rep"))
+    stars = (entries.filter(F.col("node") != F.col("centre.node"))
              .select(*_sided("a", row), *[F.col(f"centre.{c}").alias(f"{c}_b") for c in row]))
     stars = stage(_counted(stars.filter(_may_meet(similar)), similar), "star-pairs")
-    first = stage(_linked(stars, as_bytes, similar, size), "star-links")
+    first = stage(_linked(stars, as_bytes, first_ids, similar, size), "star-links")
     labels = components(first)
 
     # Columns whose rows are not connected yet, and in them all pairs that are not.
-    known = (entries.select("col", *row).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-             .withColumn("label", F.coalesce("label", "rep")))
+    known = (entries.select("col", *row).join(labels, "node", "left")
+             .withColumn("label", F.coalesce("label", "node")))
     split = known.groupBy("col").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     known = stage(known.join(split.select("col"), "col", "left_semi"), "open-columns")
     row = (*row, "label")
     met = (known.select("col", *_sided("a", row)).join(known.select("col", *_sided("b", row)), "col")
-           .filter("rep_a < rep_b and label_a <> label_b").filter(_may_meet(similar)))
+           .filter("node_a < node_b and label_a <> label_b").filter(_may_meet(similar)))
     pairs = stage(_counted(met, similar), "pairs")
-    found = components(first.unionByName(_linked(pairs, as_bytes, similar, size)))
+    found = components(first.unionByName(_linked(pairs, as_bytes, first_ids, similar, size)))
 
-    labelled = (classes.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-                .select("digest", F.coalesce("label", "rep").alias("component_id")))
-    return (incidence.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "digest")
-            .join(labelled, "digest", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
-                "component_id", "doc_id")).alias("component_id")))
+    # The smallest id of every component; a class without links is a component of its own.
+    linked = found.join(first_ids, "node")
+    named = linked.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    labelled = first_ids.join(linked.select("node", "label").join(named, "label"), "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label"),
+        F.coalesce("component_id", "doc_id").alias("component_id"))
+    can_link = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    return (incidence.select("doc_id", "row", F.col("n").cast("long").alias("n_shingles"), "node")
+            .join(labelled, "node", "left")
+            .select("doc_id", "row", "n_shingles", F.when(can_link, F.col("label")).alias("label"),
+                    F.when(can_link, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def keep_one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text",
-                     similar: int = SIMILAR) -> DataFrame:
+                     similar: int = SIMILAR, size: int = SHINGLE_WORDS) -> DataFrame:
     """One document of every component, the one with the smallest id, with all its columns.
 
-    Of several rows with one id one stays, if any of them names its own component. Rows without an id are
-    linked with nothing and all stay.
+    Different texts of one id are documents of their own; of equal rows of one id and text one stays. Texts
+    without words and rows without an id are linked with nothing and all stay. Rows are moved only to drop
+    the ones that go, or where ids and texts repeat.
     """
-    found = similar_documents(documents, key, text, similar)
-    away = (found.filter("doc_id is not null").groupBy(F.col("doc_id").alias(key))
-            .agg(F.every(F.col("component_id") < F.col("doc_id")).alias("away")).filter("away").select(key))
-    named = documents.filter(F.col(key).isNotNull())
-    return (named.join(away, key, "left_anti").dropDuplicates([key]).select(*documents.columns)
-            .unionByName(documents.filter(F.col(key).isNull())))
+    found = stage(_classified(documents, key, text, similar, size).filter("doc_id is not null"), "classified")
+    one = F.struct("doc_id", "row")
+    firsts = found.filter("label is not null").groupBy("label").agg(F.min(one).alias("first"))
+    away = (found.join(firsts, "label").filter(one != F.col("first"))
+            .select(F.col("doc_id").alias(key), F.col("row").alias(ROW)).distinct())
+    repeated = stage(found.groupBy("doc_id", "row").agg(F.count("*").alias("rows")).filter("rows > 1")
+                     .select(F.col("doc_id").alias(key), F.col("row").alias(ROW)), "repeated-rows")
+    named = documents.filter(F.col(key).isNotNull()).withColumn(ROW, _row_hash(text))
+    stay = named.join(away, [key, ROW], "left_anti")
+    if not repeated.isEmpty():
+        stay = (stay.join(repeated, [key, ROW], "left_anti").unionByName(
+            stay.join(repeated, [key, ROW], "left_semi").dropDuplicates([key, ROW])))
+    return stay.select(*documents.columns).unionByName(documents.filter(F.col(key).isNull()))

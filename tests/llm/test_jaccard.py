@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from demandloom.llm import jaccard
 from demandloom.llm.components import components
@@ -102,6 +103,20 @@ def test_keeps_one_of_each_group_with_its_columns(documents, rows):
     assert sorted(r["doc_id"] or -1 for r in again.collect()) == [-1, -1, 1, 2]
 
 
+def test_texts_that_share_an_id_are_not_taken_for_one(documents, rows):
+    a, b, c = prose(31, 120), prose(32, 120), prose(33, 120)
+    near = a + " and a few more words"
+    table = documents([(3, a), (5, near), (5, b), (6, b), (7, c), (7, c), (8, None), (8, None), (8, ""), (None, a)])
+    assert rows(jaccard.similar_documents(table), "doc_id", "component_id") == sorted(
+        [(3, 3), (5, 3), (5, 5), (6, 5), (7, 7), (7, 7), (8, 8), (8, 8), (8, 8), (None, None)], key=repr)
+    kept = jaccard.keep_one_of_each(table.withColumns({"row": F.lit(1), "label": F.lit("x"), "node": F.lit(2)}))
+    assert rows(kept, "doc_id", "text") == sorted([(3, a), (5, b), (7, c), (8, None), (8, ""), (None, a)], key=repr)
+    both = documents([(5, a), (5, c)])
+    assert rows(jaccard.keep_one_of_each(both), "doc_id", "text") == sorted([(5, a), (5, c)], key=repr)
+    one = documents([(5, a), (5, near)])
+    assert jaccard.keep_one_of_each(one).count() == 1
+
+
 def test_components_of_chains_stars_and_loops(spark, rows):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     made = components(spark.createDataFrame(links, "a long, b long"))

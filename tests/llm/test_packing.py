@@ -15,16 +15,30 @@ TEXTS = [None, "", " ", "a", "  two  spaces \n\n\t end ", "don't we'll I'M", "<|
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_are_those_of_the_tokenizers_library(spark, tokenizer):
-    encoding = packing.byte_bpe(RANKS)
+    encode = packing.encoder(RANKS)
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").toPandas()["text"]
-    for text in [*(t or "" for t in TEXTS), *table]:
-        assert encoding.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    for text in [*(t or "" for t in TEXTS), "a<|endoftext|>b", "<|endoftext|>" * 3, " <|endoftext|> ", "<|endoftext", *table]:
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encode("a<|endoftext|>b") == [64, 50256, 65]
+
+
+def test_special_tokens_as_text():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    encode = packing.encoder(RANKS, special_as_text=True)
+    for text in ("a<|endoftext|>b", "a" + " " * 200_000 + "<|endoftext|>"):
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids
+        assert 50256 not in encode(text)
+
+
+def test_other_columns_may_have_any_name(documents):
+    table = documents([(1, "some text")])
+    clash = table.withColumns({c: F.lit("x") for c in ("start", "length", "ids", "sequence_id", "offset", "doc_tokens")})
+    assert packing.pack(clash, RANKS).collect() == packing.pack(table, RANKS).collect()
 
 
 def test_very_long_white_space(documents, tokenizer):

@@ -53,7 +53,6 @@ def test_one_of_each_group_stays(stages):
 def test_sequences_hold_all_that_was_left(stages):
     _, before, after = stages[3]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     found = after.toPandas().sort_values(["doc_id", "start"]).groupby("doc_id")["ids"].agg(b"".join)
     made = {k: np.frombuffer(v, "<u4").tolist() for k, v in found.items()}
     assert made == {k: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for k, t in texts(before)}
