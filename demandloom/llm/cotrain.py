@@ -45,6 +45,8 @@ LEAST_DOCUMENTS = 3
 # Among marked documents a word has to be so many times as frequent in bad ones: there are so many of them
 # that smallest differences would be evidence.
 MARKED_TIMES = 3
+# Documents whose features are added up together.
+PART_ROWS = 512
 # Features of marked documents that a task holds before it counts them.
 COUNT_PART = 1 << 20
 # Starts of words that are features besides the words, in characters.
@@ -321,6 +323,13 @@ def features_of(documents: DataFrame) -> DataFrame:
     return stage(made, "features")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time: sums take several times the room of the features themselves."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(start, PART_ROWS)
+
+
 def _parts(column) -> tuple[np.ndarray, np.ndarray]:
     """The values of a column of lists, and how many each row has."""
     offsets = column.offsets.to_numpy()
@@ -368,7 +377,7 @@ def _marked_counts(pool: DataFrame, views: list[View], names: tuple[np.ndarray,
                         yield made(v, side, *np.unique(np.concatenate(parts), return_counts=True))
 
         size = 0
-        for batch in batches:
+        for batch in _slices(batches):
             columns = [_parts(batch.column(name)) for name in ("words", "page")]
             sums = [_word_sums(*columns[v], known[v], weights[v]) for v in (0, 1)]
             odds = [slope * (s + bias) + offset for s, (slope, bias, offset) in zip(sums, lines, strict=True)]
@@ -542,7 +551,7 @@ def score_features(model: Model | None, features: DataFrame) -> DataFrame:
     tables = [_sorted_weights(w) for w in (model.words, model.traits)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             words, page = (_word_sums(*_parts(batch.column(n)), *t)
                            for n, t in zip(("words", "page"), tables, strict=True))
             odds = (model.text.odds(words), model.page.odds(page), model.odds(words, page))
