@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from ._tables import READ_ROWS, map_rows
+from ._tables import READ_ROWS, give_back, map_rows
 
 # The labelled documents used for fitting.
 LABELLED = 12_000
@@ -315,6 +315,7 @@ def features_of(documents: DataFrame) -> DataFrame:
             words = np.unique(np.array([*map(_word, text_tokens(text))], np.int32))
             page = np.unique(np.array([*map(_word, page_tokens(text, source, lang))], np.int32))
             yield words, page, *rest
+        give_back()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     row = ("text", "source", "lang")
@@ -396,6 +397,7 @@ def _marked_counts(pool: DataFrame, views: list[View], names: tuple[np.ndarray,
         for v in (0, 1):
             for side in (0, 1):
                 yield made(v + 2, side, np.zeros(1), totals[v, side:side + 1])
+        give_back()
 
     return (pool.select("words", "page", "good").mapInArrow(run, "view int, feature int, good long, bad long")
             .groupBy("view", "feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
@@ -527,6 +529,7 @@ def _scorer(model: Model):
             words, page = found.T
             made = (model.text.odds(words), model.page.odds(page), model.odds(words, page))
             yield pa.StructArray.from_arrays([pa.array(_sigmoid(odds)) for odds in made], names=names)
+            give_back()
 
     return F.arrow_udf(score, ", ".join(f"{name} double" for name in names))
 
