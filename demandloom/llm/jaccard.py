@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from ._tables import map_rows
+from ._tables import give_back, map_rows
 from .components import components
 
 SHINGLE_WORDS = 5
@@ -155,6 +155,7 @@ def _frequent_columns(texts: DataFrame, bits: int, size: int) -> DataFrame:
                 yield from count(held)
                 held, seen, total = [], set(), 0
         yield from count(held)
+        give_back()
 
     counts = stage(map_rows(texts, work, "col long, n long").groupBy("col").agg(F.sum("n").alias("n")),
                    "column-counts")
@@ -189,6 +190,7 @@ def _incidence(documents: DataFrame, frequent, bits: int, similar: int, size: in
             leading = ordered[np.append(True, ordered[1:] != ordered[:-1])] if n else ordered
             rare = int(1000 * np.count_nonzero(weight == 0) / n) if n else 0
             yield name, row, n, _node(hashes), rare, lead - len(leading), leading
+        give_back()
 
     return map_rows(documents.select("doc_id", "row", "text"), work,
                     "doc_id long, row long, n int, node long, rare int, lost int, leading array<long>")
@@ -224,6 +226,7 @@ def _whole_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame
             if h is not None and int(wanted_bits[h >> 6]) >> (h & 63) & 1:
                 hashes = shingles(text, size)
                 yield _node(hashes), hashes.astype(np.int64)
+        give_back()
 
     hashed = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS)
     named = documents.filter("doc_id is not null").select(hashed.alias("h"), "text")
