@@ -5,7 +5,8 @@ sum over all ways to cut it into pieces, found by the forward algorithm; a text'
 words. The probabilities are fitted by expectation maximisation: forward and backward sums give the
 expected number of times each piece is used, whatever the segmentation.
 
-Words are worked on in groups of one length, as arrays.
+Words are worked on in groups of one length, as arrays. Runs of letters of any length are one word; long
+ones are gone through in steps, in logarithms, with only the sums in reach of the longest piece held.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ MARK = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 # Learning: documents per language (on average; all of a rarer one), rounds, and added counts.
 SAMPLE_DOCUMENTS, ROUNDS, SMOOTHING = 6_000, 3, 0.05
-LONGEST_PIECE, LONGEST_WORD = 10, 40
-# Words scored together, and words whose scores a task remembers.
-WORD_BATCH, MEMORY_WORDS = 20_000, 300_000
+# Words above this length are computed in logarithms, in steps of so many characters of all words together.
+LONG_WORD, STEP_CHARS = 40, 1 << 16
+# Words scored together, and words and their characters that a task remembers.
+WORD_BATCH, MEMORY_WORDS, MEMORY_CHARS = 20_000, 300_000, 1 << 24
 UNKNOWN_LANGUAGE = "und"
 # Keeps products of small probabilities inside the range of doubles.
 PER_CHARACTER = 1000.0
@@ -43,8 +45,8 @@ class Pieces:
         with open(path, "rb") as file:
             model.ParseFromString(file.read())
         found = {p.piece.lower() for p in model.pieces if p.type == 1}
-        self.pieces = sorted(p for p in found if len(p) <= LONGEST_PIECE and (
-            p == MARK or LETTERS.fullmatch(p.removeprefix(MARK))))
+        self.pieces = sorted(p for p in found if p == MARK or LETTERS.fullmatch(p.removeprefix(MARK)))
+        self.longest = max(map(len, self.pieces), default=1)
         # One more for a character that is no piece.
         self.size, self.unknown = len(self.pieces) + 1, len(self.pieces)
         self.tables = []
@@ -85,7 +87,7 @@ class Pieces:
         codes = np.array([[ord(c) for c in w] for w in words], np.uint64) + np.uint64(1)
         length = codes.shape[1]
         spans, h = [], codes
-        for size in range(1, min(length, LONGEST_PIECE) + 1):
+        for size in range(1, min(length, self.longest) + 1):
             if size > 1:
                 h = h[:, :-1] * BASE + codes[:, size - 1:]
             spans.append(self.find(h))
@@ -94,12 +96,10 @@ class Pieces:
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters, marked at the start; very long runs in parts."""
+    """Lower-cased runs of letters, marked at the start."""
     found = LETTERS.findall(text.lower())
     if not all(map(str.isalpha, found)):  # some signs count as word characters, but are no letters
         found = [w for w in ("".join(filter(str.isalpha, w)) for w in found) if w]
-    if any(len(w) > LONGEST_WORD for w in found):
-        found = [w[i:i + LONGEST_WORD] for w in found for i in range(0, len(w), LONGEST_WORD)]
     return [MARK + w for w in found]
 
 
@@ -123,12 +123,81 @@ def _forward(spans: list[np.ndarray], scaled: np.ndarray) -> np.ndarray:
     return sums
 
 
+def _steps(words: list[str]) -> list[tuple[int, int]]:
+    """Stretches of words of one length, of a bounded number of characters in all words together."""
+    size, step = len(words[0]), max(16, STEP_CHARS // len(words))
+    return [(start, min(start + step, size)) for start in range(0, size, step)]
+
+
+def _pieces_ending(words: list[str], pieces: Pieces, start: int, stop: int) -> np.ndarray:
+    """Pieces that end behind each character from ``start`` to ``stop``, longest first: (end, size, word)."""
+    back = max(0, start + 1 - pieces.longest)
+    out = np.full((stop - start, pieces.longest, len(words)), -1, np.int32)
+    for size, span in enumerate(pieces.lattice([w[back:stop] for w in words]), 1):
+        first = max(0, start + 1 - back - size)
+        part = span[:, first:stop - back - size + 1]
+        at = back + first + size - start - 1
+        out[at:at + part.shape[1], -size] = part.T
+    return out
+
+
+def _pieces_starting(words: list[str], pieces: Pieces, start: int, stop: int) -> np.ndarray:
+    """Pieces that start at each character from ``start`` to ``stop``, shortest first: (start, size, word)."""
+    out = np.full((stop - start, pieces.longest, len(words)), -1, np.int32)
+    for size, span in enumerate(pieces.lattice([w[start:stop + pieces.longest - 1] for w in words]), 1):
+        part = span[:, :stop - start]
+        out[:part.shape[1], size - 1] = part.T
+    return out
+
+
+def _long_forward(words: list[str], pieces: Pieces, logs: np.ndarray) -> Iterator[np.ndarray]:
+    """Logarithms of the sums over all segmentations of prefixes, step by step: (end, word, language)."""
+    reach = pieces.longest
+    held = np.full((reach, len(words), logs.shape[1]), -np.inf)
+    held[-1] = 0
+    for start, stop in _steps(words):
+        found = _pieces_ending(words, pieces, start, stop)
+        sums = np.concatenate([held, np.empty((stop - start, *held.shape[1:]))])
+        for i in range(stop - start):
+            sums[reach + i] = np.logaddexp.reduce(sums[i:reach + i] + logs[found[i]], axis=0)
+        yield sums[reach:]
+        held = sums[-reach:].copy()
+
+
+def _long_counts(words: list[str], times: np.ndarray, pieces: Pieces, logs: np.ndarray) -> np.ndarray:
+    """How often each piece is expected in long words of one length and language."""
+    ahead = np.concatenate([np.zeros((1, len(words))), *(s[:, :, 0] for s in _long_forward(words, pieces, logs))])
+    counts, reach = np.zeros(pieces.size), pieces.longest
+    held = np.full((reach, len(words)), -np.inf)
+    held[0] = 0
+    for start, stop in reversed(_steps(words)):
+        found = _pieces_starting(words, pieces, start, stop)
+        chances = logs[found, 0]
+        behind = np.concatenate([np.empty((stop - start, len(words))), held])
+        for i in range(stop - start - 1, -1, -1):
+            behind[i] = np.logaddexp.reduce(chances[i] + behind[i + 1:i + 1 + reach], axis=0)
+        for size in range(1, reach + 1):
+            piece = found[:, size - 1]
+            known = piece >= 0
+            use = np.exp(ahead[start:stop] + chances[:, size - 1] + behind[size:size + stop - start] - ahead[-1]) * times
+            counts += np.bincount(piece[known], use[known], minlength=pieces.size)
+        held = behind[:reach]
+    return counts
+
+
+def _logs(scaled: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Logarithms of probabilities from their scaled form; the last row is "no piece"."""
+    sizes = np.array([len(p) for p in pieces.pieces] + [1, 0], float)
+    with np.errstate(divide="ignore"):
+        return np.log(scaled) - np.log(PER_CHARACTER) * sizes[:, None]
+
+
 def _by_length(words: list[str]) -> Iterator[np.ndarray]:
     """Positions of words of one length, in groups of bounded size."""
     sizes = np.array([len(w) for w in words])
     for length in np.unique(sizes):
         at = np.flatnonzero(sizes == length)
-        step = max(1, WORD_BATCH // 4)
+        step = max(1, min(WORD_BATCH // 4, STEP_CHARS * 4 // int(length)))
         for start in range(0, len(at), step):
             yield at[start:start + step]
 
@@ -136,8 +205,13 @@ def _by_length(words: list[str]) -> Iterator[np.ndarray]:
 def word_scores(words: list[str], pieces: Pieces, scaled: np.ndarray) -> np.ndarray:
     """Log probabilities (word, language) of words, all segmentations summed."""
     out = np.empty((len(words), scaled.shape[1]))
+    logs = _logs(scaled, pieces) if any(len(w) > LONG_WORD for w in words) else None
     for at in _by_length(words):
         group = [words[i] for i in at]
+        if len(group[0]) > LONG_WORD:
+            for sums in _long_forward(group, pieces, logs):
+                out[at] = sums[-1]
+            continue
         total = _forward(pieces.lattice(group), scaled)[-1]
         out[at] = np.log(np.maximum(total, 1e-300)) - len(group[0]) * np.log(PER_CHARACTER)
     return out
@@ -146,7 +220,11 @@ def word_scores(words: list[str], pieces: Pieces, scaled: np.ndarray) -> np.ndar
 def expected_counts(words: list[str], times: np.ndarray, pieces: Pieces, scaled: np.ndarray) -> np.ndarray:
     """How often each piece is expected in words of one language that occur so many ``times``."""
     counts = np.zeros(pieces.size)
+    logs = _logs(scaled, pieces) if any(len(w) > LONG_WORD for w in words) else None
     for at in _by_length(words):
+        if len(words[at[0]]) > LONG_WORD:
+            counts += _long_counts([words[i] for i in at], times[at], pieces, logs)
+            continue
         spans = pieces.lattice([words[i] for i in at])
         ahead = _forward(spans, scaled)[:, :, 0]
         length = ahead.shape[0] - 1
@@ -175,12 +253,14 @@ def held_out(key: Column) -> Column:
 def _word_counts(learned: DataFrame) -> DataFrame:
     def summed(rows: Iterator[tuple]) -> Iterator[tuple]:
         held: dict[tuple[str, str], int] = {}
+        size = 0
         for lang, text in rows:
+            size += len(text)
             for word in words_of(text):
                 held[lang, word] = held.get((lang, word), 0) + 1
-            if len(held) >= MEMORY_WORDS:
+            if len(held) >= MEMORY_WORDS or size >= MEMORY_CHARS:
                 yield from ((a, b, n) for (a, b), n in held.items())
-                held = {}
+                held, size = {}, 0
         yield from ((a, b, n) for (a, b), n in held.items())
 
     return (map_rows(learned, summed, "lang string, word string, n long")
@@ -227,7 +307,7 @@ def learn(documents: DataFrame, vocabulary: str, key: str = "doc_id", text: str
             for name, word, n in rows:
                 group = held.setdefault(name, [])
                 group.append((word, n))
-                if len(group) >= WORD_BATCH:
+                if len(group) >= WORD_BATCH or len(word) >= WORD_BATCH:
                     sums[name] = sums.get(name, 0) + count(name, held.pop(name))
             for name, group in held.items():
                 sums[name] = sums.get(name, 0) + count(name, group)
@@ -261,16 +341,17 @@ def identify(documents: DataFrame, model: tuple[list[str], np.ndarray, np.ndarra
         pieces = Pieces(vocabulary)
         scaled = _scaled(chances, pieces) if names else None
         known: dict[str, int] = {}
-        table = np.empty((0, len(names)))
+        chars, table = 0, np.empty((0, len(names)))
 
         def judge(group: list[tuple]) -> Iterator[tuple]:
-            nonlocal known, table
+            nonlocal known, chars, table
             split = [words_of(value) if value and names else [] for _, value in group]
-            if len(known) > MEMORY_WORDS:
-                known, table = {}, np.empty((0, len(names)))
+            if len(known) > MEMORY_WORDS or chars > MEMORY_CHARS:
+                known, chars, table = {}, 0, np.empty((0, len(names)))
             new = list(dict.fromkeys(w for words in split for w in words if w not in known))
             if new:
                 known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+                chars += sum(map(len, new))
                 table = np.vstack([table, word_scores(new, pieces, scaled)])
             for (name, _), words in zip(group, split, strict=True):
                 if not words:

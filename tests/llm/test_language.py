@@ -51,7 +51,7 @@ def test_expected_counts_are_those_of_all_segmentations():
 
 
 def test_every_piece_is_found_by_its_hash():
-    for size in range(1, language.LONGEST_PIECE + 1):
+    for size in range(1, PIECES.longest + 1):
         pieces = [(i, p) for i, p in enumerate(PIECES.pieces) if len(p) == size]
         if pieces:
             assert PIECES.lattice([p for _, p in pieces])[size - 1][:, 0].tolist() == [i for i, _ in pieces]
@@ -96,3 +96,47 @@ def test_empty_tables(documents):
     model = language.learn(empty, VOCABULARY)
     assert model[0] == [] and language.identify(empty, model, VOCABULARY).collect() == []
     assert language.identify(documents([(1, "a")]), model, VOCABULARY).collect() == [(1, "und", 0.0)]
+
+
+def test_all_letter_pieces_of_the_vocabulary_are_used():
+    from sentencepiece import sentencepiece_model_pb2 as model_pb
+
+    model = model_pb.ModelProto()
+    with open(VOCABULARY, "rb") as file:
+        model.ParseFromString(file.read())
+    listed = {p.piece.lower() for p in model.pieces if p.type == 1}
+    assert {p for p in listed if p == "▁" or p.removeprefix("▁").isalpha()} <= set(PIECES.pieces)
+    assert PIECES.longest > 10
+
+
+def test_runs_of_any_length_are_one_word():
+    assert language.words_of("Ab" * 300 + " c") == ["▁" + "ab" * 300, "▁c"]
+
+
+def test_long_runs_give_what_short_ones_give(monkeypatch):
+    rng = np.random.default_rng(3)
+    scaled = language._scaled(rng.dirichlet(np.ones(PIECES.size), 3).T, PIECES)
+    words = ["▁the", "▁applicationannotations", "▁x", "▁日本語", "▁straßenbahnen", "▁" + "ab" * 18, "▁applicationannotationz"]
+    times = np.arange(1.0, len(words) + 1)
+    scores = language.word_scores(words, PIECES, scaled)
+    counts = language.expected_counts(words, times, PIECES, scaled[:, [1]])
+    for step in (1, 40, 1 << 16):  # crosses steps too
+        monkeypatch.setattr(language, "LONG_WORD", 0)
+        monkeypatch.setattr(language, "STEP_CHARS", step)
+        assert np.allclose(language.word_scores(words, PIECES, scaled), scores)
+        assert np.allclose(language.expected_counts(words, times, PIECES, scaled[:, [1]]), counts)
+
+
+def test_very_long_runs_are_learned_and_scored(documents, rows):
+    run = "hundkatzeschlafen" * 500
+    table = documents([*TRAIN, (500, run, "s", "de"), (501, run, "s", "de"), (502, "dogcatsleep" * 700, "s", "en")])
+    model = language.learn(table, VOCABULARY)
+    assert np.isfinite(model[1]).all() and np.allclose(model[1].sum(0), 1)
+    odd = documents([(1, "katzehund" * 2000), (2, "catdog" * 2000)])
+    assert [r[1] for r in rows(language.identify(odd, model, VOCABULARY))] == ["de", "en"]
+
+
+def test_own_columns_may_have_the_names_of_results(documents, rows):
+    table = documents(TRAIN).withColumns({"lang_pred": F.lit("x"), "score": F.lit("y"), "_text": F.lit("z"), "n": F.lit(1)})
+    model = language.learn(table, VOCABULARY)
+    assert {r[1] for r in rows(language.identify(table, model, VOCABULARY))} == {"de", "en"}
