@@ -14,7 +14,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -144,7 +144,7 @@ class PieceEncoder:
         return self.library.decode(list(ids))
 
     def check(self, new: dict[str, tuple[int, ...]]) -> None:
-        """Compare new words with the library, as far as it can be given them on their own."""
+        """Compare new words that begin with the prefix with the library, which takes them on their own."""
         prefix = self.prefix
         words = [w for w in new if not prefix or w.startswith(prefix)]
         plain = [w[len(prefix):].replace(MARK, " ") for w in words]
@@ -153,6 +153,12 @@ class PieceEncoder:
                 raise ValueError(f"the library encodes {word!r} as {expected}, not {new[word]}")
 
 
+    def check_text(self, text: str, words: list[tuple]) -> None:
+        """Compare a whole text with the library."""
+        if self.library.encode(text) != [i for ids, _ in words for i in ids]:
+            raise ValueError(f"the library encodes a text of {len(text)} characters in another way")
+
+
 @functools.cache
 def encoder_of(path: str) -> PieceEncoder:
     """One encoder per worker and vocabulary, so its memory of words outlives a task."""
@@ -164,7 +170,11 @@ def _encoded(rows: Iterator[tuple], path: str, check: bool) -> Iterator[tuple]:
     encoder = encoder_of(path)
     new: dict[str, tuple[int, ...]] = {}
     for name, value in rows:
+        before = len(new)
         words = encoder.words_of(value or "", new if check else None)
+        if any(not w.startswith(encoder.prefix) for w in islice(reversed(new), len(new) - before)):
+            # A word without the prefix exists only inside a text, so the whole text is encoded.
+            encoder.check_text(value, words)
         if len(new) >= CHECK_WORDS:
             encoder.check(new)
             new.clear()

@@ -51,3 +51,18 @@ def test_tables(documents, rows):
 def test_check_finds_a_wrong_word():
     with pytest.raises(ValueError, match="library encodes"):
         ENCODER.check({"▁the": (1, 2, 3)})
+
+
+def test_texts_with_words_without_the_prefix_are_checked_whole(monkeypatch):
+    text = "a\n\nb»c"
+    new = {}
+    words = piece_bpe.PieceEncoder(PATH).words_of(text, new)
+    assert any(not w.startswith(ENCODER.prefix) for w in new)
+    ENCODER.check_text(text, words)
+    with pytest.raises(ValueError, match="library encodes"):
+        ENCODER.check_text(text, words[1:])
+    seen = []
+    monkeypatch.setattr(piece_bpe, "encoder_of", lambda path, made=piece_bpe.PieceEncoder(PATH): made)
+    monkeypatch.setattr(piece_bpe.PieceEncoder, "check_text", lambda self, value, found: seen.append(value))
+    list(piece_bpe._encoded(iter([(1, "the the"), (2, text), (3, text), (4, None)]), PATH, True))
+    assert seen == [text]
