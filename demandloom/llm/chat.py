@@ -18,6 +18,8 @@ BEGIN, HEAD, BODY, END = "<s>", "[INST]", "[/INST]", "</s>"
 CONTROL = "(<)(\\\\*)(/?s>)|(\\[)(\\\\*)(/?INST\\])"
 ESCAPED = "(<)(\\\\*)\\\\(/?s>)|(\\[)(\\\\*)\\\\(/?INST\\])"
 LEARNED = "assistant"
+# Code points of a streamed delta.
+DELTA_CHARS = 200
 
 
 def escape(text: Column) -> Column:
@@ -37,6 +39,44 @@ def events_of_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
                         F.col(role).alias("role"), F.col(text).alias("text"))
 
 
+def streamed_events(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                    text: str = "text", delta_chars: int = DELTA_CHARS) -> DataFrame:
+    """A conversation as a service would have logged it: answers streamed, some of them changed.
+
+    Learned turns are opened empty and arrive in deltas of ``delta_chars`` code points. By a checksum of its
+    text, an answer is streamed as it is, opened with a draft that an edit takes back, or drafted, followed
+    by a question of the next turn, and regenerated, which voids that question. Other turns are one
+    message. Folding gives back the rows; repeated rows of a turn stay apart and follow role and text.
+    Turns must fit 32 bits, of which null is before all others.
+    """
+    said = turns.select(F.col(conv).alias("conv_id"), F.col(turn).cast("int").cast("long").alias("turn"),
+                        F.coalesce(F.col(role), F.lit("")).alias("role"),
+                        F.coalesce(F.col(text), F.lit("")).alias("text"))
+    place = F.row_number().over(W.partitionBy("conv_id", "turn").orderBy("role", "text")).cast("long")
+    # Room for 2^31 code points of each of the rows of a turn, as parts of one sequence number.
+    first = F.coalesce(F.col("turn"), F.lit(-(1 << 31) - 1)).cast("decimal(38,0)") * (1 << 62) + place * (1 << 31)
+    said = said.withColumn("first", first)
+
+    def event(step: int | Column, kind: str, text: str | Column, role: Column | None = None, later: int = 0) -> Column:
+        step = F.lit(step) if isinstance(step, int) else step
+        return F.struct((F.col("first") + step).cast("decimal(38,0)").alias("seq"),
+                        (F.col("turn") + later).alias("turn"), F.lit(kind).alias("kind"),
+                        (F.col("role") if role is None else role).alias("role"),
+                        (F.lit(text) if isinstance(text, str) else text).alias("text"))
+
+    parts = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), (F.length("text") - 1).cast("int")), F.lit(delta_chars)),
+        lambda at: event(at + 10, "delta", F.substr(F.col("text"), at + 1, F.lit(delta_chars))))
+    # A null turn has no next one.
+    way = F.when(F.col("turn").isNull(), 0).otherwise(F.crc32(F.col("text").cast("binary")) % 3)
+    opened = (F.when(way == 0, F.array(event(0, "message", "")))
+              .when(way == 1, F.array(event(0, "message", "a draft"), event(1, "delta", " of it"), event(2, "edit", "")))
+              .otherwise(F.array(event(0, "message", "a draft"), event(1, "message", "next", F.lit("user"), 1),
+                                 event(2, "regenerate", ""))))
+    log = F.when(F.col("role") == LEARNED, F.concat(opened, parts)).otherwise(F.array(event(0, "message", F.col("text"))))
+    return said.select("conv_id", F.explode(log).alias("e")).select("conv_id", "e.*")
+
+
 def fold_events(events: DataFrame) -> DataFrame:
     """Final messages ``conv_id, turn, opened, role, text`` of a log ``conv_id, seq, turn, kind, role, text``.
 

@@ -2,8 +2,8 @@
 
 Every document is tested by rules on its words, lines and symbols. Failures are added up by host; each
 host's failure rate is shrunk towards the rate of all hosts with a beta prior fitted to the hosts
-themselves, so a host with few documents isn't condemned for one bad page. Hosts whose shrunk rate is too
-high lose all their documents.
+themselves, so a host with few documents isn't condemned for one bad page. Hosts whose rate is surely too
+high, against half of their documents and against the rate of all hosts, lose all their documents.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ SPACE = " \t\n\u000b\f\r"
 SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-# A host whose documents fail more often than this, after shrinking, is rejected as a whole.
-MAX_HOST_RATE = 0.8
+# A host is rejected as a whole if its shrunk rate, less so many standard deviations of its posterior, is
+# above this rate and above so many times the rate of all documents.
+MAX_HOST_RATE, TIMES_MEAN, DEVIATIONS = 0.5, 2.0, 2.0
 # Bounds of the prior's weight, in documents.
 LEAST_WEIGHT, MOST_WEIGHT = 2.0, 1000.0
 
@@ -87,23 +88,32 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > 50 * n_words)
 
 
-def host_verdicts(documents: DataFrame, host: str, failed: str,
-                  max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """Per host: documents, failures, the shrunk failure rate and whether the host is rejected.
+def host_verdicts(documents: DataFrame, host: str, failed: str, max_rate: float = MAX_HOST_RATE,
+                  times_mean: float = TIMES_MEAN, deviations: float = DEVIATIONS) -> DataFrame:
+    """Per host: documents, failures, the shrunk failure rate, its lower bound and whether it is rejected.
 
-    The prior has the mean of all documents; its weight follows from how much the rates of hosts differ
-    (method of moments), within fixed bounds. A null host is a host of its own. Two numbers reach the
-    driver.
+    The prior has the mean of all documents. Its weight is that of a beta-binomial whose rates differ
+    between hosts as they do here (method of moments): what chance alone adds to the spread of observed
+    rates, more for hosts with few documents, is taken off first. The weight has fixed bounds. A null host
+    is a host of its own; an empty table has none. Five numbers reach the driver.
     """
     hosts = documents.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("documents"), F.sum(F.col(failed).cast("long")).alias("failures"))
     rate = F.col("failures") / F.col("documents")
-    mean, spread = hosts.agg(F.sum("failures") / F.sum("documents"), F.var_pop(rate)).first()
-    mean = 0.5 if mean is None else mean
-    scale = mean * (1 - mean) / spread - 1 if spread else MOST_WEIGHT
-    scale = min(max(scale, LEAST_WEIGHT), MOST_WEIGHT)
-    shrunk = (F.col("failures") + F.lit(mean * scale)) / (F.col("documents") + F.lit(scale))
-    return hosts.withColumn("failure_rate", shrunk).withColumn("host_rejected", shrunk > max_rate)
+    failures, total, first, second, chance = hosts.agg(
+        F.sum("failures"), F.sum("documents"), F.avg(rate), F.avg(rate * rate), F.avg(1 / F.col("documents"))).first()
+    mean, weight = 0.5, MOST_WEIGHT
+    if total:
+        mean = failures / total
+        own = mean * (1 - mean)
+        between = (second - 2 * mean * first + mean * mean) / own - chance if own else 0.0
+        if between > 0:
+            weight = min(max((1 - chance) / between - 1, LEAST_WEIGHT), MOST_WEIGHT)
+    size = F.col("documents") + F.lit(weight)
+    shrunk = (F.col("failures") + F.lit(mean * weight)) / size
+    lowest = F.col("failure_rate") - deviations * F.sqrt(F.col("failure_rate") * (1 - F.col("failure_rate")) / (size + 1))
+    return (hosts.withColumn("failure_rate", shrunk).withColumn("least_rate", lowest)
+            .withColumn("host_rejected", F.col("least_rate") > max(max_rate, times_mean * mean)))
 
 
 def apply_quality_rules(documents: DataFrame, text: str = "text", host: str = "source", carry=(),

@@ -47,17 +47,27 @@ judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
 hosts AS (
   SELECT source, count(*) AS n, sum(base_failed::INT) AS k FROM judged GROUP BY source),
+means AS (
+  SELECT sum(k) / sum(n) AS m, avg(1 / n) AS a, avg((k / n - (SELECT sum(k) / sum(n) FROM hosts)) ** 2) AS v
+  FROM hosts),
 prior AS (
-  SELECT m, greatest(2, least(1000, CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 1000 END)) AS s
-  FROM (SELECT sum(k) / sum(n) AS m, var_pop(k / n) AS v FROM hosts)),
+  SELECT m, CASE WHEN m > 0 AND m < 1 AND v / (m * (1 - m)) > a
+                 THEN greatest(2, least(1000, (1 - a) / (v / (m * (1 - m)) - a) - 1)) ELSE 1000 END AS s
+  FROM means),
 bad AS (
-  SELECT source FROM hosts, prior WHERE (k + m * s) / (n + s) > 0.8)
+  SELECT source FROM (SELECT source, n, m, s, (k + m * s) / (n + s) AS r FROM hosts, prior)
+  WHERE r - 2 * sqrt(r * (1 - r) / (n + s + 1)) > greatest(0.5, 2 * m))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT EXISTS (
          SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM judged.source) AS kept
 FROM judged
 """
 
+# The same rules where short texts are a host of their own.
+QUALITY_SECTIONS = QUALITY_RULES.replace("doc_id, source, coalesce(text, '') AS t,", """doc_id,
+         CASE WHEN length(coalesce(text, '')) < 315 THEN 'short' ELSE source END AS source,
+         coalesce(text, '') AS t,""")
+
 NGRAM_JACCARD = r"""
 WITH RECURSIVE split AS (
   SELECT doc_id, list_filter(string_split_regex(translate(
@@ -189,8 +199,10 @@ FROM kept JOIN coded USING (id)
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op3_quality_rules": QUALITY_RULES,
+    "quality_sections": QUALITY_SECTIONS,
     "op5_ngram_jaccard": NGRAM_JACCARD,
     "op8_warc": WARC,
+    "warc_salvage": WARC,
     "op9_chat_format": CHAT_FORMAT,
     "op11_centroid_clusters": centroid_clusters(),
     "op13_ball_codes": ball_codes(),

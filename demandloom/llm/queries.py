@@ -42,6 +42,20 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return host_quality.apply_quality_rules(documents, carry=("doc_id",)).drop("host_rejected")
 
 
+# Texts below this many code points are a host of their own in the next query.
+SHORT_TEXT = 315
+
+
+def quality_sections(spark: SparkSession, folder: str) -> DataFrame:
+    """The host rule on a host that deserves it: all short texts, in place of their sources."""
+    documents = table(spark, folder, "documents")
+    short = F.length(F.coalesce("text", F.lit(""))) < SHORT_TEXT
+    section = F.when(short, "short").otherwise(F.col("source"))
+    return host_quality.apply_quality_rules(
+        documents.select("doc_id", "text", section.alias("section")), host="section",
+        carry=("doc_id",)).drop("host_rejected")
+
+
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     features = cotrain.features_of(table(spark, folder, "documents"))
     model = cotrain.fit_features(features, table(spark, folder, "labels"))
@@ -66,13 +80,22 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", language.held_out(F.col("doc_id")))
 
 
-def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
-    records = warc.read_archives(warc.write_archives(table(spark, folder, "pages")))
-    return records.filter(F.col("kind") == "record").select(
+def _archived(archives: DataFrame) -> DataFrame:
+    return warc.read_archives(archives).filter(F.col("kind") == "record").select(
         warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         warc.page_of(F.col("refers_to")).alias("refers_to"))
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return _archived(warc.write_archives(table(spark, folder, "pages")))
+
+
+def warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from archives with noise, false marks in it, before every member."""
+    noise = b"\x00lost" + warc.MEMBER + warc.VERSION + b"1\r\nno header\r\n"
+    return _archived(warc.write_archives(table(spark, folder, "pages"), before=noise))
+
+
 # A conversation whose texts hold control strings.
 CONTROL_CONVERSATION = (
     (-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"))
@@ -82,7 +105,7 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.createDataFrame(
         CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    rendered = chat.render(chat.fold_events(chat.events_of_turns(turns.unionByName(extra))))
+    rendered = chat.render(chat.fold_events(chat.streamed_events(turns.unionByName(extra))))
     said = F.array_join(F.transform("turns", lambda t: F.concat(
         t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return (rendered.withColumns({"turns": chat.read_back(F.col("formatted")),
@@ -126,4 +149,6 @@ QUERIES: dict[str, Query] = {
     "op11_centroid_clusters": op11_centroid_clusters,
     "op12_chunk_bpe": op12_chunk_bpe,
     "op13_ball_codes": op13_ball_codes,
+    "quality_sections": quality_sections,
+    "warc_salvage": warc_salvage,
 }

@@ -2,7 +2,9 @@
 
 Archives are files in the shared folder, each record a gzip member of its own. The reader checks every
 record (member checksum, header, length, block digest). After a failed check it searches for the next
-valid member or version line, goes on from there and logs the bytes in between as a gap.
+valid member or version line, goes on from there and logs the bytes in between as a gap. A sound member
+may hold many records: those that fail are gaps inside it, the others are kept. Every byte is searched
+once for each mark, so a file full of damage takes time in proportion to its size.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 from pyarrow import fs
 from pyspark import TaskContext
@@ -28,13 +31,13 @@ ARCHIVE_BYTES = 32 << 20
 # Payloads of this length or more are stored once.
 MIN_PAYLOAD = 0
 READ_BYTES = 1 << 20
-# A record that claims or unpacks to more than this is damaged.
+# A member that unpacks to this much or more is damaged: no Spark value can hold it.
 MAX_RECORD = 1 << 31
 # Marks of members and records.
 MEMBER, VERSION, LINE_END = b"\x1f\x8b\x08", b"WARC/1.", b"\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORD = ("archive string, kind string, start long, length long, record_id string, record_type string, "
-          "target_uri string, refers_to string, payload_digest string, payload_bytes long, "
+RECORD = ("archive string, kind string, start long, length long, inner_start long, inner_length long, "
+          "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes long, "
           "payload binary, reason string")
 
 
@@ -81,9 +84,10 @@ def with_revisits(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame
 
 
 def write_archives(pages: DataFrame, min_payload: int = MIN_PAYLOAD, archive_bytes: int = ARCHIVE_BYTES,
-                   date: str = "2000-01-01T00:00:00Z") -> DataFrame:
+                   date: str = "2000-01-01T00:00:00Z", before: bytes = b"") -> DataFrame:
     """Write ``pages(page_id, url, html)``; returns ``archive, records, bytes``, one row per file.
 
+    ``before`` is put in front of every member, as damage that a reader has to step over.
     A task that is run again writes files of its own, and only those of the attempt that Spark counts are
     listed. An empty table writes nothing.
     """
@@ -101,7 +105,7 @@ def write_archives(pages: DataFrame, min_payload: int = MIN_PAYLOAD, archive_byt
                 out, records, size = store.open_output_stream(path, compression=None), 0, 0
                 files += 1
             packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-            member = packer.compress(record_bytes(page, url, payload, refers_to, date)) + packer.flush()
+            member = before + packer.compress(record_bytes(page, url, payload, refers_to, date)) + packer.flush()
             out.write(member)
             records, size = records + 1, size + len(member)
             if size >= archive_bytes:
@@ -132,6 +136,7 @@ class Window:
     size: int
     at: int = 0
     held: bytes = field(default=b"", repr=False)
+    places: dict[bytes, int] = field(default_factory=dict, repr=False)
 
     def read(self, start: int, count: int) -> bytes:
         end = min(start + count, self.size)
@@ -141,54 +146,58 @@ class Window:
         return self.held[start - self.at:end - self.at]
 
     def find(self, mark: bytes, start: int) -> int:
-        """The next place of ``mark``, or -1."""
-        while start < self.size:
-            part = self.read(start, READ_BYTES)
+        """The next place of ``mark``, or the end; ``start`` must not fall, so no byte is searched twice."""
+        at = self.places.get(mark, -1)
+        while at < start:
+            held = self.at + len(self.held) - start if start >= self.at else 0
+            part = self.read(start, held if held > len(mark) else READ_BYTES)
             found = part.find(mark)
             if found >= 0:
-                return start + found
-            if start + len(part) >= self.size:
-                return -1
-            start += len(part) - len(mark) + 1
-        return -1
+                at = start + found
+            elif start + len(part) >= self.size:
+                at = self.size
+            else:
+                start += len(part) - len(mark) + 1
+        self.places[mark] = at
+        return at
 
 
-def _parse(record: bytes, end: int | None) -> tuple:
+def _parse(record: bytes) -> tuple:
     """Fields of one whole record, checked."""
     head, cut, rest = record.partition(b"\r\n\r\n")
     lines = head.split(LINE_END)
     if not cut or not lines[0].startswith(VERSION):
-        raise Damaged("no record header", end)
+        raise Damaged("no record header")
     fields = {}
     for line in lines[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
-            raise Damaged("bad header line", end)
+            raise Damaged("bad header line")
         fields[name.strip().lower()] = value.strip().decode("utf-8", "replace")
     try:
         length = int(fields[b"content-length"])
     except (KeyError, ValueError):
-        raise Damaged("no content length", end) from None
+        raise Damaged("no content length") from None
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
-        raise Damaged("wrong content length", end)
+        raise Damaged("wrong content length")
     if not fields.get(b"warc-type") or not fields.get(b"warc-record-id"):
-        raise Damaged("no type or id", end)
+        raise Damaged("no type or id")
     block = rest[:length]
     claimed = fields.get(b"warc-block-digest", "")
     if claimed.startswith("sha1:") and claimed[5:] != base32_digest(block):
-        raise Damaged("wrong block digest", end)
+        raise Damaged("wrong block digest")
     http, _, payload = block.partition(b"\r\n\r\n")
     sizes = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", http)
     kind = fields.get(b"warc-type", "")
     digest = fields.get(b"warc-payload-digest", "").removeprefix("sha1:")
     if kind == "response" and digest and digest != base32_digest(payload):
-        raise Damaged("wrong payload digest", end)
+        raise Damaged("wrong payload digest")
     return (fields.get(b"warc-record-id"), kind, fields.get(b"warc-target-uri"),
             fields.get(b"warc-refers-to"), digest, int(sizes[1]) if sizes else len(payload),
             payload if kind == "response" else None)
 
 
-def _member(window: Window, start: int) -> tuple[bytes, int]:
+def _member(window: Window, start: int, max_record: int) -> tuple[bytes, int]:
     """The unpacked member at ``start`` and where it ends."""
     unpack, out, size, at = zlib.decompressobj(31), [], 0, start
     while not unpack.eof:
@@ -201,74 +210,129 @@ def _member(window: Window, start: int) -> tuple[bytes, int]:
             raise Damaged(f"bad member: {error}") from None
         at += len(part)
         size += len(out[-1])
-        if not out[0].startswith(VERSION[:len(out[0])]):
-            raise Damaged("member holds no record")
-        if size > MAX_RECORD:
+        if size >= max_record:
             raise Damaged("member too large")
     return b"".join(out), at - len(unpack.unused_data)
 
 
-def _plain(window: Window, start: int) -> tuple[bytes, int]:
-    """The uncompressed record at ``start`` and where it ends."""
-    head = window.read(start, 1 << 16)
-    cut = head.find(b"\r\n\r\n")
-    sizes = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", head[:cut + 2]) if cut >= 0 else None
+def _record_size(head: bytes, cut: int) -> int:
+    """The whole size of a record whose header ends at ``cut``."""
+    sizes = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", head[:cut + 2])
     if not sizes:
-        raise Damaged("no record header")
-    total = cut + 4 + int(sizes[1]) + 4
-    if total > MAX_RECORD or start + total > window.size:
+        raise Damaged("no content length")
+    return cut + 4 + int(sizes[1]) + 4
+
+
+def _plain(window: Window, start: int) -> tuple[bytes, int]:
+    """The uncompressed record at ``start`` and where it ends; its header may have any length."""
+    count = 1 << 16
+    while True:
+        head = window.read(start, count)
+        cut = head.find(b"\r\n\r\n")
+        if cut >= 0:
+            break
+        # A false mark is given up at its first line that can't be part of a header.
+        version, *lines = head.split(LINE_END)
+        if len(version) > 80 or not all(b":" in line for line in lines[:-1]) or len(head) < count:
+            raise Damaged("no record header")
+        count *= 4
+    total = _record_size(head, cut)
+    if start + total > window.size:
         raise Damaged("cut off record")
     return window.read(start, total), start + total
 
 
-def read_archive(file, size: int) -> Iterator[tuple]:
-    """Records and gaps of one archive in order: ``(start, end, fields or None, reason or None)``."""
+def _records(data: bytes) -> Iterator[tuple]:
+    """Records and gaps inside an unpacked member, in order: ``(start, end, fields or None, reason or None)``."""
+    at, gap, reason = 0, None, ""
+    while at < len(data):
+        try:
+            if not data.startswith(VERSION, at):
+                raise Damaged("no record header")
+            cut = data.find(b"\r\n\r\n", at)
+            if cut < 0:
+                raise Damaged("no record header")
+            end = at + _record_size(data[at:cut + 2], cut - at)
+            if end > len(data):
+                raise Damaged("wrong content length")
+            fields = _parse(data[at:end])
+        except Damaged as damage:
+            if gap is None:
+                gap, reason = at, damage.reason
+            found = data.find(VERSION, at + 1)
+            at = found if found >= 0 else len(data)
+            continue
+        if gap is not None:
+            yield gap, at, None, reason
+            gap = None
+        yield at, end, fields, None
+        at = end
+    if gap is not None:
+        yield gap, len(data), None, reason
+
+
+def read_records(file, size: int, max_record: int = MAX_RECORD) -> Iterator[tuple]:
+    """Records and gaps of one archive in order.
+
+    ``(start, end, inner_start, inner_end, fields or None, reason or None)``: bytes of the file and, where
+    a member holds more than one whole record, bytes of the unpacked member. A member without a sound
+    record is a gap of the file. Text between members and a member that isn't WARC are gaps too.
+    """
     window, at = Window(file, size), 0
     gap, reason = None, ""
     while at < size:
         mark = window.read(at, len(VERSION))
         try:
             if mark.startswith(MEMBER):
-                record, end = _member(window, at)
+                data, end = _member(window, at, max_record)
+                found = _records(data)
             elif mark == VERSION:
-                record, end = _plain(window, at)
+                data, end = _plain(window, at)
+                found = iter([(0, len(data), _parse(data), None)])
             else:
                 raise Damaged("neither a member nor a version line")
-            fields = _parse(record, end if mark.startswith(MEMBER) else None)
+            first = []  # a gap at most, and the first sound record
+            while not first or first[-1][2] is None:
+                first.append(next(found, None))
+                if first[-1] is None:  # a whole member without one: the next member follows it
+                    raise Damaged(first[0][3] if first[0] else "member holds no record", end)
         except Damaged as damage:
             if gap is None:
                 gap, reason = at, damage.reason
-            if damage.end is not None:  # a whole member with a bad record: the next one follows it
-                at = damage.end
-                continue
-            places = [p for p in (window.find(MEMBER, at + 1), window.find(VERSION, at + 1)) if p >= 0]
-            at = min(places, default=size)
+            at = damage.end or min(window.find(MEMBER, at + 1), window.find(VERSION, at + 1))
             continue
         if gap is not None:
-            yield gap, at, None, reason
+            yield gap, at, None, None, None, reason
             gap = None
-        yield at, end, fields, None
+        for begin, stop, fields, why in chain(first, found):
+            inner = (None, None) if stop - begin == len(data) else (begin, stop)
+            yield at, end, *inner, fields, why
         at = end
     if gap is not None:
-        yield gap, size, None, reason
+        yield gap, size, None, None, None, reason
+
+
+def read_archive(file, size: int) -> Iterator[tuple]:
+    """``(start, end, fields or None, reason or None)`` of ``read_records``."""
+    return ((start, end, fields, reason) for start, end, _, _, fields, reason in read_records(file, size))
 
 
-def read_archives(archives: DataFrame, tasks: int | None = None) -> DataFrame:
+def read_archives(archives: DataFrame, tasks: int | None = None, max_record: int = MAX_RECORD) -> DataFrame:
     """All records and gaps of the files in column ``archive``; ``kind`` is ``record`` or ``gap``.
 
-    Files are dealt out evenly and read in steps, so a task holds one record at a time. A file without a
-    byte has no rows.
+    ``start, length`` are bytes of the file; ``inner_start, inner_length`` bytes of the unpacked member, for
+    members that hold more than one whole record (else null). Files are dealt out evenly and read in
+    steps, so a task holds one member at a time. A file without a byte has no rows.
     """
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         for (archive,) in rows:
             store, path = fs.FileSystem.from_uri(archive)
             size = store.get_file_info(path).size
             with store.open_input_file(path) as file:
-                for start, end, fields, reason in read_archive(file, size):
-                    if fields is None:
-                        yield (archive, "gap", start, end - start, *[None] * 7, reason)
-                    else:
-                        yield (archive, "record", start, end - start, *fields, None)
+                for start, end, begin, stop, fields, reason in read_records(file, size, max_record):
+                    kind = "gap" if fields is None else "record"
+                    inner = (None, None) if begin is None else (begin, stop - begin)
+                    yield (archive, kind, start, end - start, *inner, *(fields or [None] * 7), reason)
 
     named = archives.select("archive")
     return map_rows(named.repartition(tasks or max(1, named.count())), work, RECORD)

@@ -54,3 +54,23 @@ def test_empty_log_and_unknown_kinds(spark):
     assert turns(spark, [])  == {}
     with pytest.raises(Exception, match="unknown kind"):
         turns(spark, [(1, 0, 0, "other", "user", "x")])
+
+
+def test_streamed_logs_fold_back_to_their_rows(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{c} {t} " + TRICKY[(c + t) % len(TRICKY)] * (t * 9)) for c in range(12)
+            for t in range(6)]
+    rows += [(20, 0, "assistant", "b"), (20, 0, "assistant", "a"), (20, 0, "assistant", "a"), (20, None, "assistant", "first"),
+             (20, -3, "user", None), (20, 1, None, "x"), (None, 1, "assistant", "n" * 1000), (None, None, None, None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table = table.selectExpr("*", "1 seq", "2 kind", "3 e", "4 first")
+    log = chat.streamed_events(table, delta_chars=7)
+    kinds = {r["kind"]: r["n"] for r in log.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds["delta"] > 100 and kinds["edit"] > 5 and kinds["regenerate"] > 5
+    names = ("conv_id", "turn", "role", "text")
+    made = [tuple(r[n] for n in names) for r in chat.fold_events(log).collect()]
+    plain = [tuple(r[n] for n in names) for r in chat.fold_events(chat.events_of_turns(table)).collect()]
+    assert sorted(made, key=repr) == sorted(plain, key=repr)
+    assert sorted(made, key=repr) == sorted(((c, t, r or "", x or "") for c, t, r, x in rows), key=repr)
+    a, b = (chat.render(chat.fold_events(e)).orderBy("conv_id").collect() for e in (log, chat.events_of_turns(table)))
+    assert a == b
+    assert chat.fold_events(chat.streamed_events(table.limit(0))).collect() == []

@@ -56,3 +56,27 @@ def test_keeps_rows_and_columns_of_their_own(spark):
     assert made.columns == table.columns
     assert made.collect() == [(1, text, "a", 9, True)] * 2
     assert host_quality.keep_good(table.limit(0)).collect() == []
+
+
+def test_weight_of_the_prior_leaves_chance_out(spark):
+    # Rates of small hosts that differ by chance only: they are taken for equal, so no host is condemned.
+    rows = [(h, (h * 7 + i * 5) % 8 == 0) for h in range(200) for i in range(3)]
+    found = host_quality.host_verdicts(spark.createDataFrame(rows, "host long, failed boolean"), "host", "failed").collect()
+    mean = sum(f for _, f in rows) / len(rows)
+    assert len(found) == 200 and all(abs(r["failure_rate"] - mean) < 0.01 for r in found)
+    assert not any(r["host_rejected"] for r in found)
+
+
+def test_a_host_must_be_worse_than_the_others(spark):
+    rows = [(h, i % 10 < 7) for h in range(5) for i in range(200)]
+    verdicts = host_quality.host_verdicts(spark.createDataFrame(rows, "host long, failed boolean"), "host", "failed")
+    assert verdicts.filter("host_rejected").count() == 0
+    for same in (True, False):
+        one = spark.createDataFrame([(1, same)] * 9, "host long, failed boolean")
+        assert [r["host_rejected"] for r in host_quality.host_verdicts(one, "host", "failed").collect()] == [False]
+
+
+def test_own_columns_may_have_the_names_of_measures(spark):
+    table = spark.createDataFrame([(1, prose(6, 80), "a", "h", 7)], "doc_id long, text string, host string, source string, n_symbols long")
+    made = host_quality.apply_quality_rules(table.withColumnRenamed("n_symbols", "base"), carry=("doc_id", "host", "base"))
+    assert [(r["doc_id"], r["host"], r["base"], r["kept"]) for r in made.collect()] == [(1, "a", 7, True)]

@@ -136,3 +136,55 @@ def test_damaged_files_are_salvaged_through_spark(spark, tmp_path):
     assert sum(r["kind"] == "record" for r in found) == 19
     assert [(r["start"], r["length"]) for r in found if r["kind"] == "gap"] == [
         (sum(map(len, parts[:7])), len(zlib.compress(b"junk")))]
+
+
+def plain_records(n):
+    return [gzip.decompress(p) for p in members(n, 300)]
+
+
+def test_records_inside_a_member_are_recovered_one_by_one():
+    records = plain_records(6)
+    names = [f"<urn:page:{i}>" for i in range(6)]
+    data = gzip.compress(b"".join(records))
+    assert [f[2][0] for f in read(data)] == names
+    broken = [*records]
+    broken[0] = broken[0].replace(b"WARC-Block-Digest: sha1:", b"WARC-Block-Digest: sha1:A", 1)
+    broken[3] = b"noise" + broken[3][9:]
+    found = list(warc.read_records(io.BytesIO(data := gzip.compress(b"".join(broken)) + members(7, 300)[6]), len(data)))
+    assert [f[4][0] for f in found if f[4]] == [names[i] for i in (1, 2, 4, 5)] + ["<urn:page:6>"]
+    # Records and gaps tile the unpacked member.
+    inner = [f[2:4] for f in found[:-1]]
+    assert inner[0][0] == 0 and inner[-1][1] == sum(map(len, broken))
+    assert [a for a, _ in inner[1:]] == [b for _, b in inner[:-1]]
+    assert [f[5] for f in found if f[4] is None] == ["wrong block digest", "no record header"]
+    assert found[-1][2:4] == (None, None)
+
+
+def test_long_headers_are_read():
+    record = warc.record_bytes(1, "http://x/" + "a" * 700_000, b"payload", None, "2020-01-01T00:00:00Z")
+    other = plain_records(1)[0]
+    assert [f[2][0] for f in read(record + other)] == ["<urn:page:1>", "<urn:page:0>"]
+    assert [f[2][0] for f in read(gzip.compress(record) + other)] == ["<urn:page:1>", "<urn:page:0>"]
+
+
+def test_searching_reads_a_file_a_few_times_at_most():
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            part = super().read(n)
+            Counted.taken += len(part)
+            return part
+
+    part = members(2, 300)[1]
+    hurt = part[:len(part) // 2] + b"\x00" + part[len(part) // 2 + 1:]
+    data = hurt * 8000 + part
+    found = list(warc.read_archive(Counted(data), len(data)))
+    assert [f[2] is None for f in found] == [True, False]
+    assert Counted.taken < 8 * len(data)
+
+
+def test_a_member_too_large_is_a_gap():
+    parts = members(3, 300)
+    found = list(warc.read_records(io.BytesIO(b"".join(parts)), sum(map(len, parts)), max_record=10))
+    assert [(f[4], f[5]) for f in found] == [(None, "member too large")]
