@@ -467,6 +467,11 @@ ORACLE: dict[str, str] = {
         LEFT JOIN products ON internal_product_id = produto""",
     "lags": f"WITH {LAGGED} SELECT {GRAIN}, quantity, {', '.join(LAG_NAMES)} FROM lagged",
     "rolling": f"WITH {W} SELECT {GRAIN}, {roll_columns()} FROM w",
+    "incremental_features": f"""WITH {LAGGED} SELECT {GRAIN}, quantity, {', '.join(LAG_NAMES)}, {roll_columns()}
+        FROM lagged""",
+    "distinct_by_sketch": f"""WITH {SPARSE} SELECT CAST(year(transaction_date) AS INTEGER) AS year,
+        count(DISTINCT internal_store_id) AS stores, count(DISTINCT internal_product_id) AS products, TRUE AS near
+        FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1""",
     "rolling_before": f"WITH {W} SELECT {GRAIN}, {roll_columns(before=True)} FROM w",
     "weekly_rollup_sparse": f"""WITH {SPARSE}, {rollup('w', 'tx')} SELECT {GRAIN}, {MEASURE_COLUMNS},
         round(is_weekend, 6) AS is_weekend FROM w""",

@@ -17,9 +17,10 @@ from ..functions import nonnegative_units
 from ..models.predict import generate_forecast
 from ..models.train import (LABEL, PREDICTION, feature_importance, load_model, prepare_training_data,
                             save_model, train_model)
-from ..operators import categories, clean, decompose, distribution, horizon, metrics
+from ..operators import categories, clean, decompose, distinct, distribution, horizon, metrics
 from ..operators import quantiles as q
 from ..operators import reports, splits, star, weekly
+from ..plans import incremental
 from ..plans.features import create_features
 from ..sources import (application_folder, conform, load_tables, stage, write_features, write_forecast_csv,
                        write_processed)
@@ -445,6 +446,20 @@ def model_input(spark, folder):
     return rounded(known.select(clean.model_columns(known)))
 
 
+@query
+def incremental_features(spark, folder):
+    """All weeks in three runs: most years without some weeks, the later years, and the weeks that came late."""
+    results = _results_folder(spark)
+    write_processed(results, sales_all_years(spark, folder))
+    sales = spark.read.parquet(f"{results}/transactions_processed.parquet")
+    weeks = incremental.weeks_of(sales)
+    late = [w for w in weeks if YEAR * 100 - 200 + 20 <= w < YEAR * 100 - 200 + 26]
+    for run in ([w for w in weeks if w < YEAR * 100 and w not in late], [w for w in weeks if w >= YEAR * 100], late):
+        incremental.update_weeks(sales, results, run, digits=DIGITS)
+    made = incremental.read_features(spark, results)
+    return rounded(made.select(*GRAIN, "quantity", *[c for c in made.columns if "_lag_" in c or "_roll_" in c]))
+
+
 @query
 def last_observation(spark, folder):
     return weekly.last_observation(weekly_all_years(spark, folder)).select(*GRAIN, "quantity")
@@ -575,6 +590,17 @@ def run_summary(spark, folder):
     return metrics.forecast_summary(_rolling_mean_forecast(spark, folder))
 
 
+@query
+def distinct_by_sketch(spark, folder):
+    """Stores and products per year, and whether merged weekly sketches come within 3 %."""
+    sales = clean.add_calendar(transactions(spark, folder, "sparse")).filter("year is not null")
+    sketches = stage(distinct.distinct_sketches(sales, PAIR), "week-sketches")
+    found = distinct.estimated_distinct(sketches, PAIR, groupby=["year"]).toDF("year", "stores_found", "products_found")
+    exact = sales.groupBy("year").agg(F.count_distinct(STORE).alias("stores"), F.count_distinct(PRODUCT).alias("products"))
+    near = [F.abs(F.col(f"{c}_found") - F.col(c)) <= 0.03 * F.col(c) for c in ("stores", "products")]
+    return exact.join(found, "year").select("year", "stores", "products", (near[0] & near[1]).alias("near"))
+
+
 @query
 def forecast_inputs(spark, folder):
     """What a model may see of the horizon."""
