@@ -153,10 +153,15 @@ class PieceEncoder:
                 raise ValueError(f"the library encodes {word!r} as {expected}, not {new[word]}")
 
 
-    def check_text(self, text: str, words: list[tuple]) -> None:
-        """Compare a whole text with the library."""
-        if self.library.encode(text) != [i for ids, _ in words for i in ids]:
-            raise ValueError(f"the library encodes a text of {len(text)} characters in another way")
+    def stretches(self, text: str, wanted: set[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+        """Words without the prefix that are ``wanted``, with all words back to one that has it, and their ids."""
+        run: list[str] = []
+        for word in [*self.words.findall((self.prefix + text).replace(" ", MARK)), self.prefix]:
+            if word.startswith(self.prefix):
+                if not wanted.isdisjoint(run):
+                    yield "".join(run), tuple(i for w in run for i in self.ids(w))
+                run = []
+            run.append(word)
 
 
 @functools.cache
@@ -172,9 +177,9 @@ def _encoded(rows: Iterator[tuple], path: str, check: bool) -> Iterator[tuple]:
     for name, value in rows:
         before = len(new)
         words = encoder.words_of(value or "", new if check else None)
-        if any(not w.startswith(encoder.prefix) for w in islice(reversed(new), len(new) - before)):
-            # A word without the prefix exists only inside a text, so the whole text is encoded.
-            encoder.check_text(value, words)
+        inner = {w for w in islice(reversed(new), len(new) - before) if not w.startswith(encoder.prefix)}
+        if inner:  # the library takes them only together with the word before
+            new.update(encoder.stretches(value, inner))
         if len(new) >= CHECK_WORDS:
             encoder.check(new)
             new.clear()

@@ -53,16 +53,17 @@ def test_check_finds_a_wrong_word():
         ENCODER.check({"▁the": (1, 2, 3)})
 
 
-def test_texts_with_words_without_the_prefix_are_checked_whole(monkeypatch):
-    text = "a\n\nb»c"
-    new = {}
-    words = piece_bpe.PieceEncoder(PATH).words_of(text, new)
-    assert any(not w.startswith(ENCODER.prefix) for w in new)
-    ENCODER.check_text(text, words)
-    with pytest.raises(ValueError, match="library encodes"):
-        ENCODER.check_text(text, words[1:])
+def test_words_without_the_prefix_are_checked_with_the_word_before(monkeypatch):
     seen = []
-    monkeypatch.setattr(piece_bpe, "encoder_of", lambda path, made=piece_bpe.PieceEncoder(PATH): made)
-    monkeypatch.setattr(piece_bpe.PieceEncoder, "check_text", lambda self, value, found: seen.append(value))
-    list(piece_bpe._encoded(iter([(1, "the the"), (2, text), (3, text), (4, None)]), PATH, True))
-    assert seen == [text]
+    encoder = piece_bpe.PieceEncoder(PATH)
+    monkeypatch.setattr(piece_bpe, "encoder_of", lambda path: encoder)
+    check = piece_bpe.PieceEncoder.check
+    monkeypatch.setattr(piece_bpe.PieceEncoder, "check", lambda self, new: (seen.append(dict(new)), check(self, new)))
+    texts = [*TEXTS, "the the", "a\n\nb»c", None]
+    list(piece_bpe._encoded(iter(enumerate(texts)), PATH, True))
+    new = {k: v for part in seen for k, v in part.items()}
+    inner = [w for w in new if not w.startswith(encoder.prefix)]
+    assert inner and all(any(w in run for run in new if run.startswith(encoder.prefix)) for w in inner)
+    run = next(r for r in new if r.startswith(encoder.prefix) and any(r.endswith(w) for w in inner))
+    with pytest.raises(ValueError, match="library encodes"):
+        check(encoder, {run: new[run][1:]})
