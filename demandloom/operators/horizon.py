@@ -16,15 +16,16 @@ HORIZON_LAGS = range(1, 13)
 
 
 def generate_forecast_features(features: DataFrame, forecast_weeks: int = 5,
-                               spec: SeriesSpec = WEEKLY) -> DataFrame:
+                               spec: SeriesSpec = WEEKLY, newest: int | None = None) -> DataFrame:
     """``forecast_weeks`` rows per series, built from its last observed row.
 
     Weeks count on from the last week of the whole frame, modulo 52, so a horizon that passes week 52
     moves to the next year. Lags up to the step look back on the last observed value; all other
-    features are carried forward.
+    features are carried forward. ``newest`` is that last week as a number YYYYWW if it is known already.
     """
     # Year and week as one number: the latest year, and the latest week in it.
-    newest = features.agg(F.max(F.col("year") * 100 + F.col("week"))).scalar()
+    newest = (features.agg(F.max(F.col("year") * 100 + F.col("week"))).scalar() if newest is None
+              else F.lit(newest))
     max_year = F.floor(F.col("_newest") / 100).cast("int")
     max_week = F.pmod(F.col("_newest"), 100)
     step = F.col("semana")

@@ -469,6 +469,8 @@ ORACLE: dict[str, str] = {
     "rolling": f"WITH {W} SELECT {GRAIN}, {roll_columns()} FROM w",
     "incremental_features": f"""WITH {LAGGED} SELECT {GRAIN}, quantity, {', '.join(LAG_NAMES)}, {roll_columns()}
         FROM lagged""",
+    "stored_lags": f"""WITH {LAGGED} SELECT {GRAIN}, quantity, {', '.join(LAG_NAMES)}, {roll_columns()}
+        FROM lagged""",
     "distinct_by_sketch": f"""WITH {SPARSE} SELECT CAST(year(transaction_date) AS INTEGER) AS year,
         count(DISTINCT internal_store_id) AS stores, count(DISTINCT internal_product_id) AS products, TRUE AS near
         FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1""",
@@ -553,6 +555,9 @@ ORACLE: dict[str, str] = {
     "horizon_features": f"""WITH {ROLLED}, {horizon(f'''SELECT semana, {GRAIN}, quantity,
         week_sin, week_cos, {', '.join(LAG_NAMES)}, quantity_roll_mean_4, quantity_roll_std_12
         FROM horizon''')}""",
+    "stored_horizon": f"""WITH {ROLLED}, {horizon(f'''SELECT semana, {GRAIN}, quantity,
+        week_sin, week_cos, {', '.join(LAG_NAMES)}, quantity_roll_mean_4, quantity_roll_std_12
+        FROM horizon''')}""",
     "forecast_units": f"WITH {ROLLED}, {horizon(UNITS)}",
     "forecast_csv": f"WITH {ROLLED}, {horizon(UNITS)}",
     "run_summary": f"""WITH {ROLLED}, {horizon(f'''SELECT CAST(sum(quantidade) AS BIGINT)

@@ -24,6 +24,7 @@ from ..plans import incremental
 from ..plans.features import create_features
 from ..sources import (application_folder, conform, load_tables, stage, write_features, write_forecast_csv,
                        write_processed)
+from ..sources.series_store import newest_week, open_store, replace_years, write_store
 from ..sources.tables import PRODUCTS, STORES, TRANSACTIONS
 from ..sources.tpch_retail import _table, products, retail_tables, stores, transactions
 from ..spec import LAGS, MEASURES, PRODUCT, STORE, WINDOWS, SeriesSpec
@@ -460,6 +461,26 @@ def incremental_features(spark, folder):
     return rounded(made.select(*GRAIN, "quantity", *[c for c in made.columns if "_lag_" in c or "_roll_" in c]))
 
 
+@query
+def stored_lags(spark, folder):
+    """Lags and windows on a store by series, one year of which was wrong at first and is replaced."""
+    store, sold = f"{_results_folder(spark)}/weekly", stage(weekly_all_years(spark, folder), "weekly")
+    wrong = F.when(F.col("year") == YEAR, -F.col("quantity")).otherwise(F.col("quantity"))
+    write_store(sold.withColumn("quantity", wrong), store)
+    replace_years(sold.filter(F.col("year") == YEAR), store)
+    made = weekly.create_lag_features(open_store(spark, store), PAIR, lags=LAGS, order_by=ORDER)
+    made = weekly.create_rolling_features(made, PAIR, windows=WINDOWS, order_by=ORDER)
+    return rounded(made.select(*GRAIN, "quantity", *[c for c in made.columns if "_lag_" in c or "_roll_" in c]))
+
+
+@query
+def stored_horizon(spark, folder):
+    """The horizon of a feature store by series: no row moves between the store and the result."""
+    store = f"{_results_folder(spark)}/features"
+    features = write_store(stage(weekly_series(spark, folder), "weekly-series"), store)
+    return _horizon_columns(horizon.generate_forecast_features(features, newest=newest_week(spark, store)))
+
+
 @query
 def last_observation(spark, folder):
     return weekly.last_observation(weekly_all_years(spark, folder)).select(*GRAIN, "quantity")
@@ -556,15 +577,18 @@ def fold_summary(spark, folder):
 
 # Horizon and forecast
 
-@query
-def horizon_features(spark, folder):
-    series = stage(weekly_series(spark, folder), "weekly-series")
-    made = horizon.generate_forecast_features(series)
+def _horizon_columns(made: DataFrame) -> DataFrame:
     return rounded(made.select(
         "semana", *GRAIN, "quantity", "week_sin", "week_cos",
         *[f"quantity_lag_{k}" for k in LAGS], "quantity_roll_mean_4", "quantity_roll_std_12"))
 
 
+@query
+def horizon_features(spark, folder):
+    series = stage(weekly_series(spark, folder), "weekly-series")
+    return _horizon_columns(horizon.generate_forecast_features(series))
+
+
 def _rolling_mean_forecast(spark, folder):
     """A forecast without a model: the last rolling mean of every series."""
     series = stage(weekly_series(spark, folder), "weekly-series")
