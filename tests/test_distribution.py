@@ -111,7 +111,25 @@ def test_correlation_of_columns_without_common_rows(spark):
     assert d.correlation_matrix(df.limit(0), threshold=0.0).collect() == [("y", "x", 0.0)]
 
 
-def test_density_shuffles_no_errors(spark):
+def test_density_adds_cells_up_in_the_plan_of_spark(spark):
     made = d.error_density(frame(spark, [1.0, 2.0, 4.0]))
     plan = made._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(point" in plan
+    assert "Python" not in plan and "mapInPandas" not in plan
+    # Errors are added up by cell before they move.
+    assert plan.index("Exchange hashpartitioning(cell") < plan.rindex("keys=[cell")
+    assert "partial_sum" in plan[plan.index("Exchange hashpartitioning(cell"):]
+
+
+@pytest.mark.parametrize("kind", ["tails", "offset", "clusters", "tiny", "two"])
+def test_density_of_any_shape(spark, kind):
+    rng = np.random.default_rng(6)
+    errors = {"tails": rng.standard_cauchy(3000), "offset": 1e6 + rng.normal(size=2000),
+              "clusters": np.concatenate([rng.normal(size=900), 500 + rng.normal(size=100), [-4000.0]]),
+              "tiny": 1e-9 * rng.exponential(size=500), "two": np.array([0.0, 1.0])}[kind]
+    made = d.error_density(frame(spark, errors)).orderBy("point").toPandas()
+    x, expected = density(errors, 200)
+    h = errors.std(ddof=1) * len(errors) ** -0.2
+    assert list(made["point"]) == list(range(200)) and np.allclose(made["x"], x)
+    # In units of one kernel per error.
+    tolerance = 1e-7 if kind == "offset" else 1e-12  # numbers near 1e6 carry no more digits
+    assert np.abs(made["density"] - expected).max() * h < tolerance
