@@ -63,13 +63,15 @@ def flag_returns(df: DataFrame) -> DataFrame:
 
 
 def trim_outliers(df: DataFrame, column: str = "quantity", low: float = TRIM_LOW,
-                  high: float = TRIM_HIGH, approximate: bool = False) -> DataFrame:
+                  high: float = TRIM_HIGH, approximate: bool = False,
+                  bounds: tuple[float | None, float | None] | None = None) -> DataFrame:
     """Keep rows between two quantiles of ``column``, bounds included; nulls are dropped.
 
-    The bounds are worked out first and enter the plan as literals, so they are pushed to the scan.
+    The bounds are worked out first and enter the plan as literals, so they are pushed to the scan. Give
+    them as ``bounds`` if they are known, as from stored sketches.
     """
     find = approximate_quantiles if approximate else exact_quantiles
-    lower, upper = find(df, {column: [low, high]})[column]
+    lower, upper = find(df, {column: [low, high]})[column] if bounds is None else bounds
     if lower is None:
         return df.filter(F.lit(False))
     value = F.col(column)

@@ -429,6 +429,15 @@ ORACLE: dict[str, str] = {
         for c, ps in (("quantity", (0.001, 0.5, 0.999)),
                       ("gross_value", (0.001, 0.25, 0.5, 0.999)),
                       ("gross_profit", (0.1, 0.5, 0.9))) for p in ps),
+    "quantiles_by_sketch": f"WITH {TX}, y AS (SELECT *, year(transaction_date) AS y FROM tx) " + " UNION ALL ".join(
+        f"SELECT '{years}' AS years, '{c}' AS column_name, CAST({p} AS DOUBLE) AS probability, "
+        f"round(quantile_cont({c}, {p}), 6) AS value FROM y WHERE {where}"
+        for years, where in (("all", "y IS NOT NULL"), ("one", f"y = {YEAR}"), ("outer", f"abs(y - {YEAR}) > 1"))
+        for c, ps in (("quantity", (0.001, 0.5, 0.999)), ("gross_profit", (0.1, 0.5, 0.9))) for p in ps),
+    "trim_by_sketch": f"""WITH {TX}, y AS (SELECT * FROM tx WHERE year(transaction_date) = {YEAR}),
+        b AS (SELECT quantile_cont(quantity, 0.05) AS lo, quantile_cont(quantity, 0.95) AS hi FROM y)
+        SELECT {PAIR}, quantity, round(gross_value, 6) AS gross_value FROM y, b
+        WHERE quantity BETWEEN lo AND hi""",
     "outlier_trim": f"""WITH {TX}, b AS (SELECT quantile_cont(quantity, 0.05) AS lo,
         quantile_cont(quantity, 0.95) AS hi FROM tx)
         SELECT {PAIR}, quantity, round(gross_value, 6) AS gross_value FROM tx, b

@@ -166,6 +166,31 @@ def quantiles(spark, folder):
         rows, "column_name string, probability double, value double"))
 
 
+@query
+def quantiles_by_sketch(spark, folder):
+    """Quantiles of several sets of years from one table of weekly sketches."""
+    wanted = {"quantity": [0.001, 0.5, 0.999], "gross_profit": [0.1, 0.5, 0.9]}
+    sales = sales_all_years(spark, folder)
+    sketches = stage(q.quantile_sketches(sales, wanted), "week-sketches")
+    rows = []
+    for years, where in (("all", F.col("year").isNotNull()), ("one", F.col("year") == YEAR),
+                         ("outer", F.abs(F.col("year") - YEAR) > 1)):
+        found = q.quantiles_from_sketches(sales, sketches, wanted, where)
+        rows += [(years, c, p, v) for c, ps in wanted.items() for p, v in zip(ps, found[c], strict=True)]
+    return rounded(spark.createDataFrame(
+        rows, "years string, column_name string, probability double, value double"))
+
+
+@query
+def trim_by_sketch(spark, folder):
+    """One year's sales between bounds that come from weekly sketches."""
+    sales, year = sales_all_years(spark, folder), F.col("year") == YEAR
+    sketches = stage(q.quantile_sketches(sales, ["quantity"]), "week-sketches")
+    found = q.quantiles_from_sketches(sales, sketches, {"quantity": [0.05, 0.95]}, year)["quantity"]
+    trimmed = clean.trim_outliers(sales.filter(year), bounds=tuple(found))
+    return rounded(trimmed.select(*PAIR, "quantity", "gross_value"))
+
+
 @query
 def outlier_trim(spark, folder):
     """Bounds that bite: the default ones lie at the ends of the given quantities."""
