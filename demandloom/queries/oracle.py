@@ -590,6 +590,21 @@ ORACLE: dict[str, str] = {
     "model_exact": """SELECT unnest(['catboost', 'random_forest']) AS kind, * FROM (
         SELECT l_returnflag AS flag, l_linenumber % 2 AS odd, round(avg(l_quantity), 6) AS prediction
         FROM lineitem GROUP BY ALL) m""",
+    "importance_exact": """WITH cells AS (
+          SELECT l_linestatus AS status, l_linenumber % 2 AS odd, l_quantity AS quantity FROM lineitem),
+        explained AS (
+          SELECT (SELECT sum(s * s / n) FROM (SELECT sum(quantity) AS s, count(*) AS n FROM cells GROUP BY status)) - a
+                   AS by_status,
+                 (SELECT sum(s * s / n) FROM (SELECT sum(quantity) AS s, count(*) AS n FROM cells GROUP BY odd)) - a
+                   AS by_odd,
+                 (SELECT sum(s * s / n) FROM (SELECT sum(quantity) AS s, count(*) AS n FROM cells GROUP BY status, odd)) - a
+                   AS by_both
+          FROM (SELECT sum(quantity) * sum(quantity) / count(*) AS a FROM cells)),
+        share AS (
+          SELECT CASE WHEN by_status > by_odd THEN by_status ELSE by_both - by_odd END / by_both AS status FROM explained)
+        SELECT unnest(['catboost', 'random_forest']) AS kind, feature, round(importance, 4) + 0.0 AS importance FROM (
+          SELECT 'status_code' AS feature, status AS importance FROM share
+          UNION ALL SELECT 'odd', 1 - status FROM share)""",
     "fold_metrics_exact": f"""WITH cells AS (
           SELECT l_returnflag AS flag, l_linenumber % 2 AS odd, l_quantity AS quantity,
                  row_number() OVER (ORDER BY l_quantity, l_returnflag, l_linenumber % 2) AS ordinal,

@@ -768,6 +768,24 @@ def fold_metrics_exact(spark, folder):
     return rounded(folds.unionByName(trained.test_metrics.withColumn("part", F.lit("test"))))
 
 
+@query
+def importance_exact(spark, folder):
+    """Importances of one unsampled tree over two features of two values, for a booster and a forest.
+
+    The feature that explains more is split first, and the other one gets what is left.
+    """
+    rows = stage(_table(spark, folder, "lineitem").select(
+        F.col("l_linestatus").alias("status"), (F.col("l_linenumber") % 2).alias("odd"),
+        F.col("l_quantity").alias("quantity")), "cells")
+    made = None
+    for kind, options in (("catboost", {}), ("random_forest", {"bootstrap": False})):
+        trained = train_model(rows, model_type=kind, cv=FOLDS, n_estimators=1, stored=True,
+                              spec=SeriesSpec(("odd",), ("status",)), **options)
+        weights = feature_importance(trained.model).withColumn("kind", F.lit(kind))
+        made = weights if made is None else made.unionByName(weights)
+    return rounded(made, 4)
+
+
 @query
 def model_matrix(spark, folder):
     """The vectors in chronological order, one column per input."""
