@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..spec import WEEKLY, SeriesSpec
+from .staging import drop_folders
 
 YEAR = "year"
 LAYOUT = "keys array<string>, order array<string>, buckets int, schema string"
@@ -70,6 +71,12 @@ def replace_years(rows: DataFrame, folder: str) -> None:
          .select(*map(_quoted, [*columns, YEAR])).write.insertInto(name, overwrite=True))
 
 
+def drop_store(spark: SparkSession, folder: str) -> None:
+    """Delete a store and what the catalog knows of it."""
+    spark.sql(f"DROP TABLE IF EXISTS {_table(spark, folder, _layout(spark, folder))}")
+    drop_folders(spark, [folder])
+
+
 def newest_week(spark: SparkSession, folder: str) -> int | None:
     """The latest week as a number YYYYWW; only the last year's weeks are read."""
     store = open_store(spark, folder)

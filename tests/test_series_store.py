@@ -109,5 +109,13 @@ def test_rows_without_a_year_have_a_partition(spark, tmp_path, rows_by_week, row
     assert store.newest_week(spark, folder) // 100 == 2022
 
 
+def test_a_dropped_store_leaves_nothing(spark, tmp_path, rows_by_week):
+    before = {t.name for t in spark.catalog.listTables()}
+    for buckets in (2, 3):  # the folder can be used again, in another layout
+        assert store.write_store(rows_by_week, f"{tmp_path}/s", buckets=buckets).count() == rows_by_week.count()
+        store.drop_store(spark, f"{tmp_path}/s")
+        assert not (tmp_path / "s").exists() and {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_buckets_follow_the_rows():
     assert [store.bucket_count(n, 8, 100) for n in (0, 100, 801, 100_000)] == [8, 8, 9, 1000]
