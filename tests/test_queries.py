@@ -30,6 +30,13 @@ def test_query_equals_sql(spark, duck, name):
     assert compare(frame, duck, ORACLE[name]) == ""
 
 
+@pytest.mark.parametrize(("name", "again"), [("time_split", "time_split_numbered")])
+def test_splits_and_folds_give_the_position_of_every_row(spark, rows, name, again):
+    made, numbered = (QUERIES[n](spark, SMALL) for n in (name, again))
+    assert "ordinal" in made.columns
+    assert rows(made, *sorted(made.columns)) == rows(numbered, *sorted(numbered.columns))
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
