@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, duck, name):
     assert compare(frame, duck, ORACLE[name]) == ""
 
 
-@pytest.mark.parametrize(("name", "again"), [("time_split", "time_split_numbered")])
+@pytest.mark.parametrize(("name", "again"), [("time_split", "time_split_numbered"), ("time_folds", "time_folds_numbered")])
 def test_splits_and_folds_give_the_position_of_every_row(spark, rows, name, again):
     made, numbered = (QUERIES[n](spark, SMALL) for n in (name, again))
     assert "ordinal" in made.columns
