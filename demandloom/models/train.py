@@ -25,6 +25,9 @@ FITS = 7
 # Rows per partition of a training matrix. A model depends on how its rows are spread, so that follows from
 # their number alone, not from cores, shuffle partitions or the files they are read from.
 MATRIX_ROWS = 25_000
+# From this many partitions on they hold more rows, up to the larger number: every level of every tree of every
+# fit sends the driver a few kilobytes a partition.
+MATRIX_PARTS, LARGE_ROWS = 64, 500_000
 # Values of a feature that trees tell apart, at most.
 BINS = 128
 
@@ -92,6 +95,11 @@ class TrainingMatrix:
     plan: MatrixPlan
 
 
+def matrix_parts(total: int) -> int:
+    """How many partitions a training matrix of ``total`` rows has."""
+    return max(1, min(-(-total // MATRIX_ROWS), max(MATRIX_PARTS, -(-total // LARGE_ROWS))))
+
+
 def prepare_training_data(df: DataFrame, target: str = "quantity", spec: SeriesSpec = WEEKLY,
                           strict_features: bool = False, stored: bool = False) -> TrainingMatrix:
     """Rows with a target, as vectors in chronological order.
@@ -111,7 +119,7 @@ def prepare_training_data(df: DataFrame, target: str = "quantity", spec: SeriesS
         .select(ORDINAL, TOTAL, F.col(target).cast("double").alias(LABEL), FEATURES),
         "training-matrix")
     total = rows.agg(F.max(TOTAL)).first()[0] or 0
-    spread = rows.drop(TOTAL).repartition(max(1, -(-total // MATRIX_ROWS)), ORDINAL)
+    spread = rows.drop(TOTAL).repartition(matrix_parts(total), ORDINAL)
     return TrainingMatrix(spread.sortWithinPartitions(ORDINAL), total, preparation, dictionary, plan)
 
 

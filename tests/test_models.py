@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
 from demandloom.models import (feature_importance, generate_forecast, initialize_model, load_model,
-                               save_model, train_model)
+                               save_model, train, train_model)
 from demandloom.models.matrix import add_codes, plan_matrix
 from demandloom.models.train import measured_trees, prepare_training_data, side_by_side
 from demandloom.operators.clean import (numeric_columns, preprocess_pdv, preprocess_products,
@@ -107,6 +107,16 @@ def test_matrix_is_chronological(spark, features):
     assert "gross_value" in matrix.plan.plain and "gross_value" not in strict.inputs
 
 
+def test_partitions_of_a_large_matrix_hold_more_rows(features, monkeypatch):
+    """The driver hears from every partition at every level of a tree, so their number stays small."""
+    assert [train.matrix_parts(n) for n in (0, 1, 25_000, 25_001, 600_000)] == [1, 1, 1, 2, 24]
+    assert [train.matrix_parts(n) for n in (1_600_000, 36_000_000, 216_000_000)] == [64, 72, 432]
+    monkeypatch.setattr(train, "MATRIX_ROWS", 2)
+    rows = prepare_training_data(features).rows
+    assert rows.count() == features.count() > 2 * train.MATRIX_PARTS
+    assert rows.rdd.getNumPartitions() == train.MATRIX_PARTS
+
+
 def test_gaps_and_categories_of_any_size(spark):
     """Five thousand labels reach the model as five thousand codes."""
     df = spark.createDataFrame(
