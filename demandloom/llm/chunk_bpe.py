@@ -143,6 +143,11 @@ class ChunkEncoder:
             raise ValueError("the merges of the vocabulary are not in the order of their ids")
         self.fast = tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
+        # What the library's decoder makes of each token, and the token's id in decimal.
+        tokens = {number: token for token, number in self.library.get_vocab().items()}
+        self.pieces = {number: bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
+                       for number, token in tokens.items()} if (spec["decoder"] or {}).get("type") == "ByteLevel" else {}
+        self.decimals = {number: str(number) for number in tokens}
         self.chunks, self.joins = Memory(chunk_memory), Memory(join_memory)
         self.encoded = self.reused = 0
 
@@ -206,7 +211,15 @@ class ChunkEncoder:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        return self.library.decode(ids, skip_special_tokens=False)
+        """Exactly what the library gives with special tokens: the bytes of all tokens, read as UTF-8."""
+        try:
+            return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
+        except KeyError:  # not in the vocabulary, or another decoder
+            return self.library.decode(ids, skip_special_tokens=False)
+
+    def listed(self, ids: list[int]) -> str:
+        """Ids of the vocabulary in decimal, joined by commas."""
+        return ",".join(map(self.decimals.__getitem__, ids))
 
 
 @functools.cache
@@ -238,7 +251,7 @@ def digest_table(documents: DataFrame, path: str, key: str = "doc_id", text: str
         encoder = encoder_of(path)
         for name, value in rows:
             ids = encoder.encode(value or "")
-            yield (name, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            yield (name, len(ids), hashlib.sha256(encoder.listed(ids).encode()).hexdigest(),
                    hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
 
     kind = documents.schema[key].dataType.simpleString()

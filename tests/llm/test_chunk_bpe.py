@@ -28,6 +28,20 @@ def test_same_ids_as_the_library(text):
     assert ENCODER.decode(ENCODER.encode(text)) == LIBRARY.decode(library(text), skip_special_tokens=False) == text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, LIBRARY.get_vocab_size() + 5), st.integers(0, 260)), max_size=50))
+def test_any_ids_are_decoded_as_by_the_library(ids):
+    assert ENCODER.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+def test_ids_of_the_vocabulary_are_decoded_without_the_library(monkeypatch):
+    ids = [i for text in TEXTS[:7] for i in library(text)] + list(LIBRARY.get_vocab().values())
+    expected = LIBRARY.decode(ids, skip_special_tokens=False)
+    monkeypatch.setattr(ENCODER, "library", None)
+    assert ENCODER.decode(ids) == expected
+    assert ENCODER.listed(ids) == ",".join(map(str, ids))
+
+
 def test_three_million_spaces():
     text = "a" + " " * 3_000_000 + "b"
     assert ENCODER.encode(text) == library(text)
