@@ -217,3 +217,17 @@ def test_weekly_series_shares_one_sort(spark):
     assert plan.count("Sort [") == 1
     assert plan.count("Exchange hashpartitioning(internal_store_id") == 2
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_folds_of_a_large_matrix_ask_few_partitions(features, monkeypatch):
+    """Fits and measures of folds read the same few partitions, and count the same rows."""
+    monkeypatch.setattr(train, "MATRIX_ROWS", 2)
+    monkeypatch.setattr(train, "MATRIX_PARTS", 3)
+    asked = []
+    kept = train._fold_job
+    monkeypatch.setattr(train, "_fold_job", lambda estimator, rows, fold: (
+        asked.append(rows.rdd.getNumPartitions()), kept(estimator, rows, fold))[1])
+    made = train_model(features, model_type="random_forest", cv=2, n_estimators=1, stored=True)
+    assert asked == [3, 3]
+    known = int(features.count() * 0.8)
+    assert [r["n"] for r in made.fold_metrics.orderBy("fold").collect()] == [known // 3] * 2
