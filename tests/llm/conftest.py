@@ -3,6 +3,13 @@ import pytest
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_stays_cached(spark):
+    """Frames that a module caches are given up with it; other tests look for what is left."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture
 def documents(spark):
     """A table of documents from (doc_id, text) or (doc_id, text, source) or (.., lang)."""
