@@ -11,9 +11,10 @@ A fingerprint is a string: the root, then the sections in order, ``root=section{
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
+from binascii import b2a_base64
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,12 +36,15 @@ SENTENCE = re.compile(r".*?(?:[.!?]+[ \t]+|[。！？｡]+[ \t」』”’）]*)
 WHOLE_SENTENCE = 400
 LEAF_SIZES = ((128, 4), (512, 16))
 LONG_LEAF = 64
+# From here on the leaves of a sentence don't depend on its place.
+FAR = LEAF_SIZES[-1][0]
+URL_SAFE = bytes.maketrans(b"+/", b"-_")
 MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 SECTIONS = re.compile(r"([\w-]+)\{(.*?)\}")
 PARAGRAPHS = re.compile(r"([\w-]+)\[(.*?)\]")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     """A branch: its hash, its place in the text in code points, its children."""
 
@@ -52,7 +56,7 @@ class Node:
 
 def _hash(data: bytes, kind: bytes) -> str:
     made = hashlib.blake2b(data, digest_size=HASH_BYTES, person=kind).digest()
-    return base64.urlsafe_b64encode(made).decode()
+    return b2a_base64(made, newline=False).translate(URL_SAFE).decode()
 
 
 def _parent(children: list[Node], start: int, kind: bytes) -> Node:
@@ -74,45 +78,55 @@ def _leaf_size(at: int) -> int:
     return next((size for end, size in LEAF_SIZES if at < end), LONG_LEAF)
 
 
-def _leaves(line: str, at: int) -> Iterator[str]:
-    """Sentences of a line that starts at ``at``, cut by a rolling hash of four characters if too long."""
-    for sentence in SENTENCE.findall(line):
-        n, size = len(sentence), _leaf_size(at)
-        if n <= (WHOLE_SENTENCE if size == LONG_LEAF else 2 * size):
-            yield sentence
-            at += n
-            continue
-        codes = np.frombuffer(sentence.encode("utf-32-le"), np.uint32)
-        rolled = np.zeros(n, np.uint32)
-        for back, factor in enumerate(MIX[:n]):
-            rolled[back:] += codes[:n - back] * factor
-        rolled = (rolled ^ (rolled >> np.uint32(15))) * MIX[0] >> np.uint32(8)
-        start = 0
-        while start < n:
-            size = _leaf_size(at + start)
-            first, last = start + size // 2, start + 4 * size
-            if n - start <= 2 * size:
-                end = n
+def _leaves(sentence: str, at: int) -> Iterator[str]:
+    """A sentence that starts at ``at``, cut by a rolling hash of four characters if too long."""
+    n, size = len(sentence), _leaf_size(at)
+    if n <= (WHOLE_SENTENCE if size == LONG_LEAF else 2 * size):
+        yield sentence
+        return
+    codes = np.frombuffer(sentence.encode("utf-32-le"), np.uint32)
+    rolled = np.zeros(n, np.uint32)
+    for back, factor in enumerate(MIX[:n]):
+        rolled[back:] += codes[:n - back] * factor
+    rolled = (rolled ^ (rolled >> np.uint32(15))) * MIX[0] >> np.uint32(8)
+    start, cuts, cuts_of = 0, [], 0
+    while start < n:
+        size = _leaf_size(at + start)
+        first, last = start + size // 2, start + 4 * size
+        if n - start <= 2 * size:
+            end = n
+        else:
+            # The first place whose hash is a multiple of the size, or else the smallest hash.
+            if size != cuts_of:
+                cuts, cuts_of = np.flatnonzero(rolled % np.uint32(size) == 0).tolist(), size
+            i = bisect_left(cuts, first - 1)
+            if i < len(cuts) and cuts[i] < last:
+                end = cuts[i] + 1
             else:
-                # The first place whose hash is a multiple of the size, or else the smallest hash.
-                seen = rolled[first - 1:last]
-                hits = seen % size == 0
-                end = first + int(hits.argmax() if hits.any() else seen.argmin())
-            yield sentence[start:end]
-            start = end
-        at += n
+                end = first + int(rolled[first - 1:last].argmin())
+        yield sentence[start:end]
+        start = end
 
 
-def tree(text: str) -> Node:
-    """The Merkle tree of a whole text; the empty text is a root without sections."""
+def tree(text: str, known: dict | None = None) -> Node:
+    """The Merkle tree of a whole text; the empty text is a root without sections.
+
+    ``known`` keeps the leaves of sentences for trees of other texts that hold them too.
+    """
+    known = {} if known is None else known
     at, sections = 0, []
     for section in _sections(text):
         section_start, paragraphs = at, []
         for line in LINE.findall(section):
             line_start, leaves = at, []
-            for sentence in _leaves(line, at):
-                leaves.append(Node(_hash(sentence.encode(), b"leaf"), at, len(sentence), []))
-                at += len(sentence)
+            for sentence in SENTENCE.findall(line):
+                key = sentence, min(at, FAR)
+                cut = known.get(key)
+                if cut is None:
+                    cut = known[key] = [(_hash(leaf.encode(), b"leaf"), len(leaf)) for leaf in _leaves(*key)]
+                for digest, size in cut:
+                    leaves.append(Node(digest, at, size, []))
+                    at += size
             paragraphs.append(_parent(leaves, line_start, b"paragraph"))
         sections.append(_parent(paragraphs, section_start, b"section"))
     return _parent(sections, 0, b"root")
@@ -276,16 +290,16 @@ def compare_in_order(documents: DataFrame, key: str = "doc_id", text: str = "tex
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         last = None
         for block, borrowed, name, value in rows:
-            value = value or ""
-            own = tree(value)
+            value, known = value or "", {}
+            own = tree(value, known)
             if last is not None and last[0] == block and not last[1]:
-                _, _, last_name, last_value, last_tree = last
+                _, _, last_name, last_value, last_tree, last_known = last
                 edited = edited_half(last_value, value)
-                changed = tree(edited)
+                changed = tree(edited, last_known | known)
                 yield (last_name, len(last_value), hashlib.sha256(edited.encode()).hexdigest(),
                        encode(last_tree), encode(changed), tree_likeness(last_tree, changed),
                        tree_likeness(last_tree, own))
-            last = (block, borrowed, name, value, own)
+            last = (block, borrowed, name, value, own, known)
 
     kind = documents.schema[key].dataType.simpleString()
     return map_rows(

@@ -101,3 +101,21 @@ def test_leaves_join_to_the_text():
 def test_clashing_columns(spark):
     table = spark.createDataFrame([(1, "a b", 5, True, "k")], "doc_id long, text string, block int, borrowed boolean, key string")
     assert fp.compare_in_order(table).count() == fp.fingerprints(table).count() == 1
+
+
+def test_leaves_of_sentences_known_already_are_not_hashed_again(monkeypatch):
+    texts = [prose(11, 3000), prose(12, 3000), "short. é🤗. " * 30, "x" * 5000, prose(13, 200), "", "a\n\nb. c"]
+    hashed = []
+    plain = fp._hash
+    monkeypatch.setattr(fp, "_hash", lambda data, kind: (hashed.append(kind), plain(data, kind))[1])
+    for one in texts:
+        for other in texts:
+            known, known_other, edited = {}, {}, fp.edited_half(one, other)
+            fp.tree(one, known), fp.tree(other, known_other)
+            hashed.clear()
+            whole = fp.tree(edited)
+            alone = hashed.count(b"leaf")
+            hashed.clear()
+            assert fp.tree(edited, known | known_other) == whole
+            if one == texts[0] and other == texts[1]:
+                assert hashed.count(b"leaf") < alone / 4
