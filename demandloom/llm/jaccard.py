@@ -133,14 +133,24 @@ def _columns(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _repeated(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that stand in the arrays more than once, ascending, and how often; ``held`` is emptied."""
+    together = np.concatenate(held)
+    held.clear()
+    together.sort()
+    again = together[1:][together[1:] == together[:-1]]
+    del together
+    column, n = np.unique(again, return_counts=True)
+    return column, n + 1
+
+
 def _frequent_columns(texts: DataFrame, bits: int, size: int) -> DataFrame:
     """Columns that occur in several rows of one batch of a task, with how often that was."""
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         def count(held):
             if held:
-                column, n = np.unique(np.concatenate(held), return_counts=True)
-                for c, k in zip(column[n > 1].tolist(), n[n > 1].tolist(), strict=True):
-                    yield c, k
+                for c, k in zip(*_repeated(held), strict=True):
+                    yield int(c), int(k)
 
         held, seen, total = [], set(), 0
         for (text,) in rows:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ._tables import map_rows
+from ._tables import give_back, map_rows
 
 LONGEST = 2048
 END_ID = 1
@@ -102,6 +102,8 @@ def pack(documents: DataFrame, ranks_path: str, key: str = "doc_id", text: str =
             for length in binary_lengths(len(ids), longest):
                 yield name, start, length, ids[start:start + length].tobytes(), len(ids)
                 start += length
+        del encode
+        give_back()
 
     kind = documents.schema[key].dataType.simpleString()
     pieces = map_rows(documents.select(key, text), work,

@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,17 @@ def test_components_of_chains_stars_and_loops(spark, rows):
     expected = [(i, 0) for i in range(41)] + [(i, 100) for i in range(100, 160)] + [(200, 200), (201, 200)]
     assert rows(made, "node", "label") == sorted(expected, key=repr)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_repeated_numbers_are_counted_in_little_more_room_than_they_take():
+    numbers = np.random.default_rng(1)
+    held = [numbers.integers(0, 1 << 40, 1000) for _ in range(500)] + [np.arange(5), np.arange(3), np.arange(1)]
+    values, n = np.unique(np.concatenate(held), return_counts=True)
+    tracemalloc.start()
+    column, count = jaccard._repeated(held)
+    taken = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert column.tolist() == values[n > 1].tolist() and count.tolist() == n[n > 1].tolist()
+    assert taken < 1.5 * 8 * len(values)
+    column, count = jaccard._repeated([np.arange(3)])
+    assert not len(column) and not len(count)

@@ -1,6 +1,7 @@
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +95,25 @@ def test_native_queries_have_no_python_in_their_plans(spark, name):
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     for node in ("EvalPython", "MapInArrow", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
+
+
+def test_stages_hand_workers_few_texts_together_and_a_run_leaves_the_session_as_it_was(spark):
+    def largest():
+        sizes = spark.range(0, 5000, 1, 1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"id": [b.num_rows]}) for b in batches), "id long")
+        return max(r[0] for r in sizes.collect())
+
+    before = spark.conf.get(corpus_pipeline.BATCH)
+    try:
+        spark.conf.set(corpus_pipeline.BATCH, 10_000)
+        assert largest() == 5000
+        corpus_pipeline.STAGES[0][1](spark, table(spark, SMALL, "documents"), SMALL)
+        assert largest() <= 1000
+        spark.conf.set(corpus_pipeline.BATCH, 77)
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(corpus_pipeline.BATCH) == "77"
+        spark.conf.set(corpus_pipeline.BATCH, 5000)
+        corpus_pipeline.run(spark, SMALL)
+        assert spark.conf.get(corpus_pipeline.BATCH) == "5000"
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH, before)
